@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.exprs import epoch_seconds, hash_fraction
@@ -14,21 +16,28 @@ from lakeops.operators import ranks
 from lakeops.operators import timeline as tl
 
 
-def row_deviation(features: Sequence[str]) -> Column:
-    """Minus the largest z-score of a value among the values of its own row."""
+def with_row_deviation(df: DataFrame, features: Sequence[str], out: str) -> DataFrame:
+    """Add minus the largest z-score of a value among the values of its own row.
+
+    Written as plain arithmetic over the named columns, so it compiles into the scan stage.
+    """
     n = float(len(features))
-    values = F.array(*[F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features])
-    mean = F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / n
-    var = F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / n
-    std = F.sqrt(var) + 1e-10
-    return -F.aggregate(values, F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x - mean) / std))
+    values = [F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features]
+    mean = F.col("_row_mean")
+    squares = [(v - mean) * (v - mean) for v in values]
+    return (
+        df.withColumn("_row_mean", reduce(add, values) / n)
+        .withColumn("_row_std", F.sqrt(reduce(add, squares) / n) + 1e-10)
+        .withColumn(out, -F.greatest(*[F.abs(v - mean) / F.col("_row_std") for v in values]))
+        .drop("_row_mean", "_row_std")
+    )
 
 
 def row_anomaly(df: DataFrame, features: Sequence[str], contamination: float = 0.01) -> DataFrame:
     """Score (lower is stranger), flag of the lowest ``contamination`` share, percentile 0..100."""
     if len(features) < 2:
         return df.withColumns({"anomaly_score": F.lit(0.0), "is_anomaly": F.lit(False), "anomaly_percentile": F.lit(0.0)})
-    scored = df.withColumn("anomaly_score", F.round(row_deviation(features), 9))
+    scored = with_row_deviation(df, features, "anomaly_score").withColumn("anomaly_score", F.round("anomaly_score", 9))
     (limit,) = ranks.percentile_values(scored, "anomaly_score", [contamination])
     ranked = ranks.percent_rank(scored, "anomaly_score", "anomaly_percentile")
     return ranked.withColumns(
@@ -92,7 +101,7 @@ def isolation_forest(df: DataFrame, key: str, features: Sequence[str], trees: in
         lambda s: (F.pmod(s["h"], F.lit(1 << 30)) / float(1 << 30)) < share,
     )
     drawn = rows.select("_id", "_x", F.explode(picks).alias("_p")).select("_x", "_id", "_p.tree", "_p.h")
-    order = tl.Window.partitionBy("tree").orderBy("h", "_id")
+    order = Window.partitionBy("tree").orderBy("h", "_id")
     sampled = drawn.withColumn("_no", F.row_number().over(order)).filter(F.col("_no") <= sample)
     depth_limit = int(np.ceil(np.log2(max(sample, 2))))
 

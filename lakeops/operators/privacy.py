@@ -87,13 +87,12 @@ PII_PATTERNS = {
 
 def detect_pii(df: DataFrame, key: str, text: str, patterns: Mapping[str, str] = PII_PATTERNS) -> DataFrame:
     """One row per hit over the whole text: key, entity type, matched string."""
-    hits = [
-        F.transform(
-            F.regexp_extract_all(text, F.lit(p), F.lit(0)),
-            lambda m, kind=kind: F.struct(F.lit(kind).alias("entity_type"), m.alias("matched")),
-        )
-        for kind, p in patterns.items()
-    ]
+
+    def of_kind(kind: str, pattern: str) -> Column:
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        return F.transform(found, lambda m: F.struct(F.lit(kind).alias("entity_type"), m.alias("matched")))
+
+    hits = [of_kind(kind, pattern) for kind, pattern in patterns.items()]
     return df.select(key, F.explode(F.concat(*hits)).alias("hit")).select(key, "hit.entity_type", "hit.matched")
 
 

@@ -14,6 +14,15 @@ from lakeops.operators.timeline import join_null_safe
 RANGES = 256
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows per key and distinct value, without null values.
+
+    Nulls are dropped after counting: a filter on a computed value would be copied below
+    the projections that compute it.
+    """
+    return df.groupBy(*keys, value).agg(F.count(value).alias("_n")).filter(F.col("_n") > 0)
+
+
 def _range_id(counts: DataFrame, value: str, ranges: int) -> DataFrame:
     """Tag every distinct value with one of ``ranges`` value ranges of similar size."""
     probs = [i / ranges for i in range(1, ranges)]
@@ -50,8 +59,7 @@ def with_rows_below(counts: DataFrame, keys: Sequence[str], value: str, n: str,
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, points: dict[str, float], ranges: int = RANGES) -> DataFrame:
     """Interpolated percentiles per key; ``points`` maps column name -> fraction."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = with_rows_below(counts, keys, value, "_n", ranges)
+    ranked = with_rows_below(value_counts(df, keys, value), keys, value, "_n", ranges)
     aggs = []
     for name, p in points.items():
         pos = F.lit(float(p)) * (F.col("_total") - 1)
@@ -78,8 +86,7 @@ def percentile_values(df: DataFrame, value: str, fractions: Sequence[float]) ->
 def percent_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     """(rank - 1) / (rows - 1) over the whole table; nulls rank first, like ``percent_rank``."""
     nulls = df.agg(F.count_if(F.col(value).isNull()).alias("_nulls"))
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = with_rows_below(counts, [], value, "_n").select(value, "_below", "_total")
+    ranked = with_rows_below(value_counts(df, [], value), [], value, "_n").select(value, "_below", "_total")
     joined = df.join(ranked, value, "left").withColumn("_missing", nulls.scalar())
     rows = F.col("_missing") + F.coalesce(F.col("_total"), F.lit(0))
     rank = F.when(F.col(value).isNull(), 0).otherwise(F.col("_below") + F.col("_missing"))

@@ -2,3 +2,4 @@
 
 import lakeops.plans.fraud  # noqa: F401
 import lakeops.plans.secure  # noqa: F401
+import lakeops.plans.lake  # noqa: F401
