@@ -87,7 +87,7 @@ SELECT event_id, ts, user_id % 12 AS tenant_id, user_id,
  CASE WHEN event_id % 8 = 0 THEN NULL ELSE concat('job', CAST(user_id % 6 AS VARCHAR(5))) END AS job_name,
  concat(CASE event_id % 3 WHEN 0 THEN 'users' WHEN 1 THEN 'orders' ELSE 'reports' END, '/', CAST(event_id AS VARCHAR(20))) AS resource,
  CASE WHEN event_id % 2 = 0 THEN split('email,phone', ',') ELSE split('card', ',') END AS columns_accessed,
- CAST(value AS BIGINT) AS records_processed FROM {events}""",
+ CAST(floor(value) AS BIGINT) AS records_processed FROM {events}""",
 }
 
 TABLES = (

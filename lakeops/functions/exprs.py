@@ -28,6 +28,11 @@ def exact(amount: Column | str) -> Column:
     return c(amount).cast("decimal(18,4)")
 
 
+def exact_rate(share: Column | str) -> Column:
+    """A share or score as a decimal, for the same reason."""
+    return c(share).cast("decimal(20,10)")
+
+
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float = EARTH_KM) -> Column:
     """Great-circle distance in the unit of ``radius``; null when any input is null."""
     half_lat = F.radians(lat2 - lat1) / 2

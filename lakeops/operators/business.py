@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions import fixed
-from lakeops.functions.exprs import c, clean_text, exact, ratio, words_of
+from lakeops.functions.exprs import c, clean_text, exact, exact_rate, ratio, words_of
 from lakeops.operators import timeline as tl
 from lakeops.operators.search import newest_per_group
 
@@ -375,7 +375,7 @@ def user_features(views: DataFrame, content: DataFrame, as_of: str, lookback_day
     base = recent.groupBy("user_id").agg(
         F.sum(exact("watch_time")).cast("double").alias("total_watch_time"),
         F.count(F.lit(1)).alias("num_sessions"),
-        (F.sum("completion_rate") / F.count("completion_rate")).alias("avg_completion_rate"),
+        ratio(F.sum(exact_rate("completion_rate")), F.count("completion_rate"), None).alias("avg_completion_rate"),
         F.count_distinct("content_id").alias("num_unique_content"),
         F.min("ts").alias("first_activity"), F.max("ts").alias("last_activity"),
     )
@@ -396,7 +396,7 @@ def content_features(content: DataFrame, views: DataFrame, as_of: str) -> DataFr
     per_item = views.groupBy("content_id").agg(
         F.count_distinct("user_id").alias("unique_viewers"),
         F.sum(exact("watch_time")).cast("double").alias("total_watch_time"),
-        (F.sum("completion_rate") / F.count("completion_rate")).alias("avg_completion_rate"),
+        ratio(F.sum(exact_rate("completion_rate")), F.count("completion_rate"), None).alias("avg_completion_rate"),
     )
     top = per_item.agg(F.max("unique_viewers").alias("m"))
     joined = content.join(per_item, "content_id", "left").withColumn("_max", top.scalar())

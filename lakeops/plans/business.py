@@ -93,7 +93,7 @@ def call_terms(lake):
 
 
 @query("agent_top_terms", f"""WITH t AS (SELECT agent_id, unnest({TERM_SPLIT}) AS term FROM conversations JOIN v_calls ON call_id = conv_id)
-SELECT agent_id, term, count(*) AS mentions FROM t GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY agent_id ORDER BY count(*) DESC, term) <= 10""")
+SELECT agent_id, term, count(*) AS mentions FROM t GROUP BY agent_id, term QUALIFY row_number() OVER (PARTITION BY agent_id ORDER BY count(*) DESC, term) <= 10""")
 def agent_top_terms(lake):
     return biz.top_terms(call_terms(lake), ["agent_id"], F.col("terms"))
 
@@ -436,7 +436,7 @@ GENRE_SQL = """recent AS (SELECT * FROM v_views WHERE ts >= TIMESTAMP '2024-01-3
 gt AS (SELECT user_id, genre, sum(CAST(watch_time AS DECIMAL(18,4))) AS t FROM recent JOIN v_content USING (content_id) GROUP BY ALL),
 sh AS (SELECT user_id, genre, CAST(t AS DOUBLE) / CAST(sum(t) OVER (PARTITION BY user_id) AS DOUBLE) AS share FROM gt),
 en AS (SELECT user_id, -sum(share * ln(share)) AS genre_diversity FROM sh GROUP BY user_id)"""
-USER_SQL = f"""{GENRE_SQL}, uf AS (SELECT user_id, CAST(sum(CAST(watch_time AS DECIMAL(18,4))) AS DOUBLE) AS total_watch_time, count(*) AS num_sessions, avg(completion_rate) AS avg_completion_rate, count(DISTINCT content_id) AS num_unique_content,
+USER_SQL = f"""{GENRE_SQL}, uf AS (SELECT user_id, CAST(sum(CAST(watch_time AS DECIMAL(18,4))) AS DOUBLE) AS total_watch_time, count(*) AS num_sessions, CAST(sum(CAST(completion_rate AS DECIMAL(20,10))) AS DOUBLE) / count(*) AS avg_completion_rate, count(DISTINCT content_id) AS num_unique_content,
  min(ts) AS first_activity, max(ts) AS last_activity FROM recent GROUP BY user_id)"""
 AS_OF = "2024-01-31"
 
@@ -448,7 +448,7 @@ def user_features(lake):
     return rounded(out, ["total_watch_time", "avg_watch_time", "avg_completion_rate", "sessions_per_day", "genre_diversity"])
 
 
-CONTENT_SQL = """pi AS (SELECT content_id, count(DISTINCT user_id) AS unique_viewers, CAST(sum(CAST(watch_time AS DECIMAL(18,4))) AS DOUBLE) AS total_watch_time, avg(completion_rate) AS avg_completion_rate FROM v_views GROUP BY content_id),
+CONTENT_SQL = """pi AS (SELECT content_id, count(DISTINCT user_id) AS unique_viewers, CAST(sum(CAST(watch_time AS DECIMAL(18,4))) AS DOUBLE) AS total_watch_time, CAST(sum(CAST(completion_rate AS DECIMAL(20,10))) AS DOUBLE) / count(*) AS avg_completion_rate FROM v_views GROUP BY content_id),
 cf AS (SELECT c.*, unique_viewers, total_watch_time, coalesce(avg_completion_rate, 0.5) AS avg_completion_rate, coalesce(unique_viewers / CAST((SELECT max(unique_viewers) FROM pi) AS DOUBLE), 0.0) AS popularity_score,
  CAST(date_diff('day', CAST(release_date AS DATE), DATE '2024-01-31') AS INTEGER) AS release_recency_days, CAST(dense_rank() OVER (ORDER BY genre) - 1 AS INTEGER) AS genre_encoded, CAST(dense_rank() OVER (ORDER BY rating) - 1 AS INTEGER) AS rating_encoded FROM v_content c LEFT JOIN pi USING (content_id))"""
 

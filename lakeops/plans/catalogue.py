@@ -5,3 +5,4 @@ import lakeops.plans.secure  # noqa: F401
 import lakeops.plans.lake  # noqa: F401
 import lakeops.plans.business  # noqa: F401
 import lakeops.plans.fleet  # noqa: F401
+import lakeops.plans.text  # noqa: F401
