@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.session import cut_lineage
+from lakeops.session import materialize
 
 DAY_US = 86_400_000_000
 FOLD_ROWS = 10_000
@@ -54,18 +54,18 @@ def _pointers(rows: DataFrame, ttl_us: int) -> DataFrame:
 
 
 def _chase(rows: DataFrame, ttl_us: int) -> DataFrame:
-    jump = cut_lineage(_pointers(rows, ttl_us))
-    reached = cut_lineage(rows.groupBy("_key").agg(F.min(F.struct("_t", "_id")).alias("f")).select(F.col("f._id").alias("_id")))
+    jump = materialize(_pointers(rows, ttl_us))
+    reached = materialize(rows.groupBy("_key").agg(F.min(F.struct("_t", "_id")).alias("f")).select(F.col("f._id").alias("_id")))
     known = reached.count()
     while True:
         ahead = reached.join(jump, "_id").select(F.col("_next").alias("_id"))
-        reached = cut_lineage(reached.unionByName(ahead).distinct())
+        reached = materialize(reached.unionByName(ahead).distinct())
         now = reached.count()
         if now == known:
             return reached
         known = now
         onward = jump.select(F.col("_id").alias("_next"), F.col("_next").alias("_far"))
-        jump = cut_lineage(jump.join(onward, "_next").select("_id", F.col("_far").alias("_next")))
+        jump = materialize(jump.join(onward, "_next").select("_id", F.col("_far").alias("_next")))
 
 
 def accept_once(df: DataFrame, key: str, ts: str, row_id: str, failed=None, ttl_seconds: int = 86400, fold_rows: int = FOLD_ROWS) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.exprs import c
-from lakeops.session import cut_lineage
+from lakeops.session import materialize
 
 
 def normal_path(path: Column | str) -> Column:
@@ -27,7 +27,7 @@ def downstream(runs: DataFrame, start: Sequence, depth: int = 5, job: str = "job
     """Runs that read, directly or over up to ``depth`` hops, what the start runs wrote.
 
     One hop is a distinct path list, a semi join with the readers and an anti join with
-    what was seen already; each hop is cut from its history, and no path emits pairs.
+    what was seen already; each hop is written out before the next, and no path emits pairs.
     """
     reads = runs.select(job, F.explode(prefixes(normal_path(inputs))).alias("_path"))
     writes = runs.select(job, normal_path(outputs).alias("_path"))
@@ -36,7 +36,7 @@ def downstream(runs: DataFrame, start: Sequence, depth: int = 5, job: str = "job
     for hop in range(1, depth + 1):
         paths = writes.join(frontier, job, "left_semi").select("_path").distinct()
         reached = reads.join(paths, "_path", "left_semi").select(job).distinct()
-        frontier = cut_lineage(reached.join(seen.select(job), job, "left_anti"))
+        frontier = materialize(reached.join(seen.select(job), job, "left_anti"))
         if frontier.isEmpty():
             break
         seen = seen.unionByName(frontier.withColumn("hop", F.lit(hop)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import anomaly, business, fraud, models, search, text, vectors
 from lakeops.plans.fraud import rounded
 from lakeops.registry import query
+from lakeops.session import materialize
 
 
 @query("chunk_documents")
@@ -157,7 +158,7 @@ def document_features(lake):
 
 @query("doc_classifier")
 def doc_classifier(lake):
-    rows = text.document_features(processed_documents(lake), "body")
+    rows = materialize(text.document_features(processed_documents(lake), "body"), "document-features")
     train, test = models.stratified_split(rows, "document_id", "label")
     model = models.train_classifier(train, text.FEATURES, "label")
     scored = model.transform(test)
@@ -166,7 +167,8 @@ def doc_classifier(lake):
 
 @query("fraud_scores")
 def fraud_scores(lake):
-    labelled = fraud.weak_labels(fraud.fraud_features(lake("v_txn")), flip=0.02).fillna(0.0, fraud.FEATURES)
+    features = fraud.fraud_features(lake("v_txn")).fillna(0.0, fraud.FEATURES)
+    labelled = materialize(fraud.weak_labels(features, flip=0.02), "labelled")  # training makes many passes
     model = models.forest(fraud.FEATURES, "is_fraud", trees=20, depth=6).fit(labelled)
     scored = models.positive_probability(model, labelled, fraud.FEATURES)
     return fraud.score_status(scored).select("transaction_id", "account_id", "fraud_score", "fraud_status", "confidence")
@@ -179,7 +181,7 @@ ENGAGEMENT = ["total_watch_time", "avg_completion_rate_user", "genre_diversity",
 def engagement_model(lake):
     from lakeops.plans.business import interactions
 
-    rows = interactions(lake).fillna(0.0, ENGAGEMENT)
+    rows = materialize(interactions(lake).fillna(0.0, ENGAGEMENT), "interactions")
     split = search.split_by_key(rows, "user_id")
     model = models.train_engagement(split.filter("split = 'train'"), ENGAGEMENT, "completion_rate", rounds=10)
     scored = model.transform(split.filter("split = 'validation'"))
