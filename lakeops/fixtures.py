@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeops.session import ship_package
+
 VIEWS: dict[str, str] = {
     "v_txn": """
 SELECT event_id AS transaction_id, user_id AS account_id,
@@ -104,6 +106,7 @@ class Lake:
         self.root = root.rstrip("/")
         if spark.conf.get("spark.sql.session.timeZone") != "UTC":
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}.parquet"

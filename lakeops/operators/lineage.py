@@ -29,7 +29,7 @@ def downstream(runs: DataFrame, start: Sequence, depth: int = 5, job: str = "job
     One hop is a distinct path list, a semi join with the readers and an anti join with
     what was seen already; each hop is written out before the next, and no path emits pairs.
     """
-    reads = runs.select(job, F.explode(prefixes(normal_path(inputs))).alias("_path"))
+    reads = materialize(runs.select(job, F.explode(prefixes(normal_path(inputs))).alias("_path")))
     writes = runs.select(job, normal_path(outputs).alias("_path"))
     frontier = runs.filter(F.col(job).isin(*start)).select(job).distinct()
     seen = frontier.withColumn("hop", F.lit(0))

@@ -7,3 +7,4 @@ import lakeops.plans.business  # noqa: F401
 import lakeops.plans.fleet  # noqa: F401
 import lakeops.plans.text  # noqa: F401
 import lakeops.plans.files  # noqa: F401
+import lakeops.plans.streams  # noqa: F401

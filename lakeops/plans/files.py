@@ -46,7 +46,7 @@ def scan_ndjson(lake):
 def write_partitioned(lake):
     path = fresh_dir(lake.spark, "parts")
     rows = lake("events").select("event_id", "value", F.date_format("ts", "MM").alias("month"), F.date_format("ts", "dd").alias("day"))
-    sinks.write_partitioned(rows, path, ["month", "day"], files_per_key=4, spread_by="event_id")
+    sinks.write_partitioned(rows, path, ["month", "day"])
     return lake.spark.read.schema(rows.schema).parquet(path)
 
 
@@ -77,7 +77,7 @@ def bronze_transactions(lake):
     nested = lake("v_txn").select("transaction_id", "account_id", "amount", "ts", F.struct(F.col("location_country").alias("country")).alias("location"))
     flat = flatten(nested, "_").withColumnRenamed("location_country", "country")
     sinks.land_events(flat, path)
-    return lake.spark.read.schema("transaction_id bigint, account_id bigint, amount double, country string, day string, hour string").json(path)
+    return lake.spark.read.schema("transaction_id bigint, account_id bigint, amount double, country string, day string, hour string").json(path).drop("year", "month")
 
 
 @query("archive_jsonl", LANDED.format(""))
@@ -95,7 +95,7 @@ def archive_sms(lake):
         F.when(F.col("event_type") == "_SMS.RECEIVED", F.col("message_body")).alias("response_text"), F.col("event_timestamp").alias("ts"),
     )
     sinks.archive_jsonl(rows, path)
-    return lake.spark.read.schema("message_id bigint, event_type string, campaign_id string, country_code string, message_type string, price_millicents double, response_text string").json(path)
+    return lake.spark.read.schema("message_id bigint, event_type string, campaign_id string, country_code string, message_type string, price_millicents double, response_text string").json(path).drop("year", "month", "day")
 
 
 @query("alerts_shape", """WITH s AS (SELECT transaction_id, account_id, amount, CAST((transaction_id * 7919) % 1001 AS DOUBLE) / CAST(1000 AS DOUBLE) AS fraud_score FROM v_txn)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -35,3 +37,14 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, whatever folder the driver runs in."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lakeops_shipped", False):
+        return
+    package = pathlib.Path(__file__).parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="lakeops-code-")) / "lakeops"
+    sc.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+    sc._lakeops_shipped = True

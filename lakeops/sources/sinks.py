@@ -15,17 +15,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     df.write.mode(mode).option("compression", codec).partitionBy(*partition_by).parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet", codec: str = "snappy", files_per_key: int = 1, spread_by: str | None = None) -> None:
-    """Overwrite only the partitions present in ``df``.
+def gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows brought together by output partition before a write.
 
-    Rows are gathered by partition key, so a task writes few files. ``files_per_key`` with
-    ``spread_by`` deals a partition out over several tasks when one day holds a large
-    share of the rows.
+    A rebalance, not a plain repartition: adaptive execution merges small partitions, so
+    few files are written, and splits a partition that holds a large share of the rows.
     """
+    return df.hint("rebalance", *keys)
+
+
+def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet", codec: str = "snappy") -> None:
+    """Overwrite only the partitions present in ``df``."""
     check_codec(fmt, codec)
-    spread = [F.pmod(F.xxhash64(spread_by), F.lit(files_per_key))] if spread_by and files_per_key > 1 else []
-    gathered = df.repartition(*[F.col(k) for k in keys], *spread)
-    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec).partitionBy(*keys).format(fmt).save(path)
+    writer = gathered(df, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("compression", codec).partitionBy(*keys).format(fmt).save(path)
 
 
 def write_format(df: DataFrame, fmt: str, path: str, codec: str = "none") -> None:
@@ -41,12 +44,12 @@ def write_format(df: DataFrame, fmt: str, path: str, codec: str = "none") -> Non
 def land_events(df: DataFrame, path: str, ts: str = "ts", hour: bool = True) -> None:
     """JSON lines under year/month/day[/hour] folders of each row's own time."""
     parts = time_partition(ts, hour)
-    df.withColumns(parts).write.mode("append").partitionBy(*parts).json(path)
+    gathered(df.withColumns(parts), list(parts)).write.mode("append").partitionBy(*parts).json(path)
 
 
 def archive_jsonl(df: DataFrame, path: str, ts: str = "ts") -> None:
     parts = time_partition(ts, hour=False)
-    df.withColumns(parts).write.mode("append").option("compression", "gzip").partitionBy(*parts).json(path)
+    gathered(df.withColumns(parts), list(parts)).write.mode("append").option("compression", "gzip").partitionBy(*parts).json(path)
 
 
 def write_keyed(df: DataFrame, put: Callable[[Iterator[Row]], None]) -> None:
