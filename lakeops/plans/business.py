@@ -251,7 +251,14 @@ def validate_gps(lake):
     return quality.with_errors(lake("v_gps"), quality.gps_rules()).select("seq", F.array_join("errors", "; ").alias("errors"))
 
 
-@query("idempotent_dedup")
+ACCEPT_SQL = """WITH RECURSIVE o AS (SELECT *, starts_with(source_account, '0000') AS failed, row_number() OVER (PARTITION BY idempotency_key ORDER BY ts, transaction_id) AS rn FROM v_bank_txn),
+walk AS (SELECT idempotency_key, rn, transaction_id, TRUE AS accepted, ts AS last_ts, failed AS free FROM o WHERE rn = 1
+ UNION ALL SELECT o.idempotency_key, o.rn, o.transaction_id, free OR o.ts > last_ts + INTERVAL 24 HOURS, CASE WHEN free OR o.ts > last_ts + INTERVAL 24 HOURS THEN o.ts ELSE last_ts END,
+ CASE WHEN free OR o.ts > last_ts + INTERVAL 24 HOURS THEN o.failed ELSE free END FROM walk JOIN o ON o.idempotency_key = walk.idempotency_key AND o.rn = walk.rn + 1)
+SELECT transaction_id, idempotency_key, accepted FROM walk"""
+
+
+@query("idempotent_dedup", ACCEPT_SQL)
 def idempotent_dedup(lake):
     rows = lake("v_bank_txn").select("transaction_id", "idempotency_key", "source_account", "ts")
     out = idempotency.accept_once(rows, "idempotency_key", "ts", "transaction_id", failed=F.col("source_account").startswith("0000"))

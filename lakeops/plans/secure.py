@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from lakeops.functions import fixed
 from lakeops.functions.exprs import mask_all_but
-from lakeops.operators import anomaly, binning, privacy, ranks
+from lakeops.operators import anomaly, binning, privacy, ranks, secure_etl
 from lakeops.plans.fraud import MONEY, SECONDS, rounded
 from lakeops.registry import query
+from lakeops.session import fresh_dir
 
 SECRET = "lakeops-demo-secret"
 CARD = "concat(lpad(CAST(c_custkey % 10000 AS VARCHAR(8)), 4, '4'), '-', lpad(CAST(c_custkey % 7919 AS VARCHAR(8)), 4, '5'), '-1234-', lpad(CAST(c_nationkey AS VARCHAR(8)), 4, '0'))"
@@ -269,3 +270,32 @@ def row_anomaly(lake):
 @query("isolation_scores")
 def isolation_scores(lake):
     return anomaly.isolation_forest(row_inputs(lake), "event_id", ROW_FEATURES)
+
+
+TXN_MCC = "CASE transaction_id % 9 WHEN 0 THEN '5411' WHEN 1 THEN '7995' WHEN 2 THEN '6011' WHEN 3 THEN '5812' WHEN 4 THEN '9999' WHEN 5 THEN NULL WHEN 6 THEN '4511' ELSE '5999' END"
+
+
+@query(
+    "secure_ml_table",
+    f"""WITH {SEQUENCE_SQL}, e AS (SELECT [{', '.join(f'quantile_cont(abs(amount), {p / 100})' for p in fixed.AMOUNT_PERCENTILES[1:-1])}] AS edges FROM v_txn),
+f AS (SELECT *, CAST(hour(ts) AS DOUBLE) AS h, {_pads_sql("CAST(account_id AS VARCHAR)")} AS tok, {TXN_MCC} AS mcc FROM seqf),
+v AS (SELECT *, [abs(amount), h, time_since_last_txn, CAST(transaction_sequence AS DOUBLE)] AS x FROM f),
+m AS (SELECT *, list_sum(x) / 4.0 AS mu FROM v),
+d AS (SELECT *, sqrt(list_sum(list_transform(x, lambda y: (y - mu) * (y - mu))) / 4.0) + 1e-10 AS sd FROM m),
+s AS (SELECT *, round(-list_max(list_transform(x, lambda y: abs(y - mu) / sd)), 9) AS score FROM d),
+q AS (SELECT quantile_cont(score, 0.01) AS lim FROM s)
+SELECT transaction_id, left(tok, 16) AS account_id, list_sum(list_transform(edges, lambda y: CASE WHEN abs(amount) >= y THEN 1 ELSE 0 END))::INTEGER AS amount_bin_encoded,
+ CASE mcc WHEN '5411' THEN 0 WHEN '7995' THEN 3 WHEN '5812' THEN 1 WHEN '4511' THEN 1 WHEN '5999' THEN 1 ELSE 2 END AS merchant_risk_encoded,
+ CAST(h AS INTEGER) AS hour_of_day, transaction_sequence, round(CASE WHEN mean > 0 THEN (amount - mean) / mean ELSE 0.0 END, 6) + 0.0 AS amount_deviation,
+ round(score, 6) AS anomaly_score, score <= lim AS is_anomaly, CAST(ts AS DATE) AS date FROM s, e, q""",
+)
+def secure_ml_table(lake):
+    txns = lake("v_txn").withColumn("mcc", F.expr(TXN_MCC))
+    table = secure_etl.secure_ml_table(txns, SECRET, {"account_id": {"method": "deterministic"}}, binning.merchant_categories(lake.spark))
+    path = fresh_dir(lake.spark, "secure-table")
+    secure_etl.write_with_lineage(table, [lake.path("events")], path, "secure_etl", "2024-02-01")
+    out = lake.spark.read.schema(table.schema).parquet(path).select(
+        "transaction_id", "account_id", "amount_bin_encoded", "merchant_risk_encoded", "hour_of_day", "transaction_sequence",
+        "amount_deviation", "anomaly_score", "is_anomaly", "date",
+    )
+    return rounded(out, ["amount_deviation", "anomaly_score"])

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.functions.exprs import haversine, ntz
-from lakeops.operators import business, spatial
-from lakeops.plans.business import AUDIT_SQL, DETAIL, ROUTE_SQL, SMS_ROUNDED, SOURCE
+from lakeops.operators import business
+from lakeops.plans.business import ACCEPT_SQL, AUDIT_SQL, DETAIL, ROUTE_SQL, SMS_ROUNDED, SOURCE
 from lakeops.plans.fleet import ALERTS_SQL, SEGMENT_SQL, TRIP_COLS, fences, neat_trips
 from lakeops.plans.fraud import SCORE, SCORED_CTE, STATUS_SQL, feature_oracle, rounded
 from lakeops.registry import query
@@ -96,7 +96,7 @@ def stream_sms_campaigns(lake):
     return rounded(current, SMS_ROUNDED)
 
 
-@query("stream_dedup")
+@query("stream_dedup", ACCEPT_SQL)
 def stream_dedup(lake):
     rows = lake("v_bank_txn").select("transaction_id", "idempotency_key", "source_account", "ts")
     failed = F.col("source_account").startswith("0000")
@@ -131,15 +131,15 @@ def stream_archive(lake):
 
 @query("stream_audit", AUDIT_SQL)
 def stream_audit(lake):
-    message = F.to_json(F.struct("tenant_id", "user_id", "ts", "event_name", "error_code", "login_result"))
+    message = F.to_json(F.struct("tenant_id", "user_id", F.col("ts").cast("string").alias("ts"), "event_name", "error_code", "login_result"))
     item = F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_id").alias("timestamp"), message.alias("message"))
     body = F.to_json(F.struct(F.lit("DATA_MESSAGE").alias("messageType"), F.lit("audit").alias("logGroup"), F.array(item).alias("logEvents")))
     rows = lake("v_audit").select("ts", body.alias("value"))
-    schema = "tenant_id bigint, user_id bigint, ts timestamp_ntz, event_name string, error_code string, login_result string"
+    schema = "tenant_id bigint, user_id bigint, ts string, event_name string, error_code string, login_result string"
 
     def classify(stream):
         events = scan.explode_log_envelope(stream, "value", schema)
-        return business.classify_audit(events.withColumn("event_id", F.col("timestamp")))
+        return business.classify_audit(events.withColumns({"event_id": F.col("timestamp"), "ts": F.col("ts").cast("timestamp_ntz")}))
 
     out = replayed(lake, slices(rows), classify, "audit")
     return out.select("event_id", "tenant_id", "user_id", "ts", "audit_kind", "result", "detail")
@@ -159,7 +159,3 @@ def incremental_etl(lake):
     rows = lake("events").select("event_id", "value", "ts")
     out = replayed(lake, slices(rows), lambda s: s.select("event_id", F.date_format("ts", "dd").alias("day")), "etl")
     return out.groupBy("day").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"))
-
-
-def batch_twin(lake):
-    return spatial.geofence_alerts(lake("v_gps"), fences(lake))

@@ -4,13 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeops.functions import fixed
 from lakeops.operators import anomaly, business, fraud, models, search, text, vectors
 from lakeops.plans.fraud import rounded
 from lakeops.registry import query
 from lakeops.session import materialize
 
 
-@query("chunk_documents")
+def _last_mark(mark: str) -> str:
+    """0-based place of the last ``mark`` in the final fifth, counted from its start; -1 if none."""
+    back = "concat(" + ", ".join(f"chr({ord(ch)})" for ch in reversed(mark)) + ")"
+    return f"CASE WHEN strpos(reverse(tail), {back}) > 0 THEN length(tail) - strpos(reverse(tail), {back}) - 1 ELSE -1 END"
+
+
+CHUNK_SQL = f"""WITH RECURSIVE step AS (
+ SELECT doc_id, text, length(text) AS n, 0 AS start, 0 AS stop, FALSE AS first_done FROM documents
+ UNION ALL
+ SELECT doc_id, text, n, nxt AS start, CASE WHEN nxt + 1000 >= n THEN n {' '.join(f"WHEN {_last_mark(m)} > 0 THEN nxt + 800 + {_last_mark(m)} + 2" for m in fixed.SENTENCE_ENDS)} ELSE nxt + 1000 END AS stop, TRUE
+ FROM (SELECT *, text[nxt + 801:nxt + 1000] AS tail FROM (SELECT *, CASE WHEN first_done THEN CASE WHEN stop = n THEN start + 800 ELSE stop - 200 END ELSE 0 END AS nxt FROM step)
+  WHERE (NOT first_done AND n > 0) OR (first_done AND nxt < n - 200))),
+c AS (SELECT doc_id, start, stop, regexp_replace(text[start + 1:stop], '^\\s+|\\s+$', '', 'g') AS content FROM step WHERE first_done),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY start) - 1 AS i FROM c WHERE content <> '')
+SELECT concat(doc_id, '_', lpad(CAST(i AS VARCHAR), 4, '0')) AS chunk_id, CAST(doc_id AS VARCHAR) AS document_id, CAST(i AS INTEGER) AS chunk_index, CAST(start AS INTEGER) AS start_offset, CAST(stop AS INTEGER) AS end_offset, content FROM k"""
+
+
+@query("chunk_documents", CHUNK_SQL)
 def chunk_documents(lake):
     return text.chunk_documents(lake("documents"), "doc_id", "text")
 

@@ -50,10 +50,10 @@ def geofence_transitions(stream: DataFrame, fences: DataFrame) -> DataFrame:
 
 def trip_windows(stream: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """Trip statistics per truck and time window, given out when the window is complete."""
-    marked = stream.withColumn("_at", F.unix_micros(F.col("ts").cast("timestamp")))
-    carry = {"latitude": "_lat", "longitude": "_lon", "_at": "_before"}
+    marked = stream.withColumn("at_micros", F.unix_micros(F.col("ts").cast("timestamp")))
+    carry = {"latitude": "_lat", "longitude": "_lon", "at_micros": "before_micros"}
     paired = state.previous_in_stream(marked, "truck_id", "ts", "seq", carry).filter(~F.col("late"))
-    segments = spatial.segments_of(paired.withColumn("_ts", F.timestamp_micros("_before")))
+    segments = spatial.segments_of(paired.withColumn("_ts", F.timestamp_micros("before_micros")))
     timed = segments.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     return spatial.trip_aggregate(timed, ["truck_id", F.window("ts", window).alias("w")])
 

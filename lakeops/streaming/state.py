@@ -20,6 +20,9 @@ from lakeops.functions.exprs import epoch_seconds
 DAY = 86400
 
 
+# names without a leading underscore: the pandas bridge of stateful operators renames those
+
+
 def _ordered(rows: Iterator[pd.DataFrame], *by: str) -> pd.DataFrame:
     return pd.concat(list(rows), ignore_index=True).sort_values(list(by), kind="stable", ignore_index=True)
 
@@ -38,11 +41,11 @@ class _Previous(StatefulProcessor):
         self.last = handle.getValueState("last", f"us bigint, tie bigint, {self.types}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _ordered(rows, "_us", "_tie")
+        df = _ordered(rows, "at_us", "tie_id")
         held = self.last.get() if self.last.exists() else None
         late = np.zeros(len(df), dtype=bool)
         if held is not None:
-            late = ((df["_us"] < held[0]) | ((df["_us"] == held[0]) & (df["_tie"] <= held[1]))).to_numpy()
+            late = ((df["at_us"] < held[0]) | ((df["at_us"] == held[0]) & (df["tie_id"] <= held[1]))).to_numpy()
         fresh = df[~late]
         out = df.assign(late=late)
         for i, (old, new) in enumerate(self.carry.items()):
@@ -53,8 +56,8 @@ class _Previous(StatefulProcessor):
             out[new] = out[new].where(out[new].notna(), None)
         if len(fresh):
             end = fresh.iloc[-1]
-            self.last.update((int(end["_us"]), int(end["_tie"]), *[_plain(end[c]) for c in self.carry]))
-        yield out.drop(columns=["_us", "_tie"])
+            self.last.update((int(end["at_us"]), int(end["tie_id"]), *[_plain(end[c]) for c in self.carry]))
+        yield out.drop(columns=["at_us", "tie_id"])
 
     def close(self) -> None:
         pass
@@ -72,7 +75,7 @@ def previous_in_stream(stream: DataFrame, key: str, ts: str, tie: str, carry: di
     """Stream form of the previous-row operator; ``carry`` maps bigint, double or array<bigint> columns."""
     types = dict(stream.dtypes)
     held = ", ".join(f"{new} {types[old]}" for old, new in carry.items())
-    rows = stream.withColumns({"_us": F.unix_micros(F.col(ts).cast("timestamp")), "_tie": F.col(tie).cast("bigint")})
+    rows = stream.withColumns({"at_us": F.unix_micros(F.col(ts).cast("timestamp")), "tie_id": F.col(tie).cast("bigint")})
     schema = f"{_fields(stream)}, late boolean, {held}"
     return rows.groupBy(key).transformWithStateInPandas(_Previous(carry, held), schema, "append", "none")
 
@@ -88,10 +91,10 @@ class _AcceptOnce(StatefulProcessor):
         self.last = handle.getValueState("last", "us bigint, free boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _ordered(rows, "_us", "_tie")
+        df = _ordered(rows, "at_us", "tie_id")
         last, free = self.last.get() if self.last.exists() else (None, True)
         taken = []
-        for us, failed in zip(df["_us"], df["_failed"], strict=True):
+        for us, failed in zip(df["at_us"], df["is_failed"], strict=True):
             take = bool(free or us - last > self.ttl_us)
             if take:
                 last, free = int(us), bool(failed)
@@ -99,7 +102,7 @@ class _AcceptOnce(StatefulProcessor):
         if last is not None:
             self.last.update((last, free))
             self.handle.registerTimer(last // 1000 + self.ttl_us // 1000 + 1)
-        yield df.assign(accepted=taken).drop(columns=["_us", "_tie", "_failed"])
+        yield df.assign(accepted=taken).drop(columns=["at_us", "tie_id", "is_failed"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.last.exists():
@@ -116,7 +119,7 @@ def accept_once_in_stream(stream: DataFrame, key: str, ts: str, row_id: str, fai
     """Stream form of the idempotency rule, exact also across restarts."""
     schema = f"{_fields(stream)}, accepted boolean"
     rows = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).withColumns(
-        {"_us": F.unix_micros(ts), "_tie": F.col(row_id).cast("bigint"), "_failed": F.coalesce(failed, F.lit(False))}
+        {"at_us": F.unix_micros(ts), "tie_id": F.col(row_id).cast("bigint"), "is_failed": F.coalesce(failed, F.lit(False))}
     )
     schema = schema.replace(f"`{ts}` timestamp_ntz", f"`{ts}` timestamp")
     return rows.groupBy(key).transformWithStateInPandas(_AcceptOnce(ttl_seconds * 1_000_000), schema, "append", "eventTime")
@@ -131,7 +134,7 @@ class _Velocity(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _ordered(rows, "_us", "transaction_id")
+        df = _ordered(rows, "at_us", "transaction_id")
         sec, n, total, squares = np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0), np.empty(0)
         us = lat = lon = None
         merchants, devices = set(), set()
@@ -140,16 +143,16 @@ class _Velocity(StatefulProcessor):
             sec, n = np.frombuffer(held[0], "int64"), np.frombuffer(held[1], "int64")
             total, squares = np.frombuffer(held[2]), np.frombuffer(held[3])
             us, lat, lon, merchants, devices = held[4], held[5], held[6], set(held[7]), set(held[8])
-        late = (df["_us"] < us).to_numpy() if us is not None else np.zeros(len(df), dtype=bool)
+        late = (df["at_us"] < us).to_numpy() if us is not None else np.zeros(len(df), dtype=bool)
         ok = df[~late]
 
         amount = ok["amount"].to_numpy(dtype="float64")
         cents = np.rint(amount * 10_000)
-        per_second = pd.DataFrame({"s": ok["_s"], "n": 1, "t": cents, "q": amount * amount}).groupby("s").sum()
+        per_second = pd.DataFrame({"s": ok["at_second"], "n": 1, "t": cents, "q": amount * amount}).groupby("s").sum()
         joined = pd.concat([pd.DataFrame({"n": n, "t": total, "q": squares}, index=sec), per_second]).groupby(level=0).sum().sort_index()
         at = joined.index.to_numpy()
         sums = {c: np.concatenate([[0.0], np.cumsum(joined[c].to_numpy(dtype="float64"))]) for c in "ntq"}
-        now = ok["_s"].to_numpy()
+        now = ok["at_second"].to_numpy()
 
         def window(column: str, back: int, skip: int) -> np.ndarray:
             return sums[column][np.searchsorted(at, now - skip, "right")] - sums[column][np.searchsorted(at, now - back, "left")]
@@ -166,17 +169,17 @@ class _Velocity(StatefulProcessor):
             "avg_amount_30d": mean, "std_amount_30d": std,
             "prev_lat": np.concatenate([[np.nan if lat is None else lat], ok["location_lat"].to_numpy(dtype="float64")])[:-1],
             "prev_lon": np.concatenate([[np.nan if lon is None else lon], ok["location_lon"].to_numpy(dtype="float64")])[:-1],
-            "prev_us": np.concatenate([[np.nan if us is None else us], ok["_us"].to_numpy(dtype="float64")])[:-1],
+            "prev_us": np.concatenate([[np.nan if us is None else us], ok["at_us"].to_numpy(dtype="float64")])[:-1],
             "is_new_merchant": _first_time(ok["merchant_id"], merchants), "is_new_device": _first_time(ok["device_id"], devices),
         }
         for name, values in new.items():
             out[name] = pd.Series(values, index=ok.index).reindex(df.index)
         if len(ok):
             end = ok.iloc[-1]
-            keep = at >= end["_s"] - 30 * DAY
+            keep = at >= end["at_second"] - 30 * DAY
             self.state.update((
                 at[keep].astype("int64").tobytes(), joined["n"].to_numpy("int64")[keep].tobytes(), joined["t"].to_numpy("float64")[keep].tobytes(),
-                joined["q"].to_numpy("float64")[keep].tobytes(), int(end["_us"]), float(end["location_lat"]), float(end["location_lon"]),
+                joined["q"].to_numpy("float64")[keep].tobytes(), int(end["at_us"]), float(end["location_lat"]), float(end["location_lon"]),
                 sorted(merchants), sorted(devices),
             ))
         yield out
@@ -205,6 +208,6 @@ def velocity_in_stream(stream: DataFrame) -> DataFrame:
     """Account history features of each transaction as it arrives."""
     rows = stream.select(
         "account_id", "transaction_id", "amount", "merchant_id", "device_id", "location_lat", "location_lon",
-        epoch_seconds("ts").alias("_s"), F.unix_micros(F.col("ts").cast("timestamp")).alias("_us"),
+        epoch_seconds("ts").alias("at_second"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"),
     )
     return rows.groupBy("account_id").transformWithStateInPandas(_Velocity(), VELOCITY_SCHEMA, "append", "none")
