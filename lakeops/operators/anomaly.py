@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.exprs import epoch_seconds, hash_fraction
 from lakeops.operators import ranks
 from lakeops.operators import timeline as tl
+from lakeops.session import materialize
 
 
 def with_row_deviation(df: DataFrame, features: Sequence[str], out: str) -> DataFrame:
@@ -38,17 +39,26 @@ def row_anomaly(df: DataFrame, features: Sequence[str], contamination: float = 0
     if len(features) < 2:
         return df.withColumns({"anomaly_score": F.lit(0.0), "is_anomaly": F.lit(False), "anomaly_percentile": F.lit(0.0)})
     scored = with_row_deviation(df, features, "anomaly_score").withColumn("anomaly_score", F.round("anomaly_score", 9))
-    (limit,) = ranks.percentile_values(scored, "anomaly_score", [contamination])
-    ranked = ranks.percent_rank(scored, "anomaly_score", "anomaly_percentile")
-    return ranked.withColumns(
+    # one narrow table of distinct scores serves both the threshold and the percentiles
+    ranked = materialize(ranks.ranked_values(scored, [], "anomaly_score"), "score-ranks")
+    (limit,) = ranks.percentile_values(scored, "anomaly_score", [contamination], ranked)
+    placed = ranks.percent_rank(scored, "anomaly_score", "anomaly_percentile", ranked)
+    return placed.withColumns(
         {"anomaly_percentile": F.col("anomaly_percentile") * 100, "is_anomaly": F.col("anomaly_score") <= F.lit(limit)}
     )
 
 
 def sequence_features(df: DataFrame, key: Sequence[str], order: Sequence[str], amount: str, history: int = 100, floor: int = tl.HOT_ROWS) -> DataFrame:
     """Hours since the previous row, row number, deviation from the mean of the last ``history`` rows."""
-    with_mean = tl.mean_of_previous(df, key, order, amount, history, "_mean", "transaction_sequence", floor)
-    moved = tl.previous_row(with_mean, key, order, {order[0]: "_prev_ts"}, floor)
+    carry = {order[0]: "_prev_ts"}
+
+    def plain(d: DataFrame) -> DataFrame:
+        return tl.previous_plain(tl.numbered_mean_plain(d, key, order, amount, history, "_mean", "transaction_sequence"), key, order, carry)
+
+    def sliced(d: DataFrame) -> DataFrame:
+        return tl.previous_sliced(tl.numbered_mean_sliced(d, key, order, amount, history, "_mean", "transaction_sequence"), key, order, carry)
+
+    moved = tl.by_heat(df, key, plain, sliced, floor)
     gap = (epoch_seconds(order[0]) - epoch_seconds("_prev_ts")) / F.lit(3600.0)
     deviation = F.when(F.col("_mean") > 0, (F.col(amount) - F.col("_mean")) / F.col("_mean")).otherwise(F.lit(0.0))
     return moved.withColumns(

@@ -56,14 +56,16 @@ def percentile_bins(
     labels: Sequence[str] | None = fixed.AMOUNT_LABELS,
     negatives: str = "absolute",
     pad_edges: bool = False,
+    edges_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Bins between exact percentiles of the column.
+    """Bins between exact percentiles of the column, taken from ``edges_from`` when given.
 
     The outer edges are replaced by infinity, so eight labels name eight bins;
     ``pad_edges`` puts infinity outside them instead (two more bins).
     """
     ready = handle_negatives(df, column, negatives)
-    edges = [e for e in percentile_values(ready, column, [p / 100 for p in percentiles]) if e is not None]
+    source = ready if edges_from is None else handle_negatives(edges_from, column, negatives)
+    edges = [e for e in percentile_values(source.select(column), column, [p / 100 for p in percentiles]) if e is not None]
     if len(set(edges)) < 2:
         edges = [-math.inf, 0.0, 100.0, 1000.0, math.inf]
     return apply_edges(ready, column, _with_infinite_ends(edges, pad_edges), labels)

@@ -57,14 +57,13 @@ def categorical_encoding(df: DataFrame) -> DataFrame:
 def _window_columns(prefix: str, label: str) -> dict[str, Column]:
     return {
         f"tx_count_{label}": F.col(f"{prefix}_n").cast("bigint"),
-        f"tx_amount_{label}": F.col(f"{prefix}_sum").cast("double"),
+        f"tx_amount_{label}": F.col(f"{prefix}_sum"),
     }
 
 
 def _thirty_day_columns() -> dict[str, Column]:
-    n, total, squares = (F.col(f"w30d_{m}") for m in ("n", "sum", "sq"))
-    mean = ratio(total, n)
-    std = F.coalesce(tl.sample_std(n, total, squares), F.lit(1.0))
+    mean = ratio(F.col("w30d_sum"), F.col("w30d_n"))
+    std = F.coalesce("w30d_std", F.lit(1.0))
     return {
         "avg_amount_30d": mean,
         "std_amount_30d": std,

@@ -57,17 +57,20 @@ def with_rows_below(counts: DataFrame, keys: Sequence[str], value: str, n: str,
     return joined.withColumn("_below", below).drop("_offset", "_range")
 
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, points: dict[str, float], ranges: int = RANGES) -> DataFrame:
-    """Interpolated percentiles per key; ``points`` maps column name -> fraction."""
-    ranked = with_rows_below(value_counts(df, keys, value), keys, value, "_n", ranges)
+def ranked_values(df: DataFrame, keys: Sequence[str], value: str, ranges: int = RANGES) -> DataFrame:
+    """Distinct values per key with ``_n``, ``_below`` and ``_total``."""
+    return with_rows_below(value_counts(df, keys, value), keys, value, "_n", ranges)
+
+
+def percentiles_of(ranked: DataFrame, keys: Sequence[str], value: str, points: dict[str, float]) -> DataFrame:
+    """Interpolated percentiles from ranked values; ``points`` maps column name -> fraction."""
     aggs = []
     for name, p in points.items():
         pos = F.lit(float(p)) * (F.col("_total") - 1)
         for side, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
             holds = (F.col("_below") <= at) & (at < F.col("_below") + F.col("_n"))
             aggs.append(F.max(F.when(holds, F.col(value).cast("double"))).alias(f"_{side}_{name}"))
-    aggs.append(F.max("_total").alias("_total"))
-    found = ranked.groupBy(*keys).agg(*aggs)
+    found = ranked.groupBy(*keys).agg(*aggs, F.max("_total").alias("_total"))
     cols = []
     for name, p in points.items():
         pos = F.lit(float(p)) * (F.col("_total") - 1)
@@ -76,18 +79,22 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, points: di
     return found.select(*keys, *cols)
 
 
-def percentile_values(df: DataFrame, value: str, fractions: Sequence[float]) -> list[float]:
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, points: dict[str, float], ranges: int = RANGES) -> DataFrame:
+    return percentiles_of(ranked_values(df, keys, value, ranges), keys, value, points)
+
+
+def percentile_values(df: DataFrame, value: str, fractions: Sequence[float], ranked: DataFrame | None = None) -> list[float]:
     """Percentiles of a whole column as plain numbers, one per fraction."""
     names = {f"p{i}": p for i, p in enumerate(fractions)}
-    row = exact_percentiles(df, [], value, names).first()
+    row = percentiles_of(ranked_values(df, [], value) if ranked is None else ranked, [], value, names).first()
     return [row[n] for n in names]
 
 
-def percent_rank(df: DataFrame, value: str, out: str) -> DataFrame:
+def percent_rank(df: DataFrame, value: str, out: str, ranked: DataFrame | None = None) -> DataFrame:
     """(rank - 1) / (rows - 1) over the whole table; nulls rank first, like ``percent_rank``."""
     nulls = df.agg(F.count_if(F.col(value).isNull()).alias("_nulls"))
-    ranked = with_rows_below(value_counts(df, [], value), [], value, "_n").select(value, "_below", "_total")
-    joined = df.join(ranked, value, "left").withColumn("_missing", nulls.scalar())
+    known = (ranked_values(df, [], value) if ranked is None else ranked).select(value, "_below", "_total")
+    joined = df.join(known, value, "left").withColumn("_missing", nulls.scalar())
     rows = F.col("_missing") + F.coalesce(F.col("_total"), F.lit(0))
     rank = F.when(F.col(value).isNull(), 0).otherwise(F.col("_below") + F.col("_missing"))
     return joined.withColumn(out, F.when(rows > 1, rank / (rows - 1)).otherwise(F.lit(0.0))).drop("_below", "_total", "_missing")

@@ -130,10 +130,12 @@ class Trailing:
     """Count, sum and sum of squares over [t - back, t - skip] seconds, per key.
 
     A row enters each window once and leaves it once, so the frame is a running sum over
-    entries and exits: linear in the rows however wide the window. Sums are decimals and
-    leave nothing behind when a value is taken out again.
+    entries and exits: linear in the rows however wide the window. Sums are kept in whole
+    ten-thousandths (squares as decimals), so taking a value out leaves nothing behind.
     """
 
+    UNIT = 10_000
+
     def __init__(self, key: Sequence[str], ts: str, value: str, windows: dict[str, tuple[int, int]]):
         self.key, self.ts, self.value, self.windows = list(key), ts, value, windows
 
@@ -146,9 +148,17 @@ class Trailing:
             )
             cols[f"{name}_n"] = F.sum(sign * F.col("_n")).over(order)
             cols[f"{name}_sum"] = F.sum(sign * F.col("_v")).over(order)
-            cols[f"{name}_sq"] = F.sum(sign * F.col("_vv")).over(order)
-        measured = events.withColumns(cols)
-        return measured.filter("_own").drop("_own", "_at", "_win", "_sign", "_n", "_v", "_vv")
+            cols[f"{name}_sq"] = F.sum(F.when(sign > 0, F.col("_vv")).when(sign < 0, -F.col("_vv"))).over(order)
+        measured = events.withColumns(cols).filter("_own").drop("_own", "_at", "_win", "_sign", "_n", "_v", "_vv")
+        amounts = {f"{w}_sum": F.col(f"{w}_sum") / float(self.UNIT) for w in self.windows}
+        return measured.withColumns(amounts | {f"{w}_std": self._sample_std(w) for w in self.windows})
+
+    def _sample_std(self, window: str) -> Column:
+        """Sample deviation; null below two values. Zero spread is found exactly, on whole numbers."""
+        n, total = F.col(f"{window}_n"), F.col(f"{window}_sum").cast("decimal(19,0)")
+        spread = n.cast("decimal(10,0)") * F.col(f"{window}_sq").cast("decimal(28,0)") - total * total
+        pairs = n.cast("double") * (n - 1).cast("double")
+        return F.when(n > 1, F.sqrt(F.greatest(spread.cast("double"), F.lit(0.0)) / pairs) / float(self.UNIT))
 
     def _events(self, rows: DataFrame, payload: Sequence[str]) -> DataFrame:
         def event(at: Column, own: bool, win: str, sign: int) -> Column:
@@ -170,32 +180,32 @@ class Trailing:
         )
 
     def plain(self, df: DataFrame) -> DataFrame:
-        v = exact(self.value)
+        v = self._units()
         rows = df.repartition(*self.key).withColumns(
-            {"_s": epoch_seconds(self.ts), "_v": v, "_vv": v * v, "_n": F.when(v.isNotNull(), 1).otherwise(0)}
+            {"_s": epoch_seconds(self.ts), "_v": F.coalesce(v, F.lit(0)), "_vv": self._square(v), "_n": F.when(v.isNotNull(), 1).otherwise(0)}
         )
         return self._measure(self._events(rows, df.columns))
 
+    def _units(self) -> Column:
+        return F.round(F.col(self.value) * self.UNIT, 0).cast("bigint")
+
+    @staticmethod
+    def _square(v: Column) -> Column:
+        d = v.cast("decimal(15,0)")
+        return F.coalesce(d * d, F.lit(0).cast("decimal(31,0)"))
+
     def sliced(self, df: DataFrame) -> DataFrame:
         """One row per second stands for all its peers; results go back by (key, second)."""
-        v = exact(self.value)
+        v = self._units()
         base = df.withColumn("_s", epoch_seconds(self.ts))
         seconds = base.groupBy(*self.key, "_s").agg(
-            F.count(self.value).alias("_n"),
-            F.coalesce(F.sum(v), F.lit(0)).alias("_v"),
-            F.coalesce(F.sum(v * v), F.lit(0)).alias("_vv"),
+            F.count(self.value).alias("_n"), F.coalesce(F.sum(v), F.lit(0)).alias("_v"), F.sum(self._square(v)).alias("_vv")
         )
         measured = self._measure(self._events(seconds, [*self.key, "_s"]))
         return join_null_safe(base, measured, [*self.key, "_s"]).drop("_s")
 
     def columns(self) -> list[str]:
-        return [f"{w}_{m}" for w in self.windows for m in ("n", "sum", "sq")]
-
-
-def sample_std(n: Column, total: Column, squares: Column) -> Column:
-    """Sample deviation from a count, a sum and a sum of squares; null below two values."""
-    spread = n * squares - total * total
-    return F.when(n > 1, F.sqrt(F.greatest(spread.cast("double"), F.lit(0.0)) / (n.cast("double") * (n - 1).cast("double"))))
+        return [f"{w}_{m}" for w in self.windows for m in ("n", "sum", "sq", "std")]
 
 
 # --- first occurrence -------------------------------------------------------------
@@ -225,32 +235,31 @@ def first_seen_sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], v
 
 
 # --- trailing row counts ----------------------------------------------------------
+# 1-based sequence ``number`` per key, and mean of the ``rows`` rows before this one in ``out``
 
 
-def mean_of_previous(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, rows: int, out: str, number: str, floor: int = HOT_ROWS) -> DataFrame:
-    """1-based sequence ``number`` per key and mean of the ``rows`` rows before this one."""
-
-    def plain(d: DataFrame) -> DataFrame:
-        w = Window.partitionBy(*key).orderBy(*order)
-        frame = w.rowsBetween(-rows, -1)
-        return d.withColumns(
-            {
-                number: F.row_number().over(w).cast("bigint"),
-                out: F.sum(exact(value)).over(frame).cast("double") / F.count(value).over(frame),
-            }
-        )
+def numbered_mean_plain(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, rows: int, out: str, number: str) -> DataFrame:
+    w = Window.partitionBy(*key).orderBy(*order)
+    frame = w.rowsBetween(-rows, -1)
+    return df.withColumns(
+        {
+            number: F.row_number().over(w).cast("bigint"),
+            out: F.sum(exact(value)).over(frame).cast("double") / F.count(value).over(frame),
+        }
+    )
 
-    def sliced(d: DataFrame) -> DataFrame:
-        # blocks of equal row counts; the tail of a block is repeated as context of the next
-        block = rows * 100
-        numbered = running_sliced(d, key, order, {number: F.lit(1).cast("bigint")})
-        own = F.floor(F.col(number) / block)
-        spread = numbered.withColumn(
-            "_block",
-            F.explode(F.when(F.pmod(F.col(number), F.lit(block)) >= block - rows, F.array(own, own + 1)).otherwise(F.array(own))),
-        )
-        frame = Window.partitionBy(*key, "_block").orderBy(number).rowsBetween(-rows, -1)
-        mean = F.sum(exact(value)).over(frame).cast("double") / F.count(value).over(frame)
-        return spread.withColumn(out, mean).filter(F.col("_block") == own).drop("_block")
 
-    return by_heat(df, key, plain, sliced, floor).select(*df.columns, number, out)
+def numbered_mean_sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, rows: int, out: str, number: str) -> DataFrame:
+    """Blocks of equal row counts; the tail of a block is repeated as context of the next."""
+    block = rows * 100
+    numbered = running_sliced(df, key, order, {number: F.lit(1).cast("bigint")})
+    own = F.floor(F.col(number) / block)
+    spread = numbered.withColumns(
+        {
+            "_own": own,
+            "_block": F.explode(F.when(F.pmod(F.col(number), F.lit(block)) >= block - rows, F.array(own, own + 1)).otherwise(F.array(own))),
+        }
+    )
+    frame = Window.partitionBy(*key, "_block").orderBy(number).rowsBetween(-rows, -1)
+    mean = F.sum(exact(value)).over(frame).cast("double") / F.count(value).over(frame)
+    return spread.withColumn(out, mean).filter(F.col("_block") == F.col("_own")).drop("_block", "_own")
