@@ -138,68 +138,54 @@ class Trailing:
 
     def __init__(self, key: Sequence[str], ts: str, value: str, windows: dict[str, tuple[int, int]]):
         self.key, self.ts, self.value, self.windows = list(key), ts, value, windows
-
-    def _measure(self, events: DataFrame) -> DataFrame:
-        order = Window.partitionBy(*self.key).orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
-        cols = {}
-        for name in self.windows:
-            sign = F.when(F.col("_own") & F.lit(self.windows[name][1] == 0), F.lit(1)).otherwise(
-                F.when(F.col("_win") == name, F.col("_sign")).otherwise(F.lit(0))
-            )
-            cols[f"{name}_n"] = F.sum(sign * F.col("_n")).over(order)
-            cols[f"{name}_sum"] = F.sum(sign * F.col("_v")).over(order)
-            cols[f"{name}_sq"] = F.sum(F.when(sign > 0, F.col("_vv")).when(sign < 0, -F.col("_vv"))).over(order)
-        measured = events.withColumns(cols).filter("_own").drop("_own", "_at", "_win", "_sign", "_n", "_v", "_vv")
-        amounts = {f"{w}_sum": F.col(f"{w}_sum") / float(self.UNIT) for w in self.windows}
-        return measured.withColumns(amounts | {f"{w}_std": self._sample_std(w) for w in self.windows})
-
-    def _sample_std(self, window: str) -> Column:
-        """Sample deviation; null below two values. Zero spread is found exactly, on whole numbers."""
-        n, total = F.col(f"{window}_n"), F.col(f"{window}_sum").cast("decimal(19,0)")
-        spread = n.cast("decimal(10,0)") * F.col(f"{window}_sq").cast("decimal(28,0)") - total * total
-        pairs = n.cast("double") * (n - 1).cast("double")
-        return F.when(n > 1, F.sqrt(F.greatest(spread.cast("double"), F.lit(0.0)) / pairs) / float(self.UNIT))
+        # event codes: 0 is the row itself, then one entry and one exit code per window;
+        # a window that includes the current second is entered by the row itself
+        self.codes = {w: (0 if skip == 0 else 2 * i + 1, 2 * i + 2) for i, (w, (_, skip)) in enumerate(windows.items())}
 
     def _events(self, rows: DataFrame, payload: Sequence[str]) -> DataFrame:
-        def event(at: Column, own: bool, win: str, sign: int) -> Column:
-            return F.struct(at.alias("at"), F.lit(own).alias("own"), F.lit(win).alias("win"), F.lit(sign).alias("sign"))
-
-        s = F.col("_s")
-        items = [event(s, True, "", 0)]
-        for name, (back, skip) in self.windows.items():
+        items = ["struct(_s AS at, 0 AS code)"]
+        for w, (back, skip) in self.windows.items():
+            enter, leave = self.codes[w]
             if skip:
-                items.append(event(s + skip, False, name, 1))
-            items.append(event(s + back + 1, False, name, -1))
-        spread = rows.withColumn("_e", F.explode(F.array(*items)))
-        keep = [k for k in payload if k not in self.key]
-        return spread.select(
-            *self.key, "_n", "_v", "_vv",
-            F.col("_e.at").alias("_at"), F.col("_e.own").alias("_own"),
-            F.col("_e.win").alias("_win"), F.col("_e.sign").alias("_sign"),
-            *[F.when(F.col("_e.own"), F.col(k)).alias(k) for k in keep],
-        )
+                items.append(f"struct(_s + {skip} AS at, {enter} AS code)")
+            items.append(f"struct(_s + {back + 1} AS at, {leave} AS code)")
+        carried = [f"CASE WHEN _e.code = 0 THEN `{k}` END AS `{k}`" for k in payload if k not in self.key]
+        spread = rows.selectExpr("*", f"explode(array({', '.join(items)})) AS _e")
+        return spread.selectExpr(*[f"`{k}`" for k in self.key], "_n", "_v", "_vv", "_e.at AS _at", "_e.code AS _code", *carried)
 
-    def plain(self, df: DataFrame) -> DataFrame:
-        v = self._units()
-        rows = df.repartition(*self.key).withColumns(
-            {"_s": epoch_seconds(self.ts), "_v": F.coalesce(v, F.lit(0)), "_vv": self._square(v), "_n": F.when(v.isNotNull(), 1).otherwise(0)}
+    def _measure(self, events: DataFrame) -> DataFrame:
+        keys = ", ".join(f"`{k}`" for k in self.key)
+        frame = f"OVER (PARTITION BY {keys} ORDER BY _at RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        sums = []
+        for w, (enter, leave) in self.codes.items():
+            for name, x in (("n", "_n"), ("sum", "_v"), ("sq", "_vv")):
+                sums.append(f"sum(CASE _code WHEN {enter} THEN {x} WHEN {leave} THEN -{x} END) {frame} AS {w}_{name}")
+        kept = [c for c in events.columns if c not in ("_n", "_v", "_vv", "_at", "_code")]
+        names = [f"{w}_{m}" for w in self.windows for m in ("n", "sum", "sq")]
+        own = events.selectExpr(*[f"`{c}`" for c in kept], "_code", *sums).filter("_code = 0")
+        # zero spread is found exactly, on whole numbers
+        spread = "CAST({w}_n AS DECIMAL(10,0)) * CAST({w}_sq AS DECIMAL(28,0)) - CAST({w}_sum AS DECIMAL(19,0)) * CAST({w}_sum AS DECIMAL(19,0))"
+        std = "CASE WHEN {w}_n > 1 THEN sqrt(greatest(CAST(" + spread + " AS DOUBLE), 0D) / (CAST({w}_n AS DOUBLE) * ({w}_n - 1))) / {unit}D END AS {w}_std"
+        return own.selectExpr(
+            *[f"`{c}`" for c in kept],
+            *[f"{n} / {self.UNIT}D AS {n}" if n.endswith("_sum") else n for n in names],
+            *[std.format(w=w, unit=self.UNIT) for w in self.windows],
         )
-        return self._measure(self._events(rows, df.columns))
 
-    def _units(self) -> Column:
-        return F.round(F.col(self.value) * self.UNIT, 0).cast("bigint")
+    def _inputs(self) -> list[str]:
+        units = f"CAST(round(`{self.value}` * {self.UNIT}, 0) AS BIGINT)"
+        return [f"coalesce({units}, 0) AS _v", f"CAST(coalesce({units}, 0) AS DECIMAL(15,0)) * CAST(coalesce({units}, 0) AS DECIMAL(15,0)) AS _vv"]
 
-    @staticmethod
-    def _square(v: Column) -> Column:
-        d = v.cast("decimal(15,0)")
-        return F.coalesce(d * d, F.lit(0).cast("decimal(31,0)"))
+    def plain(self, df: DataFrame) -> DataFrame:
+        rows = df.repartition(*self.key).withColumn("_s", epoch_seconds(self.ts))
+        rows = rows.selectExpr("*", *self._inputs(), f"CASE WHEN `{self.value}` IS NULL THEN 0 ELSE 1 END AS _n")
+        return self._measure(self._events(rows, df.columns))
 
     def sliced(self, df: DataFrame) -> DataFrame:
         """One row per second stands for all its peers; results go back by (key, second)."""
-        v = self._units()
         base = df.withColumn("_s", epoch_seconds(self.ts))
-        seconds = base.groupBy(*self.key, "_s").agg(
-            F.count(self.value).alias("_n"), F.coalesce(F.sum(v), F.lit(0)).alias("_v"), F.sum(self._square(v)).alias("_vv")
+        seconds = base.selectExpr(*[f"`{k}`" for k in self.key], "_s", f"`{self.value}` AS _x", *self._inputs()).groupBy(*self.key, "_s").agg(
+            F.count("_x").alias("_n"), F.sum("_v").alias("_v"), F.sum("_vv").alias("_vv")
         )
         measured = self._measure(self._events(seconds, [*self.key, "_s"]))
         return join_null_safe(base, measured, [*self.key, "_s"]).drop("_s")
