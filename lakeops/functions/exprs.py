@@ -38,7 +38,8 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: fl
     half_lat = F.radians(lat2 - lat1) / 2
     half_lon = F.radians(lon2 - lon1) / 2
     chord = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_lon), 2)
-    return F.lit(2 * radius) * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    # not least(): that would turn a missing position into the far side of the globe
+    return F.lit(2 * radius) * F.asin(F.sqrt(F.when(chord > 1.0, F.lit(1.0)).otherwise(chord)))
 
 
 def ratio(num: Column, den: Column, when_zero: float | None = 0.0) -> Column:

@@ -12,10 +12,10 @@ MONEY = "CAST(amount AS DECIMAL(18,4))"
 
 
 def great_circle(a_lat: str, a_lon: str, b_lat: str, b_lon: str, radius: str = "6371.0") -> str:
-    return (
-        f"2 * {radius} * asin(sqrt(least(1.0, pow(sin(radians({b_lat} - {a_lat}) / 2), 2)"
-        f" + cos(radians({a_lat})) * cos(radians({b_lat})) * pow(sin(radians({b_lon} - {a_lon}) / 2), 2))))"
+    chord = (
+        f"(pow(sin(radians({b_lat} - {a_lat}) / 2), 2) + cos(radians({a_lat})) * cos(radians({b_lat})) * pow(sin(radians({b_lon} - {a_lon}) / 2), 2))"
     )
+    return f"2 * {radius} * asin(sqrt(CASE WHEN {chord} > 1 THEN 1.0 ELSE {chord} END))"
 
 
 FEATURE_CTES = f"""

@@ -15,7 +15,8 @@ def spark():
     session = (
         SparkSession.builder.master("local[4]").appName("tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g")
+        .config("spark.sql.maxMetadataStringLength", "2000").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     from lakeops.session import ship_package
