@@ -67,6 +67,12 @@ def rmse(scored: DataFrame, label: str) -> float:
     return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse").evaluate(scored)
 
 
+def through_file(model: PipelineModel, path: str) -> PipelineModel:
+    """Hand a trained model from the training job to the scoring job, without its training data."""
+    save_model(model, path)
+    return load_model(path)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

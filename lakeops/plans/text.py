@@ -8,7 +8,7 @@ from lakeops.functions import fixed
 from lakeops.operators import anomaly, business, fraud, models, search, text, vectors
 from lakeops.plans.fraud import rounded
 from lakeops.registry import query
-from lakeops.session import materialize
+from lakeops.session import fresh_dir, materialize
 
 
 def _last_mark(mark: str) -> str:
@@ -188,6 +188,7 @@ def fraud_scores(lake):
     features = fraud.fraud_features(lake("v_txn")).fillna(0.0, fraud.FEATURES)
     labelled = materialize(fraud.weak_labels(features, flip=0.02), "labelled")  # training makes many passes
     model = models.forest(fraud.FEATURES, "is_fraud", trees=20, depth=6).fit(labelled)
+    model = models.through_file(model, fresh_dir(lake.spark, "fraud-model"))
     scored = models.positive_probability(model, labelled, fraud.FEATURES)
     return fraud.score_status(scored).select("transaction_id", "account_id", "fraud_score", "fraud_status", "confidence")
 

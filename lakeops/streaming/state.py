@@ -7,10 +7,12 @@ micro-batch is bounded by the source's rate limit, and with it the rows of one k
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -19,8 +21,12 @@ from lakeops.functions.exprs import epoch_seconds
 
 DAY = 86400
 
+# a stateful operator is also unpickled by a driver-side process that does not see shipped
+# files, so the processors travel by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# names without a leading underscore: the pandas bridge of stateful operators renames those
+
+# column names here have no leading underscore: the pandas bridge renames such columns
 
 
 def _ordered(rows: Iterator[pd.DataFrame], *by: str) -> pd.DataFrame:
