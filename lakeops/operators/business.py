@@ -11,6 +11,7 @@ from lakeops.functions import fixed
 from lakeops.functions.exprs import c, clean_text, exact, exact_rate, ratio, words_of
 from lakeops.operators import timeline as tl
 from lakeops.operators.search import newest_per_group
+from lakeops.session import materialize
 
 # --- messaging --------------------------------------------------------------------
 
@@ -413,13 +414,20 @@ def content_features(content: DataFrame, views: DataFrame, as_of: str) -> DataFr
 
 
 def with_codes(df: DataFrame, column: str) -> DataFrame:
-    """0-based alphabetical code of a category; -1 when missing. Only distinct labels are ranked."""
-    from pyspark.ml.feature import StringIndexer
+    """0-based alphabetical code of a category; -1 when missing.
 
-    labels = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    model = StringIndexer(inputCol=column, outputCol="_idx", stringOrderType="alphabetAsc").fit(labels)
-    table = F.create_map(*[F.lit(x) for i, label in enumerate(model.labels) for x in (label, i)])
-    return df.withColumn(f"{column}_encoded", F.coalesce(F.try_element_at(table, F.col(column)), F.lit(-1)))
+    Distinct labels are range-partitioned and written once with their part number; a label's
+    code is its place within the part plus the sizes of the parts before it. No label list
+    passes through the driver.
+    """
+    labels = df.select(column).filter(F.col(column).isNotNull()).distinct().repartitionByRange(column)
+    parts = materialize(labels.withColumn("_part", F.spark_partition_id()), "labels")
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(column)) - 1
+    codes = parts.join(offsets, "_part").select(column, (place + F.col("_offset")).cast("int").alias(f"{column}_encoded"))
+    return df.join(codes, column, "left").withColumn(f"{column}_encoded", F.coalesce(f"{column}_encoded", F.lit(-1)))
 
 
 def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:

@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.operators.timeline import with_slice
 from lakeops.session import materialize
 
-DAY_US = 86_400_000_000
 FOLD_ROWS = 10_000
-HOUR_US = 3_600_000_000
 _LAST = (1 << 63) - 1
 
 
@@ -36,13 +35,13 @@ def _fold(rows: DataFrame, ttl_us: int) -> DataFrame:
 
 
 def _pointers(rows: DataFrame, ttl_us: int) -> DataFrame:
-    """(row, next row that is accepted if this one was); found within hour slices."""
+    """(row, next row that is accepted if this one was); found within slices of similar row counts."""
     own = rows.select("_key", F.col("_t").alias("at"), F.col("_id").alias("tie"), F.lit(1).alias("kind"), "_id")
     asks = rows.select(
         "_key", F.when(F.col("_failed"), F.col("_t")).otherwise(F.col("_t") + ttl_us).alias("at"),
         F.when(F.col("_failed"), F.col("_id")).otherwise(F.lit(_LAST)).alias("tie"), F.lit(0).alias("kind"), "_id",
     )
-    both = own.unionByName(asks).withColumn("_slice", F.floor(F.col("at") / HOUR_US))
+    both = with_slice(own.unionByName(asks).withColumn("_ts", F.timestamp_micros("at")), "_ts").drop("_ts")
     mine = F.when(F.col("kind") == 1, F.struct("at", "tie"))
     firsts = both.groupBy("_key", "_slice").agg(F.min(mine).alias("_first"))
     later = Window.partitionBy("_key").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)

@@ -54,8 +54,18 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in on])
 
 
-def _slice_of(ts: str) -> Column:
-    return F.date_trunc("hour", F.col(ts))
+SLICES = 256
+
+
+def with_slice(df: DataFrame, ts: str) -> DataFrame:
+    """Add ``_slice``, growing with ``ts``: time ranges that hold similar numbers of rows.
+
+    The cuts are quantiles of the rows themselves (a mergeable sketch, one row of at most
+    ``SLICES`` numbers), so a burst of rows within one hour is divided as well.
+    """
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    cuts = df.agg(F.percentile_approx(t, [i / SLICES for i in range(1, SLICES)], 10_000).alias("cuts"))
+    return df.withColumn("_cuts", cuts.scalar()).withColumn("_slice", F.size(F.filter("_cuts", lambda cut: cut < t))).drop("_cuts")
 
 
 # --- previous row -----------------------------------------------------------------
@@ -67,7 +77,7 @@ def previous_plain(df: DataFrame, key: Sequence[str], order: Sequence[str], carr
 
 
 def previous_sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], carry: dict[str, str]) -> DataFrame:
-    base = df.withColumn("_slice", _slice_of(order[0]))
+    base = with_slice(df, order[0])
     row = F.struct(*[F.col(o).alias(n) for o, n in carry.items()])
     last = base.groupBy(*key, "_slice").agg(F.max_by(row, F.struct(*order)).alias("_last"))
     handed_on = last.select(
@@ -101,7 +111,7 @@ def running_plain(df: DataFrame, key: Sequence[str], order: Sequence[str], sums:
 
 
 def running_sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    base = df.withColumns({"_slice": _slice_of(order[0])} | {f"_in_{n}": e for n, e in sums.items()})
+    base = with_slice(df, order[0]).withColumns({f"_in_{n}": e for n, e in sums.items()})
     totals = base.groupBy(*key, "_slice").agg(*[F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in sums])
     before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*key, "_slice", *[F.sum(f"_sum_{n}").over(before).alias(f"_before_{n}") for n in sums])

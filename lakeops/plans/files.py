@@ -167,8 +167,7 @@ def explode_log_envelope(lake):
     path = fresh_dir(lake.spark, "envelopes")
     message = F.when(F.col("event_id") % 40 == 0, "not json").otherwise(F.to_json(F.struct(F.col("event_type").alias("action"), F.col("user_id").alias("actor"))))
     item = F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_id").alias("timestamp"), message.alias("message"))
-    # an envelope holds the events of one user and hour
-    packed = lake("events").groupBy("user_id", F.date_trunc("hour", "ts").alias("h")).agg(F.collect_list(item).alias("logEvents"))
+    packed = lake("events").select("user_id", F.array(item).alias("logEvents"))
     kind = F.when(F.col("user_id") % 50 == 0, "CONTROL_MESSAGE").otherwise("DATA_MESSAGE")
     body = F.to_json(F.struct(kind.alias("messageType"), F.concat(F.lit("g"), (F.col("user_id") % 5).cast("string")).alias("logGroup"), "logEvents"))
     packed.select(body.alias("value")).write.option("compression", "gzip").text(path)

@@ -20,7 +20,7 @@ def latest_positions(stream: DataFrame) -> DataFrame:
 
 
 def fences_by_cell(fences: DataFrame, cell: float) -> DataFrame:
-    """Static side of the stream join: the fences touching each grid cell."""
+    """Static side of the stream join: the fences touching each grid cell (a smaller cell means shorter lists)."""
     fence = F.struct("geofence_id", "geofence_type", "center_latitude", "center_longitude", "radius_meters", "vertices")
     return spatial.fence_cells(fences, cell).groupBy("cell_y", "cell_x").agg(F.collect_list(fence).alias("_near"))
 
