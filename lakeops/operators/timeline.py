@@ -37,8 +37,16 @@ def by_heat(
     sliced: Callable[[DataFrame], DataFrame],
     floor: int = HOT_ROWS,
 ) -> DataFrame:
-    """``plain`` on ordinary keys, ``sliced`` on hot ones."""
-    hot = F.broadcast(hot_keys(df, key, floor))
+    """``plain`` on ordinary keys, ``sliced`` on hot ones.
+
+    One count per key decides, when the plan is made: a table without hot keys gets the
+    plain plan and nothing else.
+    """
+    found = hot_keys(df, key, floor)
+    rows = found.collect()  # fewer than MAX_HOT_KEYS by construction
+    if not rows:
+        return plain(df)
+    hot = F.broadcast(df.sparkSession.createDataFrame(rows, found.schema))
     same = F.lit(True)
     for k in key:
         same = same & df[k].eqNullSafe(hot[f"_hot_{k}"])

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lakeops.operators import fraud, search
-from lakeops.operators import timeline as tl
 
 from .conftest import SF
 
@@ -34,10 +33,14 @@ def test_no_cross_join_and_no_python_rows(spark, name):
 
 
 def test_ordinary_accounts_cost_one_exchange(lake):
-    t = tl.Trailing(fraud.KEY, "ts", "amount", fraud.WINDOWS)
-    rows = tl.previous_plain(t.plain(lake("v_txn")), fraud.KEY, fraud.ORDER, fraud.PREVIOUS)
-    text = plan(tl.first_seen_plain(rows, fraud.KEY, fraud.ORDER, fraud.FIRSTS))
+    text = plan(fraud.fraud_features(lake("v_txn")))
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
+    assert "Join" not in text and "Union" not in text
+
+
+def test_hot_accounts_are_kept_apart_by_a_bounded_broadcast(lake):
+    text = plan(fraud.distance_features(lake("v_txn"), floor=0))
+    assert "LeftAnti" in text and "LeftSemi" in text and "Union" in text
 
 
 def test_filters_and_columns_reach_the_scan(lake):
