@@ -33,7 +33,7 @@ UNKNOWN_RISK_ORDINAL = 2
 
 # fixed values: percentile edges of the amount bins and their labels
 AMOUNT_PERCENTILES = [0, 10, 25, 50, 75, 90, 95, 99, 100]
-AMOUNT_LABELS = ["micro", "small", "medium_small", "medium", "medium_large", "large", "very_large", "extreme"]
+AMOUNT_LABELS = ["micro", "small", "low", "medium", "high", "large", "very_large", "extreme"]
 
 # fixed values: alert severity by score, with the recommended action
 SEVERITY_STEPS = [

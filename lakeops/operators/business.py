@@ -299,13 +299,19 @@ def popular_routes(df: DataFrame, origin: str, destination: str, n: int = 10) ->
 
 # fixed values: control-plane calls that always matter, with their category
 CRITICAL_EVENTS = {
-    "DeleteTrail": "logging", "StopLogging": "logging", "UpdateTrail": "logging",
-    "CreateUser": "iam", "DeleteUser": "iam", "CreateAccessKey": "iam", "AttachUserPolicy": "iam", "PutUserPolicy": "iam",
-    "PutBucketPolicy": "s3", "DeleteBucketPolicy": "s3", "PutBucketAcl": "s3",
-    "AuthorizeSecurityGroupIngress": "network", "DisableKey": "kms", "ScheduleKeyDeletion": "kms",
+    "ConsoleLogin": "Authentication",
+    "CreateUser": "IAM", "DeleteUser": "IAM", "CreateAccessKey": "IAM", "DeleteAccessKey": "IAM",
+    "AttachUserPolicy": "IAM", "DetachUserPolicy": "IAM", "AttachRolePolicy": "IAM", "PutUserPolicy": "IAM",
+    "PutRolePolicy": "IAM", "CreateRole": "IAM", "DeleteRole": "IAM", "UpdateAssumeRolePolicy": "IAM",
+    "CreatePolicy": "IAM", "DeletePolicy": "IAM",
+    "PutBucketPolicy": "S3", "DeleteBucketPolicy": "S3", "PutBucketAcl": "S3", "PutBucketPublicAccessBlock": "S3",
+    "AuthorizeSecurityGroupIngress": "EC2", "AuthorizeSecurityGroupEgress": "EC2", "CreateSecurityGroup": "EC2", "DeleteSecurityGroup": "EC2",
+    "ModifyDBInstance": "RDS", "DeleteDBInstance": "RDS", "CreateDBSnapshot": "RDS", "ModifyDBCluster": "RDS",
+    "PutKeyPolicy": "KMS", "ScheduleKeyDeletion": "KMS", "DisableKey": "KMS",
+    "StopLogging": "CloudTrail", "DeleteTrail": "CloudTrail", "UpdateTrail": "CloudTrail", "PutEventSelectors": "CloudTrail",
 }
 # fixed values: error text that hints at probing
-SUSPICIOUS_ERRORS = ["AccessDenied", "UnauthorizedOperation", "UnauthorizedAccess", "InvalidClientTokenId"]
+SUSPICIOUS_ERRORS = ["Failed", "Denied", "Unauthorized", "AccessDenied", "InvalidAccessKeyId", "SignatureDoesNotMatch"]
 
 
 def classify_audit(df: DataFrame) -> DataFrame:

@@ -135,13 +135,20 @@ def task_rules() -> list[tuple[Column, str]]:
     ]
 
 
-def gps_rules() -> list[tuple[Column, str]]:
+def gps_rules(columns: Sequence[str] = ()) -> list[tuple[Column, str]]:
+    """Range rules of a fix; those of optional readings apply when the column is named."""
+    optional = {
+        "heading": (~F.col("heading").between(0, 360), "Heading out of range"),
+        "accuracy_m": (F.col("accuracy_m") < 0, "Negative accuracy"),
+        "fuel_level_pct": (~F.col("fuel_level_pct").between(0, 100), "Fuel level out of range"),
+    }
     return [
         (F.col("truck_id").isNull(), "Missing truck_id"),
         (~F.col("latitude").between(-90, 90), "Latitude out of range"),
         (~F.col("longitude").between(-180, 180), "Longitude out of range"),
-        (~F.col("speed_kmh").between(0, 100), "Speed out of range"),
+        (F.col("speed_kmh") < 0, "Negative speed"),
         (~F.col("engine_status").isin("running", "idle", "off"), "Unknown engine status"),
+        *[optional[n] for n in columns if n in optional],
     ]
 
 

@@ -246,9 +246,15 @@ def validate_tasks(lake):
     return quality.with_errors(tasks, quality.task_rules()).select("event_id", F.array_join("errors", "; ").alias("errors"))
 
 
-@query("validate_gps", "SELECT seq, CASE WHEN speed_kmh > 100 THEN 'Speed out of range' ELSE '' END AS errors FROM v_gps")
+@query("validate_gps", """SELECT seq, array_to_string(list_filter([CASE WHEN seq % 40 = 0 THEN 'Latitude out of range' END, CASE WHEN seq % 25 = 0 THEN 'Negative speed' END,
+ CASE WHEN seq % 60 = 0 THEN 'Unknown engine status' END], lambda x: x IS NOT NULL), '; ') AS errors FROM v_gps""")
 def validate_gps(lake):
-    return quality.with_errors(lake("v_gps"), quality.gps_rules()).select("seq", F.array_join("errors", "; ").alias("errors"))
+    spoiled = lake("v_gps").withColumns({
+        "latitude": F.when(F.col("seq") % 40 == 0, F.col("latitude") + 50).otherwise(F.col("latitude")),
+        "speed_kmh": F.when(F.col("seq") % 25 == 0, F.lit(-1.0)).otherwise(F.col("speed_kmh")),
+        "engine_status": F.when(F.col("seq") % 60 == 0, "broken").otherwise(F.col("engine_status")),
+    })
+    return quality.with_errors(spoiled, quality.gps_rules()).select("seq", F.array_join("errors", "; ").alias("errors"))
 
 
 ACCEPT_SQL = """WITH RECURSIVE o AS (SELECT *, starts_with(source_account, '0000') AS failed, row_number() OVER (PARTITION BY idempotency_key ORDER BY ts, transaction_id) AS rn FROM v_bank_txn),
@@ -301,7 +307,7 @@ def pii_access_log(lake):
 
 
 AUDIT_SQL = """SELECT event_id, tenant_id, user_id, ts, 'CONFIG_CHANGE' AS audit_kind, CASE WHEN error_code IS NULL THEN 'success' ELSE 'failure' END AS result,
- CASE event_name WHEN 'CreateUser' THEN 'iam' WHEN 'PutBucketPolicy' THEN 's3' ELSE 'logging' END AS detail FROM v_audit WHERE event_name IN ('DeleteTrail', 'StopLogging', 'CreateUser', 'PutBucketPolicy')
+ CASE event_name WHEN 'ConsoleLogin' THEN 'Authentication' WHEN 'CreateUser' THEN 'IAM' WHEN 'PutBucketPolicy' THEN 'S3' ELSE 'CloudTrail' END AS detail FROM v_audit WHERE event_name IN ('ConsoleLogin', 'DeleteTrail', 'StopLogging', 'CreateUser', 'PutBucketPolicy')
 UNION ALL SELECT event_id, tenant_id, user_id, ts, 'SUSPICIOUS_ACTIVITY', 'denied', error_code FROM v_audit WHERE error_code IN ('AccessDenied', 'Client.UnauthorizedOperation')
 UNION ALL SELECT event_id, tenant_id, user_id, ts, CASE WHEN login_result = 'Success' THEN 'LOGIN_SUCCESS' ELSE 'LOGIN_FAILURE' END, lower(login_result), 'login' FROM v_audit WHERE event_name = 'ConsoleLogin'"""
 

@@ -200,9 +200,9 @@ def hash_ids(lake):
     )
 
 
-@query("document_ids", "SELECT doc_id, left(sha256(concat('s3://docs/', source, '/', doc_id)), 16) AS document_id FROM documents")
+@query("document_ids", "SELECT doc_id, left(sha256(concat('docs/', source, '/', doc_id)), 16) AS document_id FROM documents")
 def document_ids(lake):
-    uri = F.concat(F.lit("s3://docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"))
+    uri = F.concat(F.lit("docs/"), "source", F.lit("/"), F.col("doc_id").cast("string"))
     return lake("documents").select("doc_id", exprs.short_id(uri).alias("document_id"))
 
 

@@ -155,7 +155,7 @@ def test_lineage_by_folder_prefix(spark):
 
 
 def test_quarantine_keeps_every_row(spark):
-    df = spark.createDataFrame([("a", 1, "running", 46.0, 6.0, 50.0), (None, 2, "flying", 99.0, 6.0, 150.0)], "truck_id string, seq int, engine_status string, latitude double, longitude double, speed_kmh double")
+    df = spark.createDataFrame([("a", 1, "running", 46.0, 6.0, 50.0), (None, 2, "flying", 99.0, 6.0, -5.0)], "truck_id string, seq int, engine_status string, latitude double, longitude double, speed_kmh double")
     good, bad = quality.quarantine(df, quality.gps_rules(), "seq")
     assert [r["seq"] for r in good.collect()] == [1]
     row = bad.first()
