@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm.common import table
+from lakeops.llm.decontaminate import decontaminate
 from lakeops.llm.packing import best_fit_packing
 from lakeops.llm.token_counts import token_counts
+from lakeops.llm.url_rules import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +32,45 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.col("offset").cast("long"))
+
+
+@_query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
+
+
+ORACLES["op5_decontamination"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS gram
+ FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+ FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.gram = bw.gram AND dw.n = bw.n),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+ sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+#: The rules of the contract's URL query: host, path, verdict.
+URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
+
+
+@_query
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql("SELECT * FROM VALUES %s AS t(host, path, verdict)" % ", ".join(map(repr, URL_RULES)))
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+ORACLES["op6_url_filters"] = r"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+ regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r(rh, rp, v) AS (VALUES %s),
+m AS (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS v
+ FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
+SELECT p.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)
+""" % ", ".join(map(repr, URL_RULES))
