@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from lakeops.llm.common import table
 from lakeops.llm.decontaminate import decontaminate
 from lakeops.llm.packing import best_fit_packing
+from lakeops.llm.quality import quality_scores
 from lakeops.llm.token_counts import token_counts
+from lakeops.llm.toxicity import toxicity_scores
 from lakeops.llm.url_rules import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +76,13 @@ m AS (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, le
  FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id)
 SELECT p.page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)
 """ % ", ".join(map(repr, URL_RULES))
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row_key")
+
+
+@_query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row_key")
