@@ -22,7 +22,7 @@ from lakeops.llm.common import written
 BORDER_KEYS = 4096
 KEYS_PER_RANGE = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_GAP, _AFTER = F.unhex(F.lit("FE")), F.unhex(F.lit("FF"))  # bytes that no UTF-8 text holds
+_GAP, _AFTER = "FE", "FF"  # bytes that no UTF-8 text holds
 
 
 def host_of(url: Column) -> Column:
@@ -37,7 +37,7 @@ def path_of(url: Column) -> Column:
 
 def _key(labels: Column, path: Column) -> Column:
     """labels: of the host, last one first."""
-    return F.concat(F.array_join(labels, ".").cast("binary"), _GAP, path.cast("binary"))
+    return F.concat(F.array_join(labels, ".").cast("binary"), F.unhex(F.lit(_GAP)), path.cast("binary"))
 
 
 def _labels(host: Column) -> Column:
@@ -72,7 +72,7 @@ def innermost(keys: DataFrame, rules: DataFrame, ranges: int) -> DataFrame:
     place = lambda c: F.size(F.filter(cuts, lambda b: b <= c))
     nothing = F.lit(None).cast("string")
     asked = keys.select(place(F.col("key")).alias("part"), "key", F.lit(1).alias("kind"), F.lit(0).alias("step"), nothing.alias("rule"), nothing.alias("verdict"))
-    spread = rules.withColumn("shut", F.concat("key", _AFTER)).withColumn("part", F.explode(F.sequence(place(F.col("key")), place(F.col("shut")))))
+    spread = rules.withColumn("shut", F.concat("key", F.unhex(F.lit(_AFTER)))).withColumn("part", F.explode(F.sequence(place(F.col("key")), place(F.col("shut")))))
     opens = spread.select("part", "key", F.lit(0).alias("kind"), F.lit(1).alias("step"), "rule", "verdict")
     shuts = spread.select("part", F.col("shut").alias("key"), F.lit(2).alias("kind"), F.lit(-1).alias("step"), nothing.alias("rule"), nothing.alias("verdict"))
     events = asked.unionByName(opens).unionByName(shuts)
