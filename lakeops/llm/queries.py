@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import table
 from lakeops.llm.decontaminate import decontaminate
+from lakeops.llm.html_template import extract
 from lakeops.llm.packing import best_fit_packing
 from lakeops.llm.quality import quality_scores
 from lakeops.llm.token_counts import token_counts
@@ -86,3 +87,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row_key")
+
+
+@_query
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
