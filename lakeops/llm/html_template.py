@@ -45,6 +45,8 @@ _MARK = re.compile(
     r"(?:^|[^a-z])(?:ad|ads|advert\w*|adsense|adslot|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|header|masthead|footer|foot|sidebar\w*|side|aside|widget\w*|cookie\w*|consent|notice\w*|"
     r"gdpr|popup|modal|overlay|newsletter|subscri\w*|share|sharing|social|comment\w*|reply|replies|disqus|related|recommend\w*|pagination|pager|toolbar|login|signup|search)(?:[^a-z]|$)"
 )
+#: Names of an article's own heading, which are not a page header.
+_HEADING = re.compile(r"\b(?:entry|post|article|story|content|section)[-_]?header\b")
 _ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
 
@@ -66,7 +68,7 @@ def _meaning(name: str, attributes: str) -> tuple[str, bool, bool, bool]:
     label = f"{given.get('class', '')} {given.get('id', '')}".lower().strip()
     role = given.get("role", "").lower()
     core = name in ("article", "main") or role in ("main", "article") or given.get("itemprop", "").lower() == "articlebody"
-    named = bool(label and name not in ("html", "body", "article", "main") and _MARK.search(label))
+    named = bool(label and name not in ("html", "body", "article", "main", "header") and _MARK.search(_HEADING.sub(" ", label)))
     hidden = name in _HIDDEN or "hidden" in given or "display:none" in given.get("style", "").replace(" ", "").lower()
     return label, core, name in _BESIDE or role in _ROLE or named, hidden
 
@@ -149,7 +151,7 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
         top = stack[-1]
         core = top.core or is_core
         # Headings and bylines in a header inside the article belong to it.
-        beside = top.beside or (is_beside and not (name == "header" and top.core and not label))
+        beside = top.beside or (is_beside and not (name == "header" and top.core))
         hidden = top.hidden or is_hidden
         path = f"{top.path}/{name}" + (f".{label}" if label else "")
         tags.append(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import table
 from lakeops.llm.decontaminate import decontaminate
+from lakeops.llm.embed_dedup import near_duplicates
 from lakeops.llm.html_template import extract
 from lakeops.llm.packing import best_fit_packing
 from lakeops.llm.quality import quality_scores
@@ -92,3 +93,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op2_embedding_dedup"] = """
+WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+ WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS w FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+ WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(u, w) AS (SELECT u, w FROM links UNION SELECT r.u, l.w FROM reach r JOIN links l ON r.w = l.u),
+n AS (SELECT u, count(*) AS k FROM links GROUP BY u), c AS (SELECT u, min(w) AS m FROM reach GROUP BY u)
+SELECT vec_id, CAST(coalesce(k, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN c ON c.u = vec_id
+"""
