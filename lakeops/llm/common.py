@@ -140,10 +140,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray, ends_too: bool = False):
+def word_hashes(data: np.ndarray, bounds: np.ndarray, places: bool = False):
     """Words of each value: runs of bytes other than space and \\x09-\\x0D, A-Z read as a-z.
 
-    Returns (hash of each word, number of words of each value) and, if asked, the place of each word's end.
+    Returns (hash of each word, number of words of each value) and, if asked, where each word begins and ends.
     """
     hashes, starts_all, ends_all = [], [], []
     for begin, end in _pieces(data, bounds):
@@ -166,7 +166,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, ends_too: bool = False):
     flat = np.concatenate(starts_all) if starts_all else np.zeros(0, np.int64)
     counts = np.diff(np.searchsorted(flat, bounds))
     words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    return (words, counts, np.concatenate(ends_all) if ends_all else flat) if ends_too else (words, counts)
+    return (words, counts, flat, np.concatenate(ends_all) if ends_all else flat) if places else (words, counts)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:

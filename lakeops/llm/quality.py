@@ -30,7 +30,7 @@ def statistics(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     counts = np.bincount(owner * 12 + kinds, minlength=n * 12).reshape(n, 12).astype(float)
     out = np.zeros((n, len(STATISTICS)))
     out[:, :12] = np.sqrt(counts / np.maximum(sizes, 1)[:, None])
-    words, many, ends = word_hashes(data, bounds, ends_too=True)
+    words, many, _, ends = word_hashes(data, bounds, places=True)
     mine = np.repeat(np.arange(n), many)
     letters = counts[:, [0, 1, 11]].sum(1)
     out[:, 12] = np.log1p(many) / 10

@@ -12,6 +12,7 @@ from lakeops.llm.common import table
 from lakeops.llm.decontaminate import decontaminate
 from lakeops.llm.embed_dedup import near_duplicates
 from lakeops.llm.html_template import extract
+from lakeops.llm.lm_scoring import lm_scores
 from lakeops.llm.packing import best_fit_packing
 from lakeops.llm.quality import quality_scores
 from lakeops.llm.token_counts import token_counts
@@ -110,3 +111,8 @@ n AS (SELECT u, count(*) AS k FROM links GROUP BY u), c AS (SELECT u, min(w) AS
 SELECT vec_id, CAST(coalesce(k, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id <= coalesce(m, vec_id) AS kept
 FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN c ON c.u = vec_id
 """
+
+
+@_query
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents")).drop("row_key")
