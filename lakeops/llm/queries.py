@@ -12,6 +12,7 @@ from lakeops.llm.common import table
 from lakeops.llm.decontaminate import decontaminate
 from lakeops.llm.embed_dedup import near_duplicates
 from lakeops.llm.html_template import extract
+from lakeops.llm.jaccard_groups import jaccard_classes
 from lakeops.llm.lm_scoring import lm_scores
 from lakeops.llm.packing import best_fit_packing
 from lakeops.llm.quality import quality_scores
@@ -116,3 +117,8 @@ FROM embeddings LEFT JOIN n ON n.u = vec_id LEFT JOIN c ON c.u = vec_id
 @_query
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents")).drop("row_key")
+
+
+@_query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents")).drop("row_key")
