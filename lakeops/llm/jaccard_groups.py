@@ -299,7 +299,8 @@ def across_groups(sets: DataFrame, part: int, whole: int) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, width: int = 4, part: int = 85, whole: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, row_key, n_shingles, component_id (smallest id reachable by links, itself included).
+    """One row per document: doc_id, row_key, n_shingles, root (a number for its class, null for an empty set) and
+    component_id (smallest id reachable by links, itself included).
 
     Two documents link when whole * intersection >= part * union of their shingle sets. A null text, or one without words,
     has an empty set and links with nothing; a text of fewer than ``width`` words has one shingle. Repeated rows link (equal
@@ -337,4 +338,19 @@ def jaccard_classes(docs: DataFrame, width: int = 4, part: int = 85, whole: int
     roots = components(links) if links is not None else nodes.select("node", F.col("node").alias("root")).limit(0)
     placed = written(rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
     least = written(placed.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
-    return placed.join(least, "root", "left").select("doc_id", "row_key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return placed.join(least, "root", "left").select("doc_id", "row_key", "root", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each_class(docs: DataFrame, width: int = 4, part: int = 85, whole: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each class, the one with the smallest id (null last); rows without words all stay."""
+    classes = written(jaccard_classes(docs, width, part, whole, id_col, text_col), "classes").where("root IS NOT NULL")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    best = written(classes.groupBy("root").agg(F.min(first).alias("best")).select("root", F.col("best.row_key").alias("stays")), "best")
+    gone = written(classes.join(best, "root").where("row_key <> stays").select(F.col("row_key").alias("_row_key")).distinct(), "gone")
+    twice = written(classes.groupBy("row_key").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("row_key").alias("_row_key")), "twice")
+    rest = docs.withColumn("_row_key", row_key(id_col, text_col)).join(small(gone, gone.count()), "_row_key", "left_anti")
+    repeated = twice.count()
+    if repeated:
+        again = small(twice, repeated)
+        rest = rest.join(again, "_row_key", "left_anti").unionByName(rest.join(again, "_row_key", "left_semi").dropDuplicates(["_row_key"]))
+    return rest.select(docs.columns)

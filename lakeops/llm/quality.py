@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import fold, mix, raw_bytes, slices, word_hashes, written
+from lakeops.llm.common import fold, mix, raw_bytes, row_key, slices, word_hashes, written
 
 _KINDS = ("upper", "lower", "digit", "space", "newline", "stop", "comma", "exclaim", "bar", "sign", "other", "wide")
 _KIND_OF = np.full(256, 10, np.uint8)
@@ -133,6 +133,29 @@ def fit(labelled: DataFrame, shrink: float = 0.1) -> Discriminant:
     return discriminant(full[:, 0, 0], full[:, 0, 1:], full[:, 1:, 1:], shrink)
 
 
+def good_quality(
+    docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.7, shrink: float = 0.1, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with only the rows whose score reaches ``threshold``; all columns kept, nothing shuffled but class sums."""
+    model = _learnt(written(measured(_narrow(docs, id_col, text_col), "text"), "statistics"), labels, label_col, shrink)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text_col, 4 << 20):
+                yield part.filter(pa.array(model.score(statistics(*raw_bytes(part.column(text_col)))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), (fold(id_col, 4) == 2).alias("held_out"), row_key(id_col, text_col).alias("row_key"), F.col(text_col).alias("text"))
+
+
+def _learnt(x: DataFrame, labels: DataFrame, label_col: str, shrink: float) -> Discriminant:
+    known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.max(label_col).cast("int").alias("label"))
+    return fit(x.where(~F.col("held_out")).join(known, F.col("doc_id") == F.col("id")), shrink)
+
+
 def quality_scores(
     docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.7, shrink: float = 0.1, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -143,10 +166,8 @@ def quality_scores(
     id count as their maximum. With fewer than two labelled rows of a class every score is the share of ones, or 0.5
     without labels.
     """
-    narrow = docs.select(F.col(id_col).alias("doc_id"), (fold(id_col, 4) == 2).alias("held_out"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("row_key"), F.col(text_col).alias("text"))
-    x = written(measured(narrow, "text"), "statistics")
-    known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.max(label_col).cast("int").alias("label"))
-    model = fit(x.where(~F.col("held_out")).join(known, F.col("doc_id") == F.col("id")), shrink)
+    x = written(measured(_narrow(docs, id_col, text_col), "text"), "statistics")
+    model = _learnt(x, labels, label_col, shrink)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

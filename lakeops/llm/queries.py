@@ -121,4 +121,4 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_classes(table(spark, sf_dir, "documents")).drop("row_key")
+    return jaccard_classes(table(spark, sf_dir, "documents")).drop("row_key", "root")

@@ -330,6 +330,20 @@ def _evidence(model: Model, keep: list[str]):
     return run
 
 
+def not_toxic(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``docs`` without the rows whose score reaches ``threshold``; all columns kept, nothing shuffled."""
+    model = fit(docs, labels, label_col, id_col, text_col, rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restorer = Restorer(model.trigrams)
+        for batch in batches:
+            for part in slices(batch, text_col, 2 << 20):
+                score = model.score(model.evidence(*restored(*raw_bytes(part.column(text_col)), restorer)))
+                yield part.filter(pa.array(score < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per document: doc_id, row_key, held_out, score and predicted.
 
