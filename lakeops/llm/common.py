@@ -74,6 +74,14 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with marks put before it until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text"):
     """64 bits that identify a row by its id and its text, also when ids are null or repeated."""
     return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import row_key, small, written
+from lakeops.llm.common import free_name, row_key, small, written
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -82,21 +82,23 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 13, one_in: int
 
 def clean_rows(docs: DataFrame, items: DataFrame, size: int = 13, one_in: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without its contaminated rows, all columns kept."""
-    marked = docs.withColumn("_row_key", row_key(id_col, text_col))
-    found = report(marked.select(F.col("_row_key").alias("key"), F.col(text_col).alias("text")), items.select("item_id", "text"), size)
-    found = written(found.select(F.col("key").alias("_row_key"), "n_hit"), "report")
+    key, hit = free_name(docs, "row_key"), free_name(docs, "n_hit")
+    marked = docs.withColumn(key, row_key(id_col, text_col))
+    found = report(marked.select(F.col(key).alias("key"), F.col(text_col).alias("text")), items.select("item_id", "text"), size)
+    found = written(found.select(F.col("key").alias(key), F.col("n_hit").alias(hit)), "report")
     n_words = F.size(words_of(F.col(text_col)))
-    joined = marked.join(small(found, found.count()), "_row_key", "left")
-    return joined.where(F.col("n_hit").isNull() | (F.col("n_hit") * one_in < n_words)).select(docs.columns)
+    joined = marked.join(small(found, found.count()), key, "left")
+    return joined.where(F.col(hit).isNull() | (F.col(hit) * one_in < n_words)).select(docs.columns)
 
 
 def without_spans(docs: DataFrame, items: DataFrame, size: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every word inside a found window cut from the text; what stands between words stays. Null stays null."""
-    marked = docs.withColumn("_row_key", row_key(id_col, text_col))
-    found = written(hits(marked.select(F.col("_row_key").alias("key"), F.col(text_col).alias("text")), items.select("item_id", "text"), size), "spans")
-    gone = found.select(F.col("key").alias("_row_key"), F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("i"))
-    gone = gone.distinct().groupBy("_row_key").agg(F.map_from_entries(F.collect_list(F.struct("i", F.lit(True)))).alias("_gone"))
+    key, gone_col = free_name(docs, "row_key"), free_name(docs, "gone")
+    marked = docs.withColumn(key, row_key(id_col, text_col))
+    found = written(hits(marked.select(F.col(key).alias("key"), F.col(text_col).alias("text")), items.select("item_id", "text"), size), "spans")
+    gone = found.select("key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("i")).distinct()
+    gone = gone.groupBy(F.col("key").alias(key)).agg(F.map_from_entries(F.collect_list(F.struct("i", F.lit(True)))).alias(gone_col))
     words, gaps = F.regexp_extract_all(F.col(text_col), F.lit(_WORD_AS_IS), F.lit(0)), F.split(text_col, _WORD_AS_IS, -1)
-    rest = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.when(F.element_at("_gone", i + 1).isNotNull() | (i >= F.size(words)), "").otherwise(F.get(words, i)))), "")
-    joined = marked.join(gone, "_row_key", "left")
-    return joined.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(rest)).select(docs.columns)
+    rest = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.when(F.element_at(gone_col, i + 1).isNotNull() | (i >= F.size(words)), "").otherwise(F.get(words, i)))), "")
+    joined = marked.join(gone, key, "left")
+    return joined.withColumn(text_col, F.when(F.col(gone_col).isNull(), F.col(text_col)).otherwise(rest)).select(docs.columns)

@@ -101,7 +101,7 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
             parts.append(html_entities.unescape(raw) if "&" in raw else raw)
 
     def close(depth: int) -> None:
-        if any(n.name not in _INLINE for n in stack[depth:]):
+        if any(n.name not in _INLINE and n.name not in _HIDDEN for n in stack[depth:]):
             flush()
         del stack[depth:]
 
@@ -145,7 +145,7 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
                 if stack[i].name in same:
                     close(i)
                     break
-        if name not in _INLINE:
+        if name not in _INLINE and name not in _HIDDEN:
             flush()
         label, is_core, is_beside, is_hidden = _meaning(name, m.group(2))
         top = stack[-1]

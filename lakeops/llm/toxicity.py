@@ -106,6 +106,12 @@ class Restorer:
 
 def disguised(data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
     """Spans of words that hold signs between letters, a letter three times in a row, or single letters set apart."""
+    # Texts are set apart by a blank, so that no word reaches into the next text.
+    many = len(bounds) - 1
+    owner = np.repeat(np.arange(many), np.diff(bounds))
+    apart = np.full(len(data) + many, 32, np.uint8)
+    apart[np.arange(len(data)) + owner] = data
+    data, bounds = apart, bounds + np.arange(many + 1)
     n = len(data)
     if n < 3:
         return []
@@ -145,7 +151,9 @@ def disguised(data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
             begin = int(bounds[k])
             for m in _APART.finditer(data[begin:int(bounds[k + 1])].tobytes()):
                 spans.append((begin + m.start(), begin + m.end()))
-    return sorted(spans)
+    spans.sort()
+    text_of = (np.searchsorted(bounds, [b for b, _ in spans], "right") - 1).tolist()
+    return [(begin - k, end - k) for (begin, end), k in zip(spans, text_of, strict=True)]
 
 
 def restored(data: np.ndarray, bounds: np.ndarray, restorer: Restorer) -> tuple[np.ndarray, np.ndarray]:
