@@ -62,7 +62,7 @@ def _window_columns(prefix: str, label: str) -> dict[str, Column]:
 
 
 def _thirty_day_columns() -> dict[str, Column]:
-    mean = ratio(F.col("w30d_sum"), F.col("w30d_n"))
+    mean = ratio(F.col("w30d_sum"), F.col("w30d_k"))
     std = F.coalesce("w30d_std", F.lit(1.0))
     return {
         "avg_amount_30d": mean,
@@ -84,7 +84,7 @@ def high_risk_country(country: Column | str) -> Column:
 
 
 def _trailing(windows: dict[str, tuple[int, int]]) -> tl.Trailing:
-    return tl.Trailing(KEY, "ts", "amount", windows)
+    return tl.Trailing(KEY, "ts", "amount", windows, spread=[w for w in windows if w == "w30d"])
 
 
 def velocity_features(df: DataFrame, floor: int = tl.HOT_ROWS) -> DataFrame:
@@ -145,7 +145,7 @@ def features_for_date(df: DataFrame, date: str, floor: int = tl.HOT_ROWS) -> Dat
 # --- extended vector --------------------------------------------------------------
 
 
-def distinct_in_window(df: DataFrame, key: Sequence[str], ts: str, value: str, windows: dict[str, int]) -> DataFrame:
+def distinct_in_window(df: DataFrame, key: Sequence[str], ts: str, value: str, windows: dict[str, int], floor: int = tl.HOT_ROWS) -> DataFrame:
     """Distinct ``value`` in [t - back, t] per key and second: (key, second, one column per window).
 
     A value counts from its occurrence until ``back`` seconds after the last one, so
@@ -168,8 +168,8 @@ def distinct_in_window(df: DataFrame, key: Sequence[str], ts: str, value: str, w
         items.append(F.when(gone, event(F.col("_s") + back + 1, name, -1)))
     events = seen.select(*key, F.explode(non_null_items(items)).alias("_e"))
     changes = events.groupBy(*key, F.col("_e.at").alias("_s")).agg(*[F.sum(f"_e.{n}").alias(n) for n in names])
-    run = Window.partitionBy(*key).orderBy("_s").rowsBetween(Window.unboundedPreceding, 0)
-    return changes.select(*key, "_s", *[F.sum(n).over(run).alias(n) for n in names])
+    totals = tl.running_totals(changes.select(*key, "_s", *[F.col(n).alias(f"_{n}") for n in names]), key, ["_s"], {n: F.col(f"_{n}") for n in names}, floor)
+    return totals.select(*key, "_s", *names)
 
 
 def extremes_of_days(df: DataFrame, key: Sequence[str], ts: str, value: str, days: int) -> DataFrame:
@@ -226,8 +226,8 @@ def fraud_features_ext(df: DataFrame, floor: int = tl.HOT_ROWS) -> DataFrame:
 
     placed = df.withColumn("_place", F.struct("location_lat", "location_lon"))
     per_second = [
-        distinct_in_window(df, KEY, "ts", "merchant_id", {"unique_merchants_7d": 7 * DAY, "unique_merchants_30d": 30 * DAY}),
-        distinct_in_window(placed, KEY, "ts", "_place", {"unique_locations_7d": 7 * DAY}),
+        distinct_in_window(df, KEY, "ts", "merchant_id", {"unique_merchants_7d": 7 * DAY, "unique_merchants_30d": 30 * DAY}, floor),
+        distinct_in_window(placed, KEY, "ts", "_place", {"unique_locations_7d": 7 * DAY}, floor),
         extremes_of_days(df, KEY, "ts", "amount", 30),
     ]
     rows = tl.by_heat(df, KEY, plain, sliced, floor).withColumn("_s", epoch_seconds("ts"))

@@ -41,7 +41,7 @@ def _pointers(rows: DataFrame, ttl_us: int) -> DataFrame:
         "_key", F.when(F.col("_failed"), F.col("_t")).otherwise(F.col("_t") + ttl_us).alias("at"),
         F.when(F.col("_failed"), F.col("_id")).otherwise(F.lit(_LAST)).alias("tie"), F.lit(0).alias("kind"), "_id",
     )
-    both = with_slice(own.unionByName(asks).withColumn("_ts", F.timestamp_micros("at")), "_ts").drop("_ts")
+    both = with_slice(own.unionByName(asks).withColumn("_down", -F.col("kind")), ["_key"], ["at", "tie", "_down"]).drop("_down")
     mine = F.when(F.col("kind") == 1, F.struct("at", "tie"))
     firsts = both.groupBy("_key", "_slice").agg(F.min(mine).alias("_first"))
     later = Window.partitionBy("_key").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
@@ -68,9 +68,9 @@ def _chase(rows: DataFrame, ttl_us: int) -> DataFrame:
 
 
 def accept_once(df: DataFrame, key: str, ts: str, row_id: str, failed=None, ttl_seconds: int = 86400, fold_rows: int = FOLD_ROWS) -> DataFrame:
-    """Rows with ``accepted``; ``failed`` is a condition, ``row_id`` a unique bigint."""
+    """Rows with ``accepted``; ``failed`` is a condition, ``row_id`` a unique bigint. Rows without a key share one key."""
     rows = df.select(
-        F.col(key).alias("_key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"), F.col(row_id).cast("bigint").alias("_id"),
+        F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("none")).alias("_key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"), F.col(row_id).cast("bigint").alias("_id"),
         (F.lit(False) if failed is None else F.coalesce(failed, F.lit(False))).alias("_failed"),
     )
     ttl_us = ttl_seconds * 1_000_000

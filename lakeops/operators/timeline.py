@@ -3,7 +3,7 @@
 A window over one key runs in one task. Keys with a fair share of the rows take that
 plan. The few larger ones ("hot") are cut along their time axis: each slice is its own
 group, and a per-slice summary, built with map-side combine, carries what a slice needs
-from the slices before it. Both plans return the same rows.
+from the slices before it. Both plans return the same rows, nulls included.
 """
 
 from __future__ import annotations
@@ -14,20 +14,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.exprs import epoch_seconds, exact
+from lakeops.session import materialize
 
+#: Rows of a key that one task may hold; a key with more is hot, whatever its share of the table.
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+#: Rows of a slice of a hot key.
+SLICE_ROWS = 250_000
+#: Hot keys up to which the list is sent to every executor; a longer one is joined by shuffle.
+BROADCAST_KEYS = 10_000
 
 
 def hot_keys(df: DataFrame, key: Sequence[str], floor: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``floor`` rows and more than 1/10,000 of all rows.
-
-    The second condition bounds the result: fewer than ``MAX_HOT_KEYS`` keys can hold
-    more than that share, whatever the table size, so the result is safe to broadcast.
-    """
+    """Keys with more than ``floor`` rows, as columns ``_hot_<key>``."""
     counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > floor)
-    total = df.agg((F.count(F.lit(1)) / MAX_HOT_KEYS).alias("_t"))
-    return counts.filter(F.col("_n") > total.scalar()).select(*[F.col(k).alias(f"_hot_{k}") for k in key])
+    return counts.select(*[F.col(k).alias(f"_hot_{k}") for k in key])
 
 
 def by_heat(
@@ -39,14 +39,14 @@ def by_heat(
 ) -> DataFrame:
     """``plain`` on ordinary keys, ``sliced`` on hot ones.
 
-    One count per key decides, when the plan is made: a table without hot keys gets the
-    plain plan and nothing else.
+    One count per key, written as a table, decides when the plan is made: a table without
+    hot keys gets the plain plan and nothing else.
     """
-    found = hot_keys(df, key, floor)
-    rows = found.collect()  # fewer than MAX_HOT_KEYS by construction
-    if not rows:
+    found = materialize(hot_keys(df, key, floor), "hot-keys")
+    count = found.count()
+    if not count:
         return plain(df)
-    hot = F.broadcast(df.sparkSession.createDataFrame(rows, found.schema))
+    hot = F.broadcast(found) if count <= BROADCAST_KEYS else found
     same = F.lit(True)
     for k in key:
         same = same & df[k].eqNullSafe(hot[f"_hot_{k}"])
@@ -62,18 +62,15 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in on])
 
 
-SLICES = 256
-
-
-def with_slice(df: DataFrame, ts: str) -> DataFrame:
-    """Add ``_slice``, growing with ``ts``: time ranges that hold similar numbers of rows.
+def with_slice(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``_slice``: the rows in the order of (key, order), cut into ranges of about ``SLICE_ROWS`` rows.
 
-    The cuts are quantiles of the rows themselves (a mergeable sketch, one row of at most
-    ``SLICES`` numbers), so a burst of rows within one hour is divided as well.
+    ``order`` ends with a unique column, so rows of one moment are divided as well. The
+    number of ranges follows the rows. The table is written once, so every reader sees the
+    same cuts.
     """
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    cuts = df.agg(F.percentile_approx(t, [i / SLICES for i in range(1, SLICES)], 10_000).alias("cuts"))
-    return df.withColumn("_cuts", cuts.scalar()).withColumn("_slice", F.size(F.filter("_cuts", lambda cut: cut < t))).drop("_cuts")
+    ranges = max(1, -(-df.count() // SLICE_ROWS))
+    return materialize(df.repartitionByRange(ranges, *key, *order).withColumn("_slice", F.spark_partition_id()), "slices")
 
 
 # --- previous row -----------------------------------------------------------------
@@ -85,7 +82,7 @@ def previous_plain(df: DataFrame, key: Sequence[str], order: Sequence[str], carr
 
 
 def previous_sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], carry: dict[str, str]) -> DataFrame:
-    base = with_slice(df, order[0])
+    base = with_slice(df, key, order)
     row = F.struct(*[F.col(o).alias(n) for o, n in carry.items()])
     last = base.groupBy(*key, "_slice").agg(F.max_by(row, F.struct(*order)).alias("_last"))
     handed_on = last.select(
@@ -119,15 +116,15 @@ def running_plain(df: DataFrame, key: Sequence[str], order: Sequence[str], sums:
 
 
 def running_sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], sums: dict[str, Column]) -> DataFrame:
-    base = with_slice(df, order[0]).withColumns({f"_in_{n}": e for n, e in sums.items()})
+    base = with_slice(df.withColumns({f"_in_{n}": e for n, e in sums.items()}), key, order)
     totals = base.groupBy(*key, "_slice").agg(*[F.sum(f"_in_{n}").alias(f"_sum_{n}") for n in sums])
     before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*key, "_slice", *[F.sum(f"_sum_{n}").over(before).alias(f"_before_{n}") for n in sums])
     inside = Window.partitionBy(*key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = join_null_safe(base, offsets, [*key, "_slice"])
-    out = joined.withColumns(
-        {n: F.sum(f"_in_{n}").over(inside) + F.coalesce(F.col(f"_before_{n}"), F.lit(0)) for n in sums}
-    )
+    # null only where neither this slice so far nor an earlier one has a value
+    within = {n: F.sum(f"_in_{n}").over(inside) for n in sums}
+    out = joined.withColumns({n: F.coalesce(w + F.col(f"_before_{n}"), w, F.col(f"_before_{n}")) for n, w in within.items()})
     return out.select(*df.columns, *sums)
 
 
@@ -145,21 +142,40 @@ def running_totals(df: DataFrame, key: Sequence[str], order: Sequence[str], sums
 
 
 class Trailing:
-    """Count, sum and sum of squares over [t - back, t - skip] seconds, per key.
+    """Row count, count and sum of a value over [t - back, t - skip] seconds, per key; its deviation where asked.
 
     A row enters each window once and leaves it once, so the frame is a running sum over
     entries and exits: linear in the rows however wide the window. Sums are kept in whole
-    ten-thousandths (squares as decimals), so taking a value out leaves nothing behind.
+    units, so taking a value out leaves nothing behind: values below a million in units of
+    1e-8, larger ones in units of 1e-4. Values of 1e15 and more (beyond the exact whole
+    numbers of a double in these units) count and add up, but give no deviation.
     """
 
-    UNIT = 10_000
+    FINE, COARSE, LARGE, HUGE = 100_000_000, 10_000, 1_000_000, 1e15
 
-    def __init__(self, key: Sequence[str], ts: str, value: str, windows: dict[str, tuple[int, int]]):
-        self.key, self.ts, self.value, self.windows = list(key), ts, value, windows
+    def __init__(self, key: Sequence[str], ts: str, value: str, windows: dict[str, tuple[int, int]], spread: Sequence[str] = ()):
+        self.key, self.ts, self.value, self.windows, self.spread = list(key), ts, value, windows, set(spread)
         # event codes: 0 is the row itself, then one entry and one exit code per window;
         # a window that includes the current second is entered by the row itself
         self.codes = {w: (0 if skip == 0 else 2 * i + 1, 2 * i + 2) for i, (w, (_, skip)) in enumerate(windows.items())}
 
+    def _parts(self, window: str) -> dict[str, str]:
+        """Running sum of a window -> column of the events that it adds up."""
+        more = {"kl": "_kl", "qf": "_qf", "qc": "_qc", "kh": "_kh"} if window in self.spread else {}
+        return {"n": "_n", "k": "_k", "vf": "_vf", "vc": "_vc"} | more
+
+    def _inputs(self) -> list[str]:
+        x = f"CAST(`{self.value}` AS DOUBLE)"
+        fine, coarse, huge = f"abs({x}) < {self.LARGE}", f"abs({x}) >= {self.LARGE}", f"abs({x}) >= {self.HUGE}"
+        vf = f"CASE WHEN {fine} THEN CAST(round({x} * {self.FINE}, 0) AS DECIMAL(15,0)) ELSE 0 END"
+        vc = f"CASE WHEN {coarse} THEN CAST(round(CAST({x} AS DECIMAL(38,4)) * {self.COARSE}, 0) AS DECIMAL(28,0)) ELSE 0 END"
+        small = f"CASE WHEN {coarse} AND NOT {huge} THEN CAST(round({x} * {self.COARSE}, 0) AS DECIMAL(19,0)) ELSE 0 END"
+        squares = [
+            f"CAST(({vf}) AS DECIMAL(15,0)) * CAST(({vf}) AS DECIMAL(15,0)) AS _qf", f"CAST(({small}) AS DECIMAL(19,0)) * CAST(({small}) AS DECIMAL(19,0)) AS _qc",
+            f"CASE WHEN {coarse} THEN 1 ELSE 0 END AS _kl", f"CASE WHEN {huge} THEN 1 ELSE 0 END AS _kh",
+        ]
+        return [f"CASE WHEN `{self.value}` IS NULL THEN 0 ELSE 1 END AS _k", f"CAST({vf} AS DECIMAL(15,0)) AS _vf", f"CAST({vc} AS DECIMAL(28,0)) AS _vc", *(squares if self.spread else [])]
+
     def _events(self, rows: DataFrame, payload: Sequence[str]) -> DataFrame:
         items = ["struct(_s AS at, 0 AS code)"]
         for w, (back, skip) in self.windows.items():
@@ -169,47 +185,53 @@ class Trailing:
             items.append(f"struct(_s + {back + 1} AS at, {leave} AS code)")
         carried = [f"CASE WHEN _e.code = 0 THEN `{k}` END AS `{k}`" for k in payload if k not in self.key]
         spread = rows.selectExpr("*", f"explode(array({', '.join(items)})) AS _e")
-        return spread.selectExpr(*[f"`{k}`" for k in self.key], "_n", "_v", "_vv", "_e.at AS _at", "_e.code AS _code", *carried)
+        return spread.selectExpr(*[f"`{k}`" for k in self.key], *self._names(), "_e.at AS _at", "_e.code AS _code", *carried)
+
+    def _names(self) -> list[str]:
+        return ["_n", "_k", "_vf", "_vc", *(["_qf", "_qc", "_kl", "_kh"] if self.spread else [])]
+
+    def _steps(self) -> dict[str, str]:
+        """What an event adds to each running sum."""
+        return {f"{w}_{m}": f"CASE _code WHEN {self.codes[w][0]} THEN {x} WHEN {self.codes[w][1]} THEN -{x} END" for w in self.windows for m, x in self._parts(w).items()}
+
+    def _finish(self, df: DataFrame, kept: Sequence[str]) -> DataFrame:
+        """Sums and deviations from whole units; a spread of zero is found exactly."""
+        out = [f"`{c}`" for c in kept]
+        for w in self.windows:
+            out += [f"{w}_n", f"{w}_k", f"CAST({w}_vf AS DOUBLE) / {self.FINE}D + CAST({w}_vc AS DOUBLE) / {self.COARSE}D AS {w}_sum"]
+            if w in self.spread:
+                exact = "greatest(coalesce(CAST(try_subtract(try_multiply(CAST({w}_k AS DECIMAL(10,0)), {q}), try_multiply(CAST({v} AS DECIMAL(19,0)), CAST({v} AS DECIMAL(19,0)))) AS DOUBLE), CAST({w}_k AS DOUBLE) * CAST({q} AS DOUBLE) - CAST({v} AS DOUBLE) * CAST({v} AS DOUBLE)), 0D)"
+                fine = exact.format(w=w, q=f"CAST({w}_qf AS DECIMAL(28,0))", v=f"{w}_vf") + f" / {float(self.FINE) ** 2}D"
+                coarse = exact.format(w=w, q=f"CAST({w}_qc AS DECIMAL(38,0))", v=f"{w}_vc") + f" / {float(self.COARSE) ** 2}D"
+                mean_of = f"(CAST({w}_vf AS DOUBLE) / {self.FINE}D + CAST({w}_vc AS DOUBLE) / {self.COARSE}D)"
+                mixed = f"greatest(CAST({w}_k AS DOUBLE) * (CAST({w}_qf AS DOUBLE) / {float(self.FINE) ** 2}D + CAST({w}_qc AS DOUBLE) / {float(self.COARSE) ** 2}D) - {mean_of} * {mean_of}, 0D)"
+                spread = f"CASE WHEN {w}_kl = 0 THEN {fine} WHEN {w}_kl = {w}_k THEN {coarse} ELSE {mixed} END"
+                out.append(f"CASE WHEN {w}_k > 1 AND {w}_kh = 0 THEN sqrt(({spread}) / (CAST({w}_k AS DOUBLE) * ({w}_k - 1))) END AS {w}_std")
+        return df.selectExpr(*out)
 
-    def _measure(self, events: DataFrame) -> DataFrame:
+    def plain(self, df: DataFrame) -> DataFrame:
+        rows = df.repartition(*self.key).withColumn("_s", epoch_seconds(self.ts)).selectExpr("*", "1 AS _n", *self._inputs())
         keys = ", ".join(f"`{k}`" for k in self.key)
         frame = f"OVER (PARTITION BY {keys} ORDER BY _at RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-        sums = []
-        for w, (enter, leave) in self.codes.items():
-            for name, x in (("n", "_n"), ("sum", "_v"), ("sq", "_vv")):
-                sums.append(f"sum(CASE _code WHEN {enter} THEN {x} WHEN {leave} THEN -{x} END) {frame} AS {w}_{name}")
-        kept = [c for c in events.columns if c not in ("_n", "_v", "_vv", "_at", "_code")]
-        names = [f"{w}_{m}" for w in self.windows for m in ("n", "sum", "sq")]
-        own = events.selectExpr(*[f"`{c}`" for c in kept], "_code", *sums).filter("_code = 0")
-        # zero spread is found exactly, on whole numbers
-        spread = "CAST({w}_n AS DECIMAL(10,0)) * CAST({w}_sq AS DECIMAL(28,0)) - CAST({w}_sum AS DECIMAL(19,0)) * CAST({w}_sum AS DECIMAL(19,0))"
-        std = "CASE WHEN {w}_n > 1 THEN sqrt(greatest(CAST(" + spread + " AS DOUBLE), 0D) / (CAST({w}_n AS DOUBLE) * ({w}_n - 1))) / {unit}D END AS {w}_std"
-        return own.selectExpr(
-            *[f"`{c}`" for c in kept],
-            *[f"{n} / {self.UNIT}D AS {n}" if n.endswith("_sum") else n for n in names],
-            *[std.format(w=w, unit=self.UNIT) for w in self.windows],
-        )
-
-    def _inputs(self) -> list[str]:
-        units = f"CAST(round(`{self.value}` * {self.UNIT}, 0) AS BIGINT)"
-        return [f"coalesce({units}, 0) AS _v", f"CAST(coalesce({units}, 0) AS DECIMAL(15,0)) * CAST(coalesce({units}, 0) AS DECIMAL(15,0)) AS _vv"]
-
-    def plain(self, df: DataFrame) -> DataFrame:
-        rows = df.repartition(*self.key).withColumn("_s", epoch_seconds(self.ts))
-        rows = rows.selectExpr("*", *self._inputs(), f"CASE WHEN `{self.value}` IS NULL THEN 0 ELSE 1 END AS _n")
-        return self._measure(self._events(rows, df.columns))
+        measured = self._events(rows, df.columns).selectExpr(*[f"`{c}`" for c in df.columns], "_code", *[f"sum({step}) {frame} AS {name}" for name, step in self._steps().items()])
+        return self._finish(measured.filter("_code = 0"), df.columns)
 
     def sliced(self, df: DataFrame) -> DataFrame:
-        """One row per second stands for all its peers; results go back by (key, second)."""
+        """One row per second stands for all its peers; what enters and leaves at a second is added up, and the running
+        sums over seconds are cut into slices. Results go back by (key, second)."""
         base = df.withColumn("_s", epoch_seconds(self.ts))
-        seconds = base.selectExpr(*[f"`{k}`" for k in self.key], "_s", f"`{self.value}` AS _x", *self._inputs()).groupBy(*self.key, "_s").agg(
-            F.count("_x").alias("_n"), F.sum("_v").alias("_v"), F.sum("_vv").alias("_vv")
+        keys = [f"`{k}`" for k in self.key]
+        seconds = base.selectExpr(*keys, "_s", "1 AS _n", *self._inputs()).groupBy(*self.key, "_s").agg(*[F.sum(n).alias(n) for n in self._names()])
+        steps = self._steps()
+        changes = self._events(seconds, self.key).groupBy(*self.key, "_at").agg(
+            F.max(F.expr("CASE WHEN _code = 0 THEN 1 ELSE 0 END")).alias("_own"), *[F.sum(F.expr(step)).alias(f"_add_{name}") for name, step in steps.items()]
         )
-        measured = self._measure(self._events(seconds, [*self.key, "_s"]))
+        run = running_sliced(changes, self.key, ["_at"], {name: F.col(f"_add_{name}") for name in steps})
+        measured = self._finish(run.filter("_own = 1").withColumnRenamed("_at", "_s"), [*self.key, "_s"])
         return join_null_safe(base, measured, [*self.key, "_s"]).drop("_s")
 
     def columns(self) -> list[str]:
-        return [f"{w}_{m}" for w in self.windows for m in ("n", "sum", "sq", "std")]
+        return [f"{w}_{m}" for w in self.windows for m in ("n", "k", "sum", *(["std"] if w in self.spread else []))]
 
 
 # --- first occurrence -------------------------------------------------------------

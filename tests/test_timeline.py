@@ -13,6 +13,11 @@ HOT = 0  # every key above zero rows and above its share of the table is hot
 COLD = 10**9
 
 
+@pytest.fixture(autouse=True)
+def small_slices(monkeypatch):
+    monkeypatch.setattr(tl, "SLICE_ROWS", 60)
+
+
 @pytest.fixture(scope="module")
 def txns(spark):
     """Skewed accounts, ties on the second, missing merchants, amounts and a null account."""
@@ -49,10 +54,11 @@ def test_windows_match_brute_force(txns):
     sec = lambda r: int((r["ts"] - datetime(1970, 1, 1)).total_seconds())
     for r in data[::13]:
         mine = [x for x in data if x["account_id"] == r["account_id"]]
-        hour = [x["amount"] for x in mine if sec(r) - 3600 <= sec(x) <= sec(r) and x["amount"] is not None]
+        within = [x["amount"] for x in mine if sec(r) - 3600 <= sec(x) <= sec(r)]
+        hour = [x for x in within if x is not None]
         month = [x["amount"] for x in mine if sec(r) - 2592000 <= sec(x) < sec(r) and x["amount"] is not None]
         row = got[r["transaction_id"]]
-        assert row["tx_count_1h"] == len(hour)
+        assert row["tx_count_1h"] == len(within)
         assert row["tx_amount_1h"] == pytest.approx(sum(hour))
         mean = sum(month) / len(month) if month else 0.0
         assert row["avg_amount_30d"] == pytest.approx(mean)
@@ -80,7 +86,7 @@ def test_sequence_features_agree(txns):
 
 
 def test_running_balance_agrees(txns):
-    df = txns.select("transaction_id", F.col("account_id").cast("string").alias("source_account"), "transaction_type", F.coalesce("amount", F.lit(1.0)).alias("amount"), "ts")
+    df = txns.select("transaction_id", F.col("account_id").cast("string").alias("source_account"), "transaction_type", F.when(F.col("transaction_id") % 3 != 0, F.col("amount")).alias("amount"), "ts")
     assert rows_of(business.account_balances(df, floor=HOT)) == rows_of(business.account_balances(df, floor=COLD))
 
 
@@ -96,3 +102,27 @@ def test_hot_key_list_is_bounded_by_share(txns):
 
 def test_empty_input(txns):
     assert fraud.fraud_features(txns.limit(0)).count() == 0
+
+
+def test_tiny_and_huge_amounts(spark):
+    """Amounts keep their value next to others of any size, and none of them stops the job."""
+    amounts = [0.00004, 0.00002, None, 1e12, 0.00004, 1e12 + 2, 3e15, 0.5]
+    rows = [(i, 1, "m", "d", "POS", "PURCHASE", a, datetime(2024, 1, 1) + timedelta(days=20 * i), 46.0, 6.0, "CH") for i, a in enumerate(amounts)]
+    rows += [(100 + i, 2, "m", "d", "POS", "PURCHASE", a, datetime(2024, 1, 1, 0, 0, i), 46.0, 6.0, "CH") for i, a in enumerate(amounts[:6])]
+    df = spark.createDataFrame(rows, "transaction_id bigint, account_id bigint, merchant_id string, device_id string, channel string, transaction_type string, amount double, ts timestamp_ntz, location_lat double, location_lon double, location_country string")
+    for floor in (HOT, COLD):
+        got = {r["transaction_id"]: r for r in fraud.fraud_features(df, floor=floor).collect()}
+        assert got[1]["avg_amount_30d"] == pytest.approx(0.00004) and got[2]["avg_amount_30d"] == pytest.approx(0.00002)
+        assert got[5]["avg_amount_30d"] == pytest.approx(0.00004)  # the huge amount has left without a trace
+        assert got[103]["std_amount_30d"] == pytest.approx(0.00002 / 2**0.5)
+        assert [got[100 + i]["tx_count_1h"] for i in range(6)] == [1, 2, 3, 4, 5, 6]
+        assert got[105]["tx_amount_1h"] == pytest.approx(2e12 + 2.0001)
+
+
+def test_one_moment_is_divided(spark):
+    """Rows of one timestamp are cut by their unique id."""
+    df = spark.range(500).selectExpr("id", "1 AS k", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts", "CASE WHEN id % 2 = 0 THEN CAST(id AS DOUBLE) END AS x")
+    cut = tl.with_slice(df, ["k"], ["ts", "id"])
+    assert cut.groupBy("_slice").count().count() > 3
+    run = lambda floor: rows_of(tl.running_totals(df, ["k"], ["ts", "id"], {"total": F.col("x")}, floor))
+    assert run(HOT) == run(COLD)
