@@ -91,7 +91,11 @@ def merchant_categories(spark, path: str | None = None) -> DataFrame:
     """Category table from a JSON-lines file, or the built-in one when no file is given."""
     if path:
         return spark.read.schema(MERCHANT_SCHEMA).json(path)
-    return spark.createDataFrame(fixed.MERCHANT_CATEGORIES, MERCHANT_SCHEMA)
+    rows = ", ".join("(" + ", ".join(str(v).lower() if isinstance(v, bool) else repr(v) for v in row) + ")" for row in fixed.MERCHANT_CATEGORIES)
+    fields = [f.strip().split() for f in MERCHANT_SCHEMA.split(",")]
+    # a local relation: Spark knows that it is small, so the fact table is not shuffled for it
+    named = ", ".join(f"CAST(col{i + 1} AS {kind}) AS {name}" for i, (name, kind) in enumerate(fields))
+    return spark.sql(f"SELECT {named} FROM VALUES {rows}")
 
 
 def encode_merchants(df: DataFrame, mcc: str, categories: DataFrame) -> DataFrame:

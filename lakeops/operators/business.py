@@ -202,19 +202,22 @@ TURNS_PER_PART = 1000
 
 
 def call_texts(df: DataFrame, call: str, turn: str, speaker: str, text: str) -> DataFrame:
-    """Full, customer and agent text per call on one line each.
+    """Full, customer and agent text per call: one row and one line each.
 
-    A call of more than a thousand turns comes as several numbered parts, so one task
-    never holds more than that many turns.
+    The turns of a call are joined in two steps, a thousand at a time and then the parts in
+    order, so no array ever holds more than a thousand turns or one string per thousand.
     """
     line = F.struct(F.col(turn).alias("turn"), F.col(speaker).alias("speaker"), F.col(text).alias("text"))
     parts = df.groupBy(call, F.floor(F.col(turn) / TURNS_PER_PART).alias("part")).agg(F.array_sort(F.collect_list(line)).alias("_lines"))
 
     def said_by(*speakers: str) -> Column:
         mine = F.filter("_lines", lambda x: x["speaker"].isin(*speakers)) if speakers else F.col("_lines")
-        return clean_text(F.array_join(F.transform(mine, lambda x: x["text"]), " "))
+        return F.array_join(F.transform(mine, lambda x: x["text"]), " ")
 
-    return parts.select(call, "part", said_by().alias("full_text"), said_by("user", "CUSTOMER").alias("customer_text"), said_by("assistant", "AGENT").alias("agent_text"))
+    names = {"full_text": (), "customer_text": ("user", "CUSTOMER"), "agent_text": ("assistant", "AGENT")}
+    strings = parts.select(call, F.struct("part", *[said_by(*who).alias(n) for n, who in names.items()]).alias("_part"))
+    whole = strings.groupBy(call).agg(F.array_sort(F.collect_list("_part")).alias("_parts"))
+    return whole.select(call, *[clean_text(F.array_join(F.col(f"_parts.{n}"), " ")).alias(n) for n in names])
 
 
 TRANSCRIPT_JSON = (
@@ -436,7 +439,10 @@ def with_codes(df: DataFrame, column: str) -> DataFrame:
     return df.join(codes, column, "left").withColumn(f"{column}_encoded", F.coalesce(f"{column}_encoded", F.lit(-1)))
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None) -> DataFrame:
+    """One 0/1 column per category: the given ones, or all that occur (they become column names, so they are few)."""
+    if values is None:
+        values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
     return df.withColumns({f"{column}_{v}": F.coalesce(F.col(column) == v, F.lit(False)).cast("int") for v in values})
 
 

@@ -84,7 +84,10 @@ def path_metadata(df: DataFrame, path: str) -> DataFrame:
 
 def clean_imaging(df: DataFrame, required: Sequence[str], key: str, order: Sequence[str]) -> DataFrame:
     """Required columns present, newest row per key, upper-case labels, empty instead of missing code lists."""
-    kept = df.na.drop(how="any", subset=[r for r in required if r in df.columns])
+    absent = [r for r in required if r not in df.columns]
+    if absent:
+        raise ValueError(f"required columns are missing: {absent}")
+    kept = df.na.drop(how="any", subset=list(required))
     unique = latest_per_key(kept, [key], order)
     fixes = {n: F.upper(n) for n in ("modality", "body_part") if n in df.columns}
     if "condition_codes" in df.columns:
@@ -144,6 +147,7 @@ def gps_rules(columns: Sequence[str] = ()) -> list[tuple[Column, str]]:
     }
     return [
         (F.col("truck_id").isNull(), "Missing truck_id"),
+        (F.col("latitude").isNull() | F.col("longitude").isNull(), "Missing position"),
         (~F.col("latitude").between(-90, 90), "Latitude out of range"),
         (~F.col("longitude").between(-180, 180), "Longitude out of range"),
         (F.col("speed_kmh") < 0, "Negative speed"),
@@ -163,8 +167,3 @@ def transcript_rules(segments: str = "segments") -> list[tuple[Column, str]]:
         (F.exists(seg, lambda s: F.trim(s["text"]) == ""), "Empty text in segment"),
         (F.exists(seg, lambda s: s["end_time"] < s["start_time"]), "Invalid time range in segment"),
     ]
-
-
-def map_to_columns(df: DataFrame, column: str, keys: Mapping[str, str]) -> DataFrame:
-    """Named keys of a string map as typed columns."""
-    return df.withColumns({k: F.try_element_at(column, F.lit(k)).try_cast(t) for k, t in keys.items()})

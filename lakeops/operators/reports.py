@@ -16,7 +16,12 @@ MB = 1024.0**2
 
 
 def events_by_type(df: DataFrame, month: str | None = None) -> DataFrame:
-    rows = df if month is None else df.filter(F.date_format("ts", "yyyy-MM") == month)
+    if month is None:
+        rows = df
+    else:
+        # a half-open range of the column itself, so that it reaches the scan
+        first = F.lit(f"{month}-01").cast(df.schema["ts"].dataType)
+        rows = df.filter((F.col("ts") >= first) & (F.col("ts") < first + F.expr("INTERVAL 1 MONTH")))
     return rows.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("event_count"), F.count_distinct("user_id").alias("unique_users")
     ).orderBy(F.desc("event_count"), "event_type")
@@ -82,10 +87,14 @@ def data_quality_check(df: DataFrame, days: int = 30) -> DataFrame:
 
 
 def imaging_by_modality(df: DataFrame, year: int | None = None, month: int | None = None) -> DataFrame:
-    if year is not None:
-        df = df.filter(F.year("acquisition_date") == year)
-    if month is not None:
-        df = df.filter(F.month("acquisition_date") == month)
+    day = F.col("acquisition_date")
+    if year is not None and month is not None:
+        first = F.make_date(F.lit(year), F.lit(month), F.lit(1))
+        df = df.filter((day >= first) & (day < F.add_months(first, 1)))
+    elif year is not None:
+        df = df.filter((day >= F.make_date(F.lit(year), F.lit(1), F.lit(1))) & (day < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))))
+    elif month is not None:
+        df = df.filter(F.month(day) == month)
     return df.groupBy("modality", "body_part").agg(
         F.count(F.lit(1)).alias("image_count"), F.count_distinct("patient_id").alias("patient_count")
     ).orderBy(F.desc("image_count"), "modality", "body_part")
@@ -189,7 +198,8 @@ def period_compare(df: DataFrame, day: str, end: str, days: int, group: Sequence
     """Current against previous period of equal length (half-open), from one scan."""
     age = F.datediff(F.lit(end).cast("date"), F.col(day))
     now, before = (age > 0) & (age <= days), (age > days) & (age <= 2 * days)
-    rows = df.filter((age > 0) & (age <= 2 * days))
+    last = F.lit(end).cast("date")
+    rows = df.filter((F.col(day) < last) & (F.col(day) >= F.date_sub(last, 2 * days)))
 
     def both(name: str, cond: Column) -> list[Column]:
         return [F.count_if(now & cond).alias(f"{name}_now"), F.count_if(before & cond).alias(f"{name}_before")]

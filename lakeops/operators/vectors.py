@@ -13,7 +13,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_QUERIES = 2048
+#: Queries of one pass, and the bytes that their vectors may take at most.
+MAX_QUERIES, MAX_QUERY_BYTES = 2048, 64 << 20
 
 
 def embed_hashed(df: DataFrame, text: str, out: str = "embedding", dims: int = 256) -> DataFrame:
@@ -53,25 +54,26 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best scores, ties by smaller id."""
+    """Positions of the k best scores, ties by smaller id (numbers or strings)."""
     if len(scores) > k:
         bar = np.partition(scores, len(scores) - k)[len(scores) - k]
         keep = np.flatnonzero(scores >= bar)
     else:
         keep = np.arange(len(scores))
-    return keep[np.lexsort((ids[keep], -scores[keep]))[:k]]
+    return keep[sorted(range(len(keep)), key=lambda j: (-scores[keep[j]], ids[keep[j]]))[:k]]
 
 
 def _scan(df: DataFrame, key: str, vector: str, names: list, matrix: np.ndarray, query: str, query_type: str, k: int, threshold: float) -> DataFrame:
+    key_type = dict(df.dtypes)[key]
     shared = df.sparkSession.sparkContext.broadcast(_unit(matrix))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0), np.empty(0, dtype="int64"))] * len(names)
+        best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0), np.empty(0, dtype=object))] * len(names)
         for pdf in frames:
             if pdf.empty:
                 continue
             scores = _unit(np.vstack(pdf[vector].to_numpy()).astype("float64")) @ shared.value.T
-            ids = pdf[key].to_numpy()
+            ids = pdf[key].to_numpy(dtype=object)
             for q in range(len(names)):
                 s, i = np.concatenate([best[q][0], scores[:, q]]), np.concatenate([best[q][1], ids])
                 top = _best(s, i, k)
@@ -80,7 +82,7 @@ def _scan(df: DataFrame, key: str, vector: str, names: list, matrix: np.ndarray,
             yield pd.DataFrame({query: [names[q]] * len(s), key: i, "score": s})
 
     # every task hands on at most k rows per query
-    found = df.select(key, vector).mapInPandas(run, f"`{query}` {query_type}, `{key}` bigint, score double")
+    found = df.select(key, vector).mapInPandas(run, f"`{query}` {query_type}, `{key}` {key_type}, score double")
     return found.filter(F.col("score") >= threshold)
 
 
@@ -90,23 +92,29 @@ def knn_exact(
 ) -> DataFrame:
     """Exact cosine top-k per query over the whole table.
 
-    Queries travel to the data in blocks of about ``block`` vectors (a size-checked
-    broadcast); each task returns only its own top k, so the shuffle holds k rows per
-    task and query. More queries than one block mean more passes, never a dropped query.
+    Queries travel to the data in blocks of at most about ``block`` vectors and
+    ``MAX_QUERY_BYTES``; each task returns only its own top k, so the shuffle holds k rows
+    per task and query. More queries than one block mean more passes, never a dropped query.
+    Rows and queries without a vector or id are left out; no query gives no row.
     """
-    rows = df if where is None else df.filter(where)
+    rows = (df if where is None else df.filter(where)).filter(F.col(key).isNotNull() & F.col(vector).isNotNull())
+    queries = queries.filter(F.col(query).isNotNull() & F.col(query_vector).isNotNull())
     query_type = dict(queries.dtypes)[query]
-    blocks = max(1, -(-queries.count() // block))
+    count, width = queries.agg(F.count(F.lit(1)), F.max(F.size(query_vector))).first()
+    blocks = max(1, -(-count // block), -(-count * (width or 0) * 8 // MAX_QUERY_BYTES))
     parts = []
     for b in range(blocks):
         own = queries.filter(F.pmod(F.xxhash64(query), F.lit(blocks)) == b).orderBy(query).collect()
         if own:
             matrix = np.asarray([r[query_vector] for r in own], dtype="float64")
             parts.append(_scan(rows, key, vector, [r[query] for r in own], matrix, query, query_type, k, threshold))
+    w = Window.partitionBy(query).orderBy(F.desc("score"), key)
+    if not parts:
+        none = rows.select(F.lit(None).cast(query_type).alias(query), key, F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
+        return none.limit(0)
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    w = Window.partitionBy(query).orderBy(F.desc("score"), key)
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 

@@ -147,7 +147,7 @@ def _text_sql(where: str) -> str:
     return f"coalesce(trim(regexp_replace({agg}, '\\s+', ' ', 'g')), '')"
 
 
-@query("call_texts", f"""SELECT conv_id, turn // 1000 AS part, {_text_sql('')} AS full_text, {_text_sql("role = 'user'")} AS customer_text, {_text_sql("role = 'assistant'")} AS agent_text
+@query("call_texts", f"""SELECT conv_id, {_text_sql('')} AS full_text, {_text_sql("role = 'user'")} AS customer_text, {_text_sql("role = 'assistant'")} AS agent_text
  FROM conversations GROUP BY ALL""")
 def call_texts(lake):
     return biz.call_texts(lake("conversations"), "conv_id", "turn", "role", "text")
@@ -221,13 +221,12 @@ def validate_bank_txn(lake):
     return out.select("transaction_id", F.array_join("errors", "; ").alias("errors"))
 
 
-@query("quarantine_split", """SELECT 'good' AS side, count(*) AS n, 0 AS bodies FROM v_bank_txn WHERE NOT starts_with(source_account, '0000') AND NOT (transaction_type IN ('TRANSFER', 'PAYMENT') AND target_account IS NULL)
- UNION ALL SELECT 'bad', count(*), count(*) FROM v_bank_txn WHERE starts_with(source_account, '0000') OR (transaction_type IN ('TRANSFER', 'PAYMENT') AND target_account IS NULL)""".replace("0 AS bodies", "CAST(0 AS BIGINT) AS bodies"))
+@query("quarantine_split", """SELECT transaction_id, CASE WHEN starts_with(source_account, '0000') OR (transaction_type IN ('TRANSFER', 'PAYMENT') AND target_account IS NULL) THEN 'QUARANTINED' ELSE 'VALID' END AS status,
+ starts_with(source_account, '0000') OR (transaction_type IN ('TRANSFER', 'PAYMENT') AND target_account IS NULL) AS has_reason FROM v_bank_txn""")
 def quarantine_split(lake):
     good, bad = quality.quarantine(lake("v_bank_txn"), quality.bank_rules(), "transaction_id")
-    count = F.count(F.lit(1)).alias("n")
-    a = good.agg(count, F.lit(0).cast("bigint").alias("bodies")).withColumn("side", F.lit("good"))
-    return a.unionByName(bad.agg(count, F.count_if(F.contains("body", F.lit("transaction_id"))).alias("bodies")).withColumn("side", F.lit("bad")))
+    rows = good.select("transaction_id", F.lit("VALID").alias("status"), F.lit(False).alias("has_reason"))
+    return rows.unionByName(bad.select("transaction_id", "status", (F.length("reason") > 0).alias("has_reason")))
 
 
 @query("validate_tasks", """WITH t AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'DATA_PROCESSING' WHEN 1 THEN 'REPORT_GENERATION' WHEN 2 THEN 'NOTIFICATION_DISPATCH' ELSE '' END AS task_type,
@@ -425,14 +424,18 @@ def min_class_filter(lake):
     return monitoring.keep_large_classes(lake("documents").select("doc_id", "source"), "source", 50)
 
 
-PROFILED = ["o_custkey", "o_totalprice", "o_orderstatus"]
+PROFILED = {"o_orderkey": True, "o_custkey": True, "o_orderstatus": False, "o_totalprice": True, "o_orderdate": False, "o_orderpriority": False}
+PROFILE_SQL = " UNION ALL ".join(
+    f"SELECT '{n}' AS column_name, count(*) AS rows, count(*) - count({n}) AS missing, count(DISTINCT {n}) AS distinct_values, "
+    + (f"CAST(min({n}) AS DOUBLE) AS min_value, CAST(max({n}) AS DOUBLE) AS max_value, round(quantile_cont(CAST({n} AS DOUBLE), 0.5), 6) AS median" if number else "CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value, CAST(NULL AS DOUBLE) AS median")
+    + " FROM orders"
+    for n, number in PROFILED.items()
+)
 
 
-@query("profile_table", """SELECT 'o_custkey' AS column_name, count(*) AS rows, count(*) - count(o_custkey) AS missing, count(DISTINCT o_custkey) AS distinct_values, CAST(min(o_custkey) AS DOUBLE) AS min_value, CAST(max(o_custkey) AS DOUBLE) AS max_value, round(quantile_cont(o_custkey, 0.5), 6) AS median FROM orders
-UNION ALL SELECT 'o_totalprice', count(*), count(*) - count(o_totalprice), count(DISTINCT o_totalprice), min(o_totalprice), max(o_totalprice), round(quantile_cont(o_totalprice, 0.5), 6) FROM orders
-UNION ALL SELECT 'o_orderstatus', count(*), count(*) - count(o_orderstatus), count(DISTINCT o_orderstatus), NULL, NULL, NULL FROM orders""")
+@query("profile_table", PROFILE_SQL)
 def profile_table(lake):
-    return rounded(monitoring.profile(lake("orders").select(*PROFILED)), ["median"])
+    return rounded(monitoring.profile(lake("orders")), ["median"])
 
 
 @query("profile_outliers", """WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS a, quantile_cont(o_totalprice, 0.75) AS b FROM orders)
@@ -472,9 +475,11 @@ def content_features(lake):
     return rounded(out, ["total_watch_time", "avg_completion_rate", "popularity_score"])
 
 
-@query("genre_one_hot", "SELECT content_id, CAST(genre = 'Brand#1' AS INTEGER) AS \"genre_Brand#1\", CAST(genre = 'Brand#2' AS INTEGER) AS \"genre_Brand#2\" FROM v_content")
+@query("genre_one_hot", "SELECT content_id, g.genre AS name, CAST(coalesce(c.genre = g.genre, FALSE) AS INTEGER) AS flag FROM v_content c, (SELECT DISTINCT genre FROM v_content WHERE genre IS NOT NULL) g")
 def genre_one_hot(lake):
-    return biz.one_hot(lake("v_content").select("content_id", "genre"), "genre", ["Brand#1", "Brand#2"]).drop("genre")
+    content = lake("v_content").select("content_id", "genre")
+    wide = biz.one_hot(content, "genre").drop("genre")
+    return wide.unpivot("content_id", [n for n in wide.columns if n != "content_id"], "name", "flag").withColumn("name", F.expr("substr(name, 7)"))
 
 
 @query("interaction_features", f"""WITH {USER_SQL}, {CONTENT_SQL}

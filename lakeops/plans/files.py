@@ -171,26 +171,26 @@ def explode_log_envelope(lake):
     kind = F.when(F.col("user_id") % 50 == 0, "CONTROL_MESSAGE").otherwise("DATA_MESSAGE")
     body = F.to_json(F.struct(kind.alias("messageType"), F.concat(F.lit("g"), (F.col("user_id") % 5).cast("string")).alias("logGroup"), "logEvents"))
     packed.select(body.alias("value")).write.option("compression", "gzip").text(path)
-    events = scan.explode_log_envelope(lake.spark.read.text(path), "value", "action string, actor bigint")
-    return events.filter(F.col("action").isNotNull())
+    return scan.explode_log_envelope(lake.spark.read.text(path), "value", "action string, actor bigint")
 
 
-@query("parse_scored_lines", "SELECT 'good' AS side, count(*) AS n FROM events WHERE event_id % 30 <> 0 UNION ALL SELECT 'bad', count(*) FROM events WHERE event_id % 30 = 0")
+@query("parse_scored_lines", "SELECT event_id AS line, event_type AS sentiment, value AS positive, CAST(NULL AS VARCHAR) AS unread FROM events WHERE event_id % 30 <> 0 UNION ALL SELECT NULL, NULL, NULL, concat('oops', event_id) FROM events WHERE event_id % 30 = 0")
 def parse_scored_lines(lake):
     path = fresh_dir(lake.spark, "scored")
     line = F.to_json(F.struct(F.col("event_id").alias("Line"), F.col("event_type").alias("Sentiment"), F.struct(F.col("value").alias("Positive")).alias("SentimentScore")))
-    lake("events").select(F.when(F.col("event_id") % 30 == 0, "oops").otherwise(line).alias("value")).write.text(path)
+    unread = F.concat(F.lit("oops"), F.col("event_id").cast("string"))
+    lake("events").select(F.when(F.col("event_id") % 30 == 0, unread).otherwise(line).alias("value")).write.text(path)
     good, bad = scan.parse_scored_lines(lake.spark.read.text(path), "value", "Line bigint, Sentiment string, SentimentScore struct<Positive double>", "Line")
-    n = F.count(F.lit(1)).alias("n")
-    return good.agg(n).withColumn("side", F.lit("good")).unionByName(bad.agg(n).withColumn("side", F.lit("bad")))
+    read = good.select(F.col("Line").alias("line"), F.col("Sentiment").alias("sentiment"), F.col("SentimentScore.Positive").alias("positive"))
+    return read.unionByName(bad.select(F.col("value").alias("unread")), allowMissingColumns=True)
 
 
-@query("whole_documents")
+@query("whole_documents", "SELECT left(sha256(concat('lang=', lang, '/doc_id=', doc_id)), 16) AS document_id, concat('lang=', lang, '/doc_id=', doc_id) AS address, concat(text, chr(10)) AS text FROM documents")
 def whole_documents(lake):
     path = fresh_dir(lake.spark, "texts")
-    docs = lake("documents").select(F.col("lang"), "text")
-    docs.write.partitionBy("lang").text(path)
-    return scan.whole_documents(lake.spark, f"{path}/*/*").select("document_id", F.length("text").alias("chars"))
+    docs = lake("documents").select("lang", "doc_id", "text")
+    docs.write.partitionBy("lang", "doc_id").text(path)
+    return scan.whole_documents(lake.spark, path)
 
 
 @query("partition_sizes")

@@ -36,8 +36,7 @@ def chunk_documents(lake):
 @query("embed_chunks")
 def embed_chunks(lake):
     chunks = text.chunk_documents(lake("documents"), "doc_id", "text")
-    out = vectors.embed_hashed(chunks, "content")
-    return out.select("chunk_id", "document_id", F.size("embedding").alias("dims"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x), 4).alias("norm"))
+    return vectors.embed_hashed(chunks, "content").select("chunk_id", "document_id", "embedding")
 
 
 KNN_CTE = """c AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM embeddings), m AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM c GROUP BY ALL),
@@ -187,7 +186,7 @@ def doc_classifier(lake):
 def fraud_scores(lake):
     features = fraud.fraud_features(lake("v_txn")).fillna(0.0, fraud.FEATURES)
     labelled = materialize(fraud.weak_labels(features, flip=0.02), "labelled")  # training makes many passes
-    model = models.forest(fraud.FEATURES, "is_fraud", trees=20, depth=6).fit(labelled)
+    model = models.forest(fraud.FEATURES, "is_fraud", trees=100, depth=10).fit(labelled)
     model = models.through_file(model, fresh_dir(lake.spark, "fraud-model"))
     scored = models.positive_probability(model, labelled, fraud.FEATURES)
     return fraud.score_status(scored).select("transaction_id", "account_id", "fraud_score", "fraud_status", "confidence")
@@ -202,7 +201,7 @@ def engagement_model(lake):
 
     rows = materialize(interactions(lake).fillna(0.0, ENGAGEMENT), "interactions")
     split = search.split_by_key(rows, "user_id")
-    model = models.train_engagement(split.filter("split = 'train'"), ENGAGEMENT, "completion_rate", rounds=10)
+    model = models.train_engagement(split.filter("split = 'train'"), ENGAGEMENT, "completion_rate")
     scored = model.transform(split.filter("split = 'validation'"))
     per_user = business.ndcg_at_k(scored, "completion_rate", "prediction", "event_id", 10, ["user_id"])
     return per_user.withColumn("ndcg", F.round("ndcg", 6))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -21,10 +24,6 @@ CODECS = {
 }
 
 
-def dates_between(start: date, end: date) -> list[date]:
-    return [start + timedelta(days=i) for i in range((end - start).days + 1)]
-
-
 def scan_date_range(spark: SparkSession, root: str, target: str, lookback_days: int = 0, column: str = "date") -> DataFrame:
     """Target day and the days before it; one scan whose partition filter skips the rest.
 
@@ -51,12 +50,26 @@ def scan_ndjson(spark: SparkSession, path: str, schema: str | None = None, recur
 def scan_csv(spark: SparkSession, paths: str | Sequence[str], schema: str, required: Sequence[str] = ()) -> DataFrame:
     """CSV with a header; fails early when a required column is missing from any file."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    for path in paths:
-        header = spark.read.option("header", True).csv(path).columns
-        missing = [n for n in required if n not in header]
+    wanted = spark.createDataFrame([], schema).schema
+    # The first line of every file: files of one table may hold their columns in another order.
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("line"))
+    heads = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "line").alias("head"))
+    shapes: dict[str, list[str]] = {}
+    for head, files in heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect():
+        names = next(csv.reader([head.lstrip("\ufeff")]))
+        missing = [n for n in required if n not in names]
         if missing:
-            raise ValueError(f"{path}: missing columns {missing}")
-    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(paths)
+            raise ValueError(f"{files[0]}: missing columns {missing}")
+        shapes[head] = files
+    parts = []
+    for head, files in shapes.items():
+        names = next(csv.reader([head.lstrip("\ufeff")]))
+        own = StructType([wanted[n] if n in wanted.names else StructField(n, StringType()) for n in names])
+        rows = spark.read.option("header", True).schema(own).csv(files)
+        parts.append(rows.select(*[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted]))
+    if not parts:
+        return spark.createDataFrame([], wanted)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def check_codec(fmt: str, codec: str) -> None:
@@ -79,8 +92,10 @@ def explode_log_envelope(df: DataFrame, body: str, event_schema: str) -> DataFra
     envelope = F.from_json(body, "messageType string, logGroup string, logEvents array<struct<id string, timestamp bigint, message string>>")
     opened = df.select(envelope.alias("e")).filter(F.col("e.messageType") == "DATA_MESSAGE")
     events = opened.select(F.col("e.logGroup").alias("log_group"), F.explode("e.logEvents").alias("m"))
-    typed = events.select("log_group", F.col("m.id").alias("id"), F.col("m.timestamp").alias("timestamp"), F.from_json("m.message", event_schema).alias("event"))
-    return typed.filter(F.col("event").isNotNull()).select("log_group", "id", "timestamp", "event.*")
+    read = F.from_json("m.message", f"{event_schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+    typed = events.select("log_group", F.col("m.id").alias("id"), F.col("m.timestamp").alias("timestamp"), read.alias("event"))
+    good = typed.filter(F.col("event").isNotNull() & F.col(f"event.{CORRUPT}").isNull())
+    return good.select("log_group", "id", "timestamp", "event.*").drop(CORRUPT)
 
 
 def parse_scored_lines(df: DataFrame, line: str, schema: str, key: str) -> tuple[DataFrame, DataFrame]:
@@ -91,9 +106,14 @@ def parse_scored_lines(df: DataFrame, line: str, schema: str, key: str) -> tuple
 
 
 def whole_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per text file with a repeatable id from its address."""
-    uri = F.col("_metadata.file_path")
-    return spark.read.text(path, wholetext=True).select(F.left(F.sha2(uri, 256), F.lit(16)).alias("document_id"), uri.alias("uri"), F.col("value").alias("text"))
+    """One row per text file, with a repeatable id from its address below ``path``.
+
+    A file that a Spark job wrote is known by its folder, as its own name changes from run to run.
+    """
+    below = F.regexp_extract(F.col("_metadata.file_path"), "/" + re.escape(path.rstrip("/").rsplit("/", 1)[-1]) + "/(.*)$", 1)
+    address = F.regexp_replace(below, r"/part-[^/]*$", "")
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    return files.select(F.left(F.sha2(address, 256), F.lit(16)).alias("document_id"), address.alias("address"), F.col("value").alias("text"))
 
 
 def partition_sizes(spark: SparkSession, root: str, key: str = "day") -> DataFrame:

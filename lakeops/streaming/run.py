@@ -16,13 +16,6 @@ from lakeops.sources.sinks import write_batch_once
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def open_stream(spark: SparkSession, fmt: str, schema: str | None = None, **options: str) -> DataFrame:
-    """Any streaming source: files, rate, or kafka and others when their connector is installed."""
-    reader = spark.readStream.format(fmt).options(**options)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load()
-
 
 def parse_events(stream: DataFrame, body: str, schema: str, required: str) -> DataFrame:
     """Typed rows from JSON text or bytes, with arrival time and a flag for unreadable ones."""
