@@ -99,3 +99,25 @@ PATIENT_COLUMNS = ["patient_id", "diagnosis", "notes_summary"]
 
 # fixed values: sentence ends tried in this order when a chunk is cut
 SENTENCE_ENDS = [". ", ".\n", "? ", "?\n", "! ", "!\n"]
+
+# fixed values: limits above (below, for hours since the last one) which a transaction is labelled as fraud by rule
+WEAK_LABEL_LIMITS = {"amount_zscore": 3.0, "new_merchant_amount": 1000, "distance_from_last": 500, "time_since_last": 1, "tx_count_1h": 10}
+
+# fixed values: risk factor names and their conditions
+RISK_FACTORS = {
+    "HIGH_AMOUNT": "amount_zscore > 2.0",
+    "HIGH_VELOCITY": "tx_count_1h > 5",
+    "NEW_MERCHANT": "is_new_merchant = 1",
+    "NEW_DEVICE": "is_new_device = 1",
+    "HIGH_RISK_LOCATION": "is_high_risk_country = 1",
+    "IMPOSSIBLE_TRAVEL": "distance_from_last > 100 AND time_since_last < 1",
+    "WEEKEND_TX": "is_weekend = 1",
+    "ODD_HOURS": "hour_of_day < 6 OR hour_of_day > 22",
+}
+
+# fixed values: limits and texts of the advice on negative calls
+ADVICE_CALLS, ADVICE_ENTITY_MENTIONS, ADVICE_PHRASE_MENTIONS = 50, 5, 3
+ADVICE_VOLUME = "High volume of negative calls (%d). Consider reviewing agent training programs."
+ADVICE_ENTITY = "'%s' mentioned in %d negative calls. Investigate related issues."
+ADVICE_PHRASE = "'%s' appears frequently in negative calls. Review related processes."
+ADVICE_NONE = "No critical issues detected. Continue monitoring call quality."

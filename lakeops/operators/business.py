@@ -152,8 +152,9 @@ def top_terms(df: DataFrame, group: Sequence[str], terms: Column, n: int = 10) -
 
 
 def sentiment_trend(df: DataFrame, interval: str = "day") -> DataFrame:
-    """Counts per calendar interval; intervals without calls appear with zeros."""
-    keyed = df.withColumn("date", F.date_trunc(interval, F.col("call_date").cast("timestamp")).cast("date"))
+    """Counts per calendar interval; intervals without calls appear with zeros. Intervals below a day are times, others dates."""
+    kind = "timestamp_ntz" if interval.lower() in ("second", "minute", "hour") else "date"
+    keyed = df.withColumn("date", F.date_trunc(interval, F.col("call_date").cast("timestamp")).cast(kind))
     counts = call_counts(["date"], keyed)
     span = keyed.agg(F.min("date").alias("a"), F.max("date").alias("b"))
     days = span.select(F.explode(F.expr(f"sequence(a, b, INTERVAL 1 {interval.upper()})")).alias("date"))
@@ -178,22 +179,19 @@ def recommendations(negative_calls: DataFrame, entities: DataFrame, phrases: Dat
 
     ``entities`` and ``phrases`` are top-ten lists (term, mentions), so sorting them is cheap.
     """
-    volume = negative_calls.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 50).select(
-        F.lit(1).alias("rank"),
-        F.concat(F.lit("High volume of negative calls ("), F.col("n").cast("string"), F.lit("). Consider reviewing agent training programs.")).alias("recommendation"),
+    volume = negative_calls.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > fixed.ADVICE_CALLS).select(
+        F.lit(1).alias("rank"), F.format_string(fixed.ADVICE_VOLUME, "n").alias("recommendation"),
     )
-    named = entities.orderBy(F.desc("mentions"), "term").limit(3).filter(F.col("mentions") > 5).select(
-        F.lit(2).alias("rank"),
-        F.concat(F.lit("'"), "term", F.lit("' mentioned in "), F.col("mentions").cast("string"), F.lit(" negative calls. Investigate related issues.")).alias("recommendation"),
+    named = entities.orderBy(F.desc("mentions"), "term").limit(3).filter(F.col("mentions") > fixed.ADVICE_ENTITY_MENTIONS).select(
+        F.lit(2).alias("rank"), F.format_string(fixed.ADVICE_ENTITY, "term", "mentions").alias("recommendation"),
     )
     troubling = F.exists(_word_array(fixed.PROBLEM_WORDS), lambda w: F.contains(F.col("term"), w))
-    phrase = phrases.filter(troubling & (F.col("mentions") > 3)).orderBy(F.desc("mentions"), "term").limit(1).select(
-        F.lit(3).alias("rank"),
-        F.concat(F.lit("'"), "term", F.lit("' appears frequently in negative calls. Review related processes.")).alias("recommendation"),
+    phrase = phrases.filter(troubling & (F.col("mentions") > fixed.ADVICE_PHRASE_MENTIONS)).orderBy(F.desc("mentions"), "term").limit(1).select(
+        F.lit(3).alias("rank"), F.format_string(fixed.ADVICE_PHRASE, "term").alias("recommendation"),
     )
     found = volume.unionByName(named).unionByName(phrase)
     none = found.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == 0).select(
-        F.lit(4).alias("rank"), F.lit("No critical issues detected. Continue monitoring call quality.").alias("recommendation")
+        F.lit(4).alias("rank"), F.lit(fixed.ADVICE_NONE).alias("recommendation")
     )
     return found.unionByName(none)
 
@@ -279,9 +277,9 @@ def apply_stock_moves(products: DataFrame, moves: DataFrame) -> tuple[DataFrame,
     return moved.filter(F.col("new_quantity") >= 0).withColumn("status", status), moved.filter(F.col("new_quantity") < 0)
 
 
-def account_balances(df: DataFrame, floor: int = tl.HOT_ROWS) -> DataFrame:
-    """Running balance per account from zero: deposits add, everything else subtracts."""
-    amount = F.col("amount").cast("decimal(18,2)")
+def account_balances(df: DataFrame, floor: int = tl.HOT_ROWS, scale: int = 8) -> DataFrame:
+    """Running balance per account from zero: deposits add, everything else subtracts; amounts with ``scale`` decimals."""
+    amount = F.col("amount").cast(f"decimal(28,{scale})")
     signed = F.when(F.col("transaction_type") == "DEPOSIT", amount).otherwise(-amount)
     return tl.running_totals(df, ["source_account"], ["ts", "transaction_id"], {"balance": signed}, floor)
 

@@ -253,11 +253,12 @@ def fraud_features_ext(df: DataFrame, floor: int = tl.HOT_ROWS) -> DataFrame:
 
 def weak_labels(features: DataFrame, flip: float = 0.0, seed: str = "labels") -> DataFrame:
     """Rule labels; a repeatable share ``flip`` of them is inverted."""
+    top = fixed.WEAK_LABEL_LIMITS
     risky = (
-        (F.col("amount_zscore") > 3.0)
-        | ((F.col("is_new_merchant") == 1) & (F.col("amount") > 1000))
-        | ((F.col("distance_from_last") > 500) & (F.col("time_since_last") < 1))
-        | (F.col("tx_count_1h") > 10)
+        (F.col("amount_zscore") > top["amount_zscore"])
+        | ((F.col("is_new_merchant") == 1) & (F.col("amount") > top["new_merchant_amount"]))
+        | ((F.col("distance_from_last") > top["distance_from_last"]) & (F.col("time_since_last") < top["time_since_last"]))
+        | (F.col("tx_count_1h") > top["tx_count_1h"])
     )
     label = F.when(risky, 1).otherwise(0)
     if flip > 0:
@@ -277,18 +278,7 @@ def score_status(df: DataFrame, score: str = "fraud_score", fraud: float = 0.7,
 
 
 def risk_factors(df: DataFrame) -> DataFrame:
-    f = F.col
-    rules = {
-        "HIGH_AMOUNT": f("amount_zscore") > 2.0,
-        "HIGH_VELOCITY": f("tx_count_1h") > 5,
-        "NEW_MERCHANT": f("is_new_merchant") == 1,
-        "NEW_DEVICE": f("is_new_device") == 1,
-        "HIGH_RISK_LOCATION": f("is_high_risk_country") == 1,
-        "IMPOSSIBLE_TRAVEL": (f("distance_from_last") > 100) & (f("time_since_last") < 1),
-        "WEEKEND_TX": f("is_weekend") == 1,
-        "ODD_HOURS": (f("hour_of_day") < 6) | (f("hour_of_day") > 22),
-    }
-    return df.withColumn("risk_factors", non_null_items(F.when(cond, F.lit(name)) for name, cond in rules.items()))
+    return df.withColumn("risk_factors", non_null_items(F.when(F.expr(condition), F.lit(name)) for name, condition in fixed.RISK_FACTORS.items()))
 
 
 def _by_severity(score: Column, position: int) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lakeops.functions import fixed
 from lakeops.operators import business as biz
 from lakeops.operators import idempotency, monitoring, quality, ranks, reports, search
 from lakeops.plans.fraud import rounded
@@ -43,8 +44,7 @@ def delivery_stats(lake):
 
 
 REPLY_WORDS = "list_filter(regexp_split_to_array(lower(message_body), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
-NEG = "['no','n','stop','cancel','unsubscribe','hate','spam','never','remove','delete','quit','end','0']"
-POS = "['yes','y','ok','great','thanks','thank','love','awesome','confirm','interested','buy','want','order','1']"
+NEG, POS = str(fixed.NEGATIVE_WORDS), str(fixed.POSITIVE_WORDS)
 
 
 @query("sms_sentiment", f"""SELECT message_id, CASE WHEN list_has_any({REPLY_WORDS}, {NEG}) THEN 'negative' WHEN list_has_any({REPLY_WORDS}, {POS}) THEN 'positive' ELSE 'neutral' END AS sentiment,
@@ -125,6 +125,16 @@ def sentiment_trend(lake):
     return rounded(biz.sentiment_trend(lake("v_calls")), ["avg_positive_score"])
 
 
+@query("sentiment_trend_hourly", """WITH h AS (SELECT event_id, date_trunc('hour', ts) AS date, CASE event_type WHEN 'purchase' THEN 'POSITIVE' WHEN 'error' THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS sentiment, CAST(event_id % 10 AS DOUBLE) / 10.0 AS s FROM events),
+d AS (SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 HOUR)) AS date FROM h),
+k AS (SELECT date, count(*) AS n, count(*) FILTER (sentiment = 'POSITIVE') AS p, count(*) FILTER (sentiment = 'NEGATIVE') AS g, count(*) FILTER (sentiment = 'NEUTRAL') AS u, round(avg(s), 6) AS s FROM h GROUP BY 1)
+SELECT d.date, coalesce(n, 0) AS total_calls, coalesce(p, 0) AS positive_calls, coalesce(g, 0) AS negative_calls, coalesce(u, 0) AS neutral_calls, s AS avg_positive_score FROM d LEFT JOIN k ON d.date = k.date""")
+def sentiment_trend_hourly(lake):
+    mood = F.when(F.col("event_type") == "purchase", "POSITIVE").when(F.col("event_type") == "error", "NEGATIVE").otherwise("NEUTRAL")
+    calls = lake("events").select(F.col("event_id").alias("call_id"), F.col("ts").alias("call_date"), mood.alias("sentiment"), ((F.col("event_id") % 10).cast("double") / 10.0).alias("positive_score"), F.lit(1).cast("bigint").alias("duration"))
+    return rounded(biz.sentiment_trend(calls, "hour"), ["avg_positive_score"])
+
+
 @query("period_compare", """WITH r AS (SELECT *, date_diff('day', CAST(call_date AS DATE), DATE '2024-01-31') AS age FROM v_calls),
 p AS (SELECT age <= 15 AS now, count(*) AS n, count(*) FILTER (sentiment = 'POSITIVE') AS pos, count(*) FILTER (sentiment = 'NEGATIVE') AS neg, sum(duration) AS dur FROM r WHERE age > 0 AND age <= 30 GROUP BY 1),
 q AS (SELECT CAST(max(n) FILTER (now) AS DOUBLE) AS n1, CAST(max(n) FILTER (NOT now) AS DOUBLE) AS n0, max(pos) FILTER (now) AS p1, max(pos) FILTER (NOT now) AS p0, max(neg) FILTER (now) AS g1, max(neg) FILTER (NOT now) AS g0, CAST(max(dur) FILTER (now) AS DOUBLE) AS d1, CAST(max(dur) FILTER (NOT now) AS DOUBLE) AS d0 FROM p)
@@ -207,7 +217,16 @@ def apply_stock_moves(lake):
 # --- banking ----------------------------------------------------------------------
 
 
-@query("account_balances", """SELECT transaction_id, source_account, CAST(sum(CASE WHEN transaction_type = 'DEPOSIT' THEN amount ELSE -amount END) OVER (PARTITION BY source_account ORDER BY ts, transaction_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS balance FROM v_bank_txn""")
+BALANCE_SQL = """SELECT transaction_id, source_account, CAST(sum(CASE WHEN transaction_type = 'DEPOSIT' THEN amount ELSE -amount END) OVER (PARTITION BY source_account ORDER BY ts, transaction_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS balance FROM v_bank_txn"""
+
+
+@query("account_balances_hot", BALANCE_SQL)
+def account_balances_hot(lake):
+    """The same balances with every account cut into slices."""
+    return biz.account_balances(lake("v_bank_txn"), floor=0).select("transaction_id", "source_account", F.col("balance").cast("double").alias("balance"))
+
+
+@query("account_balances", BALANCE_SQL)
 def account_balances(lake):
     return biz.account_balances(lake("v_bank_txn")).select("transaction_id", "source_account", F.col("balance").cast("double").alias("balance"))
 

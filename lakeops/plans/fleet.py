@@ -83,6 +83,18 @@ def lineage_downstream(lake):
     return lineage.downstream(lake("v_lineage"), [0], depth=8)
 
 
+@query(
+    "lineage_lists",
+    """WITH RECURSIVE walk(job, hop) AS (SELECT CAST(0 AS BIGINT), 0 UNION ALL SELECT r.job_execution_id, hop + 1 FROM walk JOIN v_lineage w ON w.job_execution_id = walk.job JOIN v_lineage r ON r.input_path = w.output_path WHERE hop < 8)
+SELECT job AS job_execution_id, hop FROM walk WHERE hop > 0""",
+)
+def lineage_lists(lake):
+    """Runs with lists of paths, as the jobs of this package record them."""
+    aside = F.concat(F.lit("/aside/"), F.col("job_execution_id").cast("string"))
+    runs = lake("v_lineage").select("job_execution_id", F.array("input_path", aside).alias("input_paths"), F.array(F.concat(aside, F.lit("/out")), F.col("output_path")).alias("output_paths"))
+    return lineage.downstream(runs, [0], depth=8, inputs="input_paths", outputs="output_paths")
+
+
 @query(
     "lineage_history",
     """SELECT job_execution_id, input_path, output_path FROM v_lineage WHERE starts_with(input_path, '/p7/') OR starts_with(output_path, '/p7/')

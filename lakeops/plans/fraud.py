@@ -83,6 +83,9 @@ register_group("distance_features", fraud.distance_features, ["distance_from_las
 register_group("behavioral_features", fraud.behavioral_features, ["is_new_merchant", "is_new_device", "is_high_risk_country"])
 register_group("categorical_encoding", fraud.categorical_encoding, ["channel_encoded", "tx_type_encoded"])
 
+register_group("velocity_features_hot", lambda df: fraud.velocity_features(df, floor=0), ["tx_count_1h", "tx_count_24h", "tx_amount_1h", "tx_amount_24h"])
+register_group("statistical_features_hot", lambda df: fraud.statistical_features(df, floor=0), ["avg_amount_30d", "std_amount_30d", "amount_zscore"])
+
 VECTOR = ["transaction_id", "account_id", *fraud.FEATURES, "ts", "date"]
 
 
@@ -91,6 +94,12 @@ def fraud_features(lake):
     return rounded(fraud.fraud_features(lake("v_txn")))
 
 
+@query("fraud_features_hot", feature_oracle(VECTOR))
+def fraud_features_hot(lake):
+    """The same vectors with every account cut into slices."""
+    return rounded(fraud.fraud_features(lake("v_txn"), floor=0))
+
+
 @query(
     "fraud_features_for_date",
     f"""WITH {FEATURE_CTES} SELECT transaction_id, account_id, hour_of_day, tx_count_24h, round(avg_amount_30d, 6) + 0.0 AS avg_amount_30d,
