@@ -256,7 +256,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s: Scorer = shared.value
-        names = ["part", "keys", "train", "sizes", "words", "sums"]
+        names = ["part", "batch", "keys", "train", "sizes", "words", "sums"]
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
                 keys = part.column("row_key").to_numpy()
@@ -273,49 +273,54 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
                 order = np.argsort(where, kind="stable")
                 owner, codes = doc[rare][order], hashes[rare][order]
                 cuts = np.searchsorted(where[order], np.arange(ranges + 1))
-                rows = []
+                rows, name = [], int(keys.sum())  # any number will do: what carries the same one is added up together
                 for r in range(ranges):
                     o, w = owner[cuts[r]:cuts[r + 1]], codes[cuts[r]:cuts[r + 1]]
                     if len(o):
                         begins = np.flatnonzero(np.r_[True, o[1:] != o[:-1]])
                         packed = (w // np.uint64(ranges)).view(np.uint8).reshape(-1, 8)[:, :6]
-                        rows.append((r, keys[o[begins]].tobytes(), train[o[begins]].tobytes(), np.diff(np.r_[begins, len(o)]).astype(np.int32).tobytes(), packed.tobytes(), None))
-                sums = np.stack([tokens.astype(float), base, score, known.astype(float)])
-                rows.append((int(keys[0]) % ranges, keys.tobytes(), None, None, None, sums.tobytes()))
+                        rows.append((r, name, keys[o[begins]].tobytes(), train[o[begins]].tobytes(), np.diff(np.r_[begins, len(o)]).astype(np.int32).tobytes(), packed.tobytes(), None))
+                sums = np.stack([tokens.astype(float), base, score, known.astype(float), np.ones(len(keys))])
+                rows.append((name % ranges, name, keys.tobytes(), None, None, None, sums.tobytes()))
                 columns = list(zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names)
-
-    def add_up(t: pa.Table) -> pa.Table:
-        sums, keys, train, sizes, words = [], [], [], [], []
-        for k, tr, sz, w, m in zip(*(t.column(c).to_pylist() for c in ("keys", "train", "sizes", "words", "sums")), strict=True):
-            own = np.frombuffer(k, np.int64)
-            if m is not None:
-                sums.append((own, *np.frombuffer(m, float).reshape(4, -1), np.ones(len(own))))
-            else:
-                keys.append(own)
-                train.append(np.frombuffer(tr, bool))
-                sizes.append(np.frombuffer(sz, np.int32))
-                words.append(np.frombuffer(w, np.uint8))
-        if keys:
-            own, sz = np.concatenate(keys), np.concatenate(sizes).astype(np.int64)
-            code = np.zeros((int(sz.sum()), 8), np.uint8)
-            code[:, :6] = np.concatenate(words).reshape(-1, 6)
+                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[2:])], names)
+
+    def look_up(t: pa.Table) -> pa.Table:
+        """Counts of a range's words; back to each batch go its keys with what their words add to base and score, and how many are known."""
+        rows = list(zip(*(t.column(c).to_pylist() for c in ("batch", "keys", "train", "sizes", "words", "sums")), strict=True))
+        out = [(batch, keys, sums) for batch, keys, _, _, _, sums in rows if sums is not None]
+        rows = [r for r in rows if r[5] is None]
+        if rows:
+            sizes = [np.frombuffer(r[3], np.int32).astype(np.int64) for r in rows]
+            sz = np.concatenate(sizes)
+            train = np.repeat(np.concatenate([np.frombuffer(r[2], bool) for r in rows]), sz)
+            code = np.zeros((len(train), 8), np.uint8)
+            code[:, :6] = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(-1, 6)
             code = code.view(np.uint64).ravel()
             order = np.argsort(code, kind="stable")
             code = code[order]
             begins = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-            many = np.diff(np.r_[begins, len(code)])
             count = np.zeros(len(code))
-            count[order] = np.repeat(np.add.reduceat(np.repeat(np.concatenate(train), sz)[order].astype(np.int64), begins), many)
+            count[order] = np.repeat(np.add.reduceat(train[order].astype(np.int64), begins), np.diff(np.r_[begins, len(code)]))
             at = np.cumsum(sz) - sz
-            gain = np.add.reduceat(np.log10(count + 1), at)
-            zero = np.zeros(len(own))
-            sums.append((own, zero, gain, gain, np.add.reduceat((count > 0).astype(float), at), zero))
-        columns = [np.concatenate(x) for x in zip(*sums, strict=True)]
-        return pa.table(dict(zip(["row_key", "n_tokens", "base_score", "score", "n_known", "rows"], columns, strict=True)))
-
-    sent = narrow.select("row_key", "held_out", "text").mapInArrow(read, "part int, keys binary, train binary, sizes binary, words binary, sums binary")
-    parts = sent.groupBy("part").applyInArrow(lambda t: add_up(t), "row_key long, n_tokens double, base_score double, score double, n_known double, rows double")
+            gain, known = np.add.reduceat(np.log10(count + 1), at), np.add.reduceat((count > 0).astype(float), at)
+            ends = np.cumsum([len(x) for x in sizes])
+            for r, end, n in zip(rows, ends.tolist(), map(len, sizes), strict=True):
+                out.append((r[0], r[1], np.stack([np.zeros(n), gain[end - n:end], gain[end - n:end], known[end - n:end], np.zeros(n)]).tobytes()))
+        batches, keys, sums = zip(*out, strict=True)
+        return pa.table({"batch": pa.array(batches, pa.int64()), "keys": pa.array(keys, pa.binary()), "sums": pa.array(sums, pa.binary())})
+
+    def add_up(t: pa.Table) -> pa.Table:
+        keys = np.concatenate([np.frombuffer(k, np.int64) for k in t.column("keys").to_pylist()])
+        sums = np.concatenate([np.frombuffer(x, float).reshape(5, -1) for x in t.column("sums").to_pylist()], axis=1)
+        order = np.argsort(keys, kind="stable")
+        begins = np.flatnonzero(np.r_[True, keys[order][1:] != keys[order][:-1]])
+        total = np.add.reduceat(sums[:, order], begins, axis=1)
+        return pa.table({"row_key": keys[order][begins], **dict(zip(["n_tokens", "base_score", "score", "n_known", "rows"], total, strict=True))})
+
+    sent = narrow.select("row_key", "held_out", "text").mapInArrow(read, "part int, batch long, keys binary, train binary, sizes binary, words binary, sums binary")
+    looked_up = sent.groupBy("part").applyInArrow(lambda t: look_up(t), "batch long, keys binary, sums binary")
+    parts = looked_up.groupBy("batch").applyInArrow(lambda t: add_up(t), "row_key long, n_tokens double, base_score double, score double, n_known double, rows double")
     sums = parts.groupBy("row_key").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "base_score", "score", "n_known", "rows")))
     scored = written(sums.select("row_key", *((F.col(c) / F.col("rows")).alias(c) for c in ("n_tokens", "base_score", "score", "n_known"))), "scores")
     return narrow.select("doc_id", "held_out", "row_key").join(scored, "row_key").select(
