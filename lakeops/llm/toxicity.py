@@ -26,7 +26,7 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz",
 }
 _DROPPED = "-._~^'`*:;,/\\|+=#&%"
-LETTERS_APART = 4
+LETTERS_APART, LONGEST_WORD = 4, 64
 #: Labelled rows learnt from at most, taken by the hash of their id; size of the lexicon at most (parameters of the model).
 SAMPLE_ROWS, LEXICON_SIZE = 20_000, 8192
 _SYMBOLS = 28
@@ -79,7 +79,9 @@ class Restorer:
         if found is None:
             if len(self.known) >= self.remembered:
                 self.known.clear()
-            found = self.known[word] = self.viterbi(word)
+            # No word is that long: longer runs are read piece by piece, so the time grows with their length only.
+            pieces = [word[i:i + LONGEST_WORD] for i in range(0, len(word), LONGEST_WORD)]
+            found = self.known[word] = b"".join(map(self.viterbi, pieces))
         return found
 
     def viterbi(self, word: bytes) -> bytes:
