@@ -6,6 +6,7 @@ import pathlib
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +26,37 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, not yet existing folder below the shared one."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, not yet existing folder below the shared one; ``clear_scratch`` deletes it."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _scratch(spark).append(path)
+    return path
+
+
+def _scratch(spark: SparkSession) -> list[str]:
+    sc = spark.sparkContext
+    if not hasattr(sc, "_lakeops_scratch"):
+        sc._lakeops_scratch = []
+    return sc._lakeops_scratch
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the folders made in this session (from number ``since`` on); call it when the results are stored."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folders = _scratch(spark)
+    for path in folders[since:]:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    del folders[since:]
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate folders made inside the block are deleted at its end, also after an error."""
+    since = len(_scratch(spark))
+    try:
+        yield
+    finally:
+        clear_scratch(spark, since)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -5,26 +5,27 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+import lakeops.plans.catalogue  # noqa: F401  (fills the registry)
 from lakeops.operators import fraud, search
+from lakeops.registry import QUERIES
 
 from .conftest import SF
 
 # text hashing, chunking and embedding models run in Arrow workers; everything else stays in the JVM
 PYTHON = {"chunk_documents", "embed_chunks", "isolation_scores", "knn_exact", "knn_filtered", "knn_lsh_recall", "retrieval_context"}
-EAGER = {"catalog_partitions", "run_metrics", "doc_classifier", "fraud_scores", "engagement_model", "lineage_downstream", "secure_ml_table"}
+EAGER = {"catalog_partitions", "run_metrics", "doc_classifier", "fraud_scores", "engagement_model", "lineage_downstream", "secure_ml_table", "lineage_lists"}
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-NAMES = sorted(n for n in entry.queries() if not n.startswith("stream_") and n not in EAGER and n not in ("land_events", "bronze_transactions", "incremental_etl"))
+NAMES = sorted(n for n in QUERIES if not n.startswith("stream_") and n not in EAGER and n not in ("land_events", "bronze_transactions", "incremental_etl"))
 
 
 @pytest.mark.parametrize("name", NAMES[::2])
 def test_no_cross_join_and_no_python_rows(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text
     assert "BatchEvalPython" not in text
     assert "BroadcastNestedLoopJoin" not in text
@@ -40,7 +41,8 @@ def test_ordinary_accounts_cost_one_exchange(lake):
 
 def test_hot_accounts_are_kept_apart_by_a_bounded_broadcast(lake):
     text = plan(fraud.distance_features(lake("v_txn"), floor=0))
-    assert "LeftAnti" in text and "LeftSemi" in text and "Union" in text
+    # the hot rows themselves are read from the table of their slices
+    assert "LeftAnti" in text and "BroadcastExchange" in text and "Union" in text
 
 
 def test_filters_and_columns_reach_the_scan(lake):
@@ -68,3 +70,31 @@ def test_top_n_per_group_is_cut_before_the_shuffle(lake):
 
 def test_top_n_uses_take_ordered(lake):
     assert "TakeOrderedAndProject" in plan(search.search(lake("orders"), order=[F.desc("o_totalprice")], limit=5))
+
+
+def test_scratch_folders_go_with_their_block(spark):
+    import os
+
+    from lakeops.session import materialize, scratch, shared_dir
+
+    kept = materialize(spark.range(3), "kept")
+    before = set(os.listdir(shared_dir(spark).removeprefix("file://").removeprefix("file:")))
+    with scratch(spark):
+        assert materialize(spark.range(5), "gone").count() == 5
+    assert set(os.listdir(shared_dir(spark).removeprefix("file://").removeprefix("file:"))) == before
+    assert kept.count() == 3
+
+
+def test_lookup_table_does_not_shuffle_the_facts(spark):
+    from lakeops.operators import binning
+
+    facts = spark.range(1000).selectExpr("CAST(id AS STRING) AS mcc")
+    plan = binning.encode_merchants(facts, "mcc", binning.merchant_categories(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_month_reaches_the_scan(lake):
+    from lakeops.operators import reports
+
+    plan = reports.events_by_type(lake("events"), "2024-01")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan
