@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.session import fresh_dir, ship_package
+from lakeops.session import materialize, ship_package
 
 #: Rows up to which a key list of a few numbers per row is sent to every executor; a longer one is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -18,7 +19,8 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_PIECE = 1 << 21
+_PIECE = 1 << 19
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LETTERS = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER]
@@ -33,40 +35,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once below ``spark.checkpoint.dir`` and read back: no lineage, and it survives lost executors."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, f"llm-{label}")
-    df.write.parquet(path)
-    _scratch(spark).append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+    """``df`` written once below ``spark.checkpoint.dir`` and read back: no lineage, and it survives lost executors.
 
-def _scratch(spark: SparkSession) -> list[str]:
-    sc = spark.sparkContext
-    if not hasattr(sc, "_lakeops_scratch"):
-        sc._lakeops_scratch = []
-    return sc._lakeops_scratch
+    ``lakeops.session.scratch`` and ``clear_scratch`` delete these folders when the results are stored.
+    """
+    return materialize(df, f"llm-{label}")
 
 
 def discard(df: DataFrame) -> None:
     """Delete the folder behind a table made by ``written`` that no later step reads."""
     spark = df.sparkSession
-    for path in list(_scratch(spark)):
-        if any(f.startswith(path) or path.split(":", 1)[-1].lstrip("/") in f for f in df.inputFiles()[:1]):
-            _delete(spark, path)
-
-
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete every folder that ``written`` made in this session; call it when the results are stored."""
-    for path in list(_scratch(spark)):
-        _delete(spark, path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-    _scratch(spark).remove(path)
+    for file in df.inputFiles()[:1]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
@@ -177,6 +158,13 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, places: bool = False):
     return (words, counts, flat, np.concatenate(ends_all) if ends_all else flat) if places else (words, counts)
 
 
+def give_back() -> None:
+    """Return memory that this Python worker has freed to the system, as workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with at most about ``limit`` bytes of ``column`` each; one longer value is a part by itself."""
     _, bounds = raw_bytes(batch.column(column))
@@ -185,6 +173,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 16 << 20) -> Iterato
         end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + limit, "right")) - 1)
         yield batch.slice(begin, end - begin)
         begin = end
+    give_back()
 
 
 def ranges_of(counts: np.ndarray) -> np.ndarray:

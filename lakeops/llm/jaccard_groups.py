@@ -8,9 +8,10 @@ Equal shingle sets are one node. What remains is narrowed in steps, each of whic
    compared with the few leaders of its place. Links found here are exact; linked sets are one group.
 3. The token-group matrix says which groups hold a shingle. A set links with another group only if share * n of its
    shingles are in other groups' unions; all others are done, so a large group of near copies leaves here as a whole.
-4. For what is left, a set's rarest shingles name the groups it may link with. Groups are stored in parts of bounded size
-   with the union of their shingles; a part is opened only if its union holds share * n of the set's shingles, and then
-   members are compared until one links: the group is connected already, so one link joins all of it.
+4. For what is left, a set's rarest shingles name the groups it may link with. Groups are stored in parts of bounded size,
+   of sets of similar sizes, with the union of their shingles; a part is opened only if its union holds as many of the
+   set's shingles as a link with the part's smallest set needs, and then members are compared until one links: the group
+   is connected already, so one link joins all of it.
 
 Components of the links of 2 and 4 are the classes. No step sends all shingles of a text but the first, and none lists the
 pairs inside a group.
@@ -26,14 +27,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import components, discard, distinct, mix, raw_bytes, row_key, slices, small, word_hashes, written
+from lakeops.llm.common import components, discard, distinct, free_name, give_back, mix, raw_bytes, row_key, slices, small, word_hashes, written
 
 #: Shingles that one hash range counts; sets per part of a group; searching sets per opened part.
-PER_RANGE, PART, QUERIES_PER_PART = 4_000_000, 128, 1024
+PER_RANGE, PART, QUERIES_PER_PART = 1_500_000, 128, 1024
 #: Leaders that a place compares with in step 2 (a matter of speed: step 4 finds what they miss).
 LEADERS, GROUPINGS = 6, 3
 #: Shingles that a task holds before it sends them on.
-HELD = 3_000_000
+HELD = 1_200_000
 _STEPS = np.random.default_rng(11).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -72,7 +73,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 sets = shingle_sets(part.column("text"), width)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row_key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())], schema.names)
 
@@ -84,7 +85,7 @@ def token_table(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 sets = [s for s in shingle_sets(part.column("text"), width) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "n", "tokens"])
 
@@ -120,13 +121,14 @@ def own_counts(sets: DataFrame, ranges: int, width: int | None = None) -> DataFr
         code, node, group, place = code[order], node[order], group[order], place[order]
         cuts = np.searchsorted(place, np.arange(ranges + 1))
         common_cuts = np.searchsorted(common_place, np.arange(ranges + 1))
-        rows = []
+        rows, name = [], int(np.array(nodes, np.int64).sum())  # any number will do: what carries the same one is added up together
         for r in range(ranges):
             c, m, g = code[cuts[r]:cuts[r + 1]], node[cuts[r]:cuts[r + 1]], group[cuts[r]:cuts[r + 1]]
             begins = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (g[1:] != g[:-1])]) if len(m) else np.zeros(0, np.int64)
-            rows.append((r, m[begins].tobytes(), g[begins].tobytes(), np.diff(np.r_[begins, len(m)]).astype(np.int32).tobytes(), _packed(c), _packed(common[common_cuts[r]:common_cuts[r + 1]])))
+            rows.append((r, name, m[begins].tobytes(), g[begins].tobytes(), np.diff(np.r_[begins, len(m)]).astype(np.int32).tobytes(), _packed(c), _packed(common[common_cuts[r]:common_cuts[r + 1]])))
         columns = list(zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["part", "nodes", "groups", "sizes", "tokens", "common"])
+        give_back()
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[2:])], ["part", "batch", "nodes", "groups", "sizes", "tokens", "common"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups, nodes, held, total = [], [], [], 0
@@ -135,7 +137,7 @@ def own_counts(sets: DataFrame, ranges: int, width: int | None = None) -> DataFr
             if width is None:
                 found = zip(batch.column("group").to_pylist(), batch.column("node").to_pylist(), (np.frombuffer(t.as_buffer(), np.uint64) for t in batch.column("tokens")), strict=True)
             else:
-                found = ((k := set_key(s), k, s) for part in slices(batch, "text", 4 << 20) for s in shingle_sets(part.column("text"), width) if len(s))
+                found = ((k := set_key(s), k, s) for part in slices(batch, "text", 2 << 20) for s in shingle_sets(part.column("text"), width) if len(s))
             for g, k, s in found:
                 if k in known:
                     continue
@@ -168,18 +170,29 @@ def own_counts(sets: DataFrame, ranges: int, width: int | None = None) -> DataFr
                 single &= common[at] != token[begins]
             own[order] = np.repeat(single, many)
             # a node that came in several batches names its shingle several times; it counts once
-            n = np.repeat(node, size)
-            sorted_nodes = n[order]
-            again = np.lexsort((sorted_nodes, token))
-            same = np.r_[False, (token[again][1:] == token[again][:-1]) & (sorted_nodes[again][1:] == sorted_nodes[again][:-1])]
-            own[order[again[same]]] = False
-        count = np.add.reduceat(own.astype(np.int64), np.cumsum(size) - size) if len(size) else np.zeros(0, np.int64)
-        keep = count > 0
-        return pa.table({"node": node[keep], "own": count[keep]})
+            several = np.flatnonzero(np.repeat(single & (many > 1), many))
+            if len(several):
+                named, what = np.repeat(node, size)[order[several]], token[several]
+                again = np.lexsort((named, what))
+                same = np.r_[False, (what[again][1:] == what[again][:-1]) & (named[again][1:] == named[again][:-1])]
+                own[order[several[again[same]]]] = False
+        count = np.add.reduceat(own.astype(np.int32), np.cumsum(size) - size).astype(np.int32) if len(size) else np.zeros(0, np.int32)
+        give_back()
+        ends = np.cumsum([len(x) for x in columns[0]])
+        back = [count[end - len(x):end].tobytes() for x, end in zip(columns[0], ends.tolist(), strict=True)]
+        return pa.table({"batch": t.column("batch"), "nodes": t.column("nodes"), "own": pa.array(back, pa.binary())})
+
+    def add_up(t: pa.Table) -> pa.Table:
+        node = np.concatenate([np.frombuffer(k, np.int64) for k in t.column("nodes").to_pylist()])
+        own = np.concatenate([np.frombuffer(k, np.int32) for k in t.column("own").to_pylist()]).astype(np.int64)
+        order = np.argsort(node, kind="stable")
+        begins = np.flatnonzero(np.r_[True, node[order][1:] != node[order][:-1]]) if len(node) else np.zeros(0, np.int64)
+        return pa.table({"node": node[order][begins], "own": np.add.reduceat(own[order], begins) if len(node) else own})
 
     source = sets.select("text") if width is not None else sets.select("group", "node", "tokens")
-    sent = source.mapInArrow(send, "part int, nodes binary, groups binary, sizes binary, tokens binary, common binary")
-    return sent.groupBy("part").applyInArrow(lambda t: receive(t), "node long, own long").groupBy("node").agg(F.sum("own").alias("own"))
+    sent = source.mapInArrow(send, "part int, batch long, nodes binary, groups binary, sizes binary, tokens binary, common binary")
+    counted = sent.groupBy("part").applyInArrow(lambda t: receive(t), "batch long, nodes binary, own binary")
+    return counted.groupBy("batch").applyInArrow(lambda t: add_up(t), "node long, own long").groupBy("node").agg(F.sum("own").alias("own"))
 
 
 def _range(code: np.ndarray, ranges: int) -> np.ndarray:
@@ -249,42 +262,57 @@ def grouping(sets: DataFrame, seed: int, part: int, whole: int, tasks: int) -> D
 
 
 def across_groups(sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Links (u, v) between sets of different groups; sets: (group, node, n, tokens)."""
+    """Links (u, v) between sets of different groups; sets: (group, node, n, tokens).
+
+    A group's parts hold sets of nearly one size. Two linked sets of n and m shingles share at least
+    part * (n + m) / (part + whole) of them, so both their first shared shingle in the order of rarity and the part's union
+    are held against the smallest size in the part.
+    """
+    # Sizes of a part differ by 3 % at most.
+    sized = sets.withColumn("size", F.floor(F.log("n") * 33).cast("int"))
+    sizes = written(sized.groupBy("group", "size").agg(F.ceil(F.count("*") / PART).alias("parts")), "sizes")
+    sized = written(sized.join(sizes, ["group", "size"]).withColumn("part", F.pmod("node", "parts").cast("int")).select("group", "size", "part", "node", "n", "tokens"), "parts")
+    unit = ["target", "size", "part"]
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 codes = np.frombuffer(batch.column("tokens")[row].as_buffer(), np.int64)
-                one = [pa.array(np.full(len(codes), batch.column(c)[row].as_py(), np.int64)) for c in ("group", "node", "n")]
-                yield pa.RecordBatch.from_arrays([*one, pa.array(codes)], ["group", "node", "n", "token"])
+                one = [pa.array(np.full(len(codes), batch.column(c)[row].as_py()), k) for c, k in (("group", pa.int64()), ("size", pa.int32()), ("part", pa.int32()), ("node", pa.int64()), ("n", pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*one, pa.array(codes)], ["group", "size", "part", "node", "n", "token"])
 
-    single = written(sets.mapInArrow(explode, "group long, node long, n long, token long"), "left-tokens")
-    matrix = written(single.groupBy("token", "group").agg(F.count("*").alias("members")), "matrix")
-    spread = written(matrix.groupBy("token").agg(F.count("*").alias("groups")), "spread")
+    single = written(sized.mapInArrow(explode, "group long, size int, part int, node long, n long, token long"), "left-tokens")
+    spread = written(single.groupBy("token").agg(F.countDistinct("group").alias("groups")), "spread")
     order = Window.partitionBy("node").orderBy("groups", "token")
-    ranked = single.join(spread, "token").withColumn("rank", F.row_number().over(order))
+    # able: how many of a set's shingles any other group holds at all
+    able = F.count_if(F.col("groups") > 1).over(Window.partitionBy("node"))
+    ranked = single.join(spread, "token").withColumn("rank", F.row_number().over(order)).withColumn("able", able)
     # Of n shingles at least ceil(n * part / whole) are shared, so one of the others + 1 rarest is.
-    prefix = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * part / whole) + 1).where("groups > 1")
-    other = matrix.select("token", F.col("group").alias("target"))
-    asked = written(prefix.join(other, "token").where("target <> group").select("node", "target").distinct(), "asked")
-    sizes = sets.groupBy("group").agg(F.ceil(F.count("*") / PART).alias("parts"))
-    sizes = written(sizes, "sizes")
-    members = sets.join(sizes, "group").withColumn("part", F.pmod("node", "parts").cast("int")).select(F.col("group").alias("target"), "part", "node", "n", "tokens")
-    to_parts = asked.join(sizes.withColumnRenamed("group", "target"), "target").withColumn("part", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))))
-    loads = to_parts.groupBy("target", "part").agg(F.ceil(F.count("*") / QUERIES_PER_PART).cast("int").alias("slots"))
-    loads = written(loads, "loads")
-    dealt = to_parts.join(loads, ["target", "part"]).withColumn("slot", F.pmod("node", "slots").cast("int")).select("node", "target", "part", "slot")
-    queries = dealt.join(sets.select("node", "n", "tokens"), "node")
-    opened = members.join(loads, ["target", "part"]).withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    prefix = written(ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * part / whole) + 1).where("groups > 1"), "prefix")
+    held = prefix.withColumnRenamed("group", "target")
+    spans = written(held.groupBy(*unit).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("able").alias("most")), "spans")
+    index = held.select("token", *unit).distinct().join(spans, unit)
+    asks = prefix.select("token", "group", "node", "n", "rank")
+    # A link is found from one of its sides, the larger group number.
+    fits = (F.col("target") < F.col("group")) & (F.col("most") * (part + whole) >= (F.col("n") + F.col("low")) * part)
+    fits &= (F.col("low") * part <= F.col("n") * whole) & (F.col("high") * whole >= F.col("n") * part)
+    fits &= F.col("rank") <= F.col("n") - F.ceil((F.col("n") + F.col("low")) * part / (part + whole)) + 1
+    asked = written(asks.join(index, "token").where(fits).select("node", *unit).distinct(), "asked")
+    loads = written(asked.groupBy(*unit).agg(F.ceil(F.count("*") / QUERIES_PER_PART).cast("int").alias("slots")), "loads")
+    dealt = asked.join(loads, unit).withColumn("slot", F.pmod("node", "slots").cast("int")).select("node", *unit, "slot")
+    queries = dealt.join(sets.select("node", "tokens"), "node")
+    members = sized.withColumnRenamed("group", "target")
+    opened = members.join(loads, unit).withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
 
     def open_part(left: pa.Table, right: pa.Table) -> pa.Table:
         u, v = [], []
         ids = right.column("open_node").to_pylist()
         own = [np.frombuffer(t.as_buffer(), np.uint64) for t in right.column("open_tokens")]
         union = distinct(np.concatenate(own)) if own else np.zeros(0, np.uint64)
+        least = min(map(len, own), default=0)
         for node, tokens in zip(left.column("node").to_pylist(), left.column("tokens"), strict=True):
             s = np.frombuffer(tokens.as_buffer(), np.uint64)
-            if not len(union) or _overlap(s, union) * whole < part * len(s):
+            if not len(union) or _overlap(s, union) * (part + whole) < part * (len(s) + least):
                 continue
             for other_node, other_set in zip(ids, own, strict=True):
                 if linked(s, other_set, part, whole):
@@ -293,7 +321,7 @@ def across_groups(sets: DataFrame, part: int, whole: int) -> DataFrame:
                     break
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    keys = ["target", "part", "slot"]
+    keys = [*unit, "slot"]
     opened = opened.select(*(F.col(c).alias(f"open_{c}") for c in (*keys, "node", "tokens")))
     return queries.groupBy(*keys).cogroup(opened.groupBy(*(f"open_{k}" for k in keys))).applyInArrow(lambda a, b: open_part(a, b), "u long, v long")
 
@@ -346,11 +374,12 @@ def one_of_each_class(docs: DataFrame, width: int = 4, part: int = 85, whole: in
     classes = written(jaccard_classes(docs, width, part, whole, id_col, text_col), "classes").where("root IS NOT NULL")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
     best = written(classes.groupBy("root").agg(F.min(first).alias("best")).select("root", F.col("best.row_key").alias("stays")), "best")
-    gone = written(classes.join(best, "root").where("row_key <> stays").select(F.col("row_key").alias("_row_key")).distinct(), "gone")
-    twice = written(classes.groupBy("row_key").agg(F.count("*").alias("rows")).where("rows > 1").select(F.col("row_key").alias("_row_key")), "twice")
-    rest = docs.withColumn("_row_key", row_key(id_col, text_col)).join(small(gone, gone.count()), "_row_key", "left_anti")
+    key = free_name(docs, "row_key")
+    gone = written(classes.join(best, "root").where("row_key <> stays").select(F.col("row_key").alias(key)).distinct(), "gone")
+    twice = written(classes.groupBy(F.col("row_key").alias(key)).agg(F.count("*").alias("rows")).where("rows > 1").select(key), "twice")
+    rest = docs.withColumn(key, row_key(id_col, text_col)).join(small(gone, gone.count()), key, "left_anti")
     repeated = twice.count()
     if repeated:
         again = small(twice, repeated)
-        rest = rest.join(again, "_row_key", "left_anti").unionByName(rest.join(again, "_row_key", "left_semi").dropDuplicates(["_row_key"]))
+        rest = rest.join(again, key, "left_anti").unionByName(rest.join(again, key, "left_semi").dropDuplicates([key]))
     return rest.select(docs.columns)

@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import fold, raw_bytes, row_key, slices, word_hashes, written
+from lakeops.llm.common import fold, give_back, raw_bytes, row_key, slices, word_hashes, written
 
 HOT_WORDS, ENDINGS = 100, 26
 CLASSES = 1 + HOT_WORDS + ENDINGS + 1
 #: Rare words that one range counts.
-WORDS_PER_RANGE = 3_000_000
+WORDS_PER_RANGE = 1_500_000
 _LOWER = np.arange(256, dtype=np.int64)
 _LOWER[65:91] += 32
 
@@ -154,12 +154,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(w[i:i + 200_000].view(np.int64)), pa.array(e[i:i + 200_000].astype(np.int32)), pa.array(n[i:i + 200_000])], ["word", "ending", "n"])
 
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 4 << 20):
                 words, _, endings = parsed(part.column("text"))
                 if len(words):
                     held.append((words, endings, np.ones(len(words), np.int64)))
                     held = [merged()]
-                    if len(held[0][0]) > 2_000_000:
+                    if len(held[0][0]) > 1_000_000:
                         yield from out(*held.pop())
         if held:
             yield from out(*held[0])
@@ -305,6 +305,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
             at = np.cumsum(sz) - sz
             gain, known = np.add.reduceat(np.log10(count + 1), at), np.add.reduceat((count > 0).astype(float), at)
             ends = np.cumsum([len(x) for x in sizes])
+            give_back()
             for r, end, n in zip(rows, ends.tolist(), map(len, sizes), strict=True):
                 out.append((r[0], r[1], np.stack([np.zeros(n), gain[end - n:end], gain[end - n:end], known[end - n:end], np.zeros(n)]).tobytes()))
         batches, keys, sums = zip(*out, strict=True)

@@ -296,7 +296,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(trigrams)
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", 4 << 20):
                 key, owner = grams(*restored(*raw_bytes(part.column("text")), restorer))
                 order = np.lexsort((owner, key))
                 key, owner = key[order], owner[order]
@@ -332,7 +332,7 @@ def _evidence(model: Model, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model.trigrams)
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 e = model.evidence(*restored(*raw_bytes(part.column("text")), restorer))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(e) + 1, dtype=np.int32) * e.shape[1]), pa.array(e.ravel()))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), lists], [*keep, "e"])
@@ -347,7 +347,7 @@ def not_toxic(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", thre
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model.trigrams)
         for batch in batches:
-            for part in slices(batch, text_col, 2 << 20):
+            for part in slices(batch, text_col, 1 << 20):
                 score = model.score(model.evidence(*restored(*raw_bytes(part.column(text_col)), restorer)))
                 yield part.filter(pa.array(score < threshold))
 
