@@ -291,11 +291,13 @@ def across_groups(sets: DataFrame, part: int, whole: int) -> DataFrame:
     prefix = written(ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * part / whole) + 1).where("groups > 1"), "prefix")
     held = prefix.withColumnRenamed("group", "target")
     spans = written(held.groupBy(*unit).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("able").alias("most")), "spans")
-    index = held.select("token", *unit).distinct().join(spans, unit)
+    index = held.groupBy("token", *unit).agg(F.min("rank").alias("first")).join(spans, unit)
     asks = prefix.select("token", "group", "node", "n", "rank")
     # A link is found from one of its sides, the larger group number.
     fits = (F.col("target") < F.col("group")) & (F.col("most") * (part + whole) >= (F.col("n") + F.col("low")) * part)
     fits &= (F.col("low") * part <= F.col("n") * whole) & (F.col("high") * whole >= F.col("n") * part)
+    # The first shared shingle in the order of rarity stands early enough on both sides.
+    fits &= F.col("first") <= F.col("high") - F.ceil((F.col("n") + F.col("high")) * part / (part + whole)) + 1
     fits &= F.col("rank") <= F.col("n") - F.ceil((F.col("n") + F.col("low")) * part / (part + whole)) + 1
     asked = written(asks.join(index, "token").where(fits).select("node", *unit).distinct(), "asked")
     loads = written(asked.groupBy(*unit).agg(F.ceil(F.count("*") / QUERIES_PER_PART).cast("int").alias("slots")), "loads")
