@@ -25,7 +25,7 @@ from lakeops.llm.common import Numbered, ranges_of, written
 #: Items that one task packs.
 ITEMS_PER_TASK = 40_000
 #: Words that a Python worker remembers; when full, the memory starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 300_000
 #: Fixed value: how the word-level vocabulary cuts lower-cased text.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 #: Characters for which cutting at white space is surely what the tokenizer file does; other texts go to the library whole.
