@@ -1,21 +1,22 @@
-"""Main text of web pages by equivalence classes of template tokens.
-
-Pages of one host come from one template. Every page is read as tokens: a tag with the path of tags above it, or a whole
-text below such a path. Tokens that occur equally often on the same pages of a host have the same occurrence vector and
-form a class; a vector is added up as one number per page and count, so classes come from map-side sums, whatever a host's
-size. A class is valid if it is on at least two pages and on at least half of the host's. Valid classes whose tokens
-enclose one another nest into the template. What the template leaves open are its slots, and the text blocks of a page
-that lie in the slots of the article are its main text.
-
-A host seen on one page only has no template; there, and for what templates can't tell (the same menu can differ from page
-to page), the meaning of tags and of their class names decides.
+"""Main text of web pages by the meaning of tags and by equivalence classes of template tokens.
+
+The meaning of tags and of their class names decides first: the main text of a page with article or main tags is what
+stands in them and not beside the content. The template is not asked there, as what pages repeat inside an article is content.
+
+Other pages lose the texts of their template. Every page is read as tokens: a tag with the path of tags above it, or a
+whole text below such a path. Tokens that occur equally often on the same pages have the same occurrence vector and form a
+class; a vector is added up as one number per page and count, so classes come from map-side sums, whatever a host's size.
+Pages with equal content count once. A class is valid if it is on at least two pages and half of the host's, or on three
+pages and half of those of a layout (pages with the same outer tags). A page gives up its valid classes one by one, the
+widest first, but none that would leave it less than a fifth of its text: so much in common means near copies, and copies
+are content. Order and nesting of the classes are not tested.
 """
 
 from __future__ import annotations
 
 import html as html_entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -47,6 +48,8 @@ _MARK = re.compile(
 )
 #: Names of an article's own heading, which are not a page header.
 _HEADING = re.compile(r"\b(?:entry|post|article|story|content|section)[-_]?header\b")
+#: Token that stands for a page itself; depth of the outer tags; share of its text that the template leaves every page.
+PAGE, OUTER, OWN = 0, 3, 0.2
 _ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
 
@@ -166,26 +169,33 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
     return out, tags
 
 
+def layout_of(tags: list[str]) -> int:
+    """Code of the outer tags of a page: the distinct paths of at most ``OUTER`` block tags."""
+    outer = {t for t in tags if t.count("/") <= OUTER and t.rpartition("/")[2].partition(".")[0] not in _INLINE | _HIDDEN | _VOID}
+    return token_code("\n".join(sorted(outer))) or 1
+
+
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, n, key) of every token of every page: how often the page (key) has it."""
-    schema = "host string, token long, key long, n int"
+    """(host, layout, token, n, key) of every token of every page: how often the page (key) has it; ``PAGE`` once for each."""
+    schema = "host string, layout long, token long, key long, n int"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 100):
                 part = batch.slice(begin, 100)
-                hosts, tokens, keys, counts = [], [], [], []
+                hosts, layouts, tokens, keys, counts = [], [], [], [], []
                 for host, key, page in zip(part.column("host").to_pylist(), part.column("key").to_pylist(), part.column("html").to_pylist(), strict=True):
-                    seen: dict[int, int] = {}
+                    seen: dict[int, int] = {PAGE: 1}
                     text, tags = blocks(page or "")
                     for token in (*tags, *(f"{p}\0{t}" for p, t, beside, core in text if beside or not core)):
                         code = token_code(token)
                         seen[code] = seen.get(code, 0) + 1
                     hosts += [host] * len(seen)
+                    layouts += [layout_of(tags)] * len(seen)
                     keys += [key] * len(seen)
                     tokens += seen
                     counts += seen.values()
-                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(tokens, pa.int64()), pa.array(keys, pa.int64()), pa.array(counts, pa.int32())], ["host", "token", "key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(x, pa.int64()) for x in (layouts, tokens, keys)), pa.array(counts, pa.int32())], ["host", "layout", "token", "key", "n"])
 
     return pages.mapInArrow(read, schema)
 
@@ -195,58 +205,75 @@ def token_code(token: str) -> int:
 
 
 def templates(pages: DataFrame, share: float = 0.5) -> DataFrame:
-    """(host, tokens): the tokens of the valid classes of each host with two pages or more.
+    """(host, tokens, layouts, vectors): the tokens of the valid classes of each host, the widest class first.
 
-    The vector of a token is the sum (bitwise) over pages of a hash of (page, count); equal sums mean equal vectors. A class
-    is valid when its tokens are on at least ``share`` of the host's pages, so a host has at most 1 / ``share`` times as
-    many template tokens as a page has tokens.
+    The vector of a token is the sum (bitwise) over pages of a hash of (page, count); equal sums mean equal vectors. Rows
+    with the same ``key`` are one page. Layout 0 marks the classes of the whole host; a layout has classes of its own if at
+    least a twentieth of the host's pages have it, so a host has at most 21 / ``share`` times as many template tokens as
+    a page has tokens.
     """
-    sizes = pages.groupBy("host").agg(F.countDistinct("key").alias("pages")).where("pages > 1")
-    vectors = occurrences(pages).groupBy("host", "token").agg(F.bit_xor(F.xxhash64("key", "n")).alias("vector"), F.count("*").alias("support"))
-    common = vectors.where("support > 1").join(sizes, "host").where(F.col("support") >= F.greatest(F.lit(2), F.ceil(F.col("pages") * share)))
-    # Classes of one host: tokens with the same vector and support.
-    classes = common.groupBy("host", "vector", "support").agg(F.collect_list("token").alias("members"))
-    return classes.groupBy("host").agg(F.sort_array(F.flatten(F.collect_list("members"))).alias("tokens"))
-
-
-def slots(page: str, template: frozenset[int]) -> list[tuple[str, str, str, bool, bool]]:
-    """(slot, path, text, beside, core) of every block that the template leaves open.
-
-    A block's slot is the deepest template tag around it; without template tags the whole page is one slot. A text that
-    belongs to the template fills no slot, except inside the article: what pages of a host repeat there is content.
-    """
-    known: dict[str, str] = {"": ""}
-
-    def slot_of(path: str) -> str:
-        if path not in known:
-            known[path] = path if token_code(path) in template else slot_of(path.rpartition("/")[0])
-        return known[path]
-
-    found = []
-    for path, text, beside, core in blocks(page)[0]:
-        if core and not beside or not template or token_code(f"{path}\0{text}") not in template:
-            found.append((slot_of(path), path, text, beside, core))
-    return found
-
-
-def main_text(page: str, template: frozenset[int]) -> str:
-    """The blocks in the slots of the page's article, in page order, one per line.
-
-    Slots that hold article blocks make the main text; if no slot does, all slots that are not beside the content do.
+    twice = written(pages.groupBy("host", "key").agg(F.count("*").alias("rows")).where("rows > 1").select("host", "key"), "repeated")
+    again = small(twice, twice.count())
+    # Only repeated pages are shuffled, one of each per task.
+    distinct_pages = pages.join(again, ["host", "key"], "left_anti").unionByName(pages.join(again, ["host", "key"], "left_semi").dropDuplicates(["host", "key"]).select(pages.columns))
+    vectors = written(occurrences(distinct_pages).groupBy("host", "layout", "token").agg(F.bit_xor(F.xxhash64("key", "n")).alias("vector"), F.count("*").alias("support")), "vectors")
+    whole = vectors.groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("support").alias("support"))
+    is_page = F.col("token") == PAGE
+    sizes = whole.where(is_page & (F.col("support") > 1)).select("host", F.col("support").alias("pages"))
+    wide = lambda least: F.col("support") >= F.greatest(F.lit(least), F.ceil(F.col("pages") * share))
+    of_host = written(whole.where(~is_page & (F.col("support") > 1)).join(sizes, "host").where(wide(2)).select("host", F.lit(0).cast("long").alias("layout"), "token", "vector", "support"), "host-tokens")
+    large = vectors.where(is_page & (F.col("support") > 2)).join(sizes, "host").where(F.col("support") * 20 >= F.col("pages")).select("host", "layout", F.col("support").alias("pages"))
+    of_layout = vectors.where(~is_page & (F.col("support") > 2)).join(large, ["host", "layout"]).where(wide(3)).select("host", "layout", "token", "vector", "support")
+    of_layout = of_layout.join(of_host.select("host", "token"), ["host", "token"], "left_anti")
+    valid = of_host.unionByName(of_layout).select("host", F.struct((-F.col("support")).alias("less"), "layout", "vector", "token").alias("t"))
+    sorted_tokens = valid.groupBy("host").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    return sorted_tokens.select("host", F.col("t.token").alias("tokens"), F.col("t.layout").alias("layouts"), F.col("t.vector").alias("vectors"))
+
+
+def classes_of(tokens: list[int], layouts: list[int], vectors: list[int]) -> list[tuple[int, set[int]]]:
+    """(layout, tokens) of each class of a host's template, in the given order."""
+    found: dict[tuple[int, int], set[int]] = {}
+    for token, layout, vector in zip(tokens, layouts, vectors, strict=True):
+        found.setdefault((layout, vector), set()).add(token)
+    return [(layout, members) for (layout, _), members in found.items()]
+
+
+def main_text(page: str, template: Sequence[tuple[int, set[int]]]) -> str:
+    """The main text's blocks in page order, one per line.
+
+    These are the article's blocks; on a page without any, all blocks that are not beside the content, without the
+    template's classes, as long as they leave the page a share of ``OWN`` of its text.
     """
-    open_slots = [s for s in slots(page, template) if not s[3]]
-    chosen = {slot for slot, _, _, _, core in open_slots if core}
-    return "\n".join(text for slot, _, text, _, core in open_slots if (core and slot in chosen) or not chosen)
+    found, tags = blocks(page)
+    shown = [(path, text, core) for path, text, beside, core in found if not beside]
+    article = [text for _, text, core in shown if core]
+    if article or not template:
+        return "\n".join(article or [text for _, text, _ in shown])
+    layout = layout_of(tags)
+    codes = [token_code(f"{path}\0{text}") for path, text, _ in shown]
+    size: dict[int, int] = {}
+    for code, (_, text, _) in zip(codes, shown, strict=True):
+        size[code] = size.get(code, 0) + len(text)
+    gone: set[int] = set()
+    left = total = sum(size.values())
+    for of, members in template:
+        taken = size.keys() & members if of in (0, layout) else ()
+        rest = left - sum(size[c] for c in taken)
+        if taken and rest >= OWN * total:
+            gone |= taken
+            left = rest
+    return "\n".join(text for code, (_, text, _) in zip(codes, shown, strict=True) if code not in gone)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", share: float = 0.5) -> DataFrame:
     """One row per page: page_id, url, text and n_chars.
 
     A null or empty page, or one without main text, gives an empty text. Pages with a null url or without a host share the
-    empty host. Repeated rows and null ids keep a row each. Whole pages are read; nothing is cut.
+    empty host. Repeated rows and null ids keep a row each, and equal pages of a host teach its template once. Whole pages
+    are read; nothing is cut.
     """
     narrow = pages.select(
-        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.xxhash64(F.col(id_col).cast("string"), F.col(url_col), F.col(html_col)).alias("key"), F.col(html_col).alias("html")
+        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.xxhash64(F.col(html_col)).alias("key"), F.col(html_col).alias("html")
     )
     learnt = written(templates(narrow.select("host", "key", "html"), share), "templates")
     tokens = learnt.agg(F.sum(F.size("tokens"))).first()[0] or 0
@@ -254,10 +281,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     schema = T.StructType([joined.schema["page_id"], joined.schema["url"], T.StructField("text", T.StringType())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        host, template = None, []
         for batch in batches:
             for begin in range(0, batch.num_rows, 100):
                 part = batch.slice(begin, 100)
-                found = [main_text(h or "", frozenset(t or ())) for h, t in zip(part.column("html").to_pylist(), part.column("tokens").to_pylist(), strict=True)]
+                found = []
+                for row, (of, page) in enumerate(zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True)):
+                    if of != host:
+                        host, template = of, classes_of(*(part.column(c)[row].as_py() or [] for c in ("tokens", "layouts", "vectors")))
+                    found.append(main_text(page or "", template))
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(found, pa.string())], ["page_id", "url", "text"])
 
-    return joined.select("page_id", "url", "html", "tokens").mapInArrow(read, schema).withColumn("n_chars", F.length("text").cast("long"))
+    return joined.select("page_id", "url", "host", "html", "tokens", "layouts", "vectors").mapInArrow(read, schema).withColumn("n_chars", F.length("text").cast("long"))

@@ -38,3 +38,21 @@ def test_awkward_rows(spark):
     got = sorted(((r.page_id, r.text, r.n_chars) for r in extract(df).collect()), key=str)
     assert got == sorted([(1, "T <x>\nOne\nTwo link", 18), (1, "T <x>\nOne\nTwo link", 18), (2, "", 0), (None, "", 0), (3, "\n".join(["word and word"] * 20_000), 14 * 20_000 - 1)], key=str)
     assert extract(df.limit(0)).collect() == []
+
+
+def texts(spark, rows):
+    df = spark.createDataFrame([(i, f"http://{host}/{i}", page) for i, (host, page) in enumerate(rows)], "page_id long, url string, html string")
+    return [r.text for r in extract(df).orderBy("page_id").collect()]
+
+
+def test_copies_keep_their_text(spark):
+    story = "<div><p>" + "</p><p>".join(f"passage {k} of one story" for k in range(9)) + "</p></div>"
+    plain = story.replace("<div><p>", "").replace("</p></div>", "").replace("</p><p>", "\n")
+    near = [("near.example", f"<div>Top</div>{story}<p>copy {i}</p>") for i in range(6)]
+    got = texts(spark, [("two.example", story)] * 2 + near)
+    assert got == [plain] * 2 + [f"Top\n{plain}\ncopy {i}" for i in range(6)]
+
+
+def test_layouts_have_templates_of_their_own(spark):
+    rows = [("big.example", f"<div class=l{k}><div>Menu of {k}</div><p>own text {k} {i} which no other page has</p></div>") for k in range(3) for i in range(4)]
+    assert texts(spark, rows) == [f"own text {k} {i} which no other page has" for k in range(3) for i in range(4)]
