@@ -346,7 +346,14 @@ def jaccard_classes(docs: DataFrame, width: int = 4, part: int = 85, whole: int
     count, tokens = alive.agg(F.count("*"), F.sum("n")).first()
     links = None
     if count:
-        sets = written(token_table(narrow.join(small(alive.select("row_key"), count), "row_key", "left_semi"), width), "sets")
+        chosen = narrow.join(small(alive.select("row_key"), count), "row_key", "left_semi")
+        twice = written(rows.where("node IS NOT NULL").groupBy("row_key").agg(F.count("*").alias("rows")).where("rows > 1").select("row_key"), "twice")
+        repeated = twice.count()
+        if repeated:
+            # A set stands in ``sets`` once: ranks and counts below go by its shingles.
+            again = small(twice, repeated)
+            chosen = chosen.join(again, "row_key", "left_anti").unionByName(chosen.join(again, "row_key", "left_semi").dropDuplicates(["row_key"]))
+        sets = written(token_table(chosen, width), "sets")
         tasks = max(4, -(-tokens // 500_000))
         for seed in range(GROUPINGS):
             found = written(grouping(sets, seed, part, whole, tasks), "links")
@@ -361,7 +368,7 @@ def jaccard_classes(docs: DataFrame, width: int = 4, part: int = 85, whole: int
             if after == count:
                 break
             count, before = after, left
-            left = written(before.join(small(known.select("node"), count), "node", "left_semi").dropDuplicates(["node"]), "grouped") if count else None
+            left = written(before.join(small(known.select("node"), count), "node", "left_semi"), "grouped") if count else None
             discard(before)
         if count:
             links = links.unionByName(across_groups(left, part, whole))

@@ -1,5 +1,8 @@
 import random
 
+from pyspark.sql import functions as F
+
+from lakeops.llm import jaccard_groups
 from lakeops.llm.jaccard_groups import jaccard_classes, one_of_each_class
 
 from .helpers import TEXTS, documents, words
@@ -67,6 +70,16 @@ def test_awkward_rows(spark):
     check(spark, TEXTS)
 
 
+def test_repeated_rows_link_across_groups(spark, monkeypatch):
+    # Grouping finds nothing, so every link is left to the search across groups.
+    monkeypatch.setattr(jaccard_groups, "grouping", lambda sets, *_: sets.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0))
+    rows = []
+    for i in range(12):
+        w = [f"b{i}w{k}" for k in range(60)]
+        rows += [(2 * i, " ".join(w))] * 2 + [(2 * i + 1, " ".join([*w[:57], "x", "y", "z"]))] * 2
+    check(spark, rows)
+
+
 def test_empty_table(spark):
     assert jaccard_classes(documents(spark).limit(0)).collect() == []
 
