@@ -184,19 +184,27 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def pack(items: DataFrame, capacity: int = 2048, slack: int = 4, items_per_task: int = ITEMS_PER_TASK) -> DataFrame:
+def pack(items: DataFrame, capacity: int = 2048, items_per_task: int = ITEMS_PER_TASK) -> DataFrame:
     """Give every row of ``items`` (with ``length`` from 1 to capacity) a sequence_id and an offset; other columns are kept.
 
-    Sequences with at most ``slack`` free places are put out in the round that filled them. An empty table gives no rows.
+    Sequences that the shortest waiting one does not fit into are put out; rounds go on until one saves nothing or one task
+    has held all. An empty table gives no rows.
     """
     columns = [f"item_{i}" for i in range(len(items.columns))]
     held = T.ArrayType(T.StructType([T.StructField(n, f.dataType) for n, f in zip(columns, items.schema.fields, strict=True)]))
     length = f"item_{items.columns.index('length')}"
     single = items.select(F.array(F.struct(*(F.col(c).alias(n) for c, n in zip(items.columns, columns, strict=True)))).cast(held).alias("held"), F.col("length").cast("long").alias("used"))
     single = written(single, "pieces")
-    full, waiting = single.where(F.col("used") >= capacity - slack), single.where(F.col("used") < capacity - slack)
-    done = [full]
-    count, round_no = waiting.count(), 0
+    done: list[DataFrame] = []
+
+    def parted(packed: DataFrame) -> tuple[DataFrame, int]:
+        """Put out what nothing can be added to; the rest and its number of rows."""
+        least = packed.agg(F.min("used")).first()[0] or 0
+        done.append(packed.where(F.col("used") > capacity - least))
+        rest = packed.where(F.col("used") <= capacity - least)
+        return rest, rest.count()
+
+    (waiting, count), round_no = parted(single), 0
     schema = T.StructType([T.StructField("held", held), T.StructField("used", T.LongType())])
 
     def fit(group: pa.Table) -> pa.Table:
@@ -219,12 +227,10 @@ def pack(items: DataFrame, capacity: int = 2048, slack: int = 4, items_per_task:
         spread = waiting.withColumn("task", F.pmod(F.xxhash64("held", F.lit(round_no)), F.lit(tasks)))
         packed = written(spread.groupBy("task").applyInArrow(lambda t: fit(t), schema), "packed")
         after = packed.count()
-        if tasks == 1 or after > 0.99 * count:
+        if tasks == 1 or after >= count:
             done.append(packed)
             break
-        done.append(packed.where(F.col("used") >= capacity - slack))
-        waiting = packed.where(F.col("used") < capacity - slack)
-        count, round_no = waiting.count(), round_no + 1
+        (waiting, count), round_no = parted(packed), round_no + 1
     sequences = done[0]
     for more in done[1:]:
         sequences = sequences.unionByName(more)

@@ -61,6 +61,12 @@ def test_tree_rounds_keep_every_piece(spark, length):
     assert len({r.sequence_id for r in got}) == -(-3000 // (2048 // length))
 
 
+def test_short_pieces_fill_nearly_full_sequences(spark):
+    items = spark.range(60).withColumn("length", F.when(F.col("id") < 40, 2046).otherwise(4).cast("long")).withColumn("length", F.when(F.col("id") >= 40, 2).otherwise(F.col("length")))
+    assert len({r.sequence_id for r in pack(items).collect()}) == 40
+    assert len({r.sequence_id for r in pack(items, items_per_task=30).collect()}) <= 41
+
+
 def test_best_fit_prefers_the_fullest_bin():
     assert best_fit(np.array([60, 50, 40, 50]), 100) == [[0, 2], [1, 3]]
     assert best_fit(np.zeros(0, np.int64), 100) == []
