@@ -26,7 +26,7 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz",
 }
 _DROPPED = "-._~^'`*:;,/\\|+=#&%"
-LETTERS_APART, LONGEST_WORD = 4, 64
+LETTERS_APART, SETTLE = 4, 64
 #: Labelled rows learnt from at most, taken by the hash of their id; size of the lexicon at most (parameters of the model).
 SAMPLE_ROWS, LEXICON_SIZE = 20_000, 8192
 _SYMBOLS = 28
@@ -79,16 +79,16 @@ class Restorer:
         if found is None:
             if len(self.known) >= self.remembered:
                 self.known.clear()
-            # No word is that long: longer runs are read piece by piece, so the time grows with their length only.
-            pieces = [word[i:i + LONGEST_WORD] for i in range(0, len(word), LONGEST_WORD)]
-            found = self.known[word] = b"".join(map(self.viterbi, pieces))
+            found = self.known[word] = self.viterbi(self.readings(word))
         return found
 
-    def viterbi(self, word: bytes) -> bytes:
+    def viterbi(self, places: list[list[tuple[str, float]]]) -> bytes:
         # state: the last two symbols -> (cost, link to what was read)
-        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-        for options in [*self.readings(word), [(" ", 0.0)]]:
-            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        states: dict[tuple[int, int], tuple[float, list | None]] = {(0, 0): (0.0, None)}
+        settled: list[str] = []
+        check = SETTLE
+        for k, options in enumerate([*places, [(" ", 0.0)]], 1):
+            after: dict[tuple[int, int], tuple[float, list | None]] = {}
             for (a, b), (cost, trace) in states.items():
                 for text, extra in options:
                     x, y, total = a, b, cost + extra
@@ -97,13 +97,33 @@ class Restorer:
                         total += self.cost[x, y, z]
                         x, y = (0, 0) if z == 0 else (y, z)
                     if (x, y) not in after or total < after[x, y][0]:
-                        after[x, y] = (total, (trace, text))
+                        after[x, y] = (total, [trace, text])
             states = after
-        trace, parts = min(states.values(), key=lambda s: s[0])[1], []
+            if k >= check:
+                # The longer the states disagree, the later they are asked again: the time grows with the length only.
+                check = k + max(SETTLE, self.settle(states, settled))
+        settled.append(self.traced(min(states.values(), key=lambda s: s[0])[1]))
+        return "".join(settled).strip().encode("latin-1")
+
+    @staticmethod
+    def traced(trace: list | None) -> str:
+        parts = []
         while trace is not None:
             trace, text = trace
             parts.append(text)
-        return "".join(reversed(parts)).strip().encode("latin-1")
+        return "".join(reversed(parts))
+
+    def settle(self, states: dict[tuple[int, int], tuple[float, list | None]], settled: list[str]) -> int:
+        """Move what all states have read alike to ``settled``; the number of places they still disagree on."""
+        level, open_places = {id(t): t for _, t in states.values()}, 0
+        while len(level) > 1:
+            level = {id(t[0]): t[0] for t in level.values()}
+            open_places += 1
+        shared = next(iter(level.values()))
+        if shared is not None:
+            settled.append(self.traced(shared))
+            shared[:] = [None, ""]
+        return open_places
 
 
 def disguised(data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:

@@ -56,6 +56,23 @@ def test_restoring(disguised, plain):
     assert got == ["before", plain, "", "after"]
 
 
+@pytest.mark.parametrize(("disguised", "plain"), [
+    ("word-" * 12 + "m0r0n", "word" * 12 + "moron"), ("word-" * 12 + "-sc*m", "word" * 12 + "scum"), ("m0r0n-" * 4000, "moron" * 4000),
+])
+def test_restoring_wide_gaps_short_and_long_words(disguised, plain):
+    restorer = Restorer(trigrams_of(["idiot", "moron", "ass", "wordword", "wordmoron", "moronmoron", "wordscum", "x", "i", "o"] * 50))
+    assert restored(*raw_bytes(pa.array([disguised])), restorer)[0].tobytes().decode().rstrip("-") == plain
+
+
+def test_long_words_are_read_as_a_whole(monkeypatch):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdeo0134@$*-.") for _ in range(300)) for _ in range(10)]
+    read = lambda: [(r := Restorer(trigrams_of(["abode", "cab", "dead", "code"] * 9))).viterbi(r.readings(w.encode())) for w in words]
+    pieces = read()
+    monkeypatch.setattr("lakeops.llm.toxicity.SETTLE", 10**9)
+    assert pieces == read()
+
+
 def test_trigrams_follow_the_texts(spark):
     rows = documents(spark, [(1, "ab"), (2, "AB"), (3, None)])
     table = character_trigrams(rows, "text").reshape(28, 28, 28)
