@@ -26,7 +26,7 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz",
 }
 _DROPPED = "-._~^'`*:;,/\\|+=#&%"
-LETTERS_APART, SETTLE = 4, 64
+LETTERS_APART, SETTLE = 3, 64
 #: Labelled rows learnt from at most, taken by the hash of their id; size of the lexicon at most (parameters of the model).
 SAMPLE_ROWS, LEXICON_SIZE = 20_000, 8192
 _SYMBOLS = 28
@@ -82,6 +82,22 @@ class Restorer:
             found = self.known[word] = self.viterbi(self.readings(word))
         return found
 
+    def joined(self, run: bytes) -> bytes:
+        """A run of single letters set apart as one word; one of three letters only if that is likelier than three words."""
+        letters = run.split()
+        if len(letters) > LETTERS_APART:
+            return self.restore(b"".join(letters))
+        if not any(x.isalpha() for x in letters):
+            return run
+        key = b" ".join(letters)
+        found = self.known.get(key)
+        if found is None:
+            if len(self.known) >= self.remembered:
+                self.known.clear()
+            places = [p for x in letters for p in ([("", 1.2), (" ", 0.0)], self.readings(x)[0])]
+            found = self.known[key] = self.viterbi(places[1:])
+        return run if b" " in found else found
+
     def viterbi(self, places: list[list[tuple[str, float]]]) -> bytes:
         # state: the last two symbols -> (cost, link to what was read)
         states: dict[tuple[int, int], tuple[float, list | None]] = {(0, 0): (0.0, None)}
@@ -163,12 +179,14 @@ def disguised(data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
         high = np.minimum(gaps[np.searchsorted(gaps, places, "right")], bounds[np.searchsorted(bounds, places, "right")])
         keep = np.r_[True, low[1:] != low[:-1]]
         spans = list(zip(low[keep].tolist(), high[keep].tolist(), strict=True))
-    single = np.zeros(n, bool)
-    single[1:-1] = ~_SPACE[data[1:-1]] & _SPACE[data[:-2]] & _SPACE[data[2:]]
-    if single.sum() >= LETTERS_APART - 2:
-        # Only texts with two single letters in a row are searched for letters set apart.
+    space = np.r_[True, _SPACE[data], True]
+    start = ~space[1:-1] & space[:-2]
+    single = start & space[2:]
+    if single.sum() >= LETTERS_APART:
+        # Only texts in which words of one letter follow one another are searched for letters set apart, however wide the gaps.
         at = np.flatnonzero(single)
-        at = at[1:][np.diff(at) <= 3]
+        word = np.searchsorted(np.flatnonzero(start), at)
+        at = at[LETTERS_APART - 1:][word[LETTERS_APART - 1:] - word[:1 - LETTERS_APART] == LETTERS_APART - 1]
         for k in distinct(np.searchsorted(bounds, at, "right") - 1).tolist():
             begin = int(bounds[k])
             for m in _APART.finditer(data[begin:int(bounds[k + 1])].tobytes()):
@@ -190,7 +208,7 @@ def restored(data: np.ndarray, bounds: np.ndarray, restorer: Restorer) -> tuple[
         if begin < at:
             continue
         word = raw[begin:end]
-        fixed = restorer.restore(b"".join(word.split()) if _APART.fullmatch(word) else word)
+        fixed = restorer.joined(word) if _APART.fullmatch(word) else restorer.restore(word)
         pieces += [raw[at:begin], fixed]
         shift += len(fixed) - (end - begin)
         starts.append(end)

@@ -57,6 +57,7 @@ def test_restoring(disguised, plain):
 
 
 @pytest.mark.parametrize(("disguised", "plain"), [
+    ("i   d \t  i    o   t", "idiot"), ("a s s", "ass"), ("a  $  s", "ass"), ("x i o", "x i o"), ("1 2 3", "1 2 3"), ("a b", "a b"),
     ("word-" * 12 + "m0r0n", "word" * 12 + "moron"), ("word-" * 12 + "-sc*m", "word" * 12 + "scum"), ("m0r0n-" * 4000, "moron" * 4000),
 ])
 def test_restoring_wide_gaps_short_and_long_words(disguised, plain):
