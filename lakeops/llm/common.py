@@ -246,3 +246,25 @@ def components(edges: DataFrame) -> DataFrame:
     if found is None:
         return e.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     return found.withColumnRenamed("to", "root")
+
+
+# ---------------------------------------------------------------- numbering
+
+
+def numbered(df: DataFrame, order: list, name: str, label: str) -> DataFrame:
+    """Rows of ``df`` with a column ``name`` that holds 1, 2, 3... in ``order``; written to a table.
+
+    The rows are dealt out by ranges of ``order`` and sorted there; a row's number is its place in its range plus the rows
+    of the ranges before. Only one row count per range comes to the driver. ``order`` should end with a unique column, so
+    that many equal keys can be divided.
+    """
+    placed = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id()), label)
+    counts = placed.groupBy(F.shiftright(name, 33).alias("_range")).count().collect()
+    before, total = [], 0
+    for r in sorted(counts):
+        before.append((r["_range"], total))
+        total += r["count"]
+    bases = df.sparkSession.createDataFrame(before, "_range long, _base long")
+    joined = placed.withColumn("_range", F.shiftright(name, 33)).join(F.broadcast(bases), "_range")
+    inside = F.col(name) - F.shiftleft("_range", 33)
+    return joined.withColumn(name, F.col("_base") + inside + 1).drop("_range", "_base")

@@ -12,6 +12,7 @@ from lakeops.llm.common import table
 from lakeops.llm.decontaminate import decontaminate
 from lakeops.llm.embed_dedup import near_duplicates
 from lakeops.llm.html_template import extract
+from lakeops.llm.importance import importance_scores
 from lakeops.llm.jaccard_groups import jaccard_classes
 from lakeops.llm.lm_scoring import lm_scores
 from lakeops.llm.packing import best_fit_packing
@@ -122,3 +123,27 @@ def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents")).drop("row_key", "root")
+
+
+@_query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
+#: crc32 is spelt out: a table made of eight shifts per entry, then one step per byte of the feature.
+ORACLES["op11_importance_resampling"] = r"""
+WITH w AS MATERIALIZED (SELECT 'd' AS side, row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+ UNION ALL SELECT 'b', row_number() OVER (), item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+g AS MATERIALIZED (SELECT side, uid, array_to_string(w[i:i + k - 1], ' ') AS gram FROM (SELECT side, uid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) s(k) WHERE len(w) >= k)),
+tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+f AS MATERIALIZED (SELECT gram, xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(gram)), lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT))),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM (SELECT DISTINCT gram, hex(gram) AS h FROM g), tab),
+n AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM g JOIN f USING (gram) GROUP BY bucket),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (CAST(sum(s) OVER () AS DOUBLE) + 10000) / ((CAST(s AS DOUBLE) + 1) * (CAST(sum(t) OVER () AS DOUBLE) + 10000)))) AS BIGINT) AS gain FROM n),
+weights AS (SELECT uid, CAST(count(*) AS BIGINT) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM g JOIN f USING (gram) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY uid),
+scored AS (SELECT doc_id, uid, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+ coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(('0x' || substr(sha256('42:' || CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+ FROM w LEFT JOIN weights USING (uid) WHERE side = 'd'),
+ranked AS (SELECT uid, row_number() OVER (ORDER BY score DESC, doc_id, uid) AS r, count(*) OVER () AS total FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 5 * total // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (uid)
+"""
