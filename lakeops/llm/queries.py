@@ -16,6 +16,7 @@ from lakeops.llm.importance import importance_scores
 from lakeops.llm.jaccard_groups import jaccard_classes
 from lakeops.llm.lm_scoring import lm_scores
 from lakeops.llm.packing import best_fit_packing
+from lakeops.llm.phrases import collocations
 from lakeops.llm.quality import quality_scores
 from lakeops.llm.token_counts import token_counts
 from lakeops.llm.toxicity import toxicity_scores
@@ -147,3 +148,23 @@ scored AS (SELECT doc_id, uid, len(w) AS n_words, coalesce(n_features, 0) AS n_f
 ranked AS (SELECT uid, row_number() OVER (ORDER BY score DESC, doc_id, uid) AS r, count(*) OVER () AS total FROM scored WHERE n_words >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN r <= 5 * total // 100 THEN r END AS rank FROM scored LEFT JOIN ranked USING (uid)
 """
+
+
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_collocations"] = r"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS p, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+f AS MATERIALIZED (SELECT lang, g, len(g) AS size, count(*) AS a FROM (SELECT lang, w[i:i + k - 1] AS g FROM
+  (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3), (4), (5)) s(k) WHERE len(w) >= k)) GROUP BY lang, g HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+cut AS (SELECT c.lang, c.g, c.a, n.n, k, l.a AS l, r.a AS r, CAST(CAST(1000 AS HUGEINT) * c.a * n.n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+ FROM (SELECT *, unnest(range(1, size)) AS k FROM f WHERE size > 1) c JOIN n USING (lang) JOIN f l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN f r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, g[i:i + k - 1] AS g, max(a) AS most FROM (SELECT lang, g, a, k, unnest(range(1, size - k + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS k FROM f WHERE size > 2)) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM best LEFT JOIN inner_ USING (lang, g) WHERE most IS NULL OR most < a QUALIFY rank <= 2000
+"""
