@@ -18,6 +18,7 @@ from lakeops.llm.lm_scoring import lm_scores
 from lakeops.llm.packing import best_fit_packing
 from lakeops.llm.phrases import collocations
 from lakeops.llm.quality import quality_scores
+from lakeops.llm.quality_rules import quality_rules
 from lakeops.llm.token_counts import token_counts
 from lakeops.llm.toxicity import toxicity_scores
 from lakeops.llm.url_rules import judge_urls
@@ -168,3 +169,8 @@ inner_ AS (SELECT lang, g[i:i + k - 1] AS g, max(a) AS most FROM (SELECT lang, g
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, score
 FROM best LEFT JOIN inner_ USING (lang, g) WHERE most IS NULL OR most < a QUALIFY rank <= 2000
 """
+
+
+@_query
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("row_key")
