@@ -8,10 +8,10 @@ Equal shingle sets are one node. What remains is narrowed in steps, each of whic
    compared with the few leaders of its place. Links found here are exact; linked sets are one group.
 3. The token-group matrix says which groups hold a shingle. A set links with another group only if share * n of its
    shingles are in other groups' unions; all others are done, so a large group of near copies leaves here as a whole.
-4. For what is left, a set's rarest shingles name the groups it may link with. Groups are stored in parts of bounded size,
-   of sets of similar sizes, with the union of their shingles; a part is opened only if its union holds as many of the
-   set's shingles as a link with the part's smallest set needs, and then members are compared until one links: the group
-   is connected already, so one link joins all of it.
+4. What is left is partitioned again, into families of sets that share half of their shingles, linked or not, so that near
+   copies that miss a link by little stand together. Families are cut into units of bounded size. Units meet inside their
+   family, and across families where a set's rarest shingles name the other unit; a set is held against the union of the
+   other unit, and only where that could hold a link are the sets themselves compared, as one product of 0-1 matrices.
 
 Components of the links of 2 and 4 are the classes. No step sends all shingles of a text but the first, and none lists the
 pairs inside a group.
@@ -29,8 +29,12 @@ from pyspark.sql import types as T
 
 from lakeops.llm.common import components, discard, distinct, free_name, give_back, mix, raw_bytes, row_key, slices, small, word_hashes, written
 
-#: Shingles that one hash range counts; sets per part of a group; searching sets per opened part.
-PER_RANGE, PART, QUERIES_PER_PART = 1_500_000, 128, 1024
+#: Shingles that one hash range counts.
+PER_RANGE = 1_500_000
+#: Sets and shingles of a unit of step 4 (one larger set is a unit by itself); shingles multiplied at once.
+PART, PART_TOKENS, COLUMNS = 512, 1_000_000, 2048
+#: Rounds of step 3, and of looking for families: both only save work.
+ROUNDS, FAMILY_ROUNDS = 3, 5
 #: Leaders that a place compares with in step 2 (a matter of speed: step 4 finds what they miss).
 LEADERS, GROUPINGS = 6, 3
 #: Shingles that a task holds before it sends them on.
@@ -261,71 +265,143 @@ def grouping(sets: DataFrame, seed: int, part: int, whole: int, tasks: int) -> D
     return placed.repartitionByRange(tasks, "place", "node").sortWithinPartitions("place", "node").mapInArrow(compare, "u long, v long")
 
 
-def across_groups(sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Links (u, v) between sets of different groups; sets: (group, node, n, tokens).
+def families(sets: DataFrame, tasks: int) -> DataFrame:
+    """(node, family) of every set; a family is named by a leader that its sets share at least half of all shingles with.
 
-    A group's parts hold sets of nearly one size. Two linked sets of n and m shingles share at least
-    part * (n + m) / (part + whole) of them, so both their first shared shingle in the order of rarity and the part's union
-    are held against the smallest size in the part.
+    Round by round, the sets left over meet by the minimum of another hash; a set joins the first similar leader of its place
+    or becomes one. Whoever has joined or been joined is out, so rounds get shorter and families never chain. They only
+    decide which blocks are compared.
     """
-    # Sizes of a part differ by 3 % at most.
-    sized = sets.withColumn("size", F.floor(F.log("n") * 33).cast("int"))
-    sizes = written(sized.groupBy("group", "size").agg(F.ceil(F.count("*") / PART).alias("parts")), "sizes")
-    sized = written(sized.join(sizes, ["group", "size"]).withColumn("part", F.pmod("node", "parts").cast("int")).select("group", "size", "part", "node", "n", "tokens"), "parts")
-    unit = ["target", "size", "part"]
+    rest, found = sets.select("node", "tokens"), None
+    for seed in range(FAMILY_ROUNDS):
+        met = written(grouping(rest, GROUPINGS + seed, 1, 2, tasks), "met")
+        joined = written(met.select(F.col("u").alias("node"), F.col("v").alias("family")).unionByName(met.select(F.col("v").alias("node"), F.col("v").alias("family")).distinct()), "family")
+        found = joined if found is None else found.unionByName(joined)
+        rest = rest.join(joined.select("node"), "node", "left_anti")
+    return sets.select("node").join(found, "node", "left").select("node", F.coalesce("family", "node").alias("family"))
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                codes = np.frombuffer(batch.column("tokens")[row].as_buffer(), np.int64)
-                one = [pa.array(np.full(len(codes), batch.column(c)[row].as_py()), k) for c, k in (("group", pa.int64()), ("size", pa.int32()), ("part", pa.int32()), ("node", pa.int64()), ("n", pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*one, pa.array(codes)], ["group", "size", "part", "node", "n", "token"])
-
-    single = written(sized.mapInArrow(explode, "group long, size int, part int, node long, n long, token long"), "left-tokens")
-    spread = written(single.groupBy("token").agg(F.countDistinct("group").alias("groups")), "spread")
-    order = Window.partitionBy("node").orderBy("groups", "token")
-    # able: how many of a set's shingles any other group holds at all
-    able = F.count_if(F.col("groups") > 1).over(Window.partitionBy("node"))
-    ranked = single.join(spread, "token").withColumn("rank", F.row_number().over(order)).withColumn("able", able)
-    # Of n shingles at least ceil(n * part / whole) are shared, so one of the others + 1 rarest is.
-    prefix = written(ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * part / whole) + 1).where("groups > 1"), "prefix")
-    held = prefix.withColumnRenamed("group", "target")
-    spans = written(held.groupBy(*unit).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("able").alias("most")), "spans")
-    index = held.groupBy("token", *unit).agg(F.min("rank").alias("first")).join(spans, unit)
-    asks = prefix.select("token", "group", "node", "n", "rank")
-    # A link is found from one of its sides, the larger group number.
-    fits = (F.col("target") < F.col("group")) & (F.col("most") * (part + whole) >= (F.col("n") + F.col("low")) * part)
-    fits &= (F.col("low") * part <= F.col("n") * whole) & (F.col("high") * whole >= F.col("n") * part)
-    # The first shared shingle in the order of rarity stands early enough on both sides.
-    fits &= F.col("first") <= F.col("high") - F.ceil((F.col("n") + F.col("high")) * part / (part + whole)) + 1
-    fits &= F.col("rank") <= F.col("n") - F.ceil((F.col("n") + F.col("low")) * part / (part + whole)) + 1
-    asked = written(asks.join(index, "token").where(fits).select("node", *unit).distinct(), "asked")
-    loads = written(asked.groupBy(*unit).agg(F.ceil(F.count("*") / QUERIES_PER_PART).cast("int").alias("slots")), "loads")
-    dealt = asked.join(loads, unit).withColumn("slot", F.pmod("node", "slots").cast("int")).select("node", *unit, "slot")
-    queries = dealt.join(sets.select("node", "tokens"), "node")
-    members = sized.withColumnRenamed("group", "target")
-    opened = members.join(loads, unit).withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
-
-    def open_part(left: pa.Table, right: pa.Table) -> pa.Table:
+
+def spanning_links(a_sets: list[np.ndarray], a_group: np.ndarray, b_sets: list[np.ndarray], b_group: np.ndarray, part: int, whole: int) -> list[tuple[int, int]]:
+    """Links between two blocks of sets as a few pairs (place in a, place in b) that connect what the links connect.
+
+    A set is held against the union of the other block first; shingles of those that may link become the columns of two 0-1
+    matrices, whose product is the sizes of all intersections. Sets of one group are connected already and not asked for.
+    """
+    size_a, size_b = (np.array(list(map(len, s)), np.int64) for s in (a_sets, b_sets))
+
+    def may_link(sets: list[np.ndarray], sizes: np.ndarray, others: np.ndarray, least: int) -> np.ndarray:
+        inside = np.add.reduceat(np.isin(np.concatenate(sets), others), np.cumsum(sizes) - sizes)
+        return np.flatnonzero(inside * (part + whole) >= part * (sizes + least))
+
+    rows = may_link(a_sets, size_a, np.concatenate(b_sets), int(size_b.min()))
+    cols = may_link(b_sets, size_b, np.concatenate([a_sets[i] for i in rows]), int(size_a[rows].min())) if len(rows) else rows
+    if not len(rows) or not len(cols):
+        return []
+    code_a, code_b = (np.concatenate([s[i] for i in chosen]) for s, chosen in ((a_sets, rows), (b_sets, cols)))
+    common = np.intersect1d(code_a, code_b)
+    places = []
+    for code, sizes in ((code_a, size_a[rows]), (code_b, size_b[cols])):
+        at = np.minimum(np.searchsorted(common, code), max(len(common) - 1, 0))
+        hit = common[at] == code if len(common) else np.zeros(len(code), bool)
+        owner, at = np.repeat(np.arange(len(sizes)), sizes)[hit], at[hit]
+        order = np.argsort(at, kind="stable")
+        places.append((owner[order], at[order]))
+    both = np.zeros((len(rows), len(cols)), np.float64)
+    for begin in range(0, len(common), COLUMNS):
+        wide = min(COLUMNS, len(common) - begin)
+        left, right = (np.zeros((n, wide), np.float32) for n in (len(rows), len(cols)))
+        for matrix, (owner, at) in ((left, places[0]), (right, places[1])):
+            x, y = np.searchsorted(at, [begin, begin + wide])
+            matrix[owner[x:y], at[x:y] - begin] = 1
+        both += left @ right.T
+    link = both * whole >= part * (size_a[rows][:, None] + size_b[cols][None, :] - both)
+    link &= a_group[rows][:, None] != b_group[cols][None, :]
+    mark_a, mark_b = np.arange(len(rows)), np.full(len(cols), len(rows))
+    while True:  # the smallest row that links reach
+        mark_b = np.where(link, mark_a[:, None], len(rows)).min(axis=0)
+        now = np.minimum(mark_a, np.where(link, mark_b[None, :], len(rows)).min(axis=1))
+        if (now == mark_a).all():
+            break
+        mark_a = now
+    # A row is connected to its mark by way of any of its columns, which carry the same mark.
+    found = [(int(rows[mark_b[j]]), int(cols[j])) for j in np.flatnonzero(mark_b < len(rows))]
+    return found + [(int(rows[i]), int(cols[j])) for i, j in zip(np.flatnonzero(link.any(axis=1)), link[link.any(axis=1)].argmax(axis=1), strict=True)]
+
+
+def across_groups(sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """Links (u, v) that connect all sets of different groups that link; sets: (group, node, n, tokens).
+
+    Sets are cut into units: sets of one family and nearly one size, at most ``PART`` of them and ``PART_TOKENS`` shingles.
+    Units of a family meet by their sizes; units of different families only where a set's rare shingles name the other. All
+    else is a comparison of two units as blocks, so the rows grow with pairs of units, never with pairs of sets.
+    """
+    tokens = sets.agg(F.sum("n")).first()[0] or 0
+    named = sets.join(families(sets, max(4, -(-tokens // 500_000))), "node")
+    # Sizes of a unit differ by 3 % at most.
+    named = written(named.withColumn("size", F.floor(F.log("n") * 33).cast("int")), "families")
+    parts = F.greatest(F.ceil(F.count("*") / PART), F.ceil(F.sum("n") / PART_TOKENS)).alias("parts")
+    sizes = written(named.groupBy("family", "size").agg(parts), "sizes")
+    dealt = named.join(sizes, ["family", "size"]).withColumn("unit", F.xxhash64("family", "size", F.pmod(F.xxhash64("node"), "parts")))
+    units = written(dealt.select("unit", "family", "group", "node", "n", "tokens"), "units")
+    about = units.groupBy("unit", "family").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("group").alias("g0"), F.max("group").alias("g1"))
+    about = written(about, "about")
+
+    def side(name: str, df: DataFrame) -> DataFrame:
+        return df.select(*(F.col(c).alias(f"{c}_{name}") for c in df.columns))
+
+    near = (F.col("low_a") * part <= F.col("high_b") * whole) & (F.col("low_b") * part <= F.col("high_a") * whole)
+    one = (F.col("g0_a") == F.col("g1_a")) & (F.col("g0_b") == F.col("g1_b")) & (F.col("g0_a") == F.col("g0_b"))
+    inside = side("a", about).join(side("b", about), F.col("family_a") == F.col("family_b")).where((F.col("unit_a") <= F.col("unit_b")) & near & ~one)
+    pairs = written(inside.select("unit_a", "unit_b"), "inside")
+
+    # A set links with another family only if enough of its shingles occur there.
+    own = own_counts(units.select(F.col("family").alias("group"), "node", "tokens"), max(4, -(-tokens // PER_RANGE)))
+    able = units.select("node", "n").join(own, "node", "left").where((F.col("n") - F.coalesce("own", F.lit(0))) * whole >= F.col("n") * part)
+    able = written(able.select("node"), "able")
+    if able.limit(1).count():
+        def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    codes = np.frombuffer(batch.column("tokens")[row].as_buffer(), np.int64)
+                    one = [pa.array(np.full(len(codes), batch.column(c)[row].as_py()), pa.int64()) for c in ("unit", "family", "node", "n")]
+                    yield pa.RecordBatch.from_arrays([*one, pa.array(codes)], ["unit", "family", "node", "n", "token"])
+
+        single = units.join(able, "node", "left_semi").select("unit", "family", "node", "n", "tokens")
+        single = written(single.mapInArrow(explode, "unit long, family long, node long, n long, token long"), "left-tokens")
+        spread = single.groupBy("token").agg(F.countDistinct("family").alias("families")).where("families > 1")
+        order = Window.partitionBy("node").orderBy("families", "token")
+        # Shingles of one family come first in the order of rarity, and there are n - able of them.
+        ranked = single.join(written(spread, "spread"), "token").withColumn("able", F.count("*").over(Window.partitionBy("node")))
+        ranked = ranked.withColumn("rank", F.row_number().over(order) + F.col("n") - F.col("able"))
+        # Of n shingles at least ceil(n * part / whole) are shared, so one of the others + 1 rarest is.
+        prefix = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * part / whole) + 1)
+        index = prefix.groupBy("token", "unit", "family").agg(F.min("rank").alias("first"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("able").alias("most"))
+        index = written(index, "index")
+        both = side("a", index).join(side("b", index), F.col("token_a") == F.col("token_b")).where((F.col("family_a") < F.col("family_b")) & near)
+        for x, y in ("ab", "ba"):
+            # Two sets of n and m shingles share at least part * (n + m) / (part + whole) of them: as many must be able to,
+            # and the first shared one stands early enough.
+            both = both.where(F.col(f"most_{x}") * (part + whole) >= (F.col(f"low_{x}") + F.col(f"low_{y}")) * part)
+            both = both.where(F.col(f"first_{x}") <= F.col(f"high_{x}") - F.ceil((F.col(f"high_{x}") + F.col(f"low_{y}")) * part / (part + whole)) + 1)
+        pairs = pairs.unionByName(written(both.select("unit_a", "unit_b").distinct(), "outside"))
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         u, v = [], []
-        ids = right.column("open_node").to_pylist()
-        own = [np.frombuffer(t.as_buffer(), np.uint64) for t in right.column("open_tokens")]
-        union = distinct(np.concatenate(own)) if own else np.zeros(0, np.uint64)
-        least = min(map(len, own), default=0)
-        for node, tokens in zip(left.column("node").to_pylist(), left.column("tokens"), strict=True):
-            s = np.frombuffer(tokens.as_buffer(), np.uint64)
-            if not len(union) or _overlap(s, union) * (part + whole) < part * (len(s) + least):
-                continue
-            for other_node, other_set in zip(ids, own, strict=True):
-                if linked(s, other_set, part, whole):
-                    u.append(node)
-                    v.append(other_node)
-                    break
+        if left.num_rows and right.num_rows:
+            a, b = ([np.frombuffer(x.as_buffer(), np.uint64) for x in t.column(f"tokens_{x}")] for t, x in ((left, "a"), (right, "b")))
+            a_node, b_node = left.column("node_a").to_pylist(), right.column("node_b").to_pylist()
+            for i, j in spanning_links(a, left.column("group_a").to_numpy(), b, right.column("group_b").to_numpy(), part, whole):
+                u.append(a_node[i])
+                v.append(b_node[j])
+        give_back()
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    keys = [*unit, "slot"]
-    opened = opened.select(*(F.col(c).alias(f"open_{c}") for c in (*keys, "node", "tokens")))
-    return queries.groupBy(*keys).cogroup(opened.groupBy(*(f"open_{k}" for k in keys))).applyInArrow(lambda a, b: open_part(a, b), "u long, v long")
+    sent = []
+    for x, keys in (("a", ["ua", "ub"]), ("b", ["va", "vb"])):
+        asked = pairs.select(F.col("unit_a").alias(keys[0]), F.col("unit_b").alias(keys[1]))
+        members = side(x, units.select("unit", "group", "node", "tokens"))
+        sent.append(asked.join(members, F.col(keys[0 if x == "a" else 1]) == F.col(f"unit_{x}")).drop(f"unit_{x}").groupBy(*keys))
+    return sent[0].cogroup(sent[1]).applyInArrow(lambda a, b: compare(a, b), "u long, v long")
 
 
 def jaccard_classes(docs: DataFrame, width: int = 4, part: int = 85, whole: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -361,14 +437,16 @@ def jaccard_classes(docs: DataFrame, width: int = 4, part: int = 85, whole: int
         grouped = components(links)
         groups = grouped.count()
         left = written(sets.join(small(grouped, groups), "node", "left").select(F.coalesce("root", "node").alias("group"), "node", "n", "tokens"), "grouped")
-        while count:
+        for _ in range(ROUNDS):
             counts = own_counts(left, max(4, -(-tokens // PER_RANGE)))
             known = written(can_link(left.select("node", "n").distinct().join(counts, "node", "left")).select("node", "n"), "left")
             after, tokens = known.agg(F.count("*"), F.sum("n")).first()
             if after == count:
                 break
             count, before = after, left
-            left = written(before.join(small(known.select("node"), count), "node", "left_semi"), "grouped") if count else None
+            if not count:
+                break
+            left = written(before.join(small(known.select("node"), count), "node", "left_semi"), "grouped")
             discard(before)
         if count:
             links = links.unionByName(across_groups(left, part, whole))

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from lakeops.llm import jaccard_groups
@@ -95,3 +96,54 @@ def test_one_of_each_class(spark):
     for members in groups.values():
         want.append(min((i for i in members if i is not None), default=None))
     assert sorted(ids, key=str) == sorted(want, key=str) and texts
+
+
+def near_misses(n, seed=7):
+    """One family: every text shares most words with all others and links with few of them."""
+    rng = random.Random(seed)
+    base = [f"m{k}" for k in range(120)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(120), rng.choice([2, 3, 4])):
+            w[at] = f"q{rng.randrange(40)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_large_family_of_misses(spark, monkeypatch):
+    # Units of 64 sets: the rows grow with pairs of units, not with pairs of sets.
+    monkeypatch.setattr(jaccard_groups, "PART", 64)
+    counted, write = {}, jaccard_groups.written
+
+    def counting(df, label):
+        out = write(df, label)
+        if label in ("inside", "outside"):
+            counted[label] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_groups, "written", counting)
+    rows = near_misses(500)
+    check(spark, rows)
+    assert 0 < counted["inside"] <= 100 and counted.get("outside", 0) <= 600
+
+
+def test_blocks_against_pairs():
+    rng = np.random.default_rng(2)
+    for part in (50, 85):
+        sets = [np.unique(rng.integers(0, 60, rng.integers(1, 70)).astype(np.uint64)) for _ in range(90)]
+        a, b, group = sets[:50], sets[50:], rng.integers(0, 12, 90)
+        want, got = ({frozenset([i]) for i in range(90)} for _ in range(2))
+
+        def join(classes, i, j):
+            x, y = (next(c for c in classes if k in c) for k in (i, j))
+            classes -= {x, y}
+            classes.add(x | y)
+
+        for i in range(50):
+            for j in range(50, 90):
+                if group[i] != group[j] and jaccard_groups.linked(sets[i], sets[j], part, 100):
+                    join(want, i, j)
+        for i, j in jaccard_groups.spanning_links(a, group[:50], b, group[50:], part, 100):
+            join(got, i, 50 + j)
+        assert got == want
