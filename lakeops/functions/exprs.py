@@ -23,14 +23,10 @@ def ntz(x: Column | str) -> Column:
     return c(x).cast("timestamp_ntz")
 
 
-def exact(amount: Column | str) -> Column:
-    """Money as a decimal, so that sums do not depend on row order."""
-    return c(amount).cast("decimal(18,4)")
-
-
-def exact_rate(share: Column | str) -> Column:
-    """A share or score as a decimal, for the same reason."""
-    return c(share).cast("decimal(20,10)")
+def number_or_null(text: Column | str) -> Column:
+    """A finite number read from text; anything else is null."""
+    x = c(text).try_cast("double")
+    return F.when(F.isnan(x) | (F.abs(x) == float("inf")), None).otherwise(x)
 
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float = EARTH_KM) -> Column:

@@ -34,13 +34,15 @@ def with_row_deviation(df: DataFrame, features: Sequence[str], out: str) -> Data
     )
 
 
-def row_anomaly(df: DataFrame, features: Sequence[str], contamination: float = 0.01) -> DataFrame:
-    """Score (lower is stranger), flag of the lowest ``contamination`` share, percentile 0..100."""
+def row_anomaly(df: DataFrame, features: Sequence[str], contamination: float = 0.01, digits: int | None = None) -> DataFrame:
+    """Score (lower is stranger), flag of the lowest ``contamination`` share, percentile 0..100; scores rounded if asked."""
     if len(features) < 2:
         return df.withColumns({"anomaly_score": F.lit(0.0), "is_anomaly": F.lit(False), "anomaly_percentile": F.lit(0.0)})
-    scored = with_row_deviation(df, features, "anomaly_score").withColumn("anomaly_score", F.round("anomaly_score", 9))
+    scored = with_row_deviation(df, features, "anomaly_score")
+    if digits is not None:
+        scored = scored.withColumn("anomaly_score", F.round("anomaly_score", digits))
     # one narrow table of distinct scores serves both the threshold and the percentiles
-    ranked = materialize(ranks.ranked_values(scored, [], "anomaly_score"), "score-ranks")
+    ranked = materialize(ranks.ranked_values(scored.select("anomaly_score"), [], "anomaly_score"), "score-ranks")
     (limit,) = ranks.percentile_values(scored, "anomaly_score", [contamination], ranked)
     placed = ranks.percent_rank(scored, "anomaly_score", "anomaly_percentile", ranked)
     return placed.withColumns(

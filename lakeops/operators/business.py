@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions import fixed
-from lakeops.functions.exprs import c, clean_text, exact, exact_rate, ratio, words_of
+from lakeops.functions.exprs import c, clean_text, ratio, words_of
 from lakeops.operators import timeline as tl
 from lakeops.operators.search import newest_per_group
 from lakeops.session import materialize
@@ -26,7 +26,7 @@ def _is(kind: str) -> Column:
 
 def sms_metrics(df: DataFrame, group: Sequence[str | Column] = ()) -> DataFrame:
     """Counts, rates and cost; sent means delivered or failed."""
-    cost = F.sum(F.col("price_millicents").cast("decimal(18,4)")).cast("double") / 100000
+    cost = F.sum("price_millicents").cast("double") / 100000
     out = df.groupBy(*group).agg(
         F.count_if(_is(DELIVERED) | _is(FAILED)).alias("messages_sent"),
         F.count_if(_is(DELIVERED)).alias("messages_delivered"),
@@ -115,7 +115,7 @@ def call_counts(group: Sequence[str], df: DataFrame) -> DataFrame:
         F.count_if(s == "NEUTRAL").alias("neutral_calls"),
         F.count_if(s == "MIXED").alias("mixed_calls"),
         F.sum("duration").alias("_duration"),
-        F.sum(exact("positive_score")).cast("double").alias("_score"),
+        F.sum("positive_score").cast("double").alias("_score"),
     ).withColumns(
         {"avg_duration": ratio(F.col("_duration"), F.col("total_calls")), "avg_positive_score": ratio(F.col("_score"), F.col("total_calls"))}
     ).drop("_duration", "_score")
@@ -370,7 +370,7 @@ def route_events(df: DataFrame) -> DataFrame:
 def genre_shares(views: DataFrame, content: DataFrame) -> DataFrame:
     """Watch time per user and genre with its share of the user's total."""
     by_genre = views.join(content.select("content_id", "genre"), "content_id").groupBy("user_id", "genre").agg(
-        F.sum(exact("watch_time")).alias("genre_time")
+        F.sum("watch_time").alias("genre_time")
     )
     totals = by_genre.groupBy("user_id").agg(F.sum("genre_time").alias("user_time"))
     return by_genre.join(totals, "user_id").withColumn("share", ratio(F.col("genre_time"), F.col("user_time")))
@@ -381,9 +381,9 @@ def user_features(views: DataFrame, content: DataFrame, as_of: str, lookback_day
     end = F.to_timestamp_ntz(F.lit(as_of))
     recent = views.filter((F.col("ts") >= end - F.expr(f"INTERVAL {lookback_days} DAYS")) & (F.col("ts") < end))
     base = recent.groupBy("user_id").agg(
-        F.sum(exact("watch_time")).cast("double").alias("total_watch_time"),
+        F.sum("watch_time").cast("double").alias("total_watch_time"),
         F.count(F.lit(1)).alias("num_sessions"),
-        ratio(F.sum(exact_rate("completion_rate")), F.count("completion_rate"), None).alias("avg_completion_rate"),
+        ratio(F.sum("completion_rate"), F.count("completion_rate"), None).alias("avg_completion_rate"),
         F.count_distinct("content_id").alias("num_unique_content"),
         F.min("ts").alias("first_activity"), F.max("ts").alias("last_activity"),
     )
@@ -403,8 +403,8 @@ def content_features(content: DataFrame, views: DataFrame, as_of: str) -> DataFr
     """Popularity and recency of every item, with genre and rating as alphabetical codes."""
     per_item = views.groupBy("content_id").agg(
         F.count_distinct("user_id").alias("unique_viewers"),
-        F.sum(exact("watch_time")).cast("double").alias("total_watch_time"),
-        ratio(F.sum(exact_rate("completion_rate")), F.count("completion_rate"), None).alias("avg_completion_rate"),
+        F.sum("watch_time").cast("double").alias("total_watch_time"),
+        ratio(F.sum("completion_rate"), F.count("completion_rate"), None).alias("avg_completion_rate"),
     )
     top = per_item.agg(F.max("unique_viewers").alias("m"))
     joined = content.join(per_item, "content_id", "left").withColumn("_max", top.scalar())

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.exprs import hash_fraction
 
@@ -35,6 +37,14 @@ def positive_probability(model: PipelineModel, df: DataFrame, features: Sequence
     return scored.withColumn(out, vector_to_array("probability")[1])
 
 
+def batch_predict(df: DataFrame, features: Sequence[str], load: Callable[[], Callable[[np.ndarray], np.ndarray]], out: str, batch: int = 4096) -> DataFrame:
+    """Score rows with any Python model. ``load`` runs once per Python worker and returns a function from a batch of rows
+    (float64, the features in the given order, missing ones 0) to one number per row."""
+    score = predict_batch_udf(load, return_type=T.DoubleType(), batch_size=batch, input_tensor_shapes=[[len(features)]])
+    whole = F.array(*(F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features))
+    return df.withColumn(out, score(whole))
+
+
 def binary_scores(scored: DataFrame, label: str) -> dict[str, float]:
     auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
     return {

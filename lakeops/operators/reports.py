@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions import fixed
-from lakeops.functions.exprs import c, ntz, percent_change, ratio
+from lakeops.functions.exprs import c, ntz, number_or_null, percent_change, ratio
 
 GB = 1024.0**3
 TB = 1024.0**4
@@ -64,7 +64,7 @@ def hourly_trends(df: DataFrame, day: str | None = None) -> DataFrame:
 
 def avg_property_by_type(df: DataFrame, path: str, limit: int = 10) -> DataFrame:
     """Average of a numeric JSON property per event type; unreadable values are skipped."""
-    value = F.get_json_object("props", path).try_cast("decimal(18,4)")
+    value = number_or_null(F.get_json_object("props", path))
     return (
         df.groupBy("event_type")
         .agg(F.count(F.lit(1)).alias("event_count"), ratio(F.sum(value), F.count(value), None).alias("avg_property"))
@@ -227,7 +227,7 @@ def period_compare(df: DataFrame, day: str, end: str, days: int, group: Sequence
 
 def normalize_weights(df: DataFrame, group: Sequence[str], weight: str) -> DataFrame:
     """Weights divided by their group total (unchanged when it is zero); totals come from an aggregate."""
-    totals = df.groupBy(*group).agg(F.sum(c(weight).cast("decimal(18,4)")).cast("double").alias("_total"))
+    totals = df.groupBy(*group).agg(F.sum(weight).cast("double").alias("_total"))
     from lakeops.operators.timeline import join_null_safe
 
     joined = join_null_safe(df, totals, group)

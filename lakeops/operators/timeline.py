@@ -12,8 +12,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeops.functions.exprs import epoch_seconds, exact
+from lakeops.functions.exprs import epoch_seconds
 from lakeops.session import materialize
 
 #: Rows of a key that one task may hold; a key with more is hot, whatever its share of the table.
@@ -123,9 +124,14 @@ def running_sliced(df: DataFrame, key: Sequence[str], order: Sequence[str], sums
     inside = Window.partitionBy(*key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = join_null_safe(base, offsets, [*key, "_slice"])
     # null only where neither this slice so far nor an earlier one has a value
-    within = {n: F.sum(f"_in_{n}").over(inside) for n in sums}
-    out = joined.withColumns({n: F.coalesce(w + F.col(f"_before_{n}"), w, F.col(f"_before_{n}")) for n, w in within.items()})
-    return out.select(*df.columns, *sums)
+    out = {}
+    for n in sums:
+        kind = totals.schema[f"_sum_{n}"].dataType
+        # one digit is left for the addition, so a decimal keeps all of its places
+        wide = T.DecimalType(37, kind.scale) if isinstance(kind, T.DecimalType) and kind.precision == 38 else kind
+        within, before = F.sum(f"_in_{n}").over(inside).cast(wide), F.col(f"_before_{n}").cast(wide)
+        out[n] = F.coalesce(within + before, within, before).cast(kind)
+    return joined.withColumns(out).select(*df.columns, *sums)
 
 
 def running_totals(df: DataFrame, key: Sequence[str], order: Sequence[str], sums: dict[str, Column], floor: int = HOT_ROWS) -> DataFrame:
@@ -270,7 +276,7 @@ def numbered_mean_plain(df: DataFrame, key: Sequence[str], order: Sequence[str],
     return df.withColumns(
         {
             number: F.row_number().over(w).cast("bigint"),
-            out: F.sum(exact(value)).over(frame).cast("double") / F.count(value).over(frame),
+            out: F.sum(value).over(frame).cast("double") / F.count(value).over(frame),
         }
     )
 
@@ -287,5 +293,5 @@ def numbered_mean_sliced(df: DataFrame, key: Sequence[str], order: Sequence[str]
         }
     )
     frame = Window.partitionBy(*key, "_block").orderBy(number).rowsBetween(-rows, -1)
-    mean = F.sum(exact(value)).over(frame).cast("double") / F.count(value).over(frame)
+    mean = F.sum(value).over(frame).cast("double") / F.count(value).over(frame)
     return spread.withColumn(out, mean).filter(F.col("_block") == F.col("_own")).drop("_block", "_own")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import BucketedRandomProjectionLSH, HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
@@ -63,23 +63,38 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return keep[sorted(range(len(keep)), key=lambda j: (-scores[keep[j]], ids[keep[j]]))[:k]]
 
 
+def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, ids) of the k best rows of every column, in no order; ties at the border go to smaller ids."""
+    n = len(scores)
+    if n <= k:
+        return scores, np.broadcast_to(ids[:, None], scores.shape)
+    rows = np.argpartition(scores, n - k, axis=0)[n - k:]
+    bar = np.take_along_axis(scores, rows[:1], axis=0)
+    tied = np.flatnonzero((scores >= bar).sum(axis=0) > k)
+    if len(tied):
+        by_id = np.argsort(ids, kind="stable")
+        rows[:, tied] = by_id[np.argsort(-scores[by_id][:, tied], axis=0, kind="stable")[:k]]
+    return np.take_along_axis(scores, rows, axis=0), ids[rows]
+
+
 def _scan(df: DataFrame, key: str, vector: str, names: list, matrix: np.ndarray, query: str, query_type: str, k: int, threshold: float) -> DataFrame:
     key_type = dict(df.dtypes)[key]
     shared = df.sparkSession.sparkContext.broadcast(_unit(matrix))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0), np.empty(0, dtype=object))] * len(names)
+        best = np.empty((0, len(names))), np.empty((0, len(names)), dtype=object)
         for pdf in frames:
             if pdf.empty:
                 continue
-            scores = _unit(np.vstack(pdf[vector].to_numpy()).astype("float64")) @ shared.value.T
-            ids = pdf[key].to_numpy(dtype=object)
-            for q in range(len(names)):
-                s, i = np.concatenate([best[q][0], scores[:, q]]), np.concatenate([best[q][1], ids])
-                top = _best(s, i, k)
-                best[q] = s[top], i[top]
-        for q, (s, i) in enumerate(best):
-            yield pd.DataFrame({query: [names[q]] * len(s), key: i, "score": s})
+            scores = np.round(_unit(np.vstack(pdf[vector].to_numpy()).astype("float64")) @ shared.value.T, 12)
+            top = _top(scores, pdf[key].to_numpy(dtype=object), k)
+            joined = [np.concatenate(x) for x in zip(best, top, strict=True)]
+            if len(joined[0]) > k:  # per query: the best of what is held, ties by id
+                order = np.array([sorted(range(len(joined[0])), key=lambda i, q=q: (-joined[0][i, q], joined[1][i, q]))[:k] for q in range(len(names))]).T
+                joined = [np.take_along_axis(x, order, axis=0) for x in joined]
+            best = joined[0], joined[1]
+        for q in range(len(names)):
+            yield pd.DataFrame({query: [names[q]] * len(best[0]), key: best[1][:, q], "score": best[0][:, q]})
 
     # every task hands on at most k rows per query
     found = df.select(key, vector).mapInPandas(run, f"`{query}` {query_type}, `{key}` {key_type}, score double")
@@ -120,26 +135,45 @@ def knn_exact(
 
 def knn_lsh(
     df: DataFrame, queries: DataFrame, key: str, vector: str, query: str, k: int = 5,
-    query_vector: str = "vector", bucket_length: float = 0.5, tables: int = 8, seed: int = 42,
+    query_vector: str = "vector", bits: int = 8, tables: int = 16, seed: int = 42,
 ) -> DataFrame:
-    """Approximate top-k: only vectors that share a hash bucket with the query are scored exactly."""
-    unit = Normalizer(inputCol="_v", outputCol="_u")
-    rows = unit.transform(df.select(key, array_to_vector(F.col(vector)).alias("_v")))
-    asked = unit.transform(queries.select(query, array_to_vector(F.col(query_vector)).alias("_v")))
-    lsh = BucketedRandomProjectionLSH(inputCol="_u", outputCol="_h", bucketLength=bucket_length, numHashTables=tables, seed=seed)
-    model = lsh.fit(rows)
-
-    def bucketed(d: DataFrame, name: str, unit_name: str) -> DataFrame:
-        hashed = model.transform(d).select(name, vector_to_array("_u").alias(unit_name), F.transform("_h", lambda v: v).alias("_h"))
-        return hashed.select(name, unit_name, F.posexplode("_h").alias("_table", "_b")).withColumn("_bucket", vector_to_array("_b")[0]).drop("_b")
-
-    met = bucketed(rows, key, "_x").join(bucketed(asked, query, "_y"), ["_table", "_bucket"])
+    """Approximate top-k: only vectors that share a bucket with the query are scored, exactly.
+
+    A bucket is the pattern of signs along ``bits`` random directions, so a table splits the rows into up to 2**bits
+    buckets and a row meets a query by chance in one of them with probability 2**-bits; nearer vectors do so more often.
+    More bits score fewer pairs, more tables find more neighbours.
+    """
+    met = lsh_pairs(df, queries, key, vector, query, query_vector, bits, tables, seed)
     dot = F.aggregate(F.zip_with("_x", "_y", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    scored = met.select(query, key, dot.alias("score")).groupBy(query, key).agg(F.max("score").alias("score"))
+    scored = met.select(query, key, dot.alias("score"))
     w = Window.partitionBy(query).orderBy(F.desc("score"), key)
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def lsh_pairs(df: DataFrame, queries: DataFrame, key: str, vector: str, query: str, query_vector: str = "vector", bits: int = 8, tables: int = 16, seed: int = 42) -> DataFrame:
+    """(query, key, _x, _y): the pairs that share a bucket, once each, with their unit vectors."""
+    width = (df.select(F.size(vector).alias("n")).agg(F.max("n")).first()[0] or 1) if df.columns else 1
+    axes = np.random.default_rng(seed).standard_normal((width, tables * bits))
+    shared = df.sparkSession.sparkContext.broadcast(axes)
+    weights = 1 << np.arange(bits)
+
+    def coded(d: DataFrame, name: str, column: str, unit_name: str) -> DataFrame:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in frames:
+                if len(pdf):
+                    x = _unit(np.vstack(pdf[column].to_numpy()).astype("float64"))
+                    signs = (x @ shared.value > 0).reshape(len(x), tables, bits)
+                    yield pd.DataFrame({name: pdf[name], unit_name: list(x), "_codes": list(signs @ weights)})
+
+        ready = d.select(name, column).filter(F.col(name).isNotNull() & F.col(column).isNotNull())
+        return ready.mapInPandas(run, f"`{name}` {dict(d.dtypes)[name]}, {unit_name} array<double>, _codes array<bigint>")
+
+    rows, asked = coded(df, key, vector, "_x"), coded(queries, query, query_vector, "_y")
+    named = rows.select(key, F.posexplode("_codes").alias("_table", "_bucket"))
+    met = named.join(asked.select(query, F.posexplode("_codes").alias("_table", "_bucket")), ["_table", "_bucket"]).select(query, key).distinct()
+    return met.join(rows.select(key, "_x"), key).join(asked.select(query, "_y"), query)
+
+
 def recall(found: DataFrame, truth: DataFrame, query: str, key: str) -> DataFrame:
     """Share of the true neighbours that were found, over all queries."""
     hits = truth.select(query, key).join(found.select(query, key, F.lit(1).alias("_hit")), [query, key], "left")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions import fixed
 from lakeops.operators import business as biz
-from lakeops.operators import idempotency, monitoring, quality, ranks, reports, search
+from lakeops.operators import idempotency, models, monitoring, privacy, quality, ranks, reports, scores, search
 from lakeops.plans.fraud import rounded
 from lakeops.registry import query
+from lakeops.session import materialize
 
 # --- messaging --------------------------------------------------------------------
 
@@ -63,7 +68,7 @@ def subscriber_status(lake):
 
 CALLS = """count(*) AS total_calls, count(*) FILTER (sentiment = 'POSITIVE') AS positive_calls, count(*) FILTER (sentiment = 'NEGATIVE') AS negative_calls,
  count(*) FILTER (sentiment = 'NEUTRAL') AS neutral_calls, count(*) FILTER (sentiment = 'MIXED') AS mixed_calls,
- round(sum(duration) / CAST(count(*) AS DOUBLE), 6) AS avg_duration, round(CAST(sum(CAST(positive_score AS DECIMAL(18,4))) AS DOUBLE) / count(*), 6) AS avg_positive_score"""
+ round(sum(duration) / CAST(count(*) AS DOUBLE), 6) AS avg_duration, round(CAST(sum(positive_score) AS DOUBLE) / count(*), 6) AS avg_positive_score"""
 CALL_ROUNDED = ["avg_duration", "avg_positive_score", "satisfaction_rate"]
 
 
@@ -119,7 +124,7 @@ def call_recommendations(lake):
 
 @query("sentiment_trend", """WITH d AS (SELECT CAST(unnest(generate_series(min(call_date), max(call_date), INTERVAL 1 DAY)) AS DATE) AS date FROM v_calls),
 k AS (SELECT CAST(call_date AS DATE) AS date, count(*) AS n, count(*) FILTER (sentiment = 'POSITIVE') AS p, count(*) FILTER (sentiment = 'NEGATIVE') AS g, count(*) FILTER (sentiment = 'NEUTRAL') AS u,
- round(CAST(sum(CAST(positive_score AS DECIMAL(18,4))) AS DOUBLE) / count(*), 6) AS s FROM v_calls GROUP BY 1)
+ round(CAST(sum(positive_score) AS DOUBLE) / count(*), 6) AS s FROM v_calls GROUP BY 1)
 SELECT d.date, coalesce(n, 0) AS total_calls, coalesce(p, 0) AS positive_calls, coalesce(g, 0) AS negative_calls, coalesce(u, 0) AS neutral_calls, s AS avg_positive_score FROM d LEFT JOIN k ON d.date = k.date""")
 def sentiment_trend(lake):
     return rounded(biz.sentiment_trend(lake("v_calls")), ["avg_positive_score"])
@@ -217,18 +222,19 @@ def apply_stock_moves(lake):
 # --- banking ----------------------------------------------------------------------
 
 
-BALANCE_SQL = """SELECT transaction_id, source_account, CAST(sum(CASE WHEN transaction_type = 'DEPOSIT' THEN amount ELSE -amount END) OVER (PARTITION BY source_account ORDER BY ts, transaction_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS balance FROM v_bank_txn"""
+# as text, so that all eight decimals are compared
+BALANCE_SQL = """SELECT transaction_id, source_account, CAST(sum(CASE WHEN transaction_type = 'DEPOSIT' THEN amount ELSE -amount END) OVER (PARTITION BY source_account ORDER BY ts, transaction_id ROWS UNBOUNDED PRECEDING) AS DECIMAL(38,8))::VARCHAR AS balance FROM v_bank_txn"""
 
 
 @query("account_balances_hot", BALANCE_SQL)
 def account_balances_hot(lake):
     """The same balances with every account cut into slices."""
-    return biz.account_balances(lake("v_bank_txn"), floor=0).select("transaction_id", "source_account", F.col("balance").cast("double").alias("balance"))
+    return biz.account_balances(lake("v_bank_txn"), floor=0).select("transaction_id", "source_account", F.col("balance").cast("string").alias("balance"))
 
 
 @query("account_balances", BALANCE_SQL)
 def account_balances(lake):
-    return biz.account_balances(lake("v_bank_txn")).select("transaction_id", "source_account", F.col("balance").cast("double").alias("balance"))
+    return biz.account_balances(lake("v_bank_txn")).select("transaction_id", "source_account", F.col("balance").cast("string").alias("balance"))
 
 
 @query("validate_bank_txn", """SELECT transaction_id, array_to_string(list_filter([CASE WHEN amount <= 0 THEN 'Amount must be positive' END,
@@ -423,7 +429,7 @@ def processing_cost(lake):
     return rounded(out, ["textract_cost", "comprehend_cost", "total_cost"])
 
 
-@query("normalize_weights", "SELECT l_orderkey, l_linenumber, round(l_quantity / CAST(sum(CAST(l_quantity AS DECIMAL(18,4))) OVER (PARTITION BY l_orderkey) AS DOUBLE), 6) AS normalized FROM lineitem")
+@query("normalize_weights", "SELECT l_orderkey, l_linenumber, round(l_quantity / CAST(sum(l_quantity) OVER (PARTITION BY l_orderkey) AS DOUBLE), 6) AS normalized FROM lineitem")
 def normalize_weights(lake):
     out = reports.normalize_weights(lake("lineitem").select("l_orderkey", "l_linenumber", "l_quantity"), ["l_orderkey"], "l_quantity")
     return rounded(out.drop("l_quantity"), ["normalized"])
@@ -438,6 +444,127 @@ def confusion_matrix(lake):
     return rounded(monitoring.confusion_matrix(both, "actual", "predicted"), ["accuracy", "precision", "recall", "f1"])
 
 
+def scored_rows(lake):
+    """Transactions with a given label and a given score."""
+    return lake("v_txn").selectExpr(
+        "transaction_id", "account_id", "channel", "CASE WHEN amount > 60 OR transaction_id % 11 = 0 THEN 1 ELSE 0 END AS is_fraud",
+        "CAST(round((transaction_id * 7919 + CASE WHEN amount > 60 THEN 3000 ELSE 0 END) % 10007 / 100.0, 0) AS DOUBLE) AS score",
+    )
+
+
+RANKED_SQL = """s AS (SELECT transaction_id, account_id, channel, CASE WHEN amount > 60 OR transaction_id % 11 = 0 THEN 1 ELSE 0 END AS is_fraud, round(((transaction_id * 7919 + CASE WHEN amount > 60 THEN 3000 ELSE 0 END) % 10007) / 100.0, 0) AS score FROM v_txn),
+c AS (SELECT {keys} score, sum(is_fraud) AS p, sum(1 - is_fraud) AS n FROM s GROUP BY ALL),
+r AS (SELECT *, sum(p) OVER (PARTITION BY {part} ORDER BY score DESC) AS tp, sum(n) OVER (PARTITION BY {part} ORDER BY score DESC) AS fp, sum(n) OVER (PARTITION BY {part} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below, sum(p) OVER (PARTITION BY {part}) AS tot_p, sum(n) OVER (PARTITION BY {part}) AS tot_n FROM c)"""
+
+
+@query("fraud_auc", f"""WITH {RANKED_SQL.format(keys="channel,", part="channel")} SELECT channel, CAST(max(tot_p) AS BIGINT) AS positives, CAST(max(tot_n) AS BIGINT) AS negatives,
+ round(sum(p * (coalesce(below, 0) + n / 2.0)) / (max(tot_p) * max(tot_n)), 6) AS auc_roc, round(sum(p * tp / (tp + fp)) / max(tot_p), 6) AS average_precision FROM r GROUP BY channel""")
+def fraud_auc(lake):
+    return rounded(scores.auc(scored_rows(lake), "is_fraud", "score", ["channel"]), ["auc_roc", "average_precision"])
+
+
+@query("pr_curve", f"""WITH {RANKED_SQL.format(keys="", part="1")} SELECT score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(tp / (tp + fp), 6) AS precision, round(tp / tot_p, 6) AS recall, round(fp / tot_n, 6) AS fpr FROM r""")
+def pr_curve(lake):
+    return rounded(scores.pr_curve(scored_rows(lake), "is_fraud", "score"), ["precision", "recall", "fpr"])
+
+
+CLASSED = "CASE WHEN doc_id % 6 = 0 THEN 'en' WHEN doc_id % 17 = 0 THEN 'xx' ELSE lang END"
+
+
+@query("class_report", f"""WITH d AS (SELECT lang AS a, {CLASSED} AS p FROM documents), k AS (SELECT a AS label, count(*) AS support, count(*) FILTER (a = p) AS tp FROM d GROUP BY 1), g AS (SELECT p AS label, count(*) AS predicted FROM d GROUP BY 1),
+e AS (SELECT coalesce(k.label, g.label) AS label, coalesce(tp, 0) / CAST(nullif(coalesce(predicted, 0), 0) AS DOUBLE) AS precision, coalesce(tp, 0) / CAST(nullif(coalesce(support, 0), 0) AS DOUBLE) AS recall, 2 * coalesce(tp, 0) / CAST(coalesce(support, 0) + coalesce(predicted, 0) AS DOUBLE) AS f1, coalesce(support, 0) AS support FROM k FULL JOIN g ON k.label = g.label)
+SELECT label, round(coalesce(precision, 0), 6) AS precision, round(coalesce(recall, 0), 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM e
+UNION ALL SELECT NULL, round(sum(coalesce(precision, 0) * support) / sum(support), 6), round(sum(coalesce(recall, 0) * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM e""")
+def class_report(lake):
+    rows = lake("documents").selectExpr("lang", f"{CLASSED} AS predicted")
+    return rounded(scores.class_report(rows, "lang", "predicted"), ["precision", "recall", "f1"])
+
+
+@query("rmse_by_split", """WITH s AS (SELECT CASE WHEN event_id % 10 < 8 THEN 'train' ELSE 'validation' END AS split, completion_rate AS t, CAST((event_id * 7919) % 1001 AS DOUBLE) / 1000.0 AS p FROM v_views)
+SELECT split, count(*) AS rows, round(sqrt(avg((p - t) * (p - t))), 6) AS rmse, round(avg(abs(p - t)), 6) AS mae, round(avg(p - t), 6) AS bias, round(1 - sum((p - t) * (p - t)) / (var_pop(t) * count(*)), 6) AS r2 FROM s GROUP BY split""")
+def rmse_by_split(lake):
+    rows = lake("v_views").selectExpr("CASE WHEN event_id % 10 < 8 THEN 'train' ELSE 'validation' END AS split", "completion_rate", "CAST((event_id * 7919) % 1001 AS DOUBLE) / 1000.0 AS pred")
+    return rounded(scores.errors_by(rows, "completion_rate", "pred", ["split"]), ["rmse", "mae", "bias", "r2"])
+
+
+BATCH_WEIGHTS = {"amount": 0.03, "tx": -0.5, "night": 0.8}
+
+
+@query("batch_predict", """SELECT transaction_id, round(1 / (1 + exp(-(-1.5 + 0.03 * coalesce(amount, 0.0) - 0.5 * (transaction_id % 4) + 0.8 * CASE WHEN hour(ts) >= 22 OR hour(ts) <= 5 THEN 1 ELSE 0 END))), 6) AS score FROM v_txn""")
+def batch_predict(lake):
+    """Scores of a model that Spark does not know, given as a Python function over numpy batches."""
+    rows = lake("v_txn").selectExpr("transaction_id", "amount", "transaction_id % 4 AS tx", "CASE WHEN hour(ts) >= 22 OR hour(ts) <= 5 THEN 1 ELSE 0 END AS night")
+    weights = list(BATCH_WEIGHTS.values())
+
+    def load():
+        def predict(inputs):
+            return 1 / (1 + np.exp(-(inputs @ np.array(weights) - 1.5)))
+
+        return predict
+
+    out = models.batch_predict(rows, list(BATCH_WEIGHTS), load, "score")
+    return rounded(out.select("transaction_id", "score"), ["score"])
+
+
+PROFILED_TABLES = {
+    "supplier": ("s_suppkey", "s_acctbal", "s_name"), "orders": ("o_orderkey", "o_totalprice", "o_orderstatus"),
+    "events": ("event_id", "value", "event_type", "props"), "labels": ("doc_id", "quality", "toxic"), "documents": ("doc_id", "text", "lang", "n_chars"),
+}
+PII_SQL = {k: privacy.PII_PATTERNS[k] for k in ("EMAIL", "IP_ADDRESS")}
+
+
+def _profile_sql(table: str, column: str, kind: str) -> str:
+    x = f"CAST({column} AS DOUBLE)" if kind == "n" else f"CAST(length({column}) AS DOUBLE)"
+    hits = ", ".join(f"count(*) FILTER (regexp_matches({column}, '{p}')) AS {k.lower()}" for k, p in PII_SQL.items()) if kind == "s" else ", ".join(f"CAST(NULL AS BIGINT) AS {k.lower()}" for k in PII_SQL)
+    spread = f"round(stddev_samp({x}), 4)" if kind == "n" else "CAST(NULL AS DOUBLE)"
+    return f"SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS rows, count(*) - count({column}) AS missing, min({x}) AS low, max({x}) AS high, round(avg({x}), 4) AS mean, {spread} AS deviation, {hits} FROM {table}"
+
+
+TEXTS = {"s_name", "o_orderstatus", "event_type", "props", "text", "lang"}
+
+
+@query("profile_columns", " UNION ALL ".join(_profile_sql(t, n, "s" if n in TEXTS else "n") for t, names in PROFILED_TABLES.items() for n in names))
+def profile_columns(lake):
+    """The exact part of the column profiles of several tables; ``profile_sketches`` has the sketched part."""
+    parts = [
+        scores.profile_columns(lake(t).select(*names), PII_SQL).select(
+            F.lit(t).alias("table_name"), "column_name", "rows", "missing", "low", "high", F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation"),
+            *[F.col("personal")[k].alias(k.lower()) for k in PII_SQL],
+        )
+        for t, names in PROFILED_TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("profile_sketches")
+def profile_sketches(lake):
+    """Distinct counts and quantiles of every column, from sketches."""
+    parts = [scores.profile_columns(lake(t).select(*names), {}).select(F.lit(t).alias("table_name"), "column_name", "distinct_about", "quantiles") for t, names in PROFILED_TABLES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+NUMBERS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
+
+
+@query("profile_correlations", " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS rows, round(corr({a}, {b}), 6) AS correlation FROM lineitem" for i, a in enumerate(NUMBERS) for b in NUMBERS[i + 1:]))
+def profile_correlations(lake):
+    return rounded(scores.correlations(lake("lineitem"), NUMBERS), ["correlation"])
+
+
+@query("duplicate_rows", "WITH g AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL) SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(sum(n - 1) AS BIGINT) AS duplicates FROM g")
+def duplicate_rows(lake):
+    return scores.duplicate_rows(lake("events"), ["user_id", "event_type"])
+
+
+@query("users_by_range")
+def users_by_range(lake):
+    """Distinct users of any range of days from the stored daily sketches."""
+    kept = materialize(scores.daily_sketches(lake("events"), "user_id"), "daily-sketches")
+    days = kept.select("day").distinct()
+    ranges = days.select(F.dayofmonth("day").alias("range_id"), F.col("day").alias("first_day"), F.date_add("day", 6).alias("last_day"))
+    return scores.distinct_in_ranges(kept, ranges)
+
+
 @query("min_class_filter", "SELECT doc_id, source FROM documents WHERE source IN (SELECT source FROM documents GROUP BY source HAVING count(*) >= 50)")
 def min_class_filter(lake):
     return monitoring.keep_large_classes(lake("documents").select("doc_id", "source"), "source", 50)
@@ -468,10 +595,10 @@ def profile_outliers(lake):
 # --- recommender ------------------------------------------------------------------
 
 GENRE_SQL = """recent AS (SELECT * FROM v_views WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 30 DAYS AND ts < TIMESTAMP '2024-01-31'),
-gt AS (SELECT user_id, genre, sum(CAST(watch_time AS DECIMAL(18,4))) AS t FROM recent JOIN v_content USING (content_id) GROUP BY ALL),
+gt AS (SELECT user_id, genre, sum(watch_time) AS t FROM recent JOIN v_content USING (content_id) GROUP BY ALL),
 sh AS (SELECT user_id, genre, CAST(t AS DOUBLE) / CAST(sum(t) OVER (PARTITION BY user_id) AS DOUBLE) AS share FROM gt),
 en AS (SELECT user_id, -sum(share * ln(share)) AS genre_diversity FROM sh GROUP BY user_id)"""
-USER_SQL = f"""{GENRE_SQL}, uf AS (SELECT user_id, CAST(sum(CAST(watch_time AS DECIMAL(18,4))) AS DOUBLE) AS total_watch_time, count(*) AS num_sessions, CAST(sum(CAST(completion_rate AS DECIMAL(20,10))) AS DOUBLE) / count(*) AS avg_completion_rate, count(DISTINCT content_id) AS num_unique_content,
+USER_SQL = f"""{GENRE_SQL}, uf AS (SELECT user_id, CAST(sum(watch_time) AS DOUBLE) AS total_watch_time, count(*) AS num_sessions, CAST(sum(completion_rate) AS DOUBLE) / count(*) AS avg_completion_rate, count(DISTINCT content_id) AS num_unique_content,
  min(ts) AS first_activity, max(ts) AS last_activity FROM recent GROUP BY user_id)"""
 AS_OF = "2024-01-31"
 
@@ -483,7 +610,7 @@ def user_features(lake):
     return rounded(out, ["total_watch_time", "avg_watch_time", "avg_completion_rate", "sessions_per_day", "genre_diversity"])
 
 
-CONTENT_SQL = """pi AS (SELECT content_id, count(DISTINCT user_id) AS unique_viewers, CAST(sum(CAST(watch_time AS DECIMAL(18,4))) AS DOUBLE) AS total_watch_time, CAST(sum(CAST(completion_rate AS DECIMAL(20,10))) AS DOUBLE) / count(*) AS avg_completion_rate FROM v_views GROUP BY content_id),
+CONTENT_SQL = """pi AS (SELECT content_id, count(DISTINCT user_id) AS unique_viewers, CAST(sum(watch_time) AS DOUBLE) AS total_watch_time, CAST(sum(completion_rate) AS DOUBLE) / count(*) AS avg_completion_rate FROM v_views GROUP BY content_id),
 cf AS (SELECT c.*, unique_viewers, total_watch_time, coalesce(avg_completion_rate, 0.5) AS avg_completion_rate, coalesce(unique_viewers / CAST((SELECT max(unique_viewers) FROM pi) AS DOUBLE), 0.0) AS popularity_score,
  CAST(date_diff('day', CAST(release_date AS DATE), DATE '2024-01-31') AS INTEGER) AS release_recency_days, CAST(dense_rank() OVER (ORDER BY genre) - 1 AS INTEGER) AS genre_encoded, CAST(dense_rank() OVER (ORDER BY rating) - 1 AS INTEGER) AS rating_encoded FROM v_content c LEFT JOIN pi USING (content_id))"""
 

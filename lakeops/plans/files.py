@@ -11,7 +11,7 @@ from lakeops.operators import business, fraud
 from lakeops.plans.fraud import rounded, scored
 from lakeops.registry import query
 from lakeops.session import fresh_dir
-from lakeops.sources import scan, sinks
+from lakeops.sources import keyed, scan, sinks
 
 
 def dated(lake):
@@ -52,10 +52,16 @@ def write_partitioned(lake):
 
 @query("catalog_partitions", "SELECT strftime(ts, '%d') AS day, count(*) AS rows FROM events GROUP BY 1")
 def catalog_partitions(lake):
+    """A table known by its first days; the days that come later are registered one by one, and the catalog counts its rows."""
     path, name = fresh_dir(lake.spark, "catalog"), f"lake_events_{uuid.uuid4().hex[:8]}"
     rows = lake("events").select("event_id", "value", F.date_format("ts", "dd").alias("day"))
-    sinks.write_partitioned(rows, path, ["day"])
+    early, late = rows.filter("day <= '20'"), rows.filter("day > '20'")
+    sinks.write_partitioned(early, path, ["day"])
     sinks.register_table(lake.spark, name, path, "event_id bigint, value double, day string", ["day"])
+    sinks.write_partitioned(late, path, ["day"])
+    for (day,) in sorted(late.select("day").distinct().collect()):
+        sinks.add_partition(lake.spark, name, day=day)
+    sinks.analyze_table(lake.spark, name)
     return lake.spark.table(name).groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -111,6 +117,45 @@ def alerts_shape(lake):
     return lake.spark.read.schema(shaped.schema).parquet(f"{path}/batch_id=0")
 
 
+ALERT = "alert_id string, transaction_id bigint, fraud_score double, severity string, amount double"
+
+
+@query("alerts_put", """WITH s AS (SELECT transaction_id, account_id, amount, ts, CAST((transaction_id * 7919) % 1001 AS DOUBLE) / CAST(1000 AS DOUBLE) AS fraud_score FROM v_txn)
+SELECT concat('account-', account_id) AS alert_id, max_by(transaction_id, struct_pack(a := ts, b := transaction_id)) AS transaction_id, max_by(fraud_score, struct_pack(a := ts, b := transaction_id)) AS fraud_score,
+ CASE WHEN max_by(fraud_score, struct_pack(a := ts, b := transaction_id)) >= 0.7 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, max_by(amount, struct_pack(a := ts, b := transaction_id)) AS amount FROM s WHERE fraud_score >= 0.4 GROUP BY account_id""")
+def alerts_put(lake):
+    """The newest alert of every account in a keyed store: two batches, the second one put twice."""
+    path = fresh_dir(lake.spark, "alert-store")
+    ts = lake("v_txn").select("transaction_id", "ts")
+    flagged = fraud.score_status(scored(lake)).filter("fraud_status <> 'LEGITIMATE'").drop("ts").join(ts, "transaction_id")
+    shaped = flagged.select(
+        F.concat(F.lit("account-"), F.col("account_id").cast("string")).alias("alert_id"), "transaction_id", "fraud_score",
+        F.when(F.col("fraud_status") == "FRAUDULENT", "HIGH").otherwise("MEDIUM").alias("severity"), "amount", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
+    )
+    border = F.unix_micros(F.lit("2024-01-16").cast("timestamp"))
+    for batch_id, rows in ((0, shaped.filter(F.col("at") < border)), (1, shaped.filter(F.col("at") >= border)), (1, shaped.filter(F.col("at") >= border))):
+        keyed.put_once(rows, path, batch_id, "alert_id", ["at", "transaction_id"])
+    return keyed.read_store(lake.spark, path, ALERT, "alert_id")
+
+
+@query("variant_properties", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN event_id % 5 = 1 THEN CAST(event_id AS VARCHAR) WHEN event_id % 5 = 2 THEN 'true' ELSE 'none' END AS tag,
+ CASE WHEN event_id % 5 IN (1, 3) THEN value ELSE 0.0 END AS price, CASE event_id % 5 WHEN 3 THEN 'b' WHEN 4 THEN '?' END AS second, event_id % 5 = 0 AS is_bad FROM events""")
+def variant_properties(lake):
+    """Properties whose shape changes from row to row, read with defaults."""
+    k = F.get_json_object("props", "$.k")
+    kind = F.col("event_id") % 5
+    body = (
+        F.when(kind == 0, F.concat(F.lit('{"k": '), k))  # cut off
+        .when(kind == 1, F.concat(F.lit('{"k": "'), k, F.lit('", "tag": '), F.col("event_id"), F.lit(', "detail": {"price": '), F.col("value"), F.lit("}}")))
+        .when(kind == 2, F.concat(F.lit('{"k": '), k, F.lit(', "tag": true, "detail": {"price": "free"}}')))
+        .when(kind == 3, F.concat(F.lit('{"k": '), k, F.lit(', "detail": {"price": "'), F.col("value"), F.lit('"}, "list": ["a", "b"]}')))
+        .otherwise(F.concat(F.lit('{"k": '), k, F.lit(', "list": ["a", "?"], "detail": []}')))
+    )
+    rows = lake("events").select("event_id", k.cast("bigint").alias("given"), body.alias("body"))
+    out = scan.parse_variant(rows, "body", {"k": ("$.k", "bigint", None), "tag": ("$.tag", "string", "none"), "price": ("$.detail.price", "double", 0.0), "second": ("$.list[1]", "string", None)})
+    return out.select("event_id", F.coalesce("k", "given").alias("k"), "tag", "price", "second", "is_bad")
+
+
 @query("run_metrics", "SELECT 'events_load' AS job, '2024-02-01' AS run_at, count(*) AS rows, count(*) FILTER (event_type = 'error') AS errors FROM events")
 def run_metrics(lake):
     rows, seen = sinks.observed(
@@ -185,12 +230,15 @@ def parse_scored_lines(lake):
     return read.unionByName(bad.select(F.col("value").alias("unread")), allowMissingColumns=True)
 
 
-@query("whole_documents", "SELECT left(sha256(concat('lang=', lang, '/doc_id=', doc_id)), 16) AS document_id, concat('lang=', lang, '/doc_id=', doc_id) AS address, concat(text, chr(10)) AS text FROM documents")
+@query("whole_documents", "SELECT concat('lang=', lang, '/doc_id=', doc_id) AS folder, TRUE AS own_id, concat(text, chr(10)) AS text FROM documents")
 def whole_documents(lake):
+    """Every file back as one row; its id is the hash of its own address below the root."""
     path = fresh_dir(lake.spark, "texts")
     docs = lake("documents").select("lang", "doc_id", "text")
     docs.write.partitionBy("lang", "doc_id").text(path)
-    return scan.whole_documents(lake.spark, path)
+    files = scan.whole_documents(lake.spark, path)
+    own = F.col("document_id") == F.left(F.sha2("address", 256), F.lit(16))
+    return files.select(F.regexp_replace("address", "/part-[0-9]+$", "").alias("folder"), own.alias("own_id"), "text")
 
 
 @query("partition_sizes")

@@ -44,7 +44,7 @@ def geofence_alerts(lake):
 SEGMENT_SQL = f"""seg AS (SELECT *, lag(latitude) OVER w AS p_lat, lag(longitude) OVER w AS p_lon, lag(ts) OVER w AS p_ts FROM v_gps WINDOW w AS (PARTITION BY truck_id ORDER BY ts, seq)),
 dist AS (SELECT *, coalesce({great_circle('p_lat', 'p_lon', 'latitude', 'longitude', '6371000.0')}, 0.0) AS m, CASE WHEN engine_status = 'idle' AND p_ts IS NOT NULL THEN epoch_us(ts) - epoch_us(p_ts) ELSE 0 END AS idle FROM seg)"""
 TRIP_COLS = """min(ts) AS period_start, max(ts) AS period_end, round(sum(m) / 1000, 5) AS total_distance_km,
- round(CAST(sum(CAST(speed_kmh AS DECIMAL(18,4))) AS DOUBLE) / count(*), 9) AS average_speed_kmh, max(speed_kmh) AS max_speed_kmh,
+ round(CAST(sum(speed_kmh) AS DOUBLE) / count(*), 9) AS average_speed_kmh, max(speed_kmh) AS max_speed_kmh,
  round(CAST(sum(idle) AS DOUBLE) / 60000000.0, 6) AS idle_time_minutes, count(*) AS coordinates_count"""
 
 
@@ -60,7 +60,7 @@ def trip_stats(lake):
 
 @query(
     "fleet_summary",
-    f"""WITH {SEGMENT_SQL}, t AS (SELECT truck_id, sum(m) / 1000 AS km, CAST(sum(CAST(speed_kmh AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS mean, max(speed_kmh) AS top, count(*) AS n FROM dist GROUP BY truck_id)
+    f"""WITH {SEGMENT_SQL}, t AS (SELECT truck_id, sum(m) / 1000 AS km, CAST(sum(speed_kmh) AS DOUBLE) / count(*) AS mean, max(speed_kmh) AS top, count(*) AS n FROM dist GROUP BY truck_id)
 SELECT round(sum(km), 3) AS total_km, round(avg(mean), 6) AS mean_truck_speed, max(top) AS max_speed_kmh, CAST(sum(n) AS BIGINT) AS fixes FROM t""",
 )
 def fleet_summary(lake):

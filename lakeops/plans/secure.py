@@ -260,7 +260,7 @@ SELECT event_id, round(anomaly_score, 6) AS anomaly_score, anomaly_score <= q AS
  round(percent_rank() OVER (ORDER BY anomaly_score) * 100, 2) AS anomaly_percentile FROM scored, lim""",
 )
 def row_anomaly(lake):
-    out = anomaly.row_anomaly(row_inputs(lake), ROW_FEATURES)
+    out = anomaly.row_anomaly(row_inputs(lake), ROW_FEATURES, digits=9)
     return out.select(
         "event_id", F.round("anomaly_score", 6).alias("anomaly_score"), "is_anomaly",
         F.round("anomaly_percentile", 2).alias("anomaly_percentile"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakeops.functions import fixed
-from lakeops.operators import anomaly, business, fraud, models, search, text, vectors
+from lakeops.operators import ann, anomaly, business, fraud, models, search, text, vectors
 from lakeops.plans.fraud import rounded
 from lakeops.registry import query
 from lakeops.session import fresh_dir, materialize
@@ -67,23 +67,104 @@ def knn_filtered(lake):
 
 @query("knn_lsh")
 def knn_lsh(lake):
-    return vectors.knn_lsh(lake("embeddings"), label_queries(lake), "vec_id", "embedding", "query_id", 5)
+    return vectors.knn_lsh(chunk_vectors(lake), questions(lake), "chunk_id", "embedding", "item_id", 5)
 
 
 @query("knn_lsh_recall")
 def knn_lsh_recall(lake):
-    asked = label_queries(lake)
-    truth = vectors.knn_exact(lake("embeddings"), asked, "vec_id", "embedding", "query_id", 5)
-    return vectors.recall(vectors.knn_lsh(lake("embeddings"), asked, "vec_id", "embedding", "query_id", 5), truth, "query_id", "vec_id")
+    """Share of the true neighbours found, and share of all pairs scored."""
+    rows, asked = materialize(chunk_vectors(lake), "chunk-vectors"), materialize(questions(lake), "questions")
+    truth = vectors.knn_exact(rows, asked, "chunk_id", "embedding", "item_id", 5)
+    found = vectors.knn_lsh(rows, asked, "chunk_id", "embedding", "item_id", 5)
+    pairs = vectors.lsh_pairs(rows, asked, "chunk_id", "embedding", "item_id").count()
+    return vectors.recall(found, truth, "item_id", "chunk_id").withColumn("scored_share", F.lit(pairs / max(1, rows.count() * asked.count())))
 
 
-@query("retrieval_context", f"""WITH {KNN_CTE}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM s),
-k AS (SELECT query_id, rn, text, row_number() OVER (PARTITION BY query_id ORDER BY rn) AS n FROM r JOIN documents ON doc_id = vec_id WHERE rn <= 5)
-SELECT query_id, string_agg(concat('[Source ', n, ']', chr(10), text), concat(chr(10), chr(10)) ORDER BY rn) AS context, CAST(count(*) AS INTEGER) AS sources FROM k GROUP BY query_id""")
+# --- chunks: cut, embed, index, search, context -----------------------------------
+
+DIMS = 256
+
+
+def chunk_vectors(lake):
+    chunks = text.chunk_documents(lake("documents"), "doc_id", "text")
+    return vectors.embed_hashed(chunks, "content", dims=DIMS).select("chunk_id", "document_id", "content", "embedding")
+
+
+def questions(lake):
+    """The benchmark items as questions."""
+    return vectors.embed_hashed(lake("benchmark"), "text", "vector", DIMS).select("item_id", "vector")
+
+
+_M = "4294967295::UBIGINT"
+
+
+def _mixed(k: str) -> str:
+    """One block of the 32-bit word hash that the embedding uses."""
+    a = f"(({k} * 3432918353::UBIGINT) & {_M})"
+    return f"((((({a} << 15) | ({a} >> 17)) & {_M}) * 461845907::UBIGINT) & {_M})"
+
+
+def _folded(x: str, shift: int) -> str:
+    return f"xor({x}, {x} >> {shift})"
+
+
+def _times(x: str, factor: int) -> str:
+    return f"(({x} * {factor}::UBIGINT) & {_M})"
+
+
+# the hash of every word, block by block; then counts per dimension, divided by their length and kept as 4-byte numbers
+EMBED_CTE = f"""said AS (SELECT 'c' AS kind, chunk_id AS id, content AS t FROM chunked UNION ALL SELECT 'q', CAST(item_id AS VARCHAR), text FROM benchmark),
+tok AS (SELECT kind, id, unnest(regexp_extract_all(lower(t), '[\\p{{L}}\\p{{N}}]+')) AS w FROM said),
+cut AS (SELECT w, strlen(w) AS n, rpad(hex(w), CAST(8 * ceil(strlen(w) / 4.0) AS INTEGER), '0') AS x FROM (SELECT DISTINCT w FROM tok)),
+part AS (SELECT w, n, list_transform(range(len(x) // 8), lambda i: CAST('0x' || x[8 * i + 7:8 * i + 8] || x[8 * i + 5:8 * i + 6] || x[8 * i + 3:8 * i + 4] || x[8 * i + 1:8 * i + 2] AS UBIGINT)) AS ks FROM cut),
+mixed AS (SELECT w, n, list_transform(ks, lambda k: {_mixed("k")}) AS ks FROM part),
+body AS (SELECT w, n, list_reduce(list_prepend(42::UBIGINT, ks[1:n // 4]), lambda h, k: (((((xor(h, k) << 13) | (xor(h, k) >> 19)) & {_M}) * 5 + 3864292196::UBIGINT) & {_M})) AS h, CASE WHEN n % 4 <> 0 THEN ks[-1] ELSE 0::UBIGINT END AS tail FROM mixed),
+f0 AS (SELECT w, xor(xor(h, tail), CAST(n AS UBIGINT)) AS h FROM body), f1 AS (SELECT w, {_folded("h", 16)} AS h FROM f0), f2 AS (SELECT w, {_times("h", 2246822507)} AS h FROM f1),
+f3 AS (SELECT w, {_folded("h", 13)} AS h FROM f2), f4 AS (SELECT w, {_times("h", 3266489909)} AS h FROM f3), f5 AS (SELECT w, {_folded("h", 16)} & 255 AS dim FROM f4),
+dims AS (SELECT kind, id, dim, count(*) AS c FROM tok JOIN f5 USING (w) GROUP BY ALL),
+vec AS (SELECT kind, id, dim, CAST(CAST(c / sqrt(sum(c * c) OVER (PARTITION BY kind, id)) AS FLOAT) AS DOUBLE) AS x FROM dims),
+len_ AS (SELECT kind, id, sqrt(sum(x * x)) AS l FROM vec GROUP BY ALL),
+dot AS (SELECT q.id AS item_id, c.id AS chunk_id, sum(q.x * c.x) AS s FROM vec q JOIN vec c ON q.dim = c.dim AND q.kind = 'q' AND c.kind = 'c' GROUP BY ALL),
+near AS (SELECT CAST(item_id AS BIGINT) AS item_id, chunk_id, round(s / ql.l / cl.l, 12) AS score FROM dot JOIN len_ ql ON ql.kind = 'q' AND ql.id = item_id JOIN len_ cl ON cl.kind = 'c' AND cl.id = chunk_id),
+hits AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, chunk_id) AS rn FROM near QUALIFY rn <= 5)"""
+_HEAD, _TAIL = CHUNK_SQL.rsplit("SELECT concat(", 1)
+HITS = f"{_HEAD.rstrip()},\nchunked AS (SELECT concat({_TAIL}),\n{EMBED_CTE}"
+
+
+@query("knn_chunks", f"{HITS} SELECT item_id, chunk_id, round(score, 6) AS score, CAST(rn AS INTEGER) AS rank FROM hits")
+def knn_chunks(lake):
+    """Documents cut, embedded and searched in one chain: the five nearest chunks of every question."""
+    out = vectors.knn_exact(chunk_vectors(lake), questions(lake), "chunk_id", "embedding", "item_id", 5)
+    return rounded(out, ["score"])
+
+
+@query("retrieval_context", f"""{HITS}, told AS (SELECT h.item_id, rn, chunk_id, document_id, content FROM hits h JOIN chunked USING (chunk_id) WHERE score >= 0.2),
+n AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY rn) AS k FROM told)
+SELECT item_id, string_agg(concat('[Source ', k, ']', chr(10), content), concat(chr(10), chr(10)) ORDER BY k) AS context, string_agg(chunk_id, ',' ORDER BY k) AS chunk_ids, string_agg(document_id, ',' ORDER BY k) AS document_ids, CAST(count(*) AS INTEGER) AS sources FROM n GROUP BY item_id""")
 def retrieval_context(lake):
-    hits = vectors.knn_exact(lake("embeddings"), label_queries(lake), "vec_id", "embedding", "query_id", 5)
-    chunks = lake("documents").select(F.col("doc_id").alias("vec_id"), "text")
-    return text.retrieval_context(hits, chunks, "query_id", "vec_id", "text")
+    """The context of every question: the texts of its nearest chunks and where they come from."""
+    chunks = materialize(chunk_vectors(lake), "chunk-vectors")
+    hits = vectors.knn_exact(chunks, questions(lake), "chunk_id", "embedding", "item_id", 5, threshold=0.2)
+    out = text.retrieval_context(hits, chunks, "item_id", "chunk_id", "content", ["chunk_id", "document_id"])
+    return out.withColumns({n: F.array_join(n, ",") for n in ("chunk_ids", "document_ids")})
+
+
+@query("knn_ivf")
+def knn_ivf(lake):
+    """The nearest chunks of every question from a stored index over all chunks."""
+    index = ann.build(materialize(chunk_vectors(lake), "chunk-vectors"), "chunk_id", "embedding", fresh_dir(lake.spark, "ivf"), k=5)
+    return ann.search(index, questions(lake), "item_id", 5)
+
+
+@query("knn_ivf_recall")
+def knn_ivf_recall(lake):
+    """Share of the true neighbours that the index finds, and share of all pairs that it scores."""
+    chunks, asked = materialize(chunk_vectors(lake), "chunk-vectors"), materialize(questions(lake), "questions")
+    index = ann.build(chunks, "chunk_id", "embedding", fresh_dir(lake.spark, "ivf"), k=5)
+    truth = vectors.knn_exact(chunks, asked, "chunk_id", "embedding", "item_id", 5)
+    pairs = ann.scored_pairs(index, asked, "item_id").first()
+    found = vectors.recall(ann.search(index, asked, "item_id", 5), truth, "item_id", "chunk_id")
+    return found.withColumn("scored_share", F.lit((pairs["pairs"] or 0) / max(1, pairs["all_pairs"] or 0)))
 
 
 # --- OCR --------------------------------------------------------------------------

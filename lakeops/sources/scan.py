@@ -98,6 +98,17 @@ def explode_log_envelope(df: DataFrame, body: str, event_schema: str) -> DataFra
     return good.select("log_group", "id", "timestamp", "event.*").drop(CORRUPT)
 
 
+def parse_variant(df: DataFrame, body: str, fields: dict[str, tuple[str, str, object]]) -> DataFrame:
+    """Columns read from JSON text of changing shape: ``fields`` maps a column to (path, type, default).
+
+    The text is parsed once. A field that is absent, null or not readable as its type gets the default; ``is_bad`` marks
+    texts that are no JSON at all.
+    """
+    parsed = df.withColumn("_v", F.try_parse_json(body))
+    named = {n: F.coalesce(F.try_variant_get("_v", path, kind), F.lit(default).cast(kind)) for n, (path, kind, default) in fields.items()}
+    return parsed.withColumns(named | {"is_bad": F.col("_v").isNull()}).drop("_v")
+
+
 def parse_scored_lines(df: DataFrame, line: str, schema: str, key: str) -> tuple[DataFrame, DataFrame]:
     """Typed results of one-result-per-line output, and the lines that could not be read."""
     parsed = df.withColumn("_p", F.from_json(line, schema))
@@ -108,10 +119,10 @@ def parse_scored_lines(df: DataFrame, line: str, schema: str, key: str) -> tuple
 def whole_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per text file, with a repeatable id from its address below ``path``.
 
-    A file that a Spark job wrote is known by its folder, as its own name changes from run to run.
+    Spark names its files anew in every run, but numbers them alike: of such a name only the number counts.
     """
     below = F.regexp_extract(F.col("_metadata.file_path"), "/" + re.escape(path.rstrip("/").rsplit("/", 1)[-1]) + "/(.*)$", 1)
-    address = F.regexp_replace(below, r"/part-[^/]*$", "")
+    address = F.regexp_replace(below, r"(^|/)part-(\d+)-[^/]*$", "$1part-$2")
     files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return files.select(F.left(F.sha2(address, 256), F.lit(16)).alias("document_id"), address.alias("address"), F.col("value").alias("text"))
 

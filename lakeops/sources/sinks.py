@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import re
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions.exprs import time_partition
@@ -12,7 +13,9 @@ from lakeops.sources.scan import check_codec
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (), codec: str = "snappy") -> None:
-    df.write.mode(mode).option("compression", codec).partitionBy(*partition_by).parquet(path)
+    """Parquet files; with partitions, rows of one partition are brought together first, so few files are written."""
+    ready = gathered(df, partition_by) if partition_by else df
+    ready.write.mode(mode).option("compression", codec).partitionBy(*partition_by).parquet(path)
 
 
 def gathered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,11 +55,6 @@ def archive_jsonl(df: DataFrame, path: str, ts: str = "ts") -> None:
     gathered(df.withColumns(parts), list(parts)).write.mode("append").option("compression", "gzip").partitionBy(*parts).json(path)
 
 
-def write_keyed(df: DataFrame, put: Callable[[Iterator[Row]], None]) -> None:
-    """Hand each partition's rows to an external store's batch writer."""
-    df.foreachPartition(put)
-
-
 def write_batch_once(df: DataFrame, batch_id: int, path: str) -> None:
     """Streaming sink for ``foreachBatch``: a replayed batch replaces its own folder."""
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -81,5 +79,18 @@ def register_table(spark: SparkSession, name: str, path: str, columns: str, part
 
 
 def add_partition(spark: SparkSession, name: str, **values: str) -> None:
+    """Make one new partition known; its folder is already there."""
     spec = ", ".join(f"{k}='{v}'" for k, v in values.items())
     spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec})")
+
+
+def analyze_table(spark: SparkSession, name: str, columns: Sequence[str] = ()) -> None:
+    """Row count and size of a table, and value statistics of ``columns``, for the planner's join order and broadcasts."""
+    what = f" FOR COLUMNS {', '.join(columns)}" if columns else ""
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS{what}")
+
+
+def table_statistics(spark: SparkSession, name: str) -> dict[str, int]:
+    """``bytes`` and, if counted, ``rows`` as the catalog knows them."""
+    text = next((r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Statistics"), "")
+    return {unit: int(n) for n, unit in re.findall(r"(\d+) (bytes|rows)", text)}

@@ -87,7 +87,18 @@ def test_sequence_features_agree(txns):
 
 def test_running_balance_agrees(txns):
     df = txns.select("transaction_id", F.col("account_id").cast("string").alias("source_account"), "transaction_type", F.when(F.col("transaction_id") % 3 != 0, F.col("amount")).alias("amount"), "ts")
-    assert rows_of(business.account_balances(df, floor=HOT)) == rows_of(business.account_balances(df, floor=COLD))
+    hot, cold = business.account_balances(df, floor=HOT), business.account_balances(df, floor=COLD)
+    assert hot.schema == cold.schema
+    assert rows_of(hot) == rows_of(cold)
+
+
+def test_small_deposits_keep_all_decimals(spark):
+    rows = [(i, "A", "DEPOSIT", "0.00000003", datetime(2024, 1, 1, 0, i)) for i in range(6)] + [(10, "B", "DEPOSIT", "0.00000001", datetime(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "transaction_id bigint, source_account string, transaction_type string, amount string, ts timestamp_ntz").withColumn("amount", F.col("amount").cast("decimal(28,8)"))
+    for floor in (HOT, COLD, 3):
+        out = business.account_balances(df, floor=floor)
+        assert out.schema["balance"].dataType.simpleString() == "decimal(38,8)"
+        assert {r["transaction_id"]: int(r["balance"] * 10**8) for r in out.collect()} == {**{i: 3 * (i + 1) for i in range(6)}, 10: 1}
 
 
 def test_trips_agree(txns):
