@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeops.functions.exprs import haversine, ntz
+from lakeops.functions.exprs import ntz
 from lakeops.operators import business
 from lakeops.plans.business import ACCEPT_SQL, AUDIT_SQL, DETAIL, ROUTE_SQL, SMS_ROUNDED, SOURCE
 from lakeops.plans.fleet import ALERTS_SQL, SEGMENT_SQL, TRIP_COLS, fences, neat_trips
-from lakeops.plans.fraud import SCORE, SCORED_CTE, STATUS_SQL, feature_oracle, rounded
+from lakeops.plans.fraud import SCORE, SCORED_CTE, STATUS_SQL, VECTOR, feature_oracle, rounded
 from lakeops.registry import query
 from lakeops.sources import scan
 from lakeops.streaming import jobs, run, state
@@ -66,14 +66,24 @@ def stream_geofence(lake):
 
 
 @query("stream_trip_stats", f"""WITH {SEGMENT_SQL}, d AS (SELECT *, date_trunc('day', ts) AS w FROM dist)
-SELECT truck_id, CAST(w AS TIMESTAMP) AS window_start, {TRIP_COLS} FROM d WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY truck_id, w""")
+SELECT truck_id, CAST(w AS TIMESTAMP) AS window_start, {TRIP_COLS} FROM d GROUP BY truck_id, w""")
 def stream_trip_stats(lake):
-    out = replayed(lake, slices(lake("v_gps")), jobs.trip_windows, "trips")
-    flat = out.select(
-        "truck_id", ntz("w.start").alias("window_start"), ntz("period_start").alias("period_start"), ntz("period_end").alias("period_end"),
-        "total_distance_km", "average_speed_kmh", "max_speed_kmh", "idle_time_minutes", "coordinates_count",
-    )
-    return neat_trips(flat)
+    """Every truck day; the last ones are closed by a row that only moves the clock."""
+    rows = lake("v_gps")
+    out = replayed(lake, [*slices(rows), run.closing_row(rows, "ts", "3 DAYS")], jobs.trip_windows, "trips")
+    return neat_trips(jobs.trips_of(out))
+
+
+@query("stream_late_fixes", """WITH s AS (SELECT truck_id, seq, ts, CASE WHEN seq % 40 = 0 AND ts < TIMESTAMP '2024-01-21' THEN 3 WHEN ts < TIMESTAMP '2024-01-11' THEN 1 WHEN ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS part FROM v_gps),
+seen AS (SELECT truck_id, max(ts) AS last, max_by(seq, struct_pack(t := ts, s := seq)) AS last_seq FROM s WHERE part < 3 GROUP BY truck_id)
+SELECT truck_id, seq, ts FROM s JOIN seen USING (truck_id) WHERE part = 3 AND (ts < last OR (ts = last AND seq <= last_seq))""")
+def stream_late_fixes(lake):
+    """One fix in forty arrives days late, with the last slice; those older than what their truck has sent come out as late."""
+    rows = lake("v_gps")
+    held = (F.col("seq") % 40 == 0) & (F.col("ts") < F.to_timestamp_ntz(F.lit("2024-01-21")))
+    first, second, third = slices(rows.filter(~held))
+    out = replayed(lake, [first, second, third.unionByName(rows.filter(held))], jobs.trip_windows, "late-trips")
+    return jobs.late_fixes_of(out)
 
 
 SMS_PERIOD = """count(*) FILTER (event_type IN ('_SMS.SUCCESS', '_SMS.FAILURE')) AS messages_sent, count(*) FILTER (event_type = '_SMS.SUCCESS') AS messages_delivered,
@@ -107,19 +117,12 @@ def stream_dedup(lake):
     return out.select("transaction_id", "idempotency_key", "accepted")
 
 
-STREAMED = ["transaction_id", "account_id", "tx_count_1h", "tx_count_24h", "tx_amount_1h", "tx_amount_24h", "avg_amount_30d", "distance_from_last", "is_new_merchant", "is_new_device"]
-
-
-@query("stream_features", feature_oracle(STREAMED))
+@query("stream_features", feature_oracle(VECTOR))
 def stream_features(lake):
+    """The whole fraud vector from a stream, as the batch operator gives it."""
     rows = lake("v_txn")
-    out = replayed(lake, slices(rows), state.velocity_in_stream, "features").filter(~F.col("late"))
-    here = rows.select("transaction_id", "location_lat", "location_lon")
-    whole = {n: F.col(n).cast("bigint") for n in ("tx_count_1h", "tx_count_24h")} | {n: F.col(n).cast("int") for n in ("is_new_merchant", "is_new_device")}
-    moved = out.join(here, "transaction_id").withColumns(
-        whole | {"distance_from_last": haversine(F.col("prev_lat"), F.col("prev_lon"), F.col("location_lat"), F.col("location_lon"))}
-    )
-    return rounded(moved.withColumn("distance_from_last", F.when(~F.isnan("distance_from_last"), F.col("distance_from_last"))).select(*STREAMED))
+    out = replayed(lake, slices(rows), jobs.fraud_vectors, "features").filter(~F.col("late"))
+    return rounded(out.select(*VECTOR))
 
 
 @query("stream_archive", "SELECT event_id, value, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day FROM events")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from lakeops.functions.exprs import haversine, time_partition
+from lakeops.functions.exprs import epoch_seconds, haversine, time_partition
 from lakeops.operators import business, fraud, spatial
 from lakeops.streaming import run, state
 
@@ -19,43 +19,54 @@ def latest_positions(stream: DataFrame) -> DataFrame:
     return stream.groupBy("truck_id").agg(F.max_by(row, F.struct("ts", "seq")).alias("r")).select("truck_id", "r.*")
 
 
-def fences_by_cell(fences: DataFrame, cell: float) -> DataFrame:
-    """Static side of the stream join: the fences touching each grid cell (a smaller cell means shorter lists)."""
-    fence = F.struct("geofence_id", "geofence_type", "center_latitude", "center_longitude", "radius_meters", "vertices")
-    return spatial.fence_cells(fences, cell).groupBy("cell_y", "cell_x").agg(F.collect_list(fence).alias("_near"))
+def geofence_transitions(stream: DataFrame, fences: DataFrame, keep_days: float = 30) -> DataFrame:
+    """Enter and exit alerts; the last fix and its fences are kept per truck, until it is silent for ``keep_days``."""
+    placed = spatial.with_fences(stream, fences).withColumn("inside", F.col("inside").cast("array<bigint>")).select("truck_id", "seq", "ts", "latitude", "longitude", "inside")
+    paired = state.previous_in_stream(placed, "truck_id", "ts", "seq", {"inside": "_was"}, keep_days)
+    return spatial.transitions(paired.filter(~F.col("late") & F.col("_was").isNotNull()), fences)
 
 
-def with_fences(stream: DataFrame, fences: DataFrame, cell: float = 0.05) -> DataFrame:
-    """Stream-static join: every fix with the sorted ids of the fences around it."""
-    lat, lon = F.col("latitude"), F.col("longitude")
-    columns = round(360.0 / cell)
-    located = stream.withColumns({"cell_y": F.floor(lat / cell), "cell_x": F.pmod(F.floor((lon + 180) / cell), F.lit(columns))})
-    met = located.join(fences_by_cell(fences, cell), ["cell_y", "cell_x"], "left")
+def trip_windows(stream: DataFrame, window_seconds: int = 86_400, delay: str = "1 hour") -> DataFrame:
+    """Trip statistics per truck and time window (``kind`` trip), given out when the clock has passed the window's end, and
+    the fixes that came too late to be counted (``kind`` late). Nothing else happens to a row: it is in one of the two."""
+    marked = stream.withColumn("at_micros", F.unix_micros(F.col("ts").cast("timestamp")))
+    carry = {"latitude": "_lat", "longitude": "_lon", "at_micros": "before_micros"}
+    paired = state.previous_in_stream(marked, "truck_id", "ts", "seq", carry, delay=delay)
+    segments = spatial.segments_of(paired.withColumn("_ts", F.timestamp_micros("before_micros")))
+    return state.trips_in_stream(segments, dict(stream.dtypes)["truck_id"], window_seconds)
 
-    def holds(f):
-        near = haversine(lat, lon, f["center_latitude"], f["center_longitude"], spatial.EARTH_M) <= f["radius_meters"]
-        return F.when(f["geofence_type"] == "circle", near).otherwise(spatial.inside_polygon(lat, lon, f["vertices"]))
 
-    ids = F.transform(F.filter("_near", holds), lambda f: f["geofence_id"].cast("bigint"))
-    inside = F.coalesce(F.sort_array(ids), F.array().cast("array<bigint>"))
-    return met.withColumn("inside", inside).drop("cell_y", "cell_x", "_near")
+def trips_of(out: DataFrame) -> DataFrame:
+    """Finished windows of ``trip_windows``."""
+    at = {"window_start": "start_us", "period_start": "first_us", "period_end": "last_us"}
+    return out.filter("kind = 'trip'").withColumns({n: F.timestamp_micros(c).cast("timestamp_ntz") for n, c in at.items()}).select(
+        "truck_id", *at, "total_distance_km", "average_speed_kmh", "max_speed_kmh", "idle_time_minutes", "coordinates_count"
+    )
 
 
-def geofence_transitions(stream: DataFrame, fences: DataFrame) -> DataFrame:
-    """Enter and exit alerts; the last fix and its fences are kept per truck."""
-    placed = with_fences(stream, fences).select("truck_id", "seq", "ts", "latitude", "longitude", "inside")
-    paired = state.previous_in_stream(placed, "truck_id", "ts", "seq", {"inside": "_was"})
-    return spatial.transitions(paired.filter(~F.col("late") & F.col("_was").isNotNull()), fences)
+def late_fixes_of(out: DataFrame) -> DataFrame:
+    """Fixes that ``trip_windows`` handed on because they came too late."""
+    return out.filter("kind = 'late'").select("truck_id", "seq", F.timestamp_micros("at_us").cast("timestamp_ntz").alias("ts"))
 
 
-def trip_windows(stream: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Trip statistics per truck and time window, given out when the window is complete."""
-    marked = stream.withColumn("at_micros", F.unix_micros(F.col("ts").cast("timestamp")))
-    carry = {"latitude": "_lat", "longitude": "_lon", "at_micros": "before_micros"}
-    paired = state.previous_in_stream(marked, "truck_id", "ts", "seq", carry).filter(~F.col("late"))
-    segments = spatial.segments_of(paired.withColumn("_ts", F.timestamp_micros("before_micros")))
-    timed = segments.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    return spatial.trip_aggregate(timed, ["truck_id", F.window("ts", window).alias("w")])
+def fraud_vectors(stream: DataFrame, keep_days: float = 400) -> DataFrame:
+    """The batch operator's fraud vector for each transaction as it arrives; ``late`` marks those without history."""
+    x = state.velocity_in_stream(stream, keep_days)
+    whole = {n: F.col(n).cast("bigint") for n in ("tx_count_1h", "tx_count_24h")} | {n: F.col(n).cast("int") for n in ("is_new_merchant", "is_new_device")}
+    gap = epoch_seconds("ts") - F.floor(F.col("prev_us") / 1_000_000)
+    moved = {
+        "distance_from_last": haversine(_given("prev_lat"), _given("prev_lon"), F.col("location_lat"), F.col("location_lon")),
+        "time_since_last": F.when(~F.isnan("prev_us"), gap / F.lit(3600.0)),
+        "amount_zscore": _given("amount_zscore"),
+        "is_high_risk_country": fraud.high_risk_country("location_country"),
+    }
+    x = fraud.categorical_encoding(fraud.temporal_features(x)).withColumns(whole | moved)
+    return x.select("transaction_id", "account_id", *fraud.FEATURES, "ts", "date", "late")
+
+
+def _given(name: str) -> Column:
+    """A number from pandas, where a missing one may stand as not-a-number."""
+    return F.when(~F.isnan(name), F.col(name))
 
 
 def sms_periods(stream: DataFrame, by: str | None = None, period: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:

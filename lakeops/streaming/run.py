@@ -16,7 +16,6 @@ from lakeops.sources.sinks import write_batch_once
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-
 def parse_events(stream: DataFrame, body: str, schema: str, required: str) -> DataFrame:
     """Typed rows from JSON text or bytes, with arrival time and a flag for unreadable ones."""
     typed = stream.withColumn("_raw", F.col(body).cast("string")).withColumn("_e", F.from_json("_raw", schema))
@@ -51,6 +50,19 @@ def drain(writer: DataStreamWriter) -> None:
     started.awaitTermination()
 
 
+def open_folder(spark: SparkSession, path: str, schema, size: int = 4 << 30) -> DataFrame:
+    """Stream over the files of a folder. A micro-batch takes about ``size`` bytes, which bounds the rows that one key can have in it."""
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", size).parquet(path)
+
+
+def closing_row(rows: DataFrame, ts: str, later: str) -> DataFrame:
+    """One row without values but a time ``later`` (an interval) after the last one: fed as a last slice, it lets every open
+    window and timer end. Operators behind ``state.with_clock`` never see it."""
+    at = F.expr(f"max(`{ts}`) + INTERVAL {later}").alias(ts)
+    end = rows.agg(at).where(F.col(ts).isNotNull())
+    return end.select(*(F.col(f.name).cast(f.dataType) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields))
+
+
 def replay(slices: Sequence[DataFrame], build: Callable[[DataFrame, str], DataStreamWriter], label: str) -> str:
     """Feed slices one after the other to a stream that restarts from its checkpoint each time.
 
@@ -63,7 +75,7 @@ def replay(slices: Sequence[DataFrame], build: Callable[[DataFrame, str], DataSt
     with state_settings(spark):
         for part in slices:
             part.write.mode("append").parquet(source)
-            stream = spark.readStream.schema(schema).parquet(source)
+            stream = open_folder(spark, source, schema)
             drain(build(stream, folder).option("checkpointLocation", f"{folder}/_state"))
     return folder
 

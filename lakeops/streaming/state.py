@@ -1,8 +1,10 @@
-"""Keyed operators whose state outlives a micro-batch.
+"""Keyed operators whose state outlives a micro-batch and ends when its key falls silent.
 
 Rows of a key are put in order within a micro-batch. A row that is older than what its
-key has already seen is passed on marked ``late`` and does not touch the state. A
-micro-batch is bounded by the source's rate limit, and with it the rows of one key.
+key has already seen is passed on marked ``late`` and does not touch the state. No row is
+dropped for its age: the event-time clock (``with_clock``) only drives timers, which remove
+the state of keys that have been silent for long. A micro-batch is bounded by the rate
+limit that ``run.open_folder`` sets on every source, and with it the rows of one key.
 """
 
 from __future__ import annotations
@@ -37,14 +39,46 @@ def _fields(df: DataFrame) -> str:
     return ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
 
 
+def with_clock(stream: DataFrame, ts: str, delay: str, key: str) -> DataFrame:
+    """``stream`` with an event-time clock that moves timers but drops no late row.
+
+    The watermark sits on a copy of ``ts`` that is not handed on, so no operator can compare rows with it. Rows without a
+    key and with a time only move the clock (see ``run.closing_row``); they end here.
+    """
+    timed = stream.withColumn("clock", F.col(ts).cast("timestamp")).withWatermark("clock", delay)
+    return timed.filter(F.col("clock").isNull() | F.col(key).isNotNull()).drop("clock")
+
+
+class _Silence:
+    """One event-time timer per key: due when nothing has come for ``keep_us``."""
+
+    def __init__(self, handle: StatefulProcessorHandle, keep_us: int):
+        self.handle, self.keep_us = handle, keep_us
+        self.due = handle.getValueState("due", "ms bigint")
+
+    def seen(self, last_us: int) -> None:
+        at = (last_us + self.keep_us) // 1000 + 1
+        if self.due.exists():
+            before = self.due.get()[0]
+            if before >= at:
+                return
+            self.handle.deleteTimer(before)
+        self.due.update((at,))
+        self.handle.registerTimer(at)
+
+    def over(self) -> None:
+        self.due.clear()
+
+
 class _Previous(StatefulProcessor):
     """Hands every row the carried columns of the row before it."""
 
-    def __init__(self, carry: dict[str, str], types: str):
-        self.carry, self.types = carry, types
+    def __init__(self, carry: dict[str, str], types: str, keep_us: int):
+        self.carry, self.types, self.keep_us = carry, types, keep_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", f"us bigint, tie bigint, {self.types}")
+        self.silence = _Silence(handle, self.keep_us)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _ordered(rows, "at_us", "tie_id")
@@ -63,8 +97,14 @@ class _Previous(StatefulProcessor):
         if len(fresh):
             end = fresh.iloc[-1]
             self.last.update((int(end["at_us"]), int(end["tie_id"]), *[_plain(end[c]) for c in self.carry]))
+            self.silence.seen(int(end["at_us"]))
         yield out.drop(columns=["at_us", "tie_id"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        self.silence.over()
+        return iter([])
+
     def close(self) -> None:
         pass
 
@@ -77,13 +117,101 @@ def _plain(value):
     return value
 
 
-def previous_in_stream(stream: DataFrame, key: str, ts: str, tie: str, carry: dict[str, str]) -> DataFrame:
-    """Stream form of the previous-row operator; ``carry`` maps bigint, double or array<bigint> columns."""
+def previous_in_stream(stream: DataFrame, key: str, ts: str, tie: str, carry: dict[str, str], keep_days: float = 30, delay: str = "1 hour") -> DataFrame:
+    """Stream form of the previous-row operator; ``carry`` maps bigint, double or array<bigint> columns.
+
+    A key that is silent for ``keep_days`` is forgotten; its next row has no row before it.
+    """
     types = dict(stream.dtypes)
     held = ", ".join(f"{new} {types[old]}" for old, new in carry.items())
-    rows = stream.withColumns({"at_us": F.unix_micros(F.col(ts).cast("timestamp")), "tie_id": F.col(tie).cast("bigint")})
+    rows = with_clock(stream, ts, delay, key).withColumns({"at_us": F.unix_micros(F.col(ts).cast("timestamp")), "tie_id": F.col(tie).cast("bigint")})
     schema = f"{_fields(stream)}, late boolean, {held}"
-    return rows.groupBy(key).transformWithStateInPandas(_Previous(carry, held), schema, "append", "none")
+    return rows.groupBy(key).transformWithStateInPandas(_Previous(carry, held, int(keep_days * DAY * 1_000_000)), schema, "append", "eventTime")
+
+
+# --- windows that close -----------------------------------------------------------
+
+
+class _Trips(StatefulProcessor):
+    """Sums per key and time window. A window is given out once the clock has passed its end; a row that comes after that,
+    or after younger rows of its key, is handed on as it is, marked ``late``."""
+
+    SUMS = ("first_us bigint, last_us bigint, metres double, speed double, speeds bigint, top double, idle bigint, fixes bigint")
+
+    def __init__(self, width_us: int):
+        self.width_us = width_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getMapState("open", "start_us bigint", self.SUMS)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = pd.concat(list(rows), ignore_index=True)
+        df["start_us"] = df["at_us"] // self.width_us * self.width_us
+        past = (df["start_us"] + self.width_us) // 1000 <= timerValues.getCurrentWatermarkInMs()
+        late = df[df["late"] | past]
+        if len(late):
+            yield self._rows(key, "late", late["start_us"], seq=late["tie_id"], at_us=late["at_us"])
+        fresh = df.drop(late.index).groupby("start_us")
+        speed = fresh["speed_kmh"]
+        sums = pd.DataFrame({
+            "first": fresh["at_us"].min(), "last": fresh["at_us"].max(), "metres": fresh["segment_m"].sum(), "speed": speed.sum(),
+            "speeds": speed.count(), "top": speed.max(), "idle": fresh["idle_us"].sum(), "fixes": fresh.size(),
+        })
+        for start, new in zip(sums.index, sums.itertuples(index=False), strict=True):
+            held = self.open.getValue((int(start),)) if self.open.containsKey((int(start),)) else None
+            top = None if new.top != new.top else float(new.top)
+            now = (int(new.first), int(new.last), float(new.metres), float(new.speed), int(new.speeds), top, int(new.idle), int(new.fixes))
+            if held is not None:
+                tops = [x for x in (held[5], top) if x is not None]
+                now = (min(held[0], now[0]), max(held[1], now[1]), *(a + b for a, b in zip(held[2:5], now[2:5], strict=True)), max(tops, default=None), held[6] + now[6], held[7] + now[7])
+            else:
+                self.handle.registerTimer((int(start) + self.width_us) // 1000)
+            self.open.updateValue((int(start),), now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        start = expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.width_us
+        if self.open.containsKey((start,)):
+            first, last, metres, speed, speeds, top, idle, fixes = self.open.getValue((start,))
+            self.open.removeKey((start,))
+            yield self._rows(
+                key, "trip", pd.Series([start]), first_us=[first], last_us=[last], total_distance_km=[metres / 1000], average_speed_kmh=[speed / speeds if speeds else 0.0],
+                max_speed_kmh=[np.nan if top is None else top], idle_time_minutes=[idle / 60_000_000], coordinates_count=[fixes],
+            )
+
+    @staticmethod
+    def _rows(key, kind: str, start_us: pd.Series, **given) -> pd.DataFrame:
+        out = pd.DataFrame({"kind": kind, "start_us": start_us.to_numpy()})
+        out.insert(0, "truck_id", key[0])
+        for name in TRIP_FIELDS:
+            values = given.get(name)
+            out[name] = pd.array([None] * len(out) if values is None else list(values), dtype="Float64" if TRIP_FIELDS[name] == "double" else "Int64")
+        return out
+
+    def close(self) -> None:
+        pass
+
+
+TRIP_FIELDS = {
+    "first_us": "bigint", "last_us": "bigint", "total_distance_km": "double", "average_speed_kmh": "double", "max_speed_kmh": "double",
+    "idle_time_minutes": "double", "coordinates_count": "bigint", "seq": "bigint", "at_us": "bigint",
+}
+
+
+def trips_in_stream(segments: DataFrame, key_type: str, width_seconds: int) -> DataFrame:
+    """(truck_id, kind, start_us, ...): finished windows (``trip``) and rows that came too late for theirs (``late``).
+
+    ``segments``: truck_id, ts, seq, late, segment_m, idle_us, speed_kmh, from ``previous_in_stream``, whose clock goes on.
+    """
+    rows = segments.select(
+        "truck_id", "late", "segment_m", "idle_us", F.col("speed_kmh").cast("double").alias("speed_kmh"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"), F.col("seq").cast("bigint").alias("tie_id"),
+    )
+    schema = f"truck_id {key_type}, kind string, start_us bigint, " + ", ".join(f"{n} {t}" for n, t in TRIP_FIELDS.items())
+    return rows.groupBy("truck_id").transformWithStateInPandas(_Trips(width_seconds * 1_000_000), schema, "append", "eventTime")
+
+
+# --- idempotency ------------------------------------------------------------------
 
 
 class _AcceptOnce(StatefulProcessor):
@@ -93,8 +221,8 @@ class _AcceptOnce(StatefulProcessor):
         self.ttl_us = ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
         self.last = handle.getValueState("last", "us bigint, free boolean")
+        self.silence = _Silence(handle, self.ttl_us)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _ordered(rows, "at_us", "tie_id")
@@ -107,14 +235,12 @@ class _AcceptOnce(StatefulProcessor):
             taken.append(take)
         if last is not None:
             self.last.update((last, free))
-            self.handle.registerTimer(last // 1000 + self.ttl_us // 1000 + 1)
+            self.silence.seen(last)
         yield df.assign(accepted=taken).drop(columns=["at_us", "tie_id", "is_failed"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.last.exists():
-            last, _ = self.last.get()
-            if expiredTimerInfo.getExpiryTimeInMs() > (last + self.ttl_us) // 1000:
-                self.last.clear()
+        self.last.clear()
+        self.silence.over()
         return iter([])
 
     def close(self) -> None:
@@ -122,98 +248,150 @@ class _AcceptOnce(StatefulProcessor):
 
 
 def accept_once_in_stream(stream: DataFrame, key: str, ts: str, row_id: str, failed, ttl_seconds: int = DAY, delay: str = "1 hour") -> DataFrame:
-    """Stream form of the idempotency rule, exact also across restarts."""
+    """Stream form of the idempotency rule, exact also across restarts; every row comes out, however late it is."""
     schema = f"{_fields(stream)}, accepted boolean"
-    rows = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).withColumns(
-        {"at_us": F.unix_micros(ts), "tie_id": F.col(row_id).cast("bigint"), "is_failed": F.coalesce(failed, F.lit(False))}
+    rows = with_clock(stream, ts, delay, key).withColumns(
+        {"at_us": F.unix_micros(F.col(ts).cast("timestamp")), "tie_id": F.col(row_id).cast("bigint"), "is_failed": F.coalesce(failed, F.lit(False))}
     )
-    schema = schema.replace(f"`{ts}` timestamp_ntz", f"`{ts}` timestamp")
     return rows.groupBy(key).transformWithStateInPandas(_AcceptOnce(ttl_seconds * 1_000_000), schema, "append", "eventTime")
 
 
+#: Amounts are added up as whole numbers of 1e-8, so taking one out leaves nothing behind; amounts of a million and more are
+#: kept to 1e-4, and those of 1e15 and more give no deviation, as in the batch operator.
+UNIT, COARSE, LARGE, HUGE = 100_000_000, 10_000, 1e6, 1e15
+
+
+def _units(amount: float) -> int:
+    return round(amount * UNIT) if abs(amount) < LARGE else round(amount * COARSE) * (UNIT // COARSE)
+
+
+def _pack(numbers) -> bytes:
+    return b"".join(int(x).to_bytes(24, "little", signed=True) for x in numbers)
+
+
+def _unpack(data: bytes) -> list[int]:
+    return [int.from_bytes(data[i:i + 24], "little", signed=True) for i in range(0, len(data), 24)]
+
+
 class _Velocity(StatefulProcessor):
-    """Account history of 30 days, one entry per second, plus the last fix and what was seen before."""
+    """Account history of 30 days, one entry per second, the last fix, and the merchants and devices seen (as maps with the
+    time of their last use). A silent account is forgotten after ``keep_us``, and so is a map entry that was not used for it."""
+
+    def __init__(self, keep_us: int):
+        self.keep_us = keep_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "history", "sec binary, n binary, total binary, squares binary, us bigint, lat double, lon double, merchants array<string>, devices array<string>"
-        )
+        self.history = handle.getValueState("history", "sec binary, n binary, k binary, total binary, squares binary, huge binary, us bigint, lat double, lon double")
+        self.seen = {c: handle.getMapState(c, "value string", "us bigint") for c in ("merchant_id", "device_id")}
+        self.swept = handle.getValueState("swept", "us bigint")
+        self.silence = _Silence(handle, self.keep_us)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _ordered(rows, "at_us", "transaction_id")
-        sec, n, total, squares = np.empty(0, "int64"), np.empty(0, "int64"), np.empty(0), np.empty(0)
-        us = lat = lon = None
-        merchants, devices = set(), set()
-        if self.state.exists():
-            held = self.state.get()
-            sec, n = np.frombuffer(held[0], "int64"), np.frombuffer(held[1], "int64")
-            total, squares = np.frombuffer(held[2]), np.frombuffer(held[3])
-            us, lat, lon, merchants, devices = held[4], held[5], held[6], set(held[7]), set(held[8])
+        sec, held, us, lat, lon = np.empty(0, "int64"), None, None, None, None
+        if self.history.exists():
+            state = self.history.get()
+            sec, us, lat, lon = np.frombuffer(state[0], "int64"), *state[6:]
+            held = [_unpack(x) for x in state[1:6]]
         late = (df["at_us"] < us).to_numpy() if us is not None else np.zeros(len(df), dtype=bool)
         ok = df[~late]
 
         amount = ok["amount"].to_numpy(dtype="float64")
-        cents = np.rint(amount * 10_000)
-        per_second = pd.DataFrame({"s": ok["at_second"], "n": 1, "t": cents, "q": amount * amount}).groupby("s").sum()
-        joined = pd.concat([pd.DataFrame({"n": n, "t": total, "q": squares}, index=sec), per_second]).groupby(level=0).sum().sort_index()
-        at = joined.index.to_numpy()
-        sums = {c: np.concatenate([[0.0], np.cumsum(joined[c].to_numpy(dtype="float64"))]) for c in "ntq"}
+        known = np.isfinite(amount)
+        units = np.array([_units(x) if k else 0 for x, k in zip(amount, known, strict=True)], dtype=object)
+        huge = known & (np.abs(amount) >= HUGE)
+        own = {"n": np.ones(len(ok), dtype=object), "k": known.astype(int).astype(object), "t": units, "q": np.where(huge, 0, units * units) if len(ok) else units, "h": huge.astype(int).astype(object)}
         now = ok["at_second"].to_numpy()
+        at = np.unique(np.concatenate([sec, now]))
+        sums, totals = {}, {}
+        for i, name in enumerate("nktqh"):
+            total = np.zeros(len(at), dtype=object)
+            if held is not None:
+                total[np.searchsorted(at, sec)] += np.array(held[i], dtype=object)
+            np.add.at(total, np.searchsorted(at, now), own[name])
+            totals[name], sums[name] = total, np.concatenate([np.zeros(1, dtype=object), np.cumsum(total)])
 
         def window(column: str, back: int, skip: int) -> np.ndarray:
             return sums[column][np.searchsorted(at, now - skip, "right")] - sums[column][np.searchsorted(at, now - back, "left")]
 
-        count30, sum30, sq30 = window("n", 30 * DAY, 1), window("t", 30 * DAY, 1) / 10_000, window("q", 30 * DAY, 1)
-        mean = np.divide(sum30, count30, out=np.zeros(len(ok)), where=count30 > 0)
-        spread = np.maximum(sq30 - sum30 * mean, 0.0)
-        std = np.sqrt(np.divide(spread, count30 - 1, out=np.ones(len(ok)), where=count30 > 1))
+        def money(numbers) -> np.ndarray:
+            return np.array([x / UNIT for x in numbers], dtype="float64")
 
-        out = pd.DataFrame({"transaction_id": df["transaction_id"], "account_id": key[0], "late": late}, index=df.index)
+        k30, t30, q30, h30 = (window(c, 30 * DAY, 1) for c in "ktqh")
+        mean = np.array([t / (k * UNIT) if k else 0.0 for k, t in zip(k30, t30, strict=True)], dtype="float64")
+        std = np.array([(max(k * q - t * t, 0) / (k * (k - 1))) ** 0.5 / UNIT if k > 1 and not h else 1.0 for k, t, q, h in zip(k30, t30, q30, h30, strict=True)], dtype="float64")
+        score = np.where(std > 0, np.divide(amount - mean, std, out=np.zeros(len(ok)), where=std > 0), 0.0)
+
+        out = df.drop(columns=["at_us", "at_second"]).assign(late=late)
         new = {
-            "tx_count_1h": window("n", 3600, 0), "tx_count_24h": window("n", DAY, 0),
-            "tx_amount_1h": window("t", 3600, 0) / 10_000, "tx_amount_24h": window("t", DAY, 0) / 10_000,
-            "avg_amount_30d": mean, "std_amount_30d": std,
+            "tx_count_1h": window("n", 3600, 0).astype("float64"), "tx_count_24h": window("n", DAY, 0).astype("float64"),
+            "tx_amount_1h": money(window("t", 3600, 0)), "tx_amount_24h": money(window("t", DAY, 0)),
+            "avg_amount_30d": mean, "std_amount_30d": std, "amount_zscore": score,
             "prev_lat": np.concatenate([[np.nan if lat is None else lat], ok["location_lat"].to_numpy(dtype="float64")])[:-1],
             "prev_lon": np.concatenate([[np.nan if lon is None else lon], ok["location_lon"].to_numpy(dtype="float64")])[:-1],
             "prev_us": np.concatenate([[np.nan if us is None else us], ok["at_us"].to_numpy(dtype="float64")])[:-1],
-            "is_new_merchant": _first_time(ok["merchant_id"], merchants), "is_new_device": _first_time(ok["device_id"], devices),
+            "is_new_merchant": self._first_time(ok, "merchant_id"), "is_new_device": self._first_time(ok, "device_id"),
         }
         for name, values in new.items():
-            out[name] = pd.Series(values, index=ok.index).reindex(df.index)
+            out[name] = pd.Series(values, index=ok.index, dtype="float64").reindex(df.index)
         if len(ok):
             end = ok.iloc[-1]
             keep = at >= end["at_second"] - 30 * DAY
-            self.state.update((
-                at[keep].astype("int64").tobytes(), joined["n"].to_numpy("int64")[keep].tobytes(), joined["t"].to_numpy("float64")[keep].tobytes(),
-                joined["q"].to_numpy("float64")[keep].tobytes(), int(end["at_us"]), float(end["location_lat"]), float(end["location_lon"]),
-                sorted(merchants), sorted(devices),
+            self.history.update((
+                at[keep].astype("int64").tobytes(), *(_pack(totals[c][keep]) for c in "nktqh"),
+                int(end["at_us"]), *(None if end[c] != end[c] else float(end[c]) for c in ("location_lat", "location_lon")),
             ))
+            self.silence.seen(int(end["at_us"]))
+            self._sweep(int(end["at_us"]))
         yield out
 
+    def _sweep(self, now_us: int) -> None:
+        """Once per ``keep_us``, drop the map entries that were not used for that long."""
+        if self.swept.exists() and now_us - self.swept.get()[0] < self.keep_us:
+            return
+        if self.swept.exists():
+            for seen in self.seen.values():
+                old = [k for k, (us,) in seen.iterator() if us < now_us - self.keep_us]
+                for k in old:
+                    seen.removeKey(k)
+        self.swept.update((now_us,))
+
+    def _first_time(self, rows: pd.DataFrame, column: str) -> np.ndarray:
+        """1 where a value stands for the first time; one look into the state per distinct value."""
+        flags = np.zeros(len(rows))
+        known, seen = rows[column].notna().to_numpy(), self.seen[column]
+        place = pd.Series(np.arange(len(rows)), index=rows.index)[known]
+        for value, at in place.groupby(rows[column][known]):
+            if not seen.containsKey((value,)):
+                flags[at.iloc[0]] = 1
+            seen.updateValue((value,), (int(rows["at_us"].iloc[at.iloc[-1]]),))
+        return flags
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.history.clear()
+        for seen in self.seen.values():
+            seen.clear()
+        self.swept.clear()
+        self.silence.over()
+        return iter([])
+
     def close(self) -> None:
         pass
 
 
-def _first_time(values: pd.Series, seen: set) -> list[int]:
-    flags = []
-    for v in values:
-        fresh = v is not None and v == v and v not in seen
-        if fresh:
-            seen.add(v)
-        flags.append(int(fresh))
-    return flags
-
+VELOCITY_FIELDS = [
+    "tx_count_1h", "tx_count_24h", "tx_amount_1h", "tx_amount_24h", "avg_amount_30d", "std_amount_30d", "amount_zscore",
+    "prev_lat", "prev_lon", "prev_us", "is_new_merchant", "is_new_device",
+]
 
-VELOCITY_SCHEMA = (
-    "transaction_id bigint, account_id bigint, late boolean, tx_count_1h double, tx_count_24h double, tx_amount_1h double, tx_amount_24h double, "
-    "avg_amount_30d double, std_amount_30d double, prev_lat double, prev_lon double, prev_us double, is_new_merchant double, is_new_device double"
-)
 
+def velocity_in_stream(stream: DataFrame, keep_days: float = 400, delay: str = "1 hour") -> DataFrame:
+    """Transactions with the history of their account as they arrive; an account silent for ``keep_days`` starts anew.
 
-def velocity_in_stream(stream: DataFrame) -> DataFrame:
-    """Account history features of each transaction as it arrives."""
-    rows = stream.select(
-        "account_id", "transaction_id", "amount", "merchant_id", "device_id", "location_lat", "location_lon",
-        epoch_seconds("ts").alias("at_second"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"),
+    A late transaction comes out marked, without history. Missing amounts count as transactions and as nothing else.
+    """
+    rows = with_clock(stream, "ts", delay, "account_id").withColumns(
+        {"at_second": epoch_seconds("ts"), "at_us": F.unix_micros(F.col("ts").cast("timestamp"))}
     )
-    return rows.groupBy("account_id").transformWithStateInPandas(_Velocity(), VELOCITY_SCHEMA, "append", "none")
+    schema = f"{_fields(stream)}, late boolean, " + ", ".join(f"{n} double" for n in VELOCITY_FIELDS)
+    return rows.groupBy("account_id").transformWithStateInPandas(_Velocity(int(keep_days * DAY * 1_000_000)), schema, "append", "eventTime")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeops.operators import fraud, idempotency, search, spatial
+from lakeops.operators import timeline as tl
 from lakeops.streaming import jobs, run, state
 
 T0 = datetime(2024, 1, 1)
@@ -74,14 +75,55 @@ def test_dedup(spark):
 
 def test_account_features(spark):
     rnd = random.Random(9)
-    rows = [(i, rnd.choice([1, 2]), rnd.choice(["m1", "m2", None]), "d", "POS", "PURCHASE", round(rnd.uniform(1, 90), 2), T0 + timedelta(minutes=20 * i), 46.0, 6.0 + rnd.random(), "CH") for i in range(240)]
+    rows = [(i, rnd.choice([1, 2]), rnd.choice(["m1", "m2", None]), "d", "POS", "PURCHASE", rnd.choice([None, 1e-6, 3e-6, 2e12, round(rnd.uniform(1, 90), 2), round(rnd.uniform(1, 90), 2)]), T0 + timedelta(minutes=20 * i), 46.0, 6.0 + rnd.random(), "CH") for i in range(240)]
     df = spark.createDataFrame(rows, "transaction_id bigint, account_id bigint, merchant_id string, device_id string, channel string, transaction_type string, amount double, ts timestamp_ntz, location_lat double, location_lon double, location_country string")
-    out = collect_stream(spark, three(df, "transaction_id"), state.velocity_in_stream, "t-velocity")
+    out = collect_stream(spark, three(df, "transaction_id"), jobs.fraud_vectors, "t-velocity")
     got = {r["transaction_id"]: r for r in out.collect()}
     for r in fraud.fraud_features(df).collect():
-        mine = got[r["transaction_id"]]
-        for name in ("tx_count_1h", "tx_count_24h", "tx_amount_1h", "tx_amount_24h", "avg_amount_30d", "std_amount_30d", "is_new_merchant", "is_new_device"):
-            assert mine[name] == pytest.approx(r[name], abs=1e-6), name
+        for name in fraud.FEATURES:
+            want, mine = r[name], got[r["transaction_id"]][name]
+            assert mine is None if want is None else mine == pytest.approx(want, rel=1e-9, abs=1e-12), name
+
+
+def test_silent_trucks_are_forgotten(spark, gps):
+    """A truck that is silent for a day starts anew; the others go on."""
+    later = gps.filter("truck_id = 0 AND seq >= 200").limit(1).withColumn("ts", F.expr("ts + INTERVAL 30 HOURS"))
+    clock = gps.filter("truck_id = 1").limit(1).withColumns({"ts": F.expr("ts + INTERVAL 29 HOURS"), "seq": F.lit(1000).cast("bigint")})
+    build = lambda s: state.previous_in_stream(s, "truck_id", "ts", "seq", {"seq": "before"}, keep_days=1)
+    quiet = gps.filter("seq < 120")
+    out = collect_stream(spark, [quiet, clock, later.unionByName(clock.withColumn("seq", F.lit(1001).cast("bigint")))], build, "t-silent")
+    rows = {(r["truck_id"], r["seq"]): r for r in out.collect()}
+    again = next(r for (truck, seq), r in rows.items() if truck == 0 and seq >= 200)
+    assert again["before"] is None and not again["late"]
+    assert rows[1, 1001]["before"] == 1000
+
+
+def test_trips_lose_nothing(spark, gps):
+    """Windows of two hours with a slice that comes too late: every fix is in a window or comes out as late."""
+    early, late = gps.filter("seq < 160"), gps.filter("seq >= 60 AND seq < 90")
+    parts = [early.join(late, "seq", "left_anti").select(gps.columns), gps.filter("seq >= 160"), late, run.closing_row(gps, "ts", "1 DAY")]
+    out = collect_stream(spark, parts, lambda s: jobs.trip_windows(s, 7200, "10 minutes"), "t-trips")
+    trips, missed = jobs.trips_of(out), jobs.late_fixes_of(out)
+    assert {r["seq"] for r in missed.collect()} == set(range(60, 90))
+    assert trips.agg(F.sum("coordinates_count")).first()[0] == 210
+    on_time = gps.join(late, "seq", "left_anti").select(gps.columns)
+    want = {(r["truck_id"], str(r["window_start"])): r for r in spatial.trip_aggregate(
+        spatial.segments_of(tl.previous_row(on_time, ["truck_id"], ["ts", "seq"], {"latitude": "_lat", "longitude": "_lon", "ts": "_ts"})),
+        ["truck_id", F.window(F.col("ts").cast("timestamp"), "2 hours")["start"].cast("timestamp_ntz").alias("window_start")],
+    ).collect()}
+    got = {(r["truck_id"], str(r["window_start"])): r for r in trips.collect()}
+    assert got.keys() == want.keys()
+    for k, r in want.items():
+        for name in ("total_distance_km", "average_speed_kmh", "max_speed_kmh", "idle_time_minutes", "coordinates_count"):
+            assert got[k][name] == pytest.approx(r[name]), name
+
+
+def test_late_repeats_are_judged_too(spark):
+    """Rows far behind the clock come out of the idempotency rule like all others."""
+    rows = [(i, f"k{i % 3}", T0 + timedelta(days=i), False) for i in range(30)]
+    df = spark.createDataFrame(rows, "id bigint, key string, ts timestamp_ntz, failed boolean")
+    out = collect_stream(spark, [df.filter("id >= 20"), df.filter("id < 20")], lambda s: state.accept_once_in_stream(s, "key", "ts", "id", F.col("failed")), "t-behind")
+    assert sorted(r["id"] for r in out.collect()) == list(range(30))
 
 
 def test_failed_batches_stop_the_stream(spark, gps):
