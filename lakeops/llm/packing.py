@@ -16,19 +16,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.llm.common import Numbered, ranges_of, written
+from lakeops.llm.common import Numbered, ranges_of, slices, written
 
 #: Items that one task packs.
 ITEMS_PER_TASK = 40_000
-#: Words that a Python worker remembers; when full, the memory starts anew.
-REMEMBERED = 300_000
+#: Words, and bytes of words, that a Python worker remembers; when full, the memory starts anew.
+REMEMBERED, REMEMBERED_BYTES = 300_000, 8 << 20
+#: Bytes of text that are encoded at once.
+TEXT_BYTES = 2 << 20
 #: Fixed value: how the word-level vocabulary cuts lower-cased text.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-#: Characters for which cutting at white space is surely what the tokenizer file does; other texts go to the library whole.
+#: Characters for which cutting at white space is surely what the tokenizer file does; other texts go to the library whole
+#: and are not remembered.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ſ]").search
 
 
@@ -48,7 +51,7 @@ class TextIds:
         self.forget()
 
     def forget(self) -> None:
-        self.words, self.pre_tokens = Numbered(), Numbered()
+        self.words, self.pre_tokens, self.bytes = Numbered(), Numbered(), 0
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pre_starts, self.pre_sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.pre_pool = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
@@ -65,13 +68,10 @@ class TextIds:
         """Ids of the words that have not been met before, by way of their pre-tokens."""
         found: list[int] = []
         many: list[int] = []
-        whole: list[tuple[int, str]] = []
         number = self.pre_tokens.__getitem__
         for word in self.words.taken():
-            if isinstance(word, tuple):
-                whole.append((len(many), word[0]))
-                many.append(0)
-            elif word.isalpha():
+            self.bytes += len(word)
+            if word.isalpha():
                 found.append(number(word))
                 many.append(1)
             else:
@@ -90,25 +90,19 @@ class TextIds:
         index = np.array(found, np.int64)
         sizes = self.pre_sizes[index]
         flat = self.pre_pool[np.repeat(self.pre_starts[index], sizes) + ranges_of(sizes)]
-        totals = np.diff(np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(many)]])
-        if whole:
-            cut = np.split(flat, np.cumsum(totals)[:-1])
-            for place, text in whole:
-                cut[place] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-                totals[place] = len(cut[place])
-            flat = np.concatenate(cut)
-        self.add(flat, totals)
+        self.add(flat, np.diff(np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(many)]]))
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by the end id, and the number of ids of each text."""
-        if len(self.words) > REMEMBERED or len(self.pre_tokens) > REMEMBERED:
+        if len(self.words) > REMEMBERED or len(self.pre_tokens) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self.forget()
         index: list[int] = []
         ends = []
+        odd: list[int] = []
         number = self.words.__getitem__
-        for text in texts:
+        for i, text in enumerate(texts):
             if _UNUSUAL(text) or self.special(text):
-                index.append(number((text,)))
+                odd.append(i)
             else:
                 index.extend(map(number, text.lower().split()))
             index.append(0)
@@ -117,7 +111,14 @@ class TextIds:
         numbers = np.array(index, np.int64)
         sizes = self.sizes[numbers]
         flat = self.pool[np.repeat(self.starts[numbers], sizes) + ranges_of(sizes)]
-        return flat, np.diff(np.r_[0, np.r_[0, np.cumsum(sizes)][ends]])
+        totals = np.diff(np.r_[0, np.r_[0, np.cumsum(sizes)][ends]])
+        if odd:
+            found = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False)]
+            many = np.fromiter(map(len, found), np.int64, len(found))
+            begins = (np.cumsum(totals) - totals)[odd]
+            flat = np.insert(flat, np.repeat(begins, many), np.concatenate(found))
+            totals[odd] += many
+        return flat, totals
 
 
 _READERS: dict[tuple[str, int], TextIds] = {}
@@ -143,8 +144,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _reader(spec.value, end_id)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
+            for part in slices(batch, "text", TEXT_BYTES):
                 flat, sizes = reader.ids(part.column("text").to_pylist())
                 many = -(-sizes // capacity)
                 piece = ranges_of(many)
@@ -259,3 +259,23 @@ def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_
     longer than ``capacity`` are cut. An empty table gives no rows.
     """
     return pack(pieces(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids), capacity)
+
+
+def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(sequence_id, n_tokens, ids): the sequences themselves, as little-endian unsigned 32-bit ids, from the documents and
+    where ``best_fit_packing`` has put their pieces.
+
+    Ids are made again instead of travelling through the rounds of packing. Pieces that repeat (equal id, number and ids) take
+    their places one by one, in any order, as they are equal.
+    """
+    key = ["doc_id", "piece", "ids_crc32"]
+    again = Window.partitionBy(*key).orderBy("length")
+    cut = pieces(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids=True).withColumn("turn", F.row_number().over(again))
+    placed = packed.withColumn("turn", F.row_number().over(Window.partitionBy(*key).orderBy("sequence_id", "offset")))
+    placed = placed.select(*(F.col(c).alias(f"at_{c}") for c in (*key, "turn")), "sequence_id", "offset")
+    same = F.lit(True)
+    for c in (*key, "turn"):
+        same = same & F.col(c).eqNullSafe(F.col(f"at_{c}"))
+    rows = cut.join(placed, same).groupBy("sequence_id").agg(F.sum("length").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("held"))
+    whole = F.aggregate("held", F.lit(b""), lambda found, x: F.concat(found, x["ids"]))
+    return rows.select("sequence_id", "n_tokens", whole.alias("ids"))

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from lakeops.llm import packing
 from lakeops.llm.packing import best_fit, best_fit_packing, pack
 from lakeops.llm.token_counts import token_counts
 
@@ -70,3 +71,34 @@ def test_short_pieces_fill_nearly_full_sequences(spark):
 def test_best_fit_prefers_the_fullest_bin():
     assert best_fit(np.array([60, 50, 40, 50]), 100) == [[0, 2], [1, 3]]
     assert best_fit(np.zeros(0, np.int64), 100) == []
+
+
+def test_odd_texts_are_not_remembered():
+    """Texts with other characters give the library's ids and leave nothing behind."""
+    with open(WORDS, encoding="utf-8") as f:
+        reader = packing.TextIds(f.read(), 0)
+    library = Tokenizer.from_file(WORDS)
+    texts = [f"it’s text {i} — Ωμέγα 中文 <|endoftext|> plain" if i % 3 else f"plain words {i}" for i in range(200)] + ["", "’", "a"]
+    flat, sizes = reader.ids(texts)
+    want = [[*e.ids, 0] for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == [len(x) for x in want] and flat.tolist() == [i for x in want for i in x]
+    assert len(reader.words) < 100 and reader.bytes < 1000
+    reader.ids([" ".join(f"w{i}" + "x" * 500 for i in range(packing.REMEMBERED_BYTES // 500 + 10))])
+    assert reader.bytes > packing.REMEMBERED_BYTES
+    flat, sizes = reader.ids(texts)
+    assert flat.tolist() == [i for x in want for i in x] and reader.bytes < 1000
+
+
+def test_sequences_hold_their_pieces(spark):
+    rows = [*TEXTS, *odd_texts()[:300]]
+    library = Tokenizer.from_file(WORDS)
+    packed = best_fit_packing(documents(spark, rows), WORDS)
+    places = packed.collect()
+    built = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in packing.sequences(documents(spark, rows), packed, WORDS).collect()}
+    ids = {}
+    for (i, _), e in zip(rows, library.encode_batch([t or "" for _, t in rows], add_special_tokens=False), strict=True):
+        ids.setdefault(i, []).append([*e.ids, 0])
+    assert sum(map(len, built.values())) == sum(len(x) for found in ids.values() for x in found)
+    for r in places:
+        part = built[r.sequence_id][r.offset:r.offset + r.length].tolist()
+        assert len(part) == r.length and any(x[r.start:r.start + r.length] == part for x in ids[r.doc_id])
