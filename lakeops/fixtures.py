@@ -75,7 +75,8 @@ SELECT p_partkey AS content_id, p_brand AS genre, p_type AS rating, p_size AS du
 SELECT o_orderkey AS job_execution_id, concat('/p', CAST(CAST(floor((o_orderkey - 1) / 2.0) AS BIGINT) AS VARCHAR(20)), '/') AS input_path,
  concat('/p', CAST(o_orderkey AS VARCHAR(20)), '/') AS output_path, o_orderdate AS start_time FROM {orders}""",
     "v_invocations": """
-SELECT event_id, ts, CASE WHEN event_id % 10 = 0 THEN 'canary' ELSE 'production' END AS variant_name, value * CAST(1000 AS DOUBLE) AS model_latency_us, CASE WHEN event_id % 50 = 0 THEN 500 WHEN event_id % 70 = 0 THEN 404 ELSE 200 END AS status_code FROM {events}""",
+SELECT event_id, ts, CASE WHEN event_id % 10 = 0 THEN 'canary' ELSE 'production' END AS variant_name, value * CAST(1000 AS DOUBLE) AS model_latency_us, CASE WHEN event_id % 31 = 0 THEN NULL ELSE value * CAST(40 AS DOUBLE) END AS overhead_latency_us,
+ CAST(event_id * 7 % 101 AS DOUBLE) AS cpu_utilization, CAST(event_id * 3 % 97 AS DOUBLE) AS memory_utilization, CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST(event_id % 83 AS DOUBLE) END AS disk_utilization, CASE WHEN event_id % 50 = 0 THEN 500 WHEN event_id % 70 = 0 THEN 404 ELSE 200 END AS status_code FROM {events}""",
     "v_events_lake": """
 SELECT CAST(event_id AS VARCHAR(20)) AS event_id, ts, event_type, CASE WHEN event_id % 101 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR(20)) END AS user_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE concat('s', CAST(user_id AS VARCHAR(10)), '-', CAST(event_id % 4 AS VARCHAR(3))) END AS session_id, props,
  CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN 'US' WHEN 2 THEN 'CH' ELSE 'DE' END AS geo_country, concat('city', CAST(user_id % 40 AS VARCHAR(5))) AS geo_city FROM {events}""",

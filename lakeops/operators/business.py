@@ -437,10 +437,12 @@ def with_codes(df: DataFrame, column: str) -> DataFrame:
     return df.join(codes, column, "left").withColumn(f"{column}_encoded", F.coalesce(f"{column}_encoded", F.lit(-1)))
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None) -> DataFrame:
-    """One 0/1 column per category: the given ones, or all that occur (they become column names, so they are few)."""
+def one_hot(df: DataFrame, column: str, values: Sequence[str] | None = None, most: int = 1000) -> DataFrame:
+    """One 0/1 column per category: the given ones, or all that occur; more than ``most`` are refused, as they become columns."""
     if values is None:
-        values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
+        values = sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect())
+        if len(values) > most:
+            raise ValueError(f"{column} has more than {most} categories")
     return df.withColumns({f"{column}_{v}": F.coalesce(F.col(column) == v, F.lit(False)).cast("int") for v in values})
 
 

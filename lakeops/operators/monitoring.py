@@ -13,13 +13,16 @@ from lakeops.operators.ranks import exact_percentiles
 from lakeops.operators.timeline import join_null_safe
 
 
-def variant_metrics(df: DataFrame, group: Sequence[str], latency: str = "model_latency_us") -> DataFrame:
-    """Counts, error rate and exact latency percentiles (microseconds in, milliseconds out)."""
+def variant_metrics(df: DataFrame, group: Sequence[str], latency: str = "model_latency_us", overhead: str | None = None, utilization: Sequence[str] = ()) -> DataFrame:
+    """Counts, error rate, exact latency percentiles and, if asked, the mean overhead latency (microseconds in, milliseconds
+    out) and the mean of each utilisation column; a mean without values is 0."""
     code = F.col("status_code")
+    means = [F.coalesce(F.avg(overhead) / 1000, F.lit(0.0)).alias("overhead_latency_ms")] if overhead else []
+    means += [F.coalesce(F.avg(u), F.lit(0.0)).alias(u) for u in utilization]
     counts = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("invocation_count"),
         F.count_if(code.between(400, 499)).alias("errors_4xx"),
-        F.count_if(code >= 500).alias("errors_5xx"),
+        F.count_if(code >= 500).alias("errors_5xx"), *means,
     )
     points = {"latency_p50_ms": 0.5, "latency_p90_ms": 0.9, "latency_p99_ms": 0.99}
     latencies = exact_percentiles(df, group, latency, points)

@@ -48,7 +48,13 @@ def with_sums_below(counts: DataFrame, keys: Sequence[str], value: str, names: S
     are cut into ranges of about ``PER_RANGE`` rows of ``counts``, each range is summed up in its own group, and the totals
     of the lower ranges are added.
     """
-    tagged = _range_id(counts, value, ranges or max(1, -(-counts.count() // PER_RANGE)))
+    ranges = ranges or max(1, -(-counts.count() // PER_RANGE))
+    if ranges == 1:  # few enough for one group per key
+        whole = Window.partitionBy(*(keys or [F.lit(0)]))
+        before = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+        below = {f"below_{n}": F.coalesce(F.sum(n).over(before), F.lit(0)) for n in names}
+        return counts.withColumns(below | {f"total_{n}": F.sum(n).over(whole) for n in names})
+    tagged = _range_id(counts, value, ranges)
     sums = tagged.groupBy(*keys, "_range").agg(*[F.sum(n).alias(f"_sum_{n}") for n in names])
     group = list(keys) or [F.lit(0)]
     lower = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

@@ -56,7 +56,9 @@ def geo_distribution(df: DataFrame, limit: int = 50) -> DataFrame:
 
 
 def hourly_trends(df: DataFrame, day: str | None = None) -> DataFrame:
-    rows = df if day is None else df.filter(F.to_date("ts") == F.lit(day).cast("date"))
+    """Events per hour and type, of one day or of all; a day is a half-open range of times, which reaches the scan."""
+    begin = None if day is None else F.to_timestamp_ntz(F.lit(day))
+    rows = df if begin is None else df.filter((F.col("ts") >= begin) & (F.col("ts") < begin + F.expr("INTERVAL 1 DAY")))
     return rows.groupBy(F.date_format("ts", "HH").alias("hour"), "event_type").agg(
         F.count(F.lit(1)).alias("event_count")
     ).orderBy("hour", F.desc("event_count"), "event_type")

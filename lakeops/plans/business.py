@@ -388,6 +388,18 @@ def variant_metrics(lake):
     return rounded(monitoring.variant_metrics(lake("v_invocations"), ["variant_name"]), VM_ROUNDED)
 
 
+MEANS = ("overhead_latency_ms", "cpu_utilization", "memory_utilization", "disk_utilization")
+
+
+@query("variant_resources", f"""WITH {VARIANT_SQL}, u AS (SELECT variant_name, coalesce(avg(overhead_latency_us) / 1000, 0.0) AS overhead_latency_ms, coalesce(avg(cpu_utilization), 0.0) AS cpu_utilization,
+ coalesce(avg(memory_utilization), 0.0) AS memory_utilization, coalesce(avg(disk_utilization), 0.0) AS disk_utilization FROM v_invocations GROUP BY variant_name)
+SELECT vm.* REPLACE ({', '.join(f'round({n}, 6) AS {n}' for n in VM_ROUNDED)}), {', '.join(f'round({n}, 6) AS {n}' for n in MEANS)} FROM vm JOIN u USING (variant_name)""")
+def variant_resources(lake):
+    """All measures of a variant, with the means of its overhead and of what it uses."""
+    out = monitoring.variant_metrics(lake("v_invocations"), ["variant_name"], overhead="overhead_latency_us", utilization=MEANS[1:])
+    return rounded(out, [*VM_ROUNDED, *MEANS])
+
+
 @query("variant_metrics_daily", f"""SELECT variant_name, CAST(ts AS DATE) AS day, count(*) AS invocation_count, round(quantile_cont(model_latency_us, 0.5) / 1000, 6) AS latency_p50_ms, round(quantile_cont(model_latency_us, 0.99) / 1000, 6) AS latency_p99_ms FROM v_invocations GROUP BY ALL""")
 def variant_metrics_daily(lake):
     daily = lake("v_invocations").withColumn("day", F.to_date("ts"))
@@ -603,11 +615,11 @@ USER_SQL = f"""{GENRE_SQL}, uf AS (SELECT user_id, CAST(sum(watch_time) AS DOUBL
 AS_OF = "2024-01-31"
 
 
-@query("user_features", f"""WITH {USER_SQL} SELECT user_id, round(total_watch_time, 6) AS total_watch_time, round(total_watch_time / num_sessions, 6) AS avg_watch_time, num_sessions, round(avg_completion_rate, 6) AS avg_completion_rate, num_unique_content,
+@query("user_features", f"""WITH {USER_SQL} SELECT user_id, round(total_watch_time, 6) AS total_watch_time, round(total_watch_time / num_sessions, 6) AS avg_watch_time, num_sessions, round(round(avg_completion_rate, 10), 6) AS avg_completion_rate, num_unique_content,
  first_activity, last_activity, date_sub('day', last_activity, TIMESTAMP '2024-01-31') AS recency_days, round(num_sessions / 30.0, 6) AS sessions_per_day, round(coalesce(genre_diversity, 0.0), 6) AS genre_diversity FROM uf LEFT JOIN en USING (user_id)""")
 def user_features(lake):
     out = biz.user_features(lake("v_views"), lake("v_content"), AS_OF)
-    return rounded(out, ["total_watch_time", "avg_watch_time", "avg_completion_rate", "sessions_per_day", "genre_diversity"])
+    return rounded(rounded(out, ["avg_completion_rate"], 10), ["total_watch_time", "avg_watch_time", "avg_completion_rate", "sessions_per_day", "genre_diversity"])
 
 
 CONTENT_SQL = """pi AS (SELECT content_id, count(DISTINCT user_id) AS unique_viewers, CAST(sum(watch_time) AS DOUBLE) AS total_watch_time, CAST(sum(completion_rate) AS DOUBLE) / count(*) AS avg_completion_rate FROM v_views GROUP BY content_id),
@@ -615,10 +627,10 @@ cf AS (SELECT c.*, unique_viewers, total_watch_time, coalesce(avg_completion_rat
  CAST(date_diff('day', CAST(release_date AS DATE), DATE '2024-01-31') AS INTEGER) AS release_recency_days, CAST(dense_rank() OVER (ORDER BY genre) - 1 AS INTEGER) AS genre_encoded, CAST(dense_rank() OVER (ORDER BY rating) - 1 AS INTEGER) AS rating_encoded FROM v_content c LEFT JOIN pi USING (content_id))"""
 
 
-@query("content_features", f"""WITH {CONTENT_SQL} SELECT content_id, genre_encoded, rating_encoded, duration_minutes, unique_viewers, round(total_watch_time, 6) AS total_watch_time, round(avg_completion_rate, 6) AS avg_completion_rate, round(popularity_score, 6) AS popularity_score, release_recency_days FROM cf""")
+@query("content_features", f"""WITH {CONTENT_SQL} SELECT content_id, genre_encoded, rating_encoded, duration_minutes, unique_viewers, round(total_watch_time, 6) AS total_watch_time, round(round(avg_completion_rate, 10), 6) AS avg_completion_rate, round(popularity_score, 6) AS popularity_score, release_recency_days FROM cf""")
 def content_features(lake):
     out = biz.content_features(lake("v_content"), lake("v_views"), AS_OF).drop("genre", "rating", "release_date")
-    return rounded(out, ["total_watch_time", "avg_completion_rate", "popularity_score"])
+    return rounded(rounded(out, ["avg_completion_rate"], 10), ["total_watch_time", "avg_completion_rate", "popularity_score"])
 
 
 @query("genre_one_hot", "SELECT content_id, g.genre AS name, CAST(coalesce(c.genre = g.genre, FALSE) AS INTEGER) AS flag FROM v_content c, (SELECT DISTINCT genre FROM v_content WHERE genre IS NOT NULL) g")
@@ -629,12 +641,12 @@ def genre_one_hot(lake):
 
 
 @query("interaction_features", f"""WITH {USER_SQL}, {CONTENT_SQL}
-SELECT v.event_id, v.user_id, v.content_id, round(v.completion_rate, 6) AS completion_rate, round(u.total_watch_time, 6) AS total_watch_time, round(u.avg_completion_rate, 6) AS avg_completion_rate_user, round(coalesce(en.genre_diversity, 0.0), 6) AS genre_diversity,
+SELECT v.event_id, v.user_id, v.content_id, round(v.completion_rate, 6) AS completion_rate, round(u.total_watch_time, 6) AS total_watch_time, round(round(u.avg_completion_rate, 10), 6) AS avg_completion_rate_user, round(coalesce(en.genre_diversity, 0.0), 6) AS genre_diversity,
  date_sub('day', last_activity, TIMESTAMP '2024-01-31') AS recency_days, round(popularity_score, 6) AS popularity_score, duration_minutes, genre_encoded, rating_encoded, round(coalesce(share, 0.0), 6) AS user_genre_affinity
 FROM v_views v LEFT JOIN uf u ON u.user_id = v.user_id LEFT JOIN en ON en.user_id = v.user_id LEFT JOIN cf ON cf.content_id = v.content_id LEFT JOIN sh ON sh.user_id = v.user_id AND sh.genre = cf.genre""")
 def interaction_features(lake):
     out = interactions(lake)
-    return rounded(out, ["completion_rate", "total_watch_time", "avg_completion_rate_user", "genre_diversity", "popularity_score", "user_genre_affinity"])
+    return rounded(rounded(out, ["avg_completion_rate_user"], 10), ["completion_rate", "total_watch_time", "avg_completion_rate_user", "genre_diversity", "popularity_score", "user_genre_affinity"])
 
 
 def interactions(lake):

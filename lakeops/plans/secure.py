@@ -291,7 +291,7 @@ SELECT transaction_id, left(tok, 16) AS account_id, list_sum(list_transform(edge
 )
 def secure_ml_table(lake):
     txns = lake("v_txn").withColumn("mcc", F.expr(TXN_MCC))
-    table = secure_etl.secure_ml_table(txns, SECRET, {"account_id": {"method": "deterministic"}}, binning.merchant_categories(lake.spark))
+    table = secure_etl.secure_ml_table(txns, SECRET, {"account_id": {"method": "deterministic"}}, binning.merchant_categories(lake.spark), digits=9)
     path = fresh_dir(lake.spark, "secure-table")
     secure_etl.write_with_lineage(table, [lake.path("events")], path, "secure_etl", "2024-02-01")
     out = lake.spark.read.schema(table.schema).parquet(path).select(

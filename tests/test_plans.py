@@ -13,7 +13,7 @@ from .conftest import SF
 
 # text hashing, chunking and embedding models run in Arrow workers; everything else stays in the JVM
 PYTHON = {"chunk_documents", "embed_chunks", "isolation_scores", "knn_exact", "knn_filtered", "knn_chunks", "knn_lsh", "knn_lsh_recall", "retrieval_context", "batch_predict"}
-EAGER = {"catalog_partitions", "run_metrics", "doc_classifier", "fraud_scores", "engagement_model", "lineage_downstream", "secure_ml_table", "lineage_lists", "knn_ivf", "knn_ivf_recall", "alerts_put"}
+EAGER = {"catalog_partitions", "run_metrics", "doc_classifier", "fraud_scores", "engagement_model", "lineage_downstream", "secure_ml_table", "lineage_lists", "knn_ivf", "knn_ivf_recall", "alerts_put", "fraud_models"}
 
 
 def plan(df) -> str:
