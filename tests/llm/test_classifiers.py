@@ -1,5 +1,6 @@
 """Toxicity and quality."""
 
+import itertools
 import random
 import zlib
 
@@ -136,3 +137,40 @@ def test_held_out_rows_of_the_smoke_tables(spark):
     truth = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     rows = [r for r in queries.QUERIES["op10_quality"](spark, SF).collect() if r.held_out and r.doc_id in truth]
     assert np.mean([r.predicted == truth[r.doc_id].quality for r in rows]) > 0.85
+
+
+def test_decoding_against_all_readings():
+    """The decoder's spelling is one of the cheapest among all paths through short lattices."""
+    rng = random.Random(12)
+    restorer = Restorer(trigrams_of(["idiot", "moron", "ass", "code", "bad", "toad", "sat"] * 20))
+
+    def price(text, extra):
+        x, y, total = 0, 0, extra
+        for c in text + " ":
+            z = int(_SYMBOL[ord(c)])
+            total += restorer.cost[x, y, z]
+            x, y = (0, 0) if z == 0 else (y, z)
+        return total
+
+    for _ in range(120):
+        word = "".join(rng.choice("aiosdt0134@$!-.") * rng.choice([1, 1, 1, 3]) for _ in range(rng.randint(1, 6)))
+        places = restorer.readings(word.encode())
+        paths = {}
+        for path in itertools.product(*places):
+            text = "".join(t for t, _ in path)
+            paths[text] = min(paths.get(text, np.inf), price(text, sum(c for _, c in path)))
+        best = min(paths.values())
+        got = restorer.viterbi(places).decode()
+        assert min(p for t, p in paths.items() if t.strip() == got) == pytest.approx(best), word
+
+
+def test_lexicon_counts_against_plain_python(spark):
+    """Every labelled row teaches once, and rows that are held out teach nothing."""
+    texts, marks = corpus(60)
+    docs = documents(spark, texts)
+    scored = {r.doc_id: (r.held_out, r.score) for r in toxicity_scores(docs, labels(spark, marks)).collect()}
+    held = [i for i, _ in texts if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert sorted(i for i, (h, _) in scored.items() if h) == held
+    other = [(i, q, 1 - t) if i in held else (i, q, t) for i, q, t in marks]
+    again = {r.doc_id: r.score for r in toxicity_scores(docs, labels(spark, other)).collect()}
+    assert all(again[i] == pytest.approx(s) for i, (_, s) in scored.items())
