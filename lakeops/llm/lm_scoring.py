@@ -7,7 +7,8 @@ classes, one batched matrix product, and a sum over the classes give exactly nor
 a word has its share of the counts, with one added to each and one for all unseen words, so the whole sums to one.
 
 Word counts are never gathered in one place: every text sends the hashes of its rarer words to hash ranges, each range
-counts its words over the training texts and sends back one sum per text.
+counts its words over the training texts and sends back one sum per text. Words that would make a large part of a range by
+themselves are looked up where the texts are read; there are a few per range at most.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from lakeops.llm.common import fold, give_back, raw_bytes, row_key, slices, word
 
 HOT_WORDS, ENDINGS = 100, 26
 CLASSES = 1 + HOT_WORDS + ENDINGS + 1
-#: Rare words that one range counts.
+#: Rare words that one range counts; a word with a quarter of them is not sent to a range.
 WORDS_PER_RANGE = 1_500_000
 _LOWER = np.arange(256, dtype=np.int64)
 _LOWER[65:91] += 32
@@ -117,13 +118,15 @@ def noise_contrastive(cells: np.ndarray, counts: np.ndarray, size: int = 24, noi
 
 @dataclass
 class Scorer:
-    """What every task needs to score a text, all of fixed size."""
+    """What every task needs to score a text; of fixed size but for the common words, of which there are a few per range."""
 
     classes: Classes
     table: np.ndarray  # log10 probability of a class after two classes
     single: np.ndarray  # per class: log10 of (count + 1) / everything, for classes of one word
     within: np.ndarray  # per class: log10 of (words + distinct words + 1), 0 for classes of one word
     everything: float  # log10 of N + V + 1
+    common: np.ndarray  # sorted hashes of words too common for a range
+    common_gain: np.ndarray  # log10 of (count + 1) for each of them
 
 
 def parsed(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -207,7 +210,7 @@ def triples(docs: DataFrame, classes: Classes) -> DataFrame:
 
 
 def learn(training: DataFrame) -> tuple[Scorer, int, int]:
-    """Scorer, number of tokens and number of rare words in the training texts (``text``)."""
+    """Scorer, number of tokens and number of rare words sent to ranges in the training texts (``text``)."""
     texts = training.count()
     counts = written(word_counts(training), "words")
     hot = counts.orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()
@@ -234,7 +237,10 @@ def learn(training: DataFrame) -> tuple[Scorer, int, int]:
         single[1 + k] = np.log10(r["n"] + 1) - everything
     counted = triples(training, classes).toArrow()
     model = noise_contrastive(counted.column("cell").to_numpy(), counted.column("n").to_numpy())
-    return Scorer(classes, model.log10_probabilities().ravel(), single, within, everything), n, rare_words
+    # at most rare_words / (WORDS_PER_RANGE / 4) rows, four for each range
+    frequent = sorted((r["word"] & (1 << 64) - 1, r["n"]) for r in rare.where(F.col("n") > WORDS_PER_RANGE // 4).select("word", "n").collect())
+    common, often = np.array([w for w, _ in frequent], np.uint64), np.array([k for _, k in frequent], np.float64)
+    return Scorer(classes, model.log10_probabilities().ravel(), single, within, everything, common, np.log10(often + 1)), n, rare_words - int(often.sum())
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held_out: int = 2) -> DataFrame:
@@ -269,6 +275,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
                 score = np.bincount(doc, chance - s.within[cls], len(keys))
                 known = np.bincount(doc, one_word & ((cls > 0) | trained_texts), len(keys))
                 rare = ~one_word
+                if len(s.common):
+                    at = np.minimum(np.searchsorted(s.common, hashes), len(s.common) - 1)
+                    found = rare & (s.common[at] == hashes)
+                    gain = np.bincount(doc[found], s.common_gain[at[found]], len(keys))
+                    base, score, known = base + gain, score + gain, known + np.bincount(doc[found], minlength=len(keys))
+                    rare &= ~found
                 where = (hashes[rare] % np.uint64(ranges)).astype(np.int64)
                 order = np.argsort(where, kind="stable")
                 owner, codes = doc[rare][order], hashes[rare][order]
