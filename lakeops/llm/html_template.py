@@ -50,14 +50,19 @@ _MARK = re.compile(
 _HEADING = re.compile(r"\b(?:entry|post|article|story|content|section)[-_]?header\b")
 #: Token that stands for a page itself; depth of the outer tags; share of its text that the template leaves every page.
 PAGE, OUTER, OWN = 0, 3, 0.2
+#: Bytes of templates up to which every task gets all of them; larger ones travel by a join.
+TEMPLATE_BYTES = 16 << 20
 _ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
 
 class Node:
-    __slots__ = ("name", "path", "hidden", "beside", "core")
+    """An open element; ``path`` is a code of the tags above it and its own, ``block`` the nearest element that is no inline one."""
 
-    def __init__(self, name: str, path: str, hidden: bool, beside: bool, core: bool):
+    __slots__ = ("name", "path", "hidden", "beside", "core", "block")
+
+    def __init__(self, name: str, path: int, hidden: bool, beside: bool, core: bool, above: Node | None = None):
         self.name, self.path, self.hidden, self.beside, self.core = name, path, hidden, beside, core
+        self.block = above.block if above is not None and name in _INLINE else self
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -76,15 +81,18 @@ def _meaning(name: str, attributes: str) -> tuple[str, bool, bool, bool]:
     return label, core, name in _BESIDE or role in _ROLE or named, hidden
 
 
-def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
-    """Text blocks as (path, text, beside, core) in page order, and the paths of all tags.
+def blocks(page: str) -> tuple[list[tuple[int, str, bool, bool]], list[int], set[int]]:
+    """Text blocks as (path, text, beside, core) in page order, the paths of all tags, and those of the outer block tags.
 
-    Unclosed elements end as browsers end them: a block tag ends an open paragraph, an end tag closes what is open inside
+    The time is linear in the page however deep its tags nest: a path is a code made of the path above it, and the places
+    of open elements are kept by name. Unclosed elements end as browsers end them: a block tag ends an open paragraph, an end tag closes what is open inside
     its element, an end tag without a start is ignored, and the end of a cut page closes everything.
     """
-    stack = [Node("", "", False, False, False)]
-    out: list[tuple[str, str, bool, bool]] = []
-    tags: list[str] = []
+    stack = [Node("", 0, False, False, False)]
+    places: dict[str, list[int]] = {}  # where elements of a name are open
+    out: list[tuple[int, str, bool, bool]] = []
+    tags: list[int] = []
+    outer: set[int] = set()
     parts: list[str] = []
     owner = stack[0]
 
@@ -100,14 +108,20 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
         nonlocal owner
         if raw and not stack[-1].hidden:
             if not parts:
-                owner = next(n for n in reversed(stack) if n.name not in _INLINE)
+                owner = stack[-1].block
             parts.append(html_entities.unescape(raw) if "&" in raw else raw)
 
     def close(depth: int) -> None:
         if any(n.name not in _INLINE and n.name not in _HIDDEN for n in stack[depth:]):
             flush()
+        for node in stack[depth:]:
+            places[node.name].pop()
         del stack[depth:]
 
+    def last(*names: str) -> int:
+        """Place of the innermost open element of these names; 0 if none is open."""
+        return max((places[x][-1] for x in names if places.get(x)), default=0)
+
     at, n = 0, len(page)
     while at < n:
         left = page.find("<", at)
@@ -126,7 +140,7 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
         if not name:
             continue
         if page.startswith("</", m.start()):
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
+            depth = last(name)
             if depth:
                 close(depth)
             elif name == "p":
@@ -135,19 +149,14 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
         if name == "br":
             add(" ")
             continue
-        if name in _ENDS_P and (stack[-1].name == "p" or any(n.name == "p" for n in stack)):
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == "p"), 0)
-            if depth:
-                close(depth)
+        if name in _ENDS_P and last("p"):
+            close(last("p"))
         if name in ("li", "tr", "td", "th", "dt", "dd", "option"):
             same = {"td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd")}.get(name, (name,))
             bound = {"li": ("ul", "ol", "menu"), "option": ("select",)}.get(name, ("table", "dl", "tr") if name in ("td", "th") else ("table", "dl"))
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name in bound:
-                    break
-                if stack[i].name in same:
-                    close(i)
-                    break
+            depth = last(*same)
+            if depth > last(*bound):
+                close(depth)
         if name not in _INLINE and name not in _HIDDEN:
             flush()
         label, is_core, is_beside, is_hidden = _meaning(name, m.group(2))
@@ -156,23 +165,29 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
         # Headings and bylines in a header inside the article belong to it.
         beside = top.beside or (is_beside and not (name == "header" and top.core))
         hidden = top.hidden or is_hidden
-        path = f"{top.path}/{name}" + (f".{label}" if label else "")
+        path = token_code(f"{top.path:x}/{name}" + (f".{label}" if label else ""))
         tags.append(path)
+        if len(stack) <= OUTER and name not in _INLINE and name not in _HIDDEN and name not in _VOID:
+            outer.add(path)
         if name in _VOID or m.group(0).endswith("/>") and name not in _RAW:
             continue
         if name in _RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)", re.I).search(page, at)
             at = page.find(">", end.start()) + 1 or n if end else n
             continue
-        stack.append(Node(name, path, hidden, beside, core))
+        places.setdefault(name, []).append(len(stack))
+        stack.append(Node(name, path, hidden, beside, core, top))
     flush()
-    return out, tags
+    return out, tags, outer
+
 
+def layout_of(outer: set[int]) -> int:
+    """Code of the outer tags of a page: the distinct paths of its block tags at a depth of at most ``OUTER``."""
+    return token_code("\n".join(f"{t:x}" for t in sorted(outer))) or 1
 
-def layout_of(tags: list[str]) -> int:
-    """Code of the outer tags of a page: the distinct paths of at most ``OUTER`` block tags."""
-    outer = {t for t in tags if t.count("/") <= OUTER and t.rpartition("/")[2].partition(".")[0] not in _INLINE | _HIDDEN | _VOID}
-    return token_code("\n".join(sorted(outer))) or 1
+
+def text_code(path: int, text: str) -> int:
+    return token_code(f"{path:x}\0{text}")
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
@@ -186,12 +201,11 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 hosts, layouts, tokens, keys, counts = [], [], [], [], []
                 for host, key, page in zip(part.column("host").to_pylist(), part.column("key").to_pylist(), part.column("html").to_pylist(), strict=True):
                     seen: dict[int, int] = {PAGE: 1}
-                    text, tags = blocks(page or "")
-                    for token in (*tags, *(f"{p}\0{t}" for p, t, beside, core in text if beside or not core)):
-                        code = token_code(token)
+                    text, tags, outer = blocks(page or "")
+                    for code in (*tags, *(text_code(p, t) for p, t, beside, core in text if beside or not core)):
                         seen[code] = seen.get(code, 0) + 1
                     hosts += [host] * len(seen)
-                    layouts += [layout_of(tags)] * len(seen)
+                    layouts += [layout_of(outer)] * len(seen)
                     keys += [key] * len(seen)
                     tokens += seen
                     counts += seen.values()
@@ -244,13 +258,13 @@ def main_text(page: str, template: Sequence[tuple[int, set[int]]]) -> str:
     These are the article's blocks; on a page without any, all blocks that are not beside the content, without the
     template's classes, as long as they leave the page a share of ``OWN`` of its text.
     """
-    found, tags = blocks(page)
+    found, _, outer = blocks(page)
     shown = [(path, text, core) for path, text, beside, core in found if not beside]
     article = [text for _, text, core in shown if core]
     if article or not template:
         return "\n".join(article or [text for _, text, _ in shown])
-    layout = layout_of(tags)
-    codes = [token_code(f"{path}\0{text}") for path, text, _ in shown]
+    layout = layout_of(outer)
+    codes = [text_code(path, text) for path, text, _ in shown]
     size: dict[int, int] = {}
     for code, (_, text, _) in zip(codes, shown, strict=True):
         size[code] = size.get(code, 0) + len(text)
@@ -276,20 +290,28 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.xxhash64(F.col(html_col)).alias("key"), F.col(html_col).alias("html")
     )
     learnt = written(templates(narrow.select("host", "key", "html"), share), "templates")
-    tokens = learnt.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    joined = narrow.drop("key").join(small(learnt, tokens), "host", "left")
-    schema = T.StructType([joined.schema["page_id"], joined.schema["url"], T.StructField("text", T.StringType())])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        host, template = None, []
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 100):
-                part = batch.slice(begin, 100)
-                found = []
-                for row, (of, page) in enumerate(zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True)):
-                    if of != host:
-                        host, template = of, classes_of(*(part.column(c)[row].as_py() or [] for c in ("tokens", "layouts", "vectors")))
-                    found.append(main_text(page or "", template))
-                yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(found, pa.string())], ["page_id", "url", "text"])
-
-    return joined.select("page_id", "url", "host", "html", "tokens", "layouts", "vectors").mapInArrow(read, schema).withColumn("n_chars", F.length("text").cast("long"))
+    tokens, letters = learnt.agg(F.sum(F.size("tokens")), F.sum(F.octet_length("host"))).first()
+    pages_only = narrow.select("page_id", "url", "host", "html")
+    schema = T.StructType([pages_only.schema["page_id"], pages_only.schema["url"], T.StructField("text", T.StringType())])
+    if 24 * (tokens or 0) + (letters or 0) <= TEMPLATE_BYTES:
+        rows = {r.host: (r.tokens, r.layouts, r.vectors) for r in learnt.collect()}
+        known = narrow.sparkSession.sparkContext.broadcast(rows)
+        return pages_only.mapInArrow(lambda batches: _read(batches, known), schema).withColumn("n_chars", F.length("text").cast("long"))
+    # A host with very many pages is divided by adaptive execution, as the pages are the left side of the join.
+    joined = pages_only.join(learnt, "host", "left").select("page_id", "url", "host", "html", "tokens", "layouts", "vectors")
+    return joined.mapInArrow(lambda batches: _read(batches, None), schema).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def _read(batches: Iterator[pa.RecordBatch], known) -> Iterator[pa.RecordBatch]:
+    """Main texts of pages; a host's template is looked up (``known``) or stands in its rows, and is kept from row to row."""
+    host, template = None, []
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 100):
+            part = batch.slice(begin, 100)
+            found = []
+            for row, (of, page) in enumerate(zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True)):
+                if of != host:
+                    columns = known.value.get(of, ((), (), ())) if known is not None else (part.column(c)[row].as_py() or [] for c in ("tokens", "layouts", "vectors"))
+                    host, template = of, classes_of(*columns)
+                found.append(main_text(page or "", template))
+            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(found, pa.string())], ["page_id", "url", "text"])
