@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import free_name, row_key, small, written
+from lakeops.llm.common import BROADCAST_ROWS, free_name, row_key, small, written
 
+#: Bytes of windows up to which every executor gets them.
+WINDOW_BYTES = 32 << 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -37,16 +39,26 @@ def item_windows(items: DataFrame, size: int = 13) -> DataFrame:
 
 
 def hits(docs: DataFrame, items: DataFrame, size: int = 13) -> DataFrame:
-    """(key, at, n, item): every place of a document (``key``, ``text``) where a window of an item occurs; at counts from 1."""
+    """(key, at, n, item): every place of a document (``key``, ``text``) where a window of an item occurs; at counts from 1.
+
+    While the windows are small, by rows and by bytes, every executor gets all of them and the texts stay where they are.
+    Beyond that, words travel to the anchors, each with no more than the words around it that its windows can reach.
+    """
     windows = written(item_windows(items, size), "windows")
-    count = windows.count()
-    anchors = windows.select("anchor", "before", "n").distinct()
-    known = windows.select("gram", F.xxhash64("gram").alias("hash"), "item")
-    scanned = docs.select("key", words_of(F.col("text")).alias("words")).select("key", "words", F.posexplode("words").alias("pos", "anchor"))
-    found = scanned.join(small(anchors, count), "anchor").withColumn("at", F.col("pos") - F.col("before") + 1)
-    found = found.where((F.col("at") >= 1) & (F.col("at") + F.col("n") - 1 <= F.size("words"))).select("key", "at", "n", F.slice("words", F.greatest("at", F.lit(1)), F.col("n")).alias("seen"))
+    count, letters = windows.agg(F.count("*"), F.sum(F.octet_length(F.array_join("gram", " ")))).first()
+    spread = F.broadcast if count <= BROADCAST_ROWS and (letters or 0) <= WINDOW_BYTES else lambda df: df
+    anchors = spread(windows.select("anchor", "before", "n").distinct())
+    known = spread(windows.select("gram", F.xxhash64("gram").alias("hash"), "item"))
+    words = docs.select("key", words_of(F.col("text")).alias("words"))
+    scanned = words.select("key", "words", F.size("words").alias("total"), F.posexplode("words").alias("pos", "anchor")).withColumn("first", F.lit(1))
+    if spread is not F.broadcast:
+        first = F.greatest(F.col("pos") + 2 - size, F.lit(1))
+        scanned = scanned.withColumn("first", first).withColumn("words", F.slice("words", F.col("first"), F.lit(2 * size - 1)))
+    found = scanned.join(anchors, "anchor").withColumn("at", F.col("pos") - F.col("before") + 1)
+    found = found.where((F.col("at") >= 1) & (F.col("at") + F.col("n") - 1 <= F.col("total")))
+    found = found.select("key", "at", "n", F.slice("words", F.greatest(F.col("at") - F.col("first") + 1, F.lit(1)), F.col("n")).alias("seen"))
     found = found.withColumn("hash", F.xxhash64("seen"))
-    return found.join(small(known, count), "hash").where(F.col("seen") == F.col("gram")).select("key", "at", "n", "item").distinct()
+    return found.join(known, "hash").where(F.col("seen") == F.col("gram")).select("key", "at", "n", "item").distinct()
 
 
 def report(docs: DataFrame, items: DataFrame, size: int = 13) -> DataFrame:
@@ -64,8 +76,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 13, one_in: int
     """One row per document: id, n_words, n_hit, n_items, items and contaminated (n_hit > 0 and one_in * n_hit >= n_words).
 
     items: (item_id, text). A shorter item is one window of all its words; items without words never hit. A null or empty
-    text has no words; repeated rows are judged alike; an empty table on either side hits nothing. The window set goes to
-    every executor only if it is counted to be small, else it is joined by shuffle.
+    text has no words; a very long text is scanned whole; repeated rows are judged alike; an empty table on either side hits
+    nothing. The window set goes to every executor only if it is counted to be small, else it is joined by shuffle.
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
     clean = items.select(F.col("item_id"), F.col("text"))

@@ -44,6 +44,12 @@ def test_decontamination_against_brute_force(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((b[0] for b in brute(rows, ITEMS) if not b[5]), key=str)
 
 
+def test_large_benchmarks_travel_by_shuffle(spark, monkeypatch):
+    """The same rows where the windows are too many for every executor; only words around an anchor are sent."""
+    monkeypatch.setattr("lakeops.llm.decontaminate.WINDOW_BYTES", -1)
+    test_decontamination_against_brute_force(spark)
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontaminate(documents(spark).limit(0), items).collect() == []
