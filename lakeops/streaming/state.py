@@ -14,6 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.ipc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -215,45 +217,76 @@ def trips_in_stream(segments: DataFrame, key_type: str, width_seconds: int) -> D
 
 
 class _AcceptOnce(StatefulProcessor):
-    """First request per key and day; the state of a quiet key is removed by a timer."""
+    """First request per key and day. A group holds many keys, and its state the last accepted request of each of them, so
+    a micro-batch reads and writes a group once, however many keys it has. A timer at the earliest end of a quiet key removes it."""
 
-    def __init__(self, ttl_us: int):
-        self.ttl_us = ttl_us
+    def __init__(self, key: str, ttl_us: int):
+        self.key, self.ttl_us = key, ttl_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "us bigint, free boolean")
-        self.silence = _Silence(handle, self.ttl_us)
+        self.handle = handle
+        self.held = handle.getValueState("held", "keys binary, due_ms bigint")
+
+    def _load(self) -> tuple[dict, int | None]:
+        if not self.held.exists():
+            return {}, None
+        data, due = self.held.get()
+        table = pa.ipc.open_stream(data).read_all()
+        return dict(zip(table["key"].to_pylist(), zip(table["us"].to_pylist(), table["free"].to_pylist(), strict=True), strict=True)), due
+
+    def _store(self, held: dict, before: int | None) -> None:
+        due = min(self._due(us) for us, _ in held.values()) if held else None
+        if before is not None and before != due:
+            self.handle.deleteTimer(before)
+        if due is None:
+            self.held.clear()
+            return
+        if before != due:
+            self.handle.registerTimer(due)
+        table = pa.table({"key": list(held), "us": pa.array([us for us, _ in held.values()], pa.int64()), "free": [free for _, free in held.values()]})
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        self.held.update((sink.getvalue().to_pybytes(), due))
+
+    def _due(self, us: int) -> int:
+        return (us + self.ttl_us) // 1000 + 1
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _ordered(rows, "at_us", "tie_id")
-        last, free = self.last.get() if self.last.exists() else (None, True)
+        held, due = self._load()
         taken = []
-        for us, failed in zip(df["at_us"], df["is_failed"], strict=True):
-            take = bool(free or us - last > self.ttl_us)
+        for name, us, failed in zip(df[self.key].tolist(), df["at_us"].tolist(), df["is_failed"].tolist(), strict=True):
+            last, free = held.get(name, (None, True))
+            take = free or us - last > self.ttl_us
             if take:
-                last, free = int(us), bool(failed)
+                held[name] = us, failed
             taken.append(take)
-        if last is not None:
-            self.last.update((last, free))
-            self.silence.seen(last)
-        yield df.assign(accepted=taken).drop(columns=["at_us", "tie_id", "is_failed"])
+        self._store(held, due)
+        yield df.assign(accepted=taken).drop(columns=["at_us", "tie_id", "is_failed", "group_no"])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.last.clear()
-        self.silence.over()
+        held, _ = self._load()
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        now = max(at, timerValues.getCurrentWatermarkInMs())
+        self._store({name: kept for name, kept in held.items() if self._due(kept[0]) > now}, at)
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-def accept_once_in_stream(stream: DataFrame, key: str, ts: str, row_id: str, failed, ttl_seconds: int = DAY, delay: str = "1 hour") -> DataFrame:
-    """Stream form of the idempotency rule, exact also across restarts; every row comes out, however late it is."""
+def accept_once_in_stream(stream: DataFrame, key: str, ts: str, row_id: str, failed, ttl_seconds: int = DAY, delay: str = "1 hour", groups: int = 4096) -> DataFrame:
+    """Stream form of the idempotency rule, exact also across restarts; every row comes out, however late it is.
+
+    Keys share ``groups`` groups of state; like the number of state partitions, it stays as it was at the first start.
+    """
     schema = f"{_fields(stream)}, accepted boolean"
-    rows = with_clock(stream, ts, delay, key).withColumns(
-        {"at_us": F.unix_micros(F.col(ts).cast("timestamp")), "tie_id": F.col(row_id).cast("bigint"), "is_failed": F.coalesce(failed, F.lit(False))}
-    )
-    return rows.groupBy(key).transformWithStateInPandas(_AcceptOnce(ttl_seconds * 1_000_000), schema, "append", "eventTime")
+    rows = with_clock(stream, ts, delay, key).withColumns({
+        "at_us": F.unix_micros(F.col(ts).cast("timestamp")), "tie_id": F.col(row_id).cast("bigint"), "is_failed": F.coalesce(failed, F.lit(False)),
+        "group_no": F.pmod(F.xxhash64(key), F.lit(groups)),
+    })
+    return rows.groupBy("group_no").transformWithStateInPandas(_AcceptOnce(key, ttl_seconds * 1_000_000), schema, "append", "eventTime")
 
 
 #: Amounts are added up as whole numbers of 1e-8, so taking one out leaves nothing behind; amounts of a million and more are

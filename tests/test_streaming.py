@@ -144,3 +144,11 @@ def test_cheap_dedup_keeps_one_row_per_key(spark):
     df = spark.createDataFrame([(i, f"k{i % 4}", T0 + timedelta(minutes=i)) for i in range(40)], "id bigint, key string, ts timestamp_ntz")
     out = collect_stream(spark, [df], lambda s: jobs.dedup_cheap(s, "key", "ts"), "t-cheap")
     assert out.count() == 4
+
+
+def test_keys_that_share_a_group_stay_apart(spark):
+    rows = spark.range(300).selectExpr("id", "concat('k', id % 50) AS key", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, id) AS ts", "id % 7 = 0 AS failed")
+    want = idempotency.accept_once(rows, "key", "ts", "id", failed=F.col("failed"))
+    parts = [rows.filter("id < 100"), rows.filter("id BETWEEN 100 AND 199"), rows.filter("id >= 200")]
+    got = collect_stream(spark, parts, lambda s: state.accept_once_in_stream(s, "key", "ts", "id", F.col("failed"), groups=2), "t-groups")
+    assert {(r["id"], r["accepted"]) for r in got.collect()} == {(r["id"], r["accepted"]) for r in want.collect()}
