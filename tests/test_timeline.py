@@ -137,3 +137,11 @@ def test_one_moment_is_divided(spark):
     assert cut.groupBy("_slice").count().count() > 3
     run = lambda floor: rows_of(tl.running_totals(df, ["k"], ["ts", "id"], {"total": F.col("x")}, floor))
     assert run(HOT) == run(COLD)
+
+
+def test_tasks_of_ordinary_keys_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(tl, "TASK_ROWS", 50)
+    rows = spark.range(2000).selectExpr("id", "id % 100 AS k", "timestamp_seconds(id) AS ts")
+    out = tl.previous_row(rows, ["k"], ["ts", "id"], {"id": "before"})
+    assert out.rdd.getNumPartitions() == 40
+    assert out.filter("before = id - 100").count() == 1900
