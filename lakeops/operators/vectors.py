@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Queries of one pass, and the bytes that their vectors may take at most.
 MAX_QUERIES, MAX_QUERY_BYTES = 2048, 64 << 20
+#: Scores that a task holds at once.
+SCORES = 1 << 20
 
 
 def embed_hashed(df: DataFrame, text: str, out: str = "embedding", dims: int = 256) -> DataFrame:
@@ -81,11 +84,11 @@ def _scan(df: DataFrame, key: str, vector: str, names: list, matrix: np.ndarray,
     key_type = dict(df.dtypes)[key]
     shared = df.sparkSession.sparkContext.broadcast(_unit(matrix))
 
+    step = max(k, SCORES // len(names), 1)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = np.empty((0, len(names))), np.empty((0, len(names)), dtype=object)
-        for pdf in frames:
-            if pdf.empty:
-                continue
+        for pdf in (frame.iloc[at:at + step] for frame in frames for at in range(0, len(frame), step)):
             scores = np.round(_unit(np.vstack(pdf[vector].to_numpy()).astype("float64")) @ shared.value.T, 12)
             top = _top(scores, pdf[key].to_numpy(dtype=object), k)
             joined = [np.concatenate(x) for x in zip(best, top, strict=True)]
@@ -135,43 +138,90 @@ def knn_exact(
 
 def knn_lsh(
     df: DataFrame, queries: DataFrame, key: str, vector: str, query: str, k: int = 5,
-    query_vector: str = "vector", bits: int = 8, tables: int = 16, seed: int = 42,
+    query_vector: str = "vector", bits: int = 8, tables: int = 16, seed: int = 42, block: int = MAX_QUERIES,
 ) -> DataFrame:
     """Approximate top-k: only vectors that share a bucket with the query are scored, exactly.
 
     A bucket is the pattern of signs along ``bits`` random directions, so a table splits the rows into up to 2**bits
     buckets and a row meets a query by chance in one of them with probability 2**-bits; nearer vectors do so more often.
     More bits score fewer pairs, more tables find more neighbours.
+
+    Queries travel to the data by blocks, as in ``knn_exact``; a task looks its rows up in the queries' buckets and hands
+    on at most ``k`` rows per query, so no pair and no vector is shuffled.
     """
-    met = lsh_pairs(df, queries, key, vector, query, query_vector, bits, tables, seed)
-    dot = F.aggregate(F.zip_with("_x", "_y", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    scored = met.select(query, key, dot.alias("score"))
+    met = _in_buckets(df, queries, key, vector, query, query_vector, bits, tables, seed, block, k)
     w = Window.partitionBy(query).orderBy(F.desc("score"), key)
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return met.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def lsh_pairs(df: DataFrame, queries: DataFrame, key: str, vector: str, query: str, query_vector: str = "vector", bits: int = 8, tables: int = 16, seed: int = 42) -> DataFrame:
-    """(query, key, _x, _y): the pairs that share a bucket, once each, with their unit vectors."""
-    width = (df.select(F.size(vector).alias("n")).agg(F.max("n")).first()[0] or 1) if df.columns else 1
+    """(query, key, score): the pairs that share a bucket, once each."""
+    return _in_buckets(df, queries, key, vector, query, query_vector, bits, tables, seed, MAX_QUERIES, None)
+
+
+def lsh_pair_counts(df: DataFrame, queries: DataFrame, key: str, vector: str, query: str, query_vector: str = "vector", bits: int = 8, tables: int = 16, seed: int = 42) -> DataFrame:
+    """(query, pairs): how many rows share a bucket with each query, by task; a query may have several such rows."""
+    return _in_buckets(df, queries, key, vector, query, query_vector, bits, tables, seed, MAX_QUERIES, 0)
+
+
+def _in_buckets(df: DataFrame, queries: DataFrame, key: str, vector: str, query: str, query_vector: str, bits: int, tables: int, seed: int, block: int, k: int | None) -> DataFrame:
+    """(query, key, score) of the pairs that share a bucket: the ``k`` best of every task and query, or all of them (None).
+    With ``k`` = 0 nothing is scored, and (query, pairs) says how many pairs a task has met."""
+    rows = df.select(key, vector).filter(F.col(key).isNotNull() & F.col(vector).isNotNull())
+    asked = queries.select(query, query_vector).filter(F.col(query).isNotNull() & F.col(query_vector).isNotNull())
+    types = dict(df.dtypes) | {query: dict(queries.dtypes)[query]}
+    schema = f"`{query}` {types[query]}, pairs bigint" if k == 0 else f"`{query}` {types[query]}, `{key}` {types[key]}, score double"
+    count, width = asked.agg(F.count(F.lit(1)), F.max(F.size(query_vector))).first()
+    width = width or 1
     axes = np.random.default_rng(seed).standard_normal((width, tables * bits))
-    shared = df.sparkSession.sparkContext.broadcast(axes)
     weights = 1 << np.arange(bits)
 
-    def coded(d: DataFrame, name: str, column: str, unit_name: str) -> DataFrame:
+    def codes(x: np.ndarray) -> np.ndarray:
+        return (x @ axes > 0).reshape(len(x), tables, bits) @ weights
+
+    def passed(own: list) -> DataFrame:
+        names, unit = [r[query] for r in own], _unit(np.asarray([r[query_vector] for r in own], dtype="float64"))
+        buckets = codes(unit)
+        orders = buckets.argsort(axis=0, kind="stable")
+        shared = df.sparkSession.sparkContext.broadcast((names, unit, orders, np.take_along_axis(buckets, orders, axis=0)))
+        step = max(1, SCORES // len(names))
+
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in frames:
-                if len(pdf):
-                    x = _unit(np.vstack(pdf[column].to_numpy()).astype("float64"))
-                    signs = (x @ shared.value > 0).reshape(len(x), tables, bits)
-                    yield pd.DataFrame({name: pdf[name], unit_name: list(x), "_codes": list(signs @ weights)})
-
-        ready = d.select(name, column).filter(F.col(name).isNotNull() & F.col(column).isNotNull())
-        return ready.mapInPandas(run, f"`{name}` {dict(d.dtypes)[name]}, {unit_name} array<double>, _codes array<bigint>")
-
-    rows, asked = coded(df, key, vector, "_x"), coded(queries, query, query_vector, "_y")
-    named = rows.select(key, F.posexplode("_codes").alias("_table", "_bucket"))
-    met = named.join(asked.select(query, F.posexplode("_codes").alias("_table", "_bucket")), ["_table", "_bucket"]).select(query, key).distinct()
-    return met.join(rows.select(key, "_x"), key).join(asked.select(query, "_y"), query)
+            names, unit, orders, places = shared.value
+            best: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0), np.empty(0, dtype=object)) for _ in names]
+            met_rows = np.zeros(len(names), dtype="int64")
+            for pdf in (frame.iloc[at:at + step] for frame in frames for at in range(0, len(frame), step)):
+                x = _unit(np.vstack(pdf[vector].to_numpy()).astype("float64"))
+                met, own = np.zeros((len(names), len(x)), dtype=bool), codes(x)
+                for t in range(tables):
+                    first, end = (np.searchsorted(places[:, t], own[:, t], side) for side in ("left", "right"))
+                    row = np.repeat(np.arange(len(x)), end - first)
+                    within = np.arange(len(row)) - np.repeat(np.cumsum(end - first) - (end - first), end - first)
+                    met[orders[np.repeat(first, end - first) + within, t], row] = True
+                met_rows += met.sum(axis=1)
+                if k == 0:
+                    continue
+                ids = pdf[key].to_numpy(dtype=object)
+                for q in np.flatnonzero(met.any(axis=1)):
+                    at = np.flatnonzero(met[q])
+                    scores = np.round(x[at] @ unit[q], 12)
+                    if k is None:
+                        yield pd.DataFrame({query: [names[q]] * len(at), key: ids[at], "score": scores})
+                        continue
+                    scores, found = np.concatenate([best[q][0], scores]), np.concatenate([best[q][1], ids[at]])
+                    top = _best(scores, found, k)
+                    best[q] = scores[top], found[top]
+            if k == 0:
+                yield pd.DataFrame({query: names, "pairs": met_rows})
+            elif k is not None:
+                for name, (scores, found) in zip(names, best, strict=True):
+                    yield pd.DataFrame({query: [name] * len(scores), key: found, "score": scores})
+
+        return rows.mapInPandas(run, schema)
+
+    blocks = max(1, -(-count // block), -(-count * width * 8 // MAX_QUERY_BYTES))
+    parts = [passed(own) for b in range(blocks) if (own := asked.filter(F.pmod(F.xxhash64(query), F.lit(blocks)) == b).orderBy(query).collect())]
+    return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], schema)
 
 
 def recall(found: DataFrame, truth: DataFrame, query: str, key: str) -> DataFrame:

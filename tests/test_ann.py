@@ -76,3 +76,15 @@ def test_hashed_search_scores_a_part(spark, table, points):
     want = truth(points, asked, 10)
     assert len(got & want) >= 0.8 * len(want)
     assert vectors.lsh_pairs(good, queries, "vec_id", "embedding", "q").count() < 3000 * 100 / 4
+
+
+def test_hashed_search_shuffles_no_pairs(spark, table):
+    good = table.filter("vec_id < 500")
+    queries = good.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("vector"))
+    found = vectors.knn_lsh(good, queries, "vec_id", "embedding", "q", 5)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    pairs = vectors.lsh_pairs(good, queries, "vec_id", "embedding", "q")
+    assert pairs.count() == pairs.select("q", "vec_id").distinct().count()
+    assert pairs.count() == vectors.lsh_pair_counts(good, queries, "vec_id", "embedding", "q").agg(F.sum("pairs")).first()[0]
+    small = vectors.knn_lsh(good, queries, "vec_id", "embedding", "q", 5, block=3)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in small.collect()}
