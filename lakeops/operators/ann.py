@@ -15,16 +15,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators import vectors
 from lakeops.session import materialize
 
-#: Rows that centres are learned from, queries that probes are measured with, and the most cells (centres travel to every task).
-SAMPLE_ROWS, MEASURED, MOST_CELLS = 50_000, 200, 16_384
+#: Rows that centres are learned from, queries that probes are measured with, and the most cells. Every row is compared with
+#: every centre, so with this limit the work of building grows as the rows do.
+SAMPLE_ROWS, MEASURED, MOST_CELLS = 50_000, 200, 1_024
 #: Rows and queries that one task compares.
 ROWS_PER_TASK, QUERIES_PER_TASK = 50_000, 2_048
 
@@ -46,6 +47,8 @@ class Index:
 def _nearest(x: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     """The ``n`` nearest centres of each vector, nearest first; equal ones by number."""
     scores = np.round(vectors._unit(x) @ centres.T, 12)
+    if n == 1:
+        return scores.argmax(axis=1)[:, None]
     return np.argsort(-scores, axis=1, kind="stable")[:, :n]
 
 
@@ -56,11 +59,13 @@ def _matrix(column: pd.Series) -> np.ndarray:
 def _probed(df: DataFrame, names: list[str], vector: str, centres: np.ndarray, n: int) -> DataFrame:
     """Rows with the numbers of their ``n`` nearest cells, nearest first (``cells``)."""
     shared = df.sparkSession.sparkContext.broadcast(centres)
+    step = max(1, vectors.SCORES // len(centres))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            if len(pdf):
-                yield pdf.assign(cells=list(_nearest(_matrix(pdf[vector]), shared.value, n).astype("int32")))
+            for at in range(0, len(pdf), step):
+                part = pdf.iloc[at:at + step]
+                yield part.assign(cells=list(_nearest(_matrix(part[vector]), shared.value, n).astype("int32")))
 
     fields = ", ".join(f"`{n}` {t}" for n, t in df.select(*names).dtypes)
     return df.select(*names).mapInPandas(run, f"{fields}, cells array<int>")
@@ -72,6 +77,32 @@ def with_direction(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull() & F.col(vector).isNotNull()).filter(good)
 
 
+def _centres(sample: DataFrame, key: str, vector: str, cells: int, seed: int, rounds: int = 10) -> np.ndarray:
+    """Centres by spherical k-means, from repeatably chosen rows. A round has one task per part of the sample, however many
+    cells there are; a task sends one sum per cell. A cell that loses all its rows keeps its centre."""
+    first = sample.orderBy(F.xxhash64(F.col(key), F.lit(seed + 2)), key).limit(cells).collect()  # at most MOST_CELLS rows
+    centres = vectors._unit(np.array([r[vector] for r in first], dtype="float64"))
+    for _ in range(rounds):
+        shared, step = sample.sparkSession.sparkContext.broadcast(centres), max(1, vectors.SCORES // len(centres))
+
+        def run(frames: Iterator[pd.DataFrame], shared=shared, step=step) -> Iterator[pd.DataFrame]:
+            totals, met = np.zeros_like(shared.value), np.zeros(len(shared.value), dtype=bool)
+            for pdf in (frame.iloc[at:at + step] for frame in frames for at in range(0, len(frame), step)):
+                x = vectors._unit(_matrix(pdf[vector]))
+                cell = _nearest(x, shared.value, 1)[:, 0]
+                np.add.at(totals, cell, x)
+                met[cell] = True
+            found = np.flatnonzero(met)
+            if len(found):
+                yield pd.DataFrame({"cell": found.astype("int32"), "total": list(totals[found])})
+
+        sums = sample.select(vector).mapInPandas(run, "cell int, total array<double>").groupBy("cell").agg(Summarizer.sum(array_to_vector("total")).alias("total"))
+        centres = centres.copy()
+        for row in sums.collect():
+            centres[row["cell"]] = vectors._unit(row["total"].toArray()[None, :])[0]
+    return centres
+
+
 def build(df: DataFrame, key: str, vector: str, folder: str, recall: float = 0.95, k: int = 10, cells: int | None = None, seed: int = 42) -> Index:
     """Write the index of all rows with a direction to ``folder``.
 
@@ -84,9 +115,7 @@ def build(df: DataFrame, key: str, vector: str, folder: str, recall: float = 0.9
         raise ValueError("no vector to index")
     cells = min(cells or math.ceil(4 * math.sqrt(count)), MOST_CELLS, count)
     part = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(max(1, math.ceil(count / SAMPLE_ROWS)))) == 0
-    sample = materialize(rows.filter(part).select(array_to_vector(vector).alias("features")), "index-sample")
-    model = KMeans(k=cells, distanceMeasure="cosine", maxIter=10, seed=seed).fit(sample)
-    centres = vectors._unit(np.array(model.clusterCenters(), dtype="float64"))
+    centres = _centres(materialize(rows.filter(part), "index-sample"), key, vector, cells, seed)
     placed = _probed(rows, [key, vector], vector, centres, 1).select(key, vector, F.col("cells")[0].alias("cell"))
     placed.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{folder}/rows")
     probes = _probes(spark, folder, key, vector, centres, count, recall, k, seed)
@@ -105,7 +134,8 @@ def _probes(spark: SparkSession, folder: str, key: str, vector: str, centres: np
     rows = spark.read.parquet(f"{folder}/rows")
     chosen = F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(max(1, count // MEASURED))) == 0
     asked = materialize(rows.filter(chosen).select(F.col(key).alias("asked"), F.col(vector).alias("vector")), "index-asked")
-    truth = vectors.knn_exact(rows, asked, key, vector, "asked", k)
+    # a row is its own nearest one and always in its own cell: it says nothing about the others
+    truth = vectors.knn_exact(rows, asked, key, vector, "asked", k + 1).filter(F.col(key) != F.col("asked"))
     found = truth.join(rows.select(key, "cell"), key).join(_probed(asked, ["asked", "vector"], "vector", centres, len(centres)), "asked")
     place = found.select(F.array_position("cells", F.col("cell")).alias("place"))
     met = place.agg(F.percentile("place", recall).alias("place")).first()["place"]
