@@ -134,9 +134,10 @@ def _probes(spark: SparkSession, folder: str, key: str, vector: str, centres: np
     rows = spark.read.parquet(f"{folder}/rows")
     chosen = F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(max(1, count // MEASURED))) == 0
     asked = materialize(rows.filter(chosen).select(F.col(key).alias("asked"), F.col(vector).alias("vector")), "index-asked")
-    # a row is its own nearest one and always in its own cell: it says nothing about the others
-    truth = vectors.knn_exact(rows, asked, key, vector, "asked", k + 1).filter(F.col(key) != F.col("asked"))
-    found = truth.join(rows.select(key, "cell"), key).join(_probed(asked, ["asked", "vector"], "vector", centres, len(centres)), "asked")
+    # a row and its copies are always in one cell: they say nothing about the others
+    once = materialize(rows.withColumn("_h", F.xxhash64(vector)).dropDuplicates(["_h"]).drop("_h"), "index-once")
+    truth = vectors.knn_exact(once, asked, key, vector, "asked", k + 1).filter(F.col("score") < 1 - 1e-9)
+    found = truth.join(once.select(key, "cell"), key).join(_probed(asked, ["asked", "vector"], "vector", centres, len(centres)), "asked")
     place = found.select(F.array_position("cells", F.col("cell")).alias("place"))
     met = place.agg(F.percentile("place", recall).alias("place")).first()["place"]
     return max(1, math.ceil(met or 1))
