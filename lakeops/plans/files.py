@@ -11,7 +11,7 @@ from lakeops.operators import business, fraud
 from lakeops.plans.fraud import rounded, scored
 from lakeops.registry import query
 from lakeops.session import fresh_dir
-from lakeops.sources import keyed, scan, sinks
+from lakeops.sources import folders, keyed, scan, sinks
 
 
 def dated(lake):
@@ -234,8 +234,7 @@ def parse_scored_lines(lake):
 def whole_documents(lake):
     """Every file back as one row; its id is the hash of its own address below the root."""
     path = fresh_dir(lake.spark, "texts")
-    docs = lake("documents").select("lang", "doc_id", "text")
-    docs.write.partitionBy("lang", "doc_id").text(path)
+    folders.write_text_folders(lake("documents"), path, ["lang", "doc_id"], "text")
     files = scan.whole_documents(lake.spark, path)
     own = F.col("document_id") == F.left(F.sha2("address", 256), F.lit(16))
     return files.select(F.regexp_replace("address", "/part-[0-9]+$", "").alias("folder"), own.alias("own_id"), "text")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from lakeops.operators.search import latest_per_key
-from lakeops.session import fresh_dir
+from lakeops.session import fresh_dir, settings
 from lakeops.sources.sinks import write_batch_once
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -31,17 +31,8 @@ def state_settings(spark: SparkSession):
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism),
     }
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
+    with settings(spark, wanted):
         yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
 
 
 def drain(writer: DataStreamWriter) -> None:

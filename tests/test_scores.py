@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators import ranks, scores, spatial
 from lakeops.session import fresh_dir
-from lakeops.sources import keyed, scan, sinks
+from lakeops.sources import folders, keyed, scan, sinks
 
 T0 = datetime(2024, 1, 1)
 
@@ -158,6 +158,34 @@ def test_part_files_have_their_own_ids(spark):
     assert len({r["document_id"] for r in files}) == len(files) >= 2
 
 
+def test_text_folders_are_named_as_partition_by_names_them(spark):
+    rows = [("a/b=c", 1, "x\ny"), ("a/b=c", 2, None), (None, 3, "é"), ("", 3, "z"), ("it's %", 4, ""), ("a/b=c", 1, "twice"), ("ü [1]", None, "w")]
+    df = spark.createDataFrame(rows, "lang string, id int, text string").repartition(3)
+    plain, path = fresh_dir(spark, "t-plain"), fresh_dir(spark, "t-folders")
+    df.coalesce(1).write.partitionBy("lang", "id").text(plain)
+    folders.write_text_folders(df, path, ["lang", "id"], "text", rows=1)
+
+    def told(root):
+        files = scan.whole_documents(spark, root).collect()
+        return sorted((r["address"].rsplit("/", 1)[0], sorted(r["text"].split("\n"))) for r in files)
+
+    assert told(path) == told(plain)
+
+
+def test_listing_many_folders_takes_few_tasks(spark):
+    path = fresh_dir(spark, "t-many")
+    folders.write_text_folders(spark.range(100).selectExpr("id", "CAST(id AS STRING) AS text"), path, ["id"], "text")
+    spark.sparkContext.setJobGroup("t-many", "")
+    try:
+        files = scan.whole_documents(spark, path)
+        jobs = [spark.sparkContext.statusTracker().getJobInfo(j) for j in spark.sparkContext.statusTracker().getJobIdsForGroup("t-many")]
+        stages = [spark.sparkContext.statusTracker().getStageInfo(x) for j in jobs for x in j.stageIds]
+        assert stages and max(x.numTasks for x in stages) <= 4 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert files.count() == 100
+
+
 def test_catalog_counts_rows(spark):
     path, name = fresh_dir(spark, "t-catalog"), "t_counted"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
