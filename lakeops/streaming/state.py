@@ -9,6 +9,7 @@ limit that ``run.open_folder`` sets on every source, and with it the rows of one
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 
@@ -298,54 +299,78 @@ def _units(amount: float) -> int:
     return round(amount * UNIT) if abs(amount) < LARGE else round(amount * COARSE) * (UNIT // COARSE)
 
 
-def _pack(numbers) -> bytes:
-    return b"".join(int(x).to_bytes(24, "little", signed=True) for x in numbers)
-
-
-def _unpack(data: bytes) -> list[int]:
-    return [int.from_bytes(data[i:i + 24], "little", signed=True) for i in range(0, len(data), 24)]
-
-
 class _Velocity(StatefulProcessor):
-    """Account history of 30 days, one entry per second, the last fix, and the merchants and devices seen (as maps with the
-    time of their last use). A silent account is forgotten after ``keep_us``, and so is a map entry that was not used for it."""
+    """Account history of 30 days, one entry per second, the last fix, and the merchants and devices seen with the time of
+    their last use. A group holds many accounts, and its state all that is known of them, so a micro-batch reads and writes a
+    group once and its rows are measured together. A silent account is forgotten after ``keep_us``, by a timer at the earliest
+    end of one in the group, and so is a merchant or device that was not used for it."""
+
+    SHIFT = 40  # a place is the number of an account in the batch, then 40 bits of seconds
 
     def __init__(self, keep_us: int):
         self.keep_us = keep_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.history = handle.getValueState("history", "sec binary, n binary, k binary, total binary, squares binary, huge binary, us bigint, lat double, lon double")
-        self.seen = {c: handle.getMapState(c, "value string", "us bigint") for c in ("merchant_id", "device_id")}
-        self.swept = handle.getValueState("swept", "us bigint")
-        self.silence = _Silence(handle, self.keep_us)
+        self.handle = handle
+        self.held = handle.getValueState("held", "accounts binary, due_ms bigint")
+
+    def _load(self) -> tuple[dict, int | None]:
+        """(last row's time, latitude and longitude; seconds of the history and their five sums; merchants, devices, last sweep) by account."""
+        if not self.held.exists():
+            return {}, None
+        data, due = self.held.get()
+        return pickle.loads(data), due
+
+    def _store(self, held: dict, before: int | None) -> None:
+        due = min(self._due(known[0]) for known in held.values()) if held else None
+        if before is not None and before != due:
+            self.handle.deleteTimer(before)
+        if due is None:
+            self.held.clear()
+            return
+        if before != due:
+            self.handle.registerTimer(due)
+        self.held.update((pickle.dumps(held, protocol=5), due))
+
+    def _due(self, us: int) -> int:
+        return (us + self.keep_us) // 1000 + 1
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _ordered(rows, "at_us", "transaction_id")
-        sec, held, us, lat, lon = np.empty(0, "int64"), None, None, None, None
-        if self.history.exists():
-            state = self.history.get()
-            sec, us, lat, lon = np.frombuffer(state[0], "int64"), *state[6:]
-            held = [_unpack(x) for x in state[1:6]]
-        late = (df["at_us"] < us).to_numpy() if us is not None else np.zeros(len(df), dtype=bool)
+        held, due = self._load()
+        df = pd.concat(list(rows), ignore_index=True)
+        df["account_no"], names = pd.factorize(df["account_id"])
+        df = df.sort_values(["account_no", "at_us", "transaction_id"], kind="stable", ignore_index=True)
+        names = names.tolist()
+        known = [held.get(name) for name in names]
+        before = np.array([x[0] if x else np.iinfo("int64").min for x in known])
+        late = df["at_us"].to_numpy() < before[df["account_no"].to_numpy()]
         ok = df[~late]
+        no = ok["account_no"].to_numpy(dtype="int64")
 
         amount = ok["amount"].to_numpy(dtype="float64")
-        known = np.isfinite(amount)
-        units = np.array([_units(x) if k else 0 for x, k in zip(amount, known, strict=True)], dtype=object)
-        huge = known & (np.abs(amount) >= HUGE)
-        own = {"n": np.ones(len(ok), dtype=object), "k": known.astype(int).astype(object), "t": units, "q": np.where(huge, 0, units * units) if len(ok) else units, "h": huge.astype(int).astype(object)}
-        now = ok["at_second"].to_numpy()
-        at = np.unique(np.concatenate([sec, now]))
+        given = np.isfinite(amount)
+        units = np.array([_units(x) if k else 0 for x, k in zip(amount, given, strict=True)], dtype=object)
+        huge = given & (np.abs(amount) >= HUGE)
+        own = {"n": np.ones(len(ok), dtype=object), "k": given.astype(int).astype(object), "t": units, "q": np.where(huge, 0, units * units) if len(ok) else units, "h": huge.astype(int).astype(object)}
+        now = ok["at_second"].to_numpy(dtype="int64")
+        old_no = np.repeat(np.arange(len(names)), [len(x[3]) if x else 0 for x in known])
+        old_sec = np.array([s for x in known if x for s in x[3]], dtype="int64")
+        first = min(now.min(initial=np.iinfo("int64").max), old_sec.min(initial=np.iinfo("int64").max))
+
+        def place(account: np.ndarray, sec: np.ndarray) -> np.ndarray:
+            return (account << self.SHIFT) + np.maximum(sec - first, -1)
+
+        here, there = place(no, now), place(old_no, old_sec)
+        at = np.unique(np.concatenate([there, here]))
         sums, totals = {}, {}
         for i, name in enumerate("nktqh"):
             total = np.zeros(len(at), dtype=object)
-            if held is not None:
-                total[np.searchsorted(at, sec)] += np.array(held[i], dtype=object)
-            np.add.at(total, np.searchsorted(at, now), own[name])
+            total[np.searchsorted(at, there)] += np.array([v for x in known if x for v in x[4 + i]], dtype=object)
+            np.add.at(total, np.searchsorted(at, here), own[name])
             totals[name], sums[name] = total, np.concatenate([np.zeros(1, dtype=object), np.cumsum(total)])
 
         def window(column: str, back: int, skip: int) -> np.ndarray:
-            return sums[column][np.searchsorted(at, now - skip, "right")] - sums[column][np.searchsorted(at, now - back, "left")]
+            return sums[column][np.searchsorted(at, place(no, now - skip), "right")] - sums[column][np.searchsorted(at, place(no, now - back), "left")]
 
         def money(numbers) -> np.ndarray:
             return np.array([x / UNIT for x in numbers], dtype="float64")
@@ -355,57 +380,64 @@ class _Velocity(StatefulProcessor):
         std = np.array([(max(k * q - t * t, 0) / (k * (k - 1))) ** 0.5 / UNIT if k > 1 and not h else 1.0 for k, t, q, h in zip(k30, t30, q30, h30, strict=True)], dtype="float64")
         score = np.where(std > 0, np.divide(amount - mean, std, out=np.zeros(len(ok)), where=std > 0), 0.0)
 
-        out = df.drop(columns=["at_us", "at_second"]).assign(late=late)
+        starts = np.flatnonzero(np.diff(no, prepend=-1))
+        ends = np.append(starts[1:], len(no)) - 1 if len(no) else starts
+
+        def previous(column: str, field: int) -> np.ndarray:
+            values = ok[column].to_numpy(dtype="float64")
+            out = np.concatenate([[np.nan], values])[:-1]
+            out[starts] = [known[i][field] if known[i] and known[i][field] is not None else np.nan for i in no[starts]]
+            return out
+
+        seen = [({**x[9]}, {**x[10]}) if x else ({}, {}) for x in known]
+        out = df.drop(columns=["at_us", "at_second", "account_no", "group_no"]).assign(late=late)
         new = {
             "tx_count_1h": window("n", 3600, 0).astype("float64"), "tx_count_24h": window("n", DAY, 0).astype("float64"),
             "tx_amount_1h": money(window("t", 3600, 0)), "tx_amount_24h": money(window("t", DAY, 0)),
             "avg_amount_30d": mean, "std_amount_30d": std, "amount_zscore": score,
-            "prev_lat": np.concatenate([[np.nan if lat is None else lat], ok["location_lat"].to_numpy(dtype="float64")])[:-1],
-            "prev_lon": np.concatenate([[np.nan if lon is None else lon], ok["location_lon"].to_numpy(dtype="float64")])[:-1],
-            "prev_us": np.concatenate([[np.nan if us is None else us], ok["at_us"].to_numpy(dtype="float64")])[:-1],
-            "is_new_merchant": self._first_time(ok, "merchant_id"), "is_new_device": self._first_time(ok, "device_id"),
+            "prev_lat": previous("location_lat", 1), "prev_lon": previous("location_lon", 2), "prev_us": previous("at_us", 0),
+            "is_new_merchant": self._first_time(ok, "merchant_id", no, [m for m, _ in seen]),
+            "is_new_device": self._first_time(ok, "device_id", no, [d for _, d in seen]),
         }
         for name, values in new.items():
             out[name] = pd.Series(values, index=ok.index, dtype="float64").reindex(df.index)
         if len(ok):
-            end = ok.iloc[-1]
-            keep = at >= end["at_second"] - 30 * DAY
-            self.history.update((
-                at[keep].astype("int64").tobytes(), *(_pack(totals[c][keep]) for c in "nktqh"),
-                int(end["at_us"]), *(None if end[c] != end[c] else float(end[c]) for c in ("location_lat", "location_lon")),
-            ))
-            self.silence.seen(int(end["at_us"]))
-            self._sweep(int(end["at_us"]))
+            last = ok.iloc[ends]
+            kept_from = np.searchsorted(at, place(no[ends], now[ends] - 30 * DAY), "left")
+            kept_to = np.searchsorted(at, no[ends] + 1 << self.SHIFT, "left")
+            secs = (at & ((1 << self.SHIFT) - 1)) + first
+            lat, lon = (last[c].astype("object").where(last[c].notna(), None).tolist() for c in ("location_lat", "location_lon"))
+            for j, (i, us, a, b) in enumerate(zip(no[ends].tolist(), last["at_us"].tolist(), kept_from.tolist(), kept_to.tolist(), strict=True)):
+                swept = self._sweep(us, known[i][11] if known[i] else None, seen[i])
+                held[names[i]] = (us, lat[j], lon[j], secs[a:b].tolist(), *(totals[c][a:b].tolist() for c in "nktqh"), *seen[i], swept)
+            self._store(held, due)
         yield out
 
-    def _sweep(self, now_us: int) -> None:
-        """Once per ``keep_us``, drop the map entries that were not used for that long."""
-        if self.swept.exists() and now_us - self.swept.get()[0] < self.keep_us:
-            return
-        if self.swept.exists():
-            for seen in self.seen.values():
-                old = [k for k, (us,) in seen.iterator() if us < now_us - self.keep_us]
-                for k in old:
-                    seen.removeKey(k)
-        self.swept.update((now_us,))
-
-    def _first_time(self, rows: pd.DataFrame, column: str) -> np.ndarray:
-        """1 where a value stands for the first time; one look into the state per distinct value."""
+    def _sweep(self, now_us: int, swept: int | None, seen: tuple[dict, dict]) -> int:
+        """Once per ``keep_us``, drop the merchants and devices that were not used for that long."""
+        if swept is not None and now_us - swept < self.keep_us:
+            return swept
+        if swept is not None:
+            for values in seen:
+                for value in [v for v, us in values.items() if us < now_us - self.keep_us]:
+                    del values[value]
+        return now_us
+
+    @staticmethod
+    def _first_time(rows: pd.DataFrame, column: str, account: np.ndarray, seen: list[dict]) -> np.ndarray:
+        """1 where a value stands for the first time with its account; ``seen`` gets its time."""
         flags = np.zeros(len(rows))
-        known, seen = rows[column].notna().to_numpy(), self.seen[column]
-        place = pd.Series(np.arange(len(rows)), index=rows.index)[known]
-        for value, at in place.groupby(rows[column][known]):
-            if not seen.containsKey((value,)):
-                flags[at.iloc[0]] = 1
-            seen.updateValue((value,), (int(rows["at_us"].iloc[at.iloc[-1]]),))
+        for i, (no, value, known, us) in enumerate(zip(account.tolist(), rows[column].tolist(), rows[column].notna().tolist(), rows["at_us"].tolist(), strict=True)):
+            if known:
+                flags[i] = value not in seen[no]
+                seen[no][value] = us
         return flags
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.history.clear()
-        for seen in self.seen.values():
-            seen.clear()
-        self.swept.clear()
-        self.silence.over()
+        held, _ = self._load()
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        now = max(at, timerValues.getCurrentWatermarkInMs())
+        self._store({name: known for name, known in held.items() if self._due(known[0]) > now}, at)
         return iter([])
 
     def close(self) -> None:
@@ -418,13 +450,14 @@ VELOCITY_FIELDS = [
 ]
 
 
-def velocity_in_stream(stream: DataFrame, keep_days: float = 400, delay: str = "1 hour") -> DataFrame:
+def velocity_in_stream(stream: DataFrame, keep_days: float = 400, delay: str = "1 hour", groups: int = 4096) -> DataFrame:
     """Transactions with the history of their account as they arrive; an account silent for ``keep_days`` starts anew.
 
     A late transaction comes out marked, without history. Missing amounts count as transactions and as nothing else.
+    Accounts share ``groups`` groups of state; like the number of state partitions, it stays as it was at the first start.
     """
     rows = with_clock(stream, "ts", delay, "account_id").withColumns(
-        {"at_second": epoch_seconds("ts"), "at_us": F.unix_micros(F.col("ts").cast("timestamp"))}
+        {"at_second": epoch_seconds("ts"), "at_us": F.unix_micros(F.col("ts").cast("timestamp")), "group_no": F.pmod(F.xxhash64("account_id"), F.lit(groups))}
     )
     schema = f"{_fields(stream)}, late boolean, " + ", ".join(f"{n} double" for n in VELOCITY_FIELDS)
-    return rows.groupBy("account_id").transformWithStateInPandas(_Velocity(int(keep_days * DAY * 1_000_000)), schema, "append", "eventTime")
+    return rows.groupBy("group_no").transformWithStateInPandas(_Velocity(int(keep_days * DAY * 1_000_000)), schema, "append", "eventTime")

@@ -85,6 +85,38 @@ def test_account_features(spark):
             assert mine is None if want is None else mine == pytest.approx(want, rel=1e-9, abs=1e-12), name
 
 
+@pytest.fixture(scope="module")
+def payments(spark):
+    rnd = random.Random(4)
+    rows = [(i, rnd.randrange(6), rnd.choice(["m1", "m2", "m3", None]), "d", rnd.choice([None, 7.25, 2e12, round(rnd.uniform(1, 90), 2)]), T0 + timedelta(minutes=50 * (i // 2)), rnd.choice([None, 46.0]), 6.0 + rnd.random()) for i in range(300)]
+    return spark.createDataFrame(rows, "transaction_id bigint, account_id bigint, merchant_id string, device_id string, amount double, ts timestamp_ntz, location_lat double, location_lon double")
+
+
+def test_accounts_that_share_a_group_stay_apart(spark, payments):
+    parts = three(payments, "transaction_id")
+    late = parts[2].limit(3).withColumns({"ts": F.expr("ts - INTERVAL 20 DAYS"), "transaction_id": F.col("transaction_id") + 1000})
+    parts[2] = parts[2].unionByName(late)
+    alone, shared = (collect_stream(spark, parts, lambda s, n=n: state.velocity_in_stream(s, groups=n), f"t-groups-{n}").drop("batch_id") for n in (4096, 1))
+    told = lambda df: sorted(str([r[c] for c in sorted(df.columns)]) for r in df.collect())
+    assert told(shared) == told(alone) and shared.filter("late").count() == 3
+    rows = payments.withColumns({c: F.lit(None).cast("string") for c in ("channel", "transaction_type", "location_country")})
+    want = {r["transaction_id"]: r for r in fraud.fraud_features(rows).collect()}
+    for r in shared.filter("NOT late").collect():
+        mine = want[r["transaction_id"]]
+        for name in ("tx_count_1h", "tx_count_24h", "tx_amount_24h", "avg_amount_30d", "std_amount_30d", "is_new_merchant", "is_new_device"):
+            assert r[name] == pytest.approx(mine[name], rel=1e-9, abs=1e-12), name
+
+
+def test_a_silent_account_of_a_group_is_forgotten(spark, payments):
+    last = T0 + timedelta(minutes=50 * 149)
+    again = payments.filter("account_id = 0").limit(1)
+    at = lambda days, i, account: again.withColumns({"ts": F.lit(last + timedelta(days=days)).cast("timestamp_ntz"), "transaction_id": F.lit(i).cast("bigint"), "account_id": F.lit(account).cast("bigint")})
+    parts = [payments, at(0.9, 1000, 1), at(1.5, 1001, 1), at(1.6, 1002, 0).unionByName(at(1.6, 1003, 1))]
+    out = {r["transaction_id"]: r for r in collect_stream(spark, parts, lambda s: state.velocity_in_stream(s, keep_days=1, groups=1), "t-quiet").collect()}
+    assert out[1002]["tx_count_24h"] == 1 and out[1002]["is_new_device"] == 1 and out[1002]["prev_us"] is None
+    assert out[1003]["is_new_device"] == 0 and out[1003]["prev_us"] is not None
+
+
 def test_silent_trucks_are_forgotten(spark, gps):
     """A truck that is silent for a day starts anew; the others go on."""
     later = gps.filter("truck_id = 0 AND seq >= 200").limit(1).withColumn("ts", F.expr("ts + INTERVAL 30 HOURS"))
