@@ -1,7 +1,7 @@
 """Text files in partition folders as a Spark data source, for tables with about one row per folder.
 
 Spark's own writer opens a file for every folder through Hadoop, which took 37 ms of a task per file on a local file system,
-nearly all of it waiting. Here a task writes the files of its rows itself.
+most of it waiting. Here a task writes the files of its rows itself.
 Folders are named and escaped as ``partitionBy`` does, a file holds one line per row. Files get the number of their task, so
 a task that is run again replaces its own files; ``path`` must be new, and a failed job deletes it.
 """
