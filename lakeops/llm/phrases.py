@@ -1,8 +1,9 @@
 """Phrase collocations by counting quotient filters.
 
 Words are cut and counted slice by slice; words that reach the least count get small numbers (every word of a phrase that
-reaches it does so too, so nothing is lost). Texts become sequences of these numbers with gaps, and runs of two to five
-numbers are packed into one integer, which an invertible mixing spreads evenly. Its upper part, the quotient, says where it
+reaches it does so too, so nothing is lost). Texts become sequences of these numbers with gaps: the list of frequent words is
+sent to the tasks, which cut the texts once more; one longer than ``SENT_BYTES`` is joined with the words of each slice
+instead. Runs of two to five numbers are packed into one integer, which an invertible mixing spreads evenly. Its upper part, the quotient, says where it
 belongs; its lower part, the remainder, is kept in full, so a counter never stands for two phrases. A filter holds run
 lengths per quotient, sorted remainders and counts in one byte where they fit. Every task fills filters of bounded size, cut
 at quotient ranges; filters of one range are merged by a second task and only phrases that reach the least count go on.
@@ -21,13 +22,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.llm.common import mix, numbered, ranges_of, raw_bytes, slices, written
+from lakeops.llm.common import mix, numbered, ranges_of, raw_bytes, slices, word_hashes, written
 
 #: Bytes of text handled at once.
 SLICE_BYTES = 4 << 20
+#: Bytes up to which the list of frequent words is sent to every task; a longer one is joined by shuffle.
+SENT_BYTES = 64 << 20
 #: Counted phrases a task holds before it sends a filter, and phrases a merging task shall get.
 HELD = 1_500_000
 #: Bits of the map of pairs that reach the least count; one number for every size of the input (4 MB).
@@ -76,54 +80,119 @@ def _number_of_pairs(words: pa.Array, langs: pa.Array) -> tuple[pa.Array, pa.Arr
     return lang.dictionary.take(pa.array(pairs // max(wide, 1))), w.dictionary.take(pa.array(pairs % max(wide, 1))), at
 
 
-def word_slices(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(slice, lang, word, n, places): each distinct word of a slice with its places, written to a table.
+def _texts(docs: DataFrame, text_col: str, lang_col: str, *more: Column) -> DataFrame:
+    return docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), *more)
+
+
+def _words_of_slices(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[pa.RecordBatch, pa.Array, pa.Array, np.ndarray, np.ndarray]]:
+    """(slice, languages, words, number of the pair at every place, places) of the slices of a batch that hold words.
 
     Places grow by one from word to word, and by two where a new piece begins, so neighbours are words in a row.
     """
+    for part in slices(batch, "text", limit):
+        data, bounds = raw_bytes(part.column("text"))
+        data = np.frombuffer(data.tobytes().translate(_LOWER), np.uint8)
+        words, value, follows = words_and_pieces(data, bounds)
+        if len(words):
+            yield part, *_number_of_pairs(words, part.column("lang").take(pa.array(value))), np.cumsum(np.where(follows, 1, 2)).astype(np.uint32)
+
+
+def word_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, word, a): how often each word stands in a language; written to a table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                data, bounds = raw_bytes(part.column("text"))
-                data = np.frombuffer(data.tobytes().translate(_LOWER), np.uint8)
-                words, value, follows = words_and_pieces(data, bounds)
-                if not len(words):
-                    continue
-                langs, distinct, at = _number_of_pairs(words, part.column("lang").take(pa.array(value)))
-                place = np.cumsum(np.where(follows, 1, 2)).astype(np.uint32)
-                order = np.argsort(at, kind="stable")
+            for _, langs, distinct, at, _ in _words_of_slices(batch, SLICE_BYTES):
                 counts = np.bincount(at, minlength=len(distinct))
-                ends = np.r_[0, np.cumsum(counts)].astype(np.int32) * 4
+                yield pa.RecordBatch.from_arrays([langs, distinct.cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "word", "n"])
+
+    counted = _texts(docs, text_col, lang_col).mapInArrow(run, "lang string, word string, n long")
+    return written(counted.groupBy("lang", "word").agg(F.sum("n").alias("a")), "word-counts")
+
+
+def word_slices(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(slice, lang, word, places): each distinct word of a slice with its places, written to a table."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, langs, distinct, at, place in _words_of_slices(batch, SLICE_BYTES):
+                order = np.argsort(at, kind="stable")
+                ends = np.r_[0, np.cumsum(np.bincount(at, minlength=len(distinct)))].astype(np.int32) * 4
                 packed = pa.Array.from_buffers(pa.binary(), len(distinct), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(place[order].tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(distinct), part.column("first")[0].as_py()), pa.int64()), langs, distinct.cast(pa.string()), pa.array(counts, pa.int64()), packed],
-                    ["slice", "lang", "word", "n", "places"],
+                    [pa.array(np.full(len(distinct), part.column("first")[0].as_py()), pa.int64()), langs, distinct.cast(pa.string()), packed],
+                    ["slice", "lang", "word", "places"],
                 )
 
-    rows = docs.select(
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
-        F.monotonically_increasing_id().alias("first"),
-    )
-    return written(rows.mapInArrow(run, "slice long, lang string, word string, n long, places binary"), "words")
+    rows = _texts(docs, text_col, lang_col, F.monotonically_increasing_id().alias("first"))
+    return written(rows.mapInArrow(run, "slice long, lang string, word string, places binary"), "words")
+
+
+def _in_a_row(at: np.ndarray, ids: np.ndarray) -> bytes:
+    """Numbers at growing places one after the other, with 0 where a place is left out."""
+    broken = np.r_[False, at[1:] != at[:-1] + 1] if len(at) else np.zeros(0, bool)
+    out = np.zeros(len(at) + int(broken.sum()), np.uint32)
+    out[np.arange(len(at)) + np.cumsum(broken)] = ids
+    return out.tobytes()
+
 
+def joined_sequences(cut: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """(slice, ids): the numbers of the frequent words of a slice in a row, 0 where a row is broken; written to a table.
 
-def word_sequences(cut: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(slice, ids): the numbers of the frequent words of a slice in a row, 0 where a row is broken; written to a table."""
+    The join puts out no more rows than ``cut`` has, as the dictionary holds a word of a language once.
+    """
     def rebuild(table: pa.Table) -> pa.Table:
         places, bounds = raw_bytes(table.column("places"))
         at = np.frombuffer(places.tobytes(), np.uint32).astype(np.int64)
         ids = np.repeat(table.column("id").to_numpy(), np.diff(bounds) // 4)
         order = np.argsort(at, kind="stable")
-        at, ids = at[order], ids[order]
-        broken = np.r_[False, at[1:] != at[:-1] + 1] if len(at) else np.zeros(0, bool)
-        out = np.zeros(len(at) + int(broken.sum()), np.uint32)
-        out[np.arange(len(at)) + np.cumsum(broken)] = ids
-        return pa.table({"slice": table.column("slice").slice(0, 1), "ids": pa.array([out.tobytes()], pa.binary())})
+        return pa.table({"slice": table.column("slice").slice(0, 1), "ids": pa.array([_in_a_row(at[order], ids[order])], pa.binary())})
 
     joined = cut.join(dictionary.select("lang", "word", "id"), ["lang", "word"]).select("slice", "id", "places")
     return written(joined.groupBy("slice").applyInArrow(rebuild, "slice long, ids binary"), "sequences")
 
 
+def _key_hashes(keys: pa.Array) -> np.ndarray:
+    hashes, counts = word_hashes(*raw_bytes(keys))
+    return np.add.reduceat(hashes, np.cumsum(counts) - counts) if len(hashes) else hashes
+
+
+def looked_up(keys: pa.Array, known: pa.Array, hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The number of each key among the known ones, which stand in order of their hashes; 0 if it is not there.
+
+    Keys themselves are compared wherever hashes agree, so a hash never stands for two of them.
+    """
+    own = _key_hashes(keys)
+    first, last = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+    out = np.zeros(len(keys), np.uint32)
+    for step in range(int((last - first).max(initial=0))):
+        at = np.flatnonzero(first + step < last)
+        place = first[at] + step
+        same = pc.equal(keys.take(pa.array(at)), known.take(pa.array(place))).to_numpy(zero_copy_only=False)
+        out[at[same]] = ids[place[same]]
+    return out
+
+
+def sent_sequences(docs: DataFrame, dictionary: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(ids) of every slice as ``joined_sequences`` gives them; the dictionary, in order of hashes, is sent to the tasks.
+
+    A word is looked up together with its language, a full stop between them; no word holds one.
+    """
+    rows = dictionary.select("id", F.concat_ws(".", "word", "lang").cast("binary").alias("key")).toArrow()
+    keys = rows.column("key").cast(pa.binary()).combine_chunks()
+    hashes = _key_hashes(keys)
+    order = np.argsort(hashes)
+    known = docs.sparkSession.sparkContext.broadcast((keys.take(pa.array(order)), hashes[order], rows.column("id").to_numpy()[order].astype(np.uint32)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, langs, distinct, at, place in _words_of_slices(batch, SLICE_BYTES):
+                ids = looked_up(pc.binary_join_element_wise(distinct, langs.cast(pa.binary()), pa.scalar(b".")), *known.value)[at]
+                kept = np.flatnonzero(ids)
+                if len(kept):
+                    yield pa.RecordBatch.from_arrays([pa.array([_in_a_row(place[kept], ids[kept])], pa.binary())], ["ids"])
+
+    return written(_texts(docs, text_col, lang_col).mapInArrow(run, "ids binary"), "sequences")
+
+
 # ---------------------------------------------------------------- packing
 
 
@@ -354,15 +423,17 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, text_c
 
     Words stand for themselves as phrases of size 1.
     """
-    cut = word_slices(docs, text_col, lang_col)
-    counts = written(cut.groupBy("lang", "word").agg(F.sum("n").alias("a")), "word-counts")
+    counts = word_counts(docs, text_col, lang_col)
     totals = written(counts.groupBy("lang").agg(F.sum("a").alias("n")), "totals")
     often = numbered(counts.where(F.col("a") >= least), [F.desc("a"), F.asc("lang"), F.asc("word")], "id", "dictionary")
-    sequences = word_sequences(cut, often)
-    size = often.agg(F.count("*").alias("words"), F.sum("a").alias("places")).first()
+    size = often.agg(F.count("*").alias("words"), F.sum("a").alias("places"), F.sum(F.octet_length("word") + F.octet_length("lang") + 17).alias("bytes")).first()
     bits, places = max(size.words, 1).bit_length(), size.places or 0
     if bits * longest > 126:
         raise ValueError(f"{size.words} words reach the least count; numbers of {bits} bits do not fit {longest} times into 126")
+    if (size.bytes or 0) <= SENT_BYTES:
+        sequences = sent_sequences(docs, often, text_col, lang_col)
+    else:
+        sequences = joined_sequences(word_slices(docs, text_col, lang_col), often)
     found = phrase_counts(sequences, [2], bits, least, places)
     if longest > 2:
         found = found.unionByName(phrase_counts(sequences, list(range(3, longest + 1)), bits, least, places, pair_map(found)))

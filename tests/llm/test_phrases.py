@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from lakeops.llm import phrases
@@ -75,6 +77,34 @@ def test_empty_tables_and_rare_words(spark):
     assert got(collocations(table(spark, [("en", "a b")] * 3), 2)) == brute([("en", "a b")] * 3, 2)
 
 
+@pytest.mark.parametrize("sent", [True, False])
+def test_list_of_frequent_words(spark, monkeypatch, sent):
+    # A list that is sent meets no join of the words of all slices; one that is too long is joined, with the same result.
+    plans, written = {}, phrases.written
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return written(df, label)
+
+    monkeypatch.setattr(phrases, "written", noted)
+    if not sent:
+        monkeypatch.setattr(phrases, "SENT_BYTES", 0)
+    rows = [*corpus(), *[("b c", "a b d")] * 4, *[("c", "a b d a")] * 4, *[(" ", "b")] * 4]
+    assert got(collocations(table(spark, rows), 4)) == brute(rows, 4)
+    assert ("Join" in plans["sequences"]) != sent
+
+
+def test_words_with_equal_hashes(monkeypatch):
+    keys = pa.array([w.encode() for w in ["a.en", "b.en", "été.", "a.b c", "\x00.und", "a.und", "x" * 600_000 + ".en"]], pa.binary())
+    for known in (keys, keys.slice(2, 3), keys.slice(0, 0)):
+        for hashes in (phrases._key_hashes, lambda k: np.arange(len(k), dtype=np.uint64) * np.uint64(0), lambda k: pc.binary_length(k).to_numpy().astype(np.uint64)):
+            monkeypatch.setattr(phrases, "_key_hashes", hashes)
+            order = np.argsort(hashes(known), kind="stable")
+            found = phrases.looked_up(keys, known.take(pa.array(order)), hashes(known)[order], (order + 1).astype(np.uint32))
+            assert found.tolist() == [known.to_pylist().index(k) + 1 if k in known.to_pylist() else 0 for k in keys.to_pylist()]
+        monkeypatch.undo()
+
+
 @pytest.mark.parametrize(("columns", "bits", "ranges"), [(2, 1, 3), (2, 17, 4), (3, 17, 9), (5, 25, 3), (5, 7, 20), (4, 16, 0)])
 def test_filters_are_lossless(columns, bits, ranges):
     rng = np.random.default_rng(columns * bits)
