@@ -60,7 +60,7 @@ def words_and_pieces(data: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np
     last = inside.copy()
     last[:-1] &= ~inside[1:] | edge[1:-1]
     ends = np.flatnonzero(last) + 1
-    breaks = np.cumsum(kind == 2)
+    breaks = np.cumsum(kind == 2, dtype=np.uint32)
     value = np.searchsorted(bounds, starts, "right") - 1
     follows = np.zeros(len(starts), bool)
     if len(starts) > 1:
