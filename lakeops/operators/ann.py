@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,6 +29,8 @@ from lakeops.session import materialize
 SAMPLE_ROWS, MEASURED, MOST_CELLS = 50_000, 200, 1_024
 #: Rows and queries that one task compares.
 ROWS_PER_TASK, QUERIES_PER_TASK = 50_000, 2_048
+#: Rows that a task compares at once with the queries that it was sent.
+ROWS_PER_STEP = 1_024
 
 
 @dataclass(frozen=True)
@@ -46,35 +49,56 @@ class Index:
 
 def _nearest(x: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
     """The ``n`` nearest centres of each vector, nearest first; equal ones by number."""
-    scores = np.round(vectors._unit(x) @ centres.T, 12)
-    if n == 1:
-        return scores.argmax(axis=1)[:, None]
-    return np.argsort(-scores, axis=1, kind="stable")[:, :n]
+    unit = vectors._unit(x)
+    if n > 1:
+        return np.argsort(-np.round(unit @ centres.T, 12), axis=1, kind="stable")[:, :n]
+    # single precision decides wherever one centre leads by more than its error; the others are compared in full
+    rough = unit.astype("float32") @ centres.T.astype("float32")
+    cell = rough.argmax(axis=1)
+    slack = (centres.shape[1] + 4) * float(np.finfo("float32").eps)
+    doubt = np.flatnonzero(np.count_nonzero(rough >= rough.max(axis=1, keepdims=True) - slack, axis=1) > 1)
+    if len(doubt):
+        cell[doubt] = np.round(unit[doubt] @ centres.T, 12).argmax(axis=1)
+    return cell[:, None]
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.vstack(column.to_numpy()).astype("float64")
 
 
+def _columns(column: pa.Array) -> np.ndarray:
+    """Rows of a list column as a matrix."""
+    offsets = column.offsets.to_numpy()
+    width = int(offsets[1] - offsets[0]) if len(column) else 0
+    if column.null_count or (np.diff(offsets) != width).any():
+        raise ValueError("vectors of different lengths")
+    return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(column), width)
+
+
 def _probed(df: DataFrame, names: list[str], vector: str, centres: np.ndarray, n: int) -> DataFrame:
     """Rows with the numbers of their ``n`` nearest cells, nearest first (``cells``)."""
     shared = df.sparkSession.sparkContext.broadcast(centres)
     step = max(1, vectors.SCORES // len(centres))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for at in range(0, len(pdf), step):
-                part = pdf.iloc[at:at + step]
-                yield part.assign(cells=list(_nearest(_matrix(part[vector]), shared.value, n).astype("int32")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (batch.slice(at, step) for batch in batches for at in range(0, batch.num_rows, step)):
+            nearest = _nearest(_columns(part.column(part.schema.get_field_index(vector))), shared.value, n).astype("int32")
+            cells = pa.ListArray.from_arrays(np.arange(0, nearest.size + 1, nearest.shape[1], dtype="int32"), nearest.ravel())
+            yield pa.RecordBatch.from_arrays([*part.columns, cells], names=[*part.schema.names, "cells"])
 
     fields = ", ".join(f"`{n}` {t}" for n, t in df.select(*names).dtypes)
-    return df.select(*names).mapInPandas(run, f"{fields}, cells array<int>")
+    return df.select(*names).mapInArrow(run, f"{fields}, cells array<int>")
 
 
 def with_direction(df: DataFrame, key: str, vector: str) -> DataFrame:
     """Rows whose key is set and whose vector holds finite numbers, not all of them zero; no others can be near anything."""
-    good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(vector, lambda x: x != 0)
-    return df.filter(F.col(key).isNotNull() & F.col(vector).isNotNull()).filter(good)
+    number = df.schema[vector].dataType.elementType.simpleString()
+    x, number = (F.col(vector), number) if number in ("float", "double") else (F.col(vector).cast("array<double>"), "double")
+    # compiled functions, each asked once: a search for NaN is false only where no number is missing or NaN, and the logarithm
+    # of the largest number is finite unless that is infinite (or 0: null)
+    largest = F.greatest(F.abs(F.array_min(x)), F.abs(F.array_max(x)))
+    good = ~F.array_contains(x, F.lit(float("nan")).cast(number)) & (F.abs(F.ln(largest)) < float("inf"))
+    return df.filter(F.col(key).isNotNull() & good)
 
 
 def _centres(sample: DataFrame, key: str, vector: str, cells: int, seed: int, rounds: int = 10) -> np.ndarray:
@@ -134,13 +158,55 @@ def _probes(spark: SparkSession, folder: str, key: str, vector: str, centres: np
     rows = spark.read.parquet(f"{folder}/rows")
     chosen = F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(max(1, count // MEASURED))) == 0
     asked = materialize(rows.filter(chosen).select(F.col(key).alias("asked"), F.col(vector).alias("vector")), "index-asked")
-    # a row and its copies are always in one cell: they say nothing about the others
-    once = materialize(rows.withColumn("_h", F.xxhash64(vector)).dropDuplicates(["_h"]).drop("_h"), "index-once")
-    truth = vectors.knn_exact(once, asked, key, vector, "asked", k + 1).filter(F.col("score") < 1 - 1e-9)
-    found = truth.join(once.select(key, "cell"), key).join(_probed(asked, ["asked", "vector"], "vector", centres, len(centres)), "asked")
-    place = found.select(F.array_position("cells", F.col("cell")).alias("place"))
-    met = place.agg(F.percentile("place", recall).alias("place")).first()["place"]
-    return max(1, math.ceil(met or 1))
+    blocks = max(1, -(-asked.count() // vectors.MAX_QUERIES))
+    places: list[int] = []
+    for b in range(blocks):
+        own = asked.filter(F.pmod(F.xxhash64("asked"), F.lit(blocks)) == b).orderBy("asked").collect()  # about MAX_QUERIES rows
+        if own:
+            matrix = np.asarray([r["vector"] for r in own], dtype="float64")
+            rank = np.argsort(_nearest(matrix, centres, len(centres)), axis=1)
+            truth = _nearest_distinct(rows, vector, matrix, k + 1).filter(F.col("score") < 1 - 1e-9)
+            places += [int(rank[r["q"], r["cell"]]) + 1 for r in truth.collect()]
+    return max(1, math.ceil(_percentile(sorted(places), recall))) if places else 1
+
+
+def _percentile(values: list[int], share: float) -> float:
+    """Between the two values around the place, as Spark's ``percentile``."""
+    at = (len(values) - 1) * share
+    low, high = values[math.floor(at)], values[math.ceil(at)]
+    return low if low == high else (math.ceil(at) - at) * low + (at - math.floor(at)) * high
+
+
+def _nearest_distinct(rows: DataFrame, vector: str, matrix: np.ndarray, k: int) -> DataFrame:
+    """(q, cell, score): for every row of ``matrix`` the ``k`` nearest different vectors, ties by hash.
+
+    A row and its copies are always in one cell: they say nothing about the others, so copies count once. Copies are left
+    out where they are met; a task hands on at most ``k`` vectors per query, as hashes, and no vector is shuffled.
+    """
+    shared, n = rows.sparkSession.sparkContext.broadcast(vectors._unit(matrix)), len(matrix)
+    step = max(k, vectors.SCORES // n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.empty((0, n)), np.empty((0, n), dtype="int64"), np.empty((0, n), dtype="int32")
+        for part in (batch.slice(at, step) for batch in batches for at in range(0, batch.num_rows, step)):
+            hashes, first = np.unique(part.column(0).to_numpy(), return_index=True)
+            scores = np.round(vectors._unit(_columns(part.column(2))[first]) @ shared.value.T, 12)
+            top, at = vectors._top(scores, np.arange(len(hashes)), k)
+            met = top, hashes[at], part.column(1).to_numpy()[first][at]
+            score, name, cell = (np.concatenate(x) for x in zip(best, met, strict=True))
+            order = np.lexsort((-score, name), axis=0)
+            score, name, cell = (np.take_along_axis(x, order, axis=0) for x in (score, name, cell))
+            score[1:][name[1:] == name[:-1]] = -np.inf  # a copy of one that is held
+            order = np.lexsort((name, -score), axis=0)[:k]
+            best = tuple(np.take_along_axis(x, order, axis=0) for x in (score, name, cell))
+        score, name, cell = (x.T.ravel() for x in best)
+        q, kept = np.repeat(np.arange(n, dtype="int32"), len(best[0])), score > -np.inf
+        yield pa.RecordBatch.from_arrays([pa.array(x[kept]) for x in (q, name, cell, score)], names=["q", "name", "cell", "score"])
+
+    found = rows.select(F.xxhash64(vector), F.col("cell").cast("int"), vector).mapInArrow(run, "q int, name bigint, cell int, score double")
+    once = found.groupBy("q", "name").agg(F.min("cell").alias("cell"), F.max("score").alias("score"))
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "name")
+    return once.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k).select("q", "cell", "score")
 
 
 def probe_table(index: Index, queries: DataFrame, query: str, query_vector: str = "vector", probes: int | None = None) -> DataFrame:
@@ -153,9 +219,63 @@ def probe_table(index: Index, queries: DataFrame, query: str, query_vector: str
 def search(index: Index, queries: DataFrame, query: str, k: int = 5, query_vector: str = "vector", probes: int | None = None, threshold: float = -1.0) -> DataFrame:
     """(query, key, score, rank): the ``k`` best rows of the probed cells for every query, scored exactly.
 
-    Only the folders of probed cells are read. A cell is dealt to several tasks by rows and by queries, so neither a large
-    cell nor one that many queries ask is a task by itself; each task hands on at most ``k`` rows per query.
+    Only the folders of probed cells are read. Up to ``QUERIES_PER_TASK`` queries are sent to the rows, which are not
+    shuffled. With more, a cell is dealt to several tasks by rows and by queries, so neither a large cell nor one that many
+    queries ask is a task by itself. Each task hands on at most ``k`` rows per query.
     """
+    own = with_direction(queries.select(query, F.col(query_vector).alias("vector")), query, "vector")
+    few = own.limit(QUERIES_PER_TASK + 1).collect()
+    if few and len(few) <= QUERIES_PER_TASK and len(few) * len(few[0]["vector"]) * 8 <= vectors.MAX_QUERY_BYTES:
+        found = _search_few(index, queries, query, few, k, probes)
+    else:
+        found = _search_many(index, queries, query, k, query_vector, probes)
+    best = Window.partitionBy(query).orderBy(F.desc("score"), index.key)
+    return found.filter(F.col("score") >= threshold).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+def _search_few(index: Index, queries: DataFrame, query: str, few: list, k: int, probes: int | None) -> DataFrame:
+    """(query, key, score): the ``k`` best rows of every task for every query, which all tasks have."""
+    spark, key, vector = queries.sparkSession, index.key, index.vector
+    names = [r[query] for r in few]
+    matrix = np.asarray([r["vector"] for r in few], dtype="float64")
+    cells = _nearest(matrix, index.centres, min(probes or index.probes, len(index.centres)))
+    who, cell = np.repeat(np.arange(len(names)), cells.shape[1]), cells.ravel()
+    asking = {int(c): who[cell == c] for c in np.unique(cell)}
+    shared = spark.sparkContext.broadcast((vectors._unit(matrix), asking))
+    rows = index.rows(spark).filter(F.col("cell").isin(list(asking))).select(key, vector, F.col("cell").cast("int"))
+    types = dict(rows.dtypes) | {query: dict(queries.dtypes)[query]}
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, asking = shared.value
+        held: list[pa.Table] = []
+        for part in (batch.slice(at, ROWS_PER_STEP) for batch in frames for at in range(0, batch.num_rows, ROWS_PER_STEP)):
+            kind = part.schema.field(0).type
+            x, own, ids = vectors._unit(_columns(part.column(1))), part.column(2).to_numpy(), part.column(0).to_numpy(zero_copy_only=False)
+            for c in np.unique(own):
+                at, who = np.flatnonzero(own == c), asking[int(c)]
+                top, row = vectors._top(np.round(x[at] @ unit[who].T, 12), np.argsort(np.argsort(ids[at], kind="stable"), kind="stable"), k)
+                by_id = at[np.argsort(ids[at], kind="stable")]
+                held.append(pa.table({"_q": np.repeat(who, len(top)).astype("int32"), "_id": pa.array(ids[by_id[row.T.ravel()]], kind), "score": top.T.ravel()}))
+            if sum(len(t) for t in held) > 20 * k * len(unit):
+                held = [_best_of(held, k)]
+        if held:
+            yield from _best_of(held, k).to_batches()
+
+    found = rows.mapInArrow(run, f"_q int, _id {types[key]}, score double")
+    said = spark.createDataFrame(list(enumerate(names)), f"_q int, `{query}` {types[query]}")
+    return found.join(F.broadcast(said), "_q").select(query, F.col("_id").alias(key), "score")
+
+
+def _best_of(tables: list[pa.Table], k: int) -> pa.Table:
+    """The ``k`` best of every query, ties by smaller id."""
+    both = pa.concat_tables(tables).sort_by([("_q", "ascending"), ("score", "descending"), ("_id", "ascending")])
+    q = both.column("_q").to_numpy()
+    first = np.searchsorted(q, q)
+    return both.filter(pa.array(np.arange(len(q)) - first < k))
+
+
+def _search_many(index: Index, queries: DataFrame, query: str, k: int, query_vector: str, probes: int | None) -> DataFrame:
+    """(query, key, score): rows and queries of a cell meet by shuffle."""
     spark = queries.sparkSession
     asked = materialize(probe_table(index, queries, query, query_vector, probes), "probes")
     wanted = [r[0] for r in asked.select("cell").distinct().collect()]  # at most MOST_CELLS numbers
@@ -175,7 +295,7 @@ def search(index: Index, queries: DataFrame, query: str, k: int = 5, query_vecto
 
     def compare(pdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty or qdf.empty:
-            return pd.DataFrame({n: [] for n in names})
+            return pd.DataFrame({n: pd.Series(dtype=object) for n in names})
         scores = np.round(vectors._unit(_matrix(qdf["vector"])) @ vectors._unit(_matrix(pdf["row_vector"])).T, 12)
         ids = pdf[key].to_numpy(dtype=object)
         parts = []
@@ -185,9 +305,7 @@ def search(index: Index, queries: DataFrame, query: str, k: int = 5, query_vecto
         return pd.concat(parts, ignore_index=True)
 
     types = dict(rows.dtypes) | dict(asked.dtypes)
-    found = left.groupBy("c", "s", "t").cogroup(right.groupBy("cell", "slot", "turn")).applyInPandas(compare, f"`{query}` {types[query]}, `{key}` {types[key]}, score double")
-    best = Window.partitionBy(query).orderBy(F.desc("score"), key)
-    return found.filter(F.col("score") >= threshold).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return left.groupBy("c", "s", "t").cogroup(right.groupBy("cell", "slot", "turn")).applyInPandas(compare, f"`{query}` {types[query]}, `{key}` {types[key]}, score double")
 
 
 def scored_pairs(index: Index, queries: DataFrame, query: str, query_vector: str = "vector", probes: int | None = None) -> DataFrame:

@@ -27,7 +27,8 @@ def embed_hashed(df: DataFrame, text: str, out: str = "embedding", dims: int = 2
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dims),
         Normalizer(inputCol="_tf", outputCol="_unit"),
     ])
-    embedded = stages.transform(df.filter(F.length(F.trim(text)) > 0)).filter(F.size("_words") > 0)
+    # a text with a letter or digit has a word; a filter on the words themselves would cut every text twice
+    embedded = stages.transform(df.filter(F.col(text).rlike(r"[\p{L}\p{N}]")))
     return embedded.withColumn(out, vector_to_array("_unit", "float32")).drop("_words", "_tf", "_unit")
 
 
